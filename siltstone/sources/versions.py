@@ -1,0 +1,89 @@
+"""Versioned folders behind one pointer file.
+
+Writers fill a folder nobody reads, then swap the pointer in one rename. A job that dies at any
+moment before the rename leaves the old state in place, and after it the new one is complete.
+Works on any file system Spark can write to whose rename is atomic (HDFS, local); on an object
+store the pointer is a single small object, written in one request.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+POINTER = "CURRENT"
+
+
+class _Files:
+    """The few Hadoop file system calls used here."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self.path(base).getFileSystem(self._conf)
+
+    def path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(name)
+
+    def exists(self, name: str) -> bool:
+        return self._fs.exists(self.path(name))
+
+    def folders(self, name: str) -> list[str]:
+        if not self.exists(name):
+            return []
+        found = self._fs.listStatus(self.path(name))
+        return sorted(s.getPath().getName() for s in found if s.isDirectory())
+
+    def read(self, name: str) -> str:
+        stream = self._fs.open(self.path(name))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def replace(self, name: str, text: str) -> None:
+        """Write beside the target, then rename over it."""
+        staged = self.path(f"{name}.{uuid.uuid4().hex}.tmp")
+        stream = self._fs.create(staged, True)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+        fs_pkg = self._jvm.org.apache.hadoop.fs
+        context = fs_pkg.FileContext.getFileContext(self._fs.getUri(), self._conf)
+        option = getattr(fs_pkg, "Options$Rename").OVERWRITE
+        options = self._jvm.java.lang.reflect.Array.newInstance(option.getClass(), 1)
+        options[0] = option
+        context.rename(staged, self.path(name), options)
+
+    def drop(self, name: str) -> None:
+        self._fs.delete(self.path(name), True)
+
+
+class VersionedDir:
+    """A folder with ``CURRENT`` (JSON) naming what is live below it."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base = spark, base.rstrip("/")
+        self.files = _Files(spark, self.base)
+
+    def state(self) -> dict:
+        """What is live; empty when nothing was ever published."""
+        pointer = f"{self.base}/{POINTER}"
+        return json.loads(self.files.read(pointer)) if self.files.exists(pointer) else {}
+
+    def swap(self, state: dict) -> None:
+        self.files.replace(f"{self.base}/{POINTER}", json.dumps(state, sort_keys=True))
+
+    def tables(self, version: str) -> list[str]:
+        """The tables a version holds, found by listing (a table without _SUCCESS is unfinished)."""
+        root = f"{self.base}/{version}"
+        return [t for t in self.files.folders(root) if self.files.exists(f"{root}/{t}/_SUCCESS")]
+
+    def read(self, table: str, version: str | None = None) -> DataFrame:
+        version = version or self.state().get("version")
+        if version is None:
+            raise FileNotFoundError(f"nothing published below {self.base}")
+        return self.spark.read.parquet(f"{self.base}/{version}/{table}")
