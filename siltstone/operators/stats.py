@@ -16,11 +16,6 @@ from siltstone.functions.numbers import round_to
 BUCKETS = 128
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    tests = [left[k].eqNullSafe(right[k]) for k in keys]
-    return reduce(lambda a, b: a & b, tests, F.lit(True))
-
-
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join that also pairs NULL keys, keeping the left key columns."""
     if not keys:
@@ -191,16 +186,42 @@ def median_ratio(pairs: DataFrame, by: str = "metric", count: str = "n_rows") ->
 
 
 def group_summary(
-    df: DataFrame, by: str, value: str, others: Sequence[str], places: int = 2, names: dict[str, str] | None = None
+    df: DataFrame,
+    by: str,
+    value: str,
+    others: Sequence[str] = (),
+    places: int = 2,
+    names: dict[str, str] | None = None,
+    continuous: bool = False,
 ) -> DataFrame:
     """Per group: rows, non-null values, mean, exact median, sample deviation, min, max of
-    ``value`` and the means of ``others``; one scan of ``df``.
+    ``value`` and the means of ``others``.
 
-    Rows are first summed per (group, value), so that a group with a third of all rows is spread
-    by its values and each task sends one partial row per value. The median and the deviation
-    then come from the value counts, ordered by a window that can spill.
+    A measure on a grid (years, counts) takes one scan: rows are summed per (group, value), so a
+    group with a third of all rows is spread by its values and each task sends one partial row per
+    value; median and deviation then come from the value counts, through a window that can spill.
+    A ``continuous`` measure has too many distinct values for that and takes its median from
+    ``quantiles``, in a scan of its own that reads two columns.
     """
     names = names or {}
+
+    def named(key: str, default: str) -> str:
+        return names.get(key, default)
+
+    if continuous:
+        plain = df.groupBy(by).agg(
+            F.count(F.lit(1)).alias(named("count", "n_rows")),
+            F.count(value).alias(named("with_value", "n_with_value")),
+            round_to(F.avg(value), places).alias(named("mean", f"mean_{value}")),
+            round_to(F.stddev_samp(value), places).alias(named("stddev", f"stddev_{value}")),
+            F.min(value).alias(named("min", f"min_{value}")),
+            F.max(value).alias(named("max", f"max_{value}")),
+            *[round_to(F.avg(c), places).alias(named(f"mean_{c}", f"mean_{c}")) for c in others],
+        )
+        mid = median(df, value, [by], "__median")
+        result = _match(plain, mid, [by], "left")
+        return result.withColumn(named("median", f"median_{value}"), round_to("__median", places)).drop("__median")
+
     sums = [F.sum(c).alias(f"__s_{c}") for c in others] + [F.count(c).alias(f"__c_{c}") for c in others]
     counted = df.groupBy(by, value).agg(F.count(F.lit(1)).alias("__n"), *sums)
     group = Window.partitionBy(by)
@@ -217,23 +238,25 @@ def group_summary(
     def at(rank: Column) -> Column:
         return F.max(F.when((start <= rank) & (rank < F.col("__end")), F.col(value)))
 
-    mid = (at(F.floor((F.col("__tot") - 1) / 2)) + at(F.ceil((F.col("__tot") - 1) / 2))) / F.lit(2.0)
-    spread = F.sum(F.col("__k") * F.pow(F.col(value) - F.col("__mean"), F.lit(2.0)))
+    middle = (F.col("__tot") - 1) / 2
+    mid = (at(F.floor(middle)) + at(F.ceil(middle))) / F.lit(2.0)
+    squares = F.sum(F.col("__k") * F.pow(F.col(value) - F.col("__mean"), F.lit(2.0)))
     tot = F.max("__tot")
-    deviation = F.when(tot > 1, F.sqrt(F.try_divide(spread, (tot - 1).cast("double"))))
-    means = [
-        round_to(F.try_divide(F.sum(f"__s_{c}"), F.sum(f"__c_{c}")), places).alias(names.get(f"mean_{c}", f"mean_{c}"))
-        for c in others
-    ]
+    deviation = F.when(tot > 1, F.sqrt(F.try_divide(squares, (tot - 1).cast("double"))))
     return placed.groupBy(by).agg(
-        F.sum("__n").alias(names.get("count", "n_rows")),
-        tot.alias(names.get("with_value", "n_with_value")),
-        round_to(F.max("__mean"), places).alias(names.get("mean", f"mean_{value}")),
-        round_to(mid, places).alias(names.get("median", f"median_{value}")),
-        round_to(deviation, places).alias(names.get("stddev", f"stddev_{value}")),
-        F.min(value).alias(names.get("min", f"min_{value}")),
-        F.max(value).alias(names.get("max", f"max_{value}")),
-        *means,
+        F.sum("__n").alias(named("count", "n_rows")),
+        tot.alias(named("with_value", "n_with_value")),
+        round_to(F.max("__mean"), places).alias(named("mean", f"mean_{value}")),
+        round_to(mid, places).alias(named("median", f"median_{value}")),
+        round_to(deviation, places).alias(named("stddev", f"stddev_{value}")),
+        F.min(value).alias(named("min", f"min_{value}")),
+        F.max(value).alias(named("max", f"max_{value}")),
+        *[
+            round_to(F.try_divide(F.sum(f"__s_{c}"), F.sum(f"__c_{c}")), places).alias(
+                named(f"mean_{c}", f"mean_{c}")
+            )
+            for c in others
+        ],
     )
 
 

@@ -20,6 +20,7 @@ SETTINGS = {
 def build_session(master: str | None = None, app: str = "siltstone", **extra: str) -> SparkSession:
     """A session with the settings above. On a cluster leave ``master`` to spark-submit."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():

@@ -43,23 +43,38 @@ from (select o_orderkey as k from orders) t
 """
 
 
+# Documents whose units agree, so that a whole run passes its checks and is published.
+SOUND_DOCUMENTS = """
+select k as entity_id,
+ '{"id":"' || cast(k as string) || '","name":"Entity ' || cast(k - case when k%97=0 and k>0 then 1 else 0 end as string)
+ || '","life_span":' || case when k%16=0 then 'null' else '"' || cast(8+k%6 as string) || '-' || cast(10+k%6+k%3 as string) || '"' end
+ || ',"temperament":"' || case when k%3=0 then 'Playful, alert' when k%3=1 then 'calm, protective, Energetic' else 'Loyal, calm' end
+ || '","origin":"Region ' || cast(k%25 as string)
+ || '","weight":{"imperial":"' || case when k%313=0 then 'unknown' when k%10=0 then '4.4-8.8' else cast(22*(1+k%9) as string) || '-' || cast(22*(1+k%9)+11 as string) end
+ || '","metric":"' || case when k%313=0 then 'unknown' when k%10=0 then '2-4' else cast(10*(1+k%9) as string) || '-' || cast(10*(1+k%9)+5 as string) end
+ || '"},"height":{"imperial":"' || cast(50*(1+k%2) as string) || '","metric":"' || cast(127*(1+k%2) as string) || '"}}' as payload
+from (select o_orderkey as k from orders) t
+"""
+
+KINDS = {"scaled": SCALED_DOCUMENTS, "defects": DEFECT_DOCUMENTS, "sound": SOUND_DOCUMENTS}
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
 
 
-def documents(spark: SparkSession, sf_dir: str, defects: bool = False) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, kind: str = "scaled") -> DataFrame:
     """(entity_id, payload), one row per order."""
-    sql = DEFECT_DOCUMENTS if defects else SCALED_DOCUMENTS
-    escaped = sql.replace("{", "{{").replace("}", "}}").replace("from orders", "from {orders}")
+    escaped = KINDS[kind].replace("{", "{{").replace("}", "}}").replace("from orders", "from {orders}")
     return spark.sql(escaped, orders=_orders(spark, sf_dir))
 
 
-def bronze(spark: SparkSession, sf_dir: str, defects: bool = False) -> DataFrame:
+def bronze(spark: SparkSession, sf_dir: str, kind: str = "scaled") -> DataFrame:
     """Two run dates: all documents on the second, nine in ten on the first."""
     days = F.when(F.col("entity_id") % 10 == 0, F.array(F.lit("2024-01-02"))).otherwise(
         F.array(F.lit("2024-01-01"), F.lit("2024-01-02"))
     )
-    dated = documents(spark, sf_dir, defects).withColumn("day", F.explode(days))
+    dated = documents(spark, sf_dir, kind).withColumn("day", F.explode(days))
     return dated.select(
         F.col("entity_id").cast("int").alias("entity_id"),
         "payload",
