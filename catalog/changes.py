@@ -1 +1,71 @@
-"""stub"""
+"""Change history over order and document snapshots."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.base import Layers, query, table
+from siltstone.plans import history
+
+# Two states of the order table: the first lacks every tenth order and has other prices for
+# every seventh.
+_DAY1 = """select o_orderkey as id, case when o_orderkey % 7 = 0 then o_totalprice + 1 else o_totalprice end as price,
+    case when o_orderkey % 11 = 0 then null else o_orderstatus end as status from orders where o_orderkey % 10 <> 0"""
+_DAY2 = "select o_orderkey as id, o_totalprice as price, o_orderstatus as status from orders"
+
+
+def _days(spark, sf):
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status")
+    )
+    first = orders.where("id % 10 <> 0").select(
+        "id", F.when(F.col("id") % 7 == 0, F.col("price") + 1).otherwise(F.col("price")).alias("price"),
+        F.when(F.col("id") % 11 != 0, F.col("status")).alias("status"),
+    )
+    return first, orders
+
+
+@query("scd2", f"""
+    select n.id, n.price, n.status,
+           case when o.id is not null and o.price = n.price and o.status is not distinct from n.status then '2024-01-01' else '2024-01-02' end as valid_from,
+           cast(null as varchar) as valid_to, true as is_current
+    from ({_DAY2}) n left join ({_DAY1}) o using (id)
+    union all
+    select o.id, o.price, o.status, '2024-01-01', '2024-01-02', false
+    from ({_DAY1}) o join ({_DAY2}) n using (id) where o.price <> n.price or o.status is distinct from n.status""")
+def scd2(spark, sf):
+    first, second = _days(spark, sf)
+    start = history.first_versions(first, "id", ["price", "status"], "2024-01-01")
+    versions = history.apply_snapshot(start, second, "id", ["price", "status"], "2024-01-02")
+    return versions.select(
+        "id", "price", "status", F.col("valid_from").cast("string").alias("valid_from"),
+        F.col("valid_to").cast("string").alias("valid_to"), "is_current",
+    )
+
+
+@query("changed_rows", f"""
+    select n.id, n.price, n.status from ({_DAY2}) n left join ({_DAY1}) o using (id)
+    where o.id is null or o.price <> n.price or o.status is distinct from n.status""")
+def changed_rows(spark, sf):
+    first, second = _days(spark, sf)
+    seen = first.withColumn("row_hash", history.row_hash(["price", "status"]))
+    return history.changed_rows(second, seen, "id", ["price", "status"]).select("id", "price", "status")
+
+
+@query("rebuild_changed", f"""
+    select id, price, status, round(price * 2, 4) as doubled from ({_DAY2})""")
+def rebuild_changed(spark, sf):
+    """Only changed keys go through the build again; the result equals a full rebuild."""
+    first, second = _days(spark, sf)
+
+    def build(rows):
+        return rows.select("id", "price", "status", F.round(F.col("price") * 2, 4).alias("doubled"))
+
+    seen = first.withColumn("row_hash", history.row_hash(["price", "status"]))
+    changed = history.changed_rows(second, seen, "id", ["price", "status"])
+    return history.rebuild_changed(build(first), changed, "id", build)
+
+
+@query("suggest_bands")
+def suggest_bands(spark, sf):
+    return history.suggest_bands(Layers(spark, sf).dim, "weight_mid_kg")

@@ -1 +1,326 @@
-"""stub"""
+"""Checks, their suite and history, freshness, reconciliation."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from catalog.base import NUM, SPEC, Layers, js, query, rounded, shown_time, table
+from catalog.layers import KNOWN_SQL, part_bands
+from siltstone.operators.tags import share_of_class
+from siltstone.plans import checks, marts, observe, pipeline, silver
+from siltstone.plans.publish import materialize
+from siltstone.session import scratch_path
+
+# ---- one query per check, over documents with every kind of defect ---------------------------
+
+
+def _first(path):
+    return f"try_cast(nullif(regexp_extract({js(path)}, {NUM}), '') as double)"
+
+
+def _uniq(relation, column):
+    return f"select {column} from {relation} where {column} is not null group by {column} having count(*) > 1"
+
+
+def _null(relation, column):
+    return f"select 1 from {relation} where {column} is null"
+
+
+_METRICS = (("weight_raw", "weight_min_kg"), ("height_raw", "height_min_cm"), ("life_span_raw", "life_span_min_years"))
+
+# The band and curated-tag seeds are given tables' groups here, so that the seed checks have
+# something to find: bands from part sizes, curated tags from part names.
+_PART_BANDS = """select p_type as label, cast(min(p_size) as integer) as min_kg,
+    cast(min(p_size) + count(*) % 50 as integer) as max_kg from part group by p_type"""
+_PART_TAGS = """select lower(p_name) as tag, cast(case when min(p_size) > 1 then min(p_size) end as integer) as sort_order
+    from part group by p_name"""
+
+VIOLATIONS = {
+    "weight_min_le_max": "select 1 from silver where weight_min_kg > weight_max_kg",
+    "height_min_le_max": "select 1 from silver where height_min_cm > height_max_cm",
+    "lifespan_min_le_max": "select 1 from silver where life_span_min_years > life_span_max_years",
+    "metric_parsed": " union all ".join(
+        f"select 1 from silver where {raw} is not null and {low} is null" for raw, low in _METRICS),
+    "metric_shape_known": " union all ".join(
+        f"select 1 from silver where not regexp_matches({raw}, {KNOWN_SQL})" for raw, _ in _METRICS),
+    "weight_mid_plausible": "select 1 from dim where weight_mid_kg not between 0.5 and 100",
+    "lifespan_plausible": "select 1 from dim where life_span_mid_years not between 4 and 25",
+    "unit_ratio_plausible": f"""
+        select 1 from (select median({_first('weight.imperial')} / {_first('weight.metric')}) as m from newest
+                       where {_first('weight.imperial')} > 0 and {_first('weight.metric')} > 0) where m not between 2.095 and 2.315
+        union all
+        select 1 from (select median({_first('height.metric')} / {_first('height.imperial')}) as m from newest
+                       where {_first('height.imperial')} > 0 and {_first('height.metric')} > 0) where m not between 2.413 and 2.667""",
+    "no_entity_unbanded": "select 1 from dim where weight_mid_kg is not null and size_class = 'unknown'",
+    "no_entity_lost": f"""
+        select 1 from (select count(distinct {js('name')}) as e from newest), (select count(*) as a from dim) x where a <> e""",
+    "pct_of_class_sane": "select 1 from shares where n_entities > n_in_class or pct_of_class <= 0 or pct_of_class > 100",
+    "tag_lowercased": "select 1 from bridge where tag <> lower(tag) or tag <> trim(tag)",
+    "tag_unique_per_entity": "select 1 from bridge group by entity_id, tag having count(*) > 1",
+    "source_tag_not_duplicated": """
+        select 1 from pieces where trim(piece) <> '' group by entity_id, lower(trim(piece)) having count(*) > 1""",
+    "tag_not_freetext": "select 1 from bridge where len(string_split(tag, ' ')) > 3",
+    "unknown_bucket_small": """
+        select 1 from (select avg((coalesce(size_class, '') = 'unknown')::int) * 100 as pct from dim) where pct > 1""",
+    "lifespan_null_rate_stable": "select 1 from (select avg((life_span_mid_years is null)::int) * 100 as pct from dim) where pct > 10",
+    "silver_id_unique": _uniq("silver", "entity_id"),
+    "silver_id_not_null": _null("silver", "entity_id"),
+    "silver_name_unique": _uniq("silver", "name"),
+    "silver_name_not_null": _null("silver", "name"),
+    "dim_id_unique": _uniq("dim", "entity_id"),
+    "dim_id_not_null": _null("dim", "entity_id"),
+    "dim_name_unique": _uniq("dim", "name"),
+    "dim_name_not_null": _null("dim", "name"),
+    "dim_class_not_null": _null("dim", "size_class"),
+    "dim_class_accepted": "select 1 from dim where size_class not in ('toy', 'small', 'medium', 'large', 'giant', 'unknown')",
+    "tags_in_dim": "select 1 from bridge where entity_id not in (select entity_id from dim)",
+    "scatter_id_unique": _uniq("scatter", "entity_id"),
+    "correlation_not_null": _null("correlations", "correlation"),
+}
+SEED_VIOLATIONS = {
+    "bands_cover": """
+        select 1 from (select *, lead(min_kg) over (order by min_kg nulls last, label nulls last) as nxt from {bands}),
+             (values (1), (2)) v(kind)
+        where (kind = 1 and min_kg >= max_kg) or (kind = 2 and max_kg <> nxt)""",
+    "bands_label_unique": _uniq("{bands}", "label"),
+    "bands_label_not_null": _null("{bands}", "label"),
+    "bands_min_not_null": _null("{bands}", "min_kg"),
+    "bands_max_not_null": _null("{bands}", "max_kg"),
+    "curated_tag_unique": _uniq("{curated}", "tag"),
+    "curated_tag_in_tags": "select 1 from {curated} where tag not in (select tag from {tags})",
+    "curated_order_not_null": _null("{curated}", "sort_order"),
+    "curated_order_unique": _uniq("{curated}", "sort_order"),
+}
+_DERIVED = {"bands": f"({_PART_BANDS}) pb", "curated": f"({_PART_TAGS}) pt", "tags": "bridge"}
+_SEEDS = {"bands": "bands", "curated": "curated", "tags": "bridge"}
+
+
+def _inputs(x: Layers, names):
+    """Only the tables a check reads."""
+    made = {
+        "raw": lambda: x.bronze,
+        "silver": lambda: x.silver,
+        "silver_tags": lambda: x.bridge,
+        "dim": lambda: x.dim,
+        "tags": lambda: x.bridge,
+        "scatter": lambda: x.scatter,
+        "correlations": lambda: x.correlations,
+        "class_tags": lambda: x.shares,
+        "bands": lambda: part_bands(x.spark, x.sf_dir),
+        "curated": lambda: table(x.spark, x.sf_dir, "part").groupBy(F.lower("p_name").alias("tag")).agg(
+            F.min("p_size").alias("low")
+        ).select("tag", F.when(F.col("low") > 1, F.col("low")).alias("sort_order")),
+    }
+    return {n: made[n]() for n in names}
+
+
+def _one_check(name):
+    def build(spark, sf):
+        check = checks.BY_NAME[name]
+        counted = checks._counts(_inputs(Layers(spark, sf, "defects"), check.inputs), checks.Limits(), [check], spark)
+        return counted.select("check", "failures")
+
+    return build
+
+
+for _name in checks.BY_NAME:
+    _body = VIOLATIONS.get(_name) or SEED_VIOLATIONS[_name].format(**_DERIVED)
+    query(f"chk_{_name}", f"select '{_name}' as \"check\", count(*) as failures from ({_body})", kind="defects")(
+        _one_check(_name)
+    )
+
+
+@query("unbanded_strict", """
+    select entity_id, name, weight_mid_kg, size_class from dim
+    where weight_mid_kg is not null and (size_class is null or size_class = 'unknown')""", kind="defects")
+def unbanded_strict(spark, sf):
+    """The weights that fall into no band: the class is NULL and not 'unknown'."""
+    return checks.unbanded_rows(Layers(spark, sf, "defects").dim, strict=True)
+
+
+# ---- the whole suite ------------------------------------------------------------------------
+
+
+def _suite_sql(run_id):
+    parts = []
+    for c in checks.CHECKS:
+        body = VIOLATIONS.get(c.name) or SEED_VIOLATIONS[c.name].format(**_SEEDS)
+        parts.append(f"select '{c.name}' as \"check\", '{c.severity}' as severity, count(*) as failures from ({body})")
+    union = " union all ".join(parts)
+    return f"""
+        select '{run_id}' as run_id, "check", severity, failures,
+               case when failures = 0 then 'pass' when severity = 'warn' then 'warn' else 'fail' end as status
+        from ({union})"""
+
+
+def stored_tables(spark, sf, kind):
+    """Every table written once, as a run does, so that the checks read stored tables."""
+    x = Layers(spark, sf, kind)
+    folder = scratch_path(spark, f"tables-{kind}")
+    t = {"raw": x.bronze, "bands": x.bands, "curated": x.curated}
+    t["silver"] = materialize(x.silver, "silver", "table", folder)
+    t["silver_tags"] = materialize(silver.bridge(t["silver"], SPEC), "silver_tags", "table", folder)
+    t["tags"] = t["silver_tags"]
+    t["dim"] = materialize(marts.dimension(t["silver"], t["bands"]), "dim", "table", folder)
+    t["class_summary"] = marts.class_summary(t["dim"])
+    t["scatter"] = marts.scatter_rows(t["dim"])
+    t["correlations"] = marts.correlations(t["dim"])
+    t["class_tags"] = share_of_class(t["tags"], t["dim"])
+    t["coverage"] = marts.coverage(t["dim"], t["tags"], t["silver"])
+    return t
+
+
+def _suite(spark, sf, kind, run_id):
+    results = checks.run_suite(stored_tables(spark, sf, kind), run_id)
+    return results.select("run_id", "check", "severity", "failures", "status")
+
+
+@query("check_suite", _suite_sql("r1"))
+def check_suite(spark, sf):
+    return _suite(spark, sf, "scaled", "r1")
+
+
+@query("check_suite_defects", _suite_sql("r2"), kind="defects")
+def check_suite_defects(spark, sf):
+    return _suite(spark, sf, "defects", "r2")
+
+
+@query("result_summary", f"select status, count(*) as n from ({_suite_sql('r1')}) group by status")
+def result_summary(spark, sf):
+    return observe.status_counts(_suite(spark, sf, "scaled", "r1"))
+
+
+@query("fired_warnings", f"""
+    select "check", failures, failures || ' violating rows' as message from ({_suite_sql('r2')}) where status = 'warn'""",
+    kind="defects")
+def fired_warnings(spark, sf):
+    results = checks.run_suite(stored_tables(spark, sf, "defects"), "r2")
+    return observe.fired_warnings(results)
+
+
+# ---- history --------------------------------------------------------------------------------
+
+# Monthly results of two checks over the order table stand in for a run history of any length.
+_RUNS_SQL = """
+    select strftime(o_orderdate, '%Y-%m') as run_id, c.name as "check",
+           case when max(o_totalprice) filter (o_orderpriority like c.pattern) > 499000 then 'fail' else 'pass' end as status
+    from orders, (values ('urgent_price', '1%'), ('low_price', '5%')) c(name, pattern) group by all"""
+
+
+def monthly_results(spark, sf):
+    orders = table(spark, sf, "orders")
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("run_id")
+
+    def worst(prefix):
+        return F.max(F.when(F.col("o_orderpriority").startswith(prefix), F.col("o_totalprice")))
+
+    wide = orders.groupBy(month).agg(worst("1").alias("urgent_price"), worst("5").alias("low_price"))
+    long = wide.unpivot("run_id", ["urgent_price", "low_price"], "check", "worst")
+    status = F.when(F.col("worst") > 499000, "fail").otherwise("pass")
+    return long.select("run_id", "check", status.alias("status"))
+
+
+@query("check_transitions", f"""
+    select "check", run_id, status, previous_status
+    from (select *, lag(status) over (partition by "check" order by run_id) as previous_status from ({_RUNS_SQL}))
+    where status <> previous_status""")
+def check_transitions(spark, sf):
+    return observe.transitions(monthly_results(spark, sf))
+
+
+@query("check_history", f"""
+    select "check", status, count(*) as n, '2024-01-02' as run_date from ({_RUNS_SQL}) group by "check", status""")
+def check_history(spark, sf):
+    """Results appended to the store in two parts and read back."""
+    path = scratch_path(spark, "history")
+    results = monthly_results(spark, sf)
+    observe.append_results(results.where("check = 'urgent_price'"), path, date(2024, 1, 2))
+    observe.append_results(results.where("check <> 'urgent_price'"), path, date(2024, 1, 2))
+    stored = spark.read.parquet(path)
+    return stored.groupBy("check", "status", F.col("run_date").cast("string").alias("run_date")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@query("freshness", """
+    select strftime(max(loaded_at), '%Y-%m-%d %H:%M:%S') as loaded_at,
+           date_diff('second', max(loaded_at), timestamp '2024-01-04 00:00:00') / 3600.0::double as age_hours,
+           case when date_diff('second', max(loaded_at), timestamp '2024-01-04 00:00:00') <= 36 * 3600 then 'pass' else 'warn' end as status
+    from bronze""")
+def freshness(spark, sf):
+    found = observe.freshness(Layers(spark, sf).bronze, "2024-01-04 00:00:00")
+    return found.withColumn("loaded_at", shown_time("loaded_at"))
+
+
+@query("freshness_events", """
+    select strftime(max(ts), '%Y-%m-%d %H:%M:%S') as loaded_at,
+           date_diff('second', max(ts), timestamp '2024-01-31 00:00:00') / 3600.0::double as age_hours, 'pass' as status
+    from events""")
+def freshness_events(spark, sf):
+    events = table(spark, sf, "events").select(F.date_trunc("second", "ts").cast("timestamp").alias("loaded_at"))
+    found = observe.freshness(events, "2024-01-31 00:00:00")
+    return found.withColumn("loaded_at", shown_time("loaded_at"))
+
+
+# ---- reconciliation -------------------------------------------------------------------------
+
+
+def _cell(column, label):
+    return f"(select {column} from summary where size_class = '{label}')"
+
+
+def _pair(column, a, b):
+    return f"(select {column} from correlations where metric_a = '{a}' and metric_b = '{b}')"
+
+
+_W, _H, _L = marts.WEIGHT, marts.HEIGHT, marts.LIFE
+_METRIC_SQL = {
+    "raw rows": "(select count(*) from bronze)",
+    "silver rows": "(select count(*) from silver)",
+    "with weight": "(select count(weight_min_kg) from silver)",
+    "with life span": "(select count(life_span_min_years) from silver)",
+    "bridge rows": "(select count(*) from bridge)",
+    "distinct tags": "(select count(distinct tag) from bridge)",
+    "tagged entities": "(select count(distinct entity_id) from bridge)",
+    "dimension rows": "(select count(*) from dim)",
+    "plotted": "(select n_plotted from coverage)",
+    "excluded": "(select n_excluded from coverage)",
+    "with tags": "(select n_with_tags from coverage)",
+    **{f"class {c}": _cell("n_entities", c) for c in ("toy", "small", "medium", "large", "giant")},
+    "mean life span toy": _cell("mean_life_span_years", "toy"),
+    "mean life span giant": _cell("mean_life_span_years", "giant"),
+    "sd life span small": _cell("stddev_life_span_years", "small"),
+    "sd life span giant": _cell("stddev_life_span_years", "giant"),
+    "corr weight life span": _pair("correlation", _W, _L),
+    "corr height life span": _pair("correlation", _H, _L),
+    "corr height weight": _pair("correlation", _H, _W),
+    "n weight life span": _pair("n_entities", _W, _L),
+    "n height weight": _pair("n_entities", _H, _W),
+}
+# Expected figures for the order table of any size: silver and dimension agree, one class is off.
+_EXPECT_SQL = """select 'dimension rows' as metric, cast((select count(*) from silver) as double) as expected
+    union all select 'plotted', cast((select n_with_both from coverage) as double)
+    union all select 'class toy', cast(-1 + 0 * (select count(*) from silver) as double)
+    union all select 'never built', cast((select count(*) from silver) as double)"""
+
+
+@query("reconcile_metrics", f"""
+    select coalesce(a.metric, e.metric) as metric, actual, expected,
+           case when expected is null then 'unexpected' when actual is null then 'missing'
+                when abs(actual - expected) <= 1e-9 then 'ok' else 'differs' end as state
+    from ({' union all '.join(f"select '{m}' as metric, cast({q} as double) as actual" for m, q in _METRIC_SQL.items())}) a
+    full join ({_EXPECT_SQL}) e on a.metric = e.metric""")
+def reconcile_metrics(spark, sf):
+    t = stored_tables(spark, sf, "scaled")
+    actual = observe.watched_metrics(t)
+    rows = t["silver"].agg(F.count(F.lit(1)).cast("double").alias("n"))
+    both = t["coverage"].select(F.col("n_with_both").cast("double").alias("n"))
+    expected = (
+        rows.select(F.lit("dimension rows").alias("metric"), F.col("n").alias("value"))
+        .unionByName(both.select(F.lit("plotted").alias("metric"), F.col("n").alias("value")))
+        .unionByName(rows.select(F.lit("class toy").alias("metric"), (F.col("n") * 0 - 1).alias("value")))
+        .unionByName(rows.select(F.lit("never built").alias("metric"), F.col("n").alias("value")))
+    )
+    return observe.reconcile_metrics(actual, expected)

@@ -28,15 +28,20 @@ def _text_schema(paths: list[list[str]]) -> T.StructType:
 def json_fields(df: DataFrame, column: str, paths: Mapping[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Project dotted paths of a JSON text column to text columns, parsing each document once.
 
-    JSON null, an absent key and an absent parent all give NULL. An explicit parse mode is passed
-    because without options Spark prunes every field access to a parser of its own, which would
-    read the document once per field.
+    JSON null, an absent key and an absent parent all give NULL. The parse sits in a generator,
+    which Spark neither merges into later projections nor copies into filters pushed below them;
+    as a plain projection it would be run again for every field such a filter names. An explicit
+    parse mode keeps Spark from pruning each field access to a parser of its own.
     """
     split = {name: path.split(".") for name, path in paths.items()}
     schema = _text_schema(list(split.values()))
+    heads = [f"__doc_{f.name}" for f in schema.fields]
     doc = F.from_json(F.col(column), schema, {"mode": "PERMISSIVE"})
-    parsed = df.select(*keep, doc.alias("__doc"))
-    leaves = [F.col(".".join(["__doc", *(f"`{p}`" for p in path)])).alias(name) for name, path in split.items()]
+    parsed = df.select(*keep, F.inline(F.array(doc)).alias(*heads))
+    leaves = [
+        F.col(".".join([f"`__doc_{path[0]}`", *(f"`{p}`" for p in path[1:])])).alias(name)
+        for name, path in split.items()
+    ]
     return parsed.select(*keep, *leaves)
 
 

@@ -174,38 +174,49 @@ def sparsity(df: DataFrame, fields: Sequence[str]) -> Column:
 def sample_records(df: DataFrame, fields: Sequence[str], key: str, tagged: str, n: int = 5) -> DataFrame:
     """Up to five telling records: richest, the two sparsest, the middle one, first with tags.
 
-    Order is (sparsity, key). The middle record is found by counting per sparsity level and then
-    by its rank inside one level, so the table is never sorted as a whole.
+    Order is (sparsity, key). Both ends and the first tagged rows come from one ranked pass, of
+    which each task keeps five rows per end. The middle record is found by counting per sparsity
+    level and then by its rank inside one level, so the table is never sorted as a whole.
     """
     ranked = df.withColumn("sparsity", sparsity(df, fields))
-    slim = ranked.select(key, "sparsity", F.col(tagged).alias("__tagged"))
+    has_tags = F.trim(F.coalesce(F.col(tagged), F.lit(""))) != ""
+    slim = ranked.select(key, "sparsity", has_tags.alias("__tagged"))
+
+    ends = F.array_compact(F.array(F.lit("low"), F.lit("high"), F.when(F.col("__tagged"), F.lit("tagged"))))
+    rows = slim.select(key, "sparsity", F.explode(ends).alias("__end"))
+    down = F.col("__end") == "high"
+    order = Window.partitionBy("__end").orderBy(
+        F.when(down, -F.col("sparsity")).otherwise(F.col("sparsity")),
+        F.when(~down, F.col(key)).asc(),
+        F.when(down, F.col(key)).desc(),
+    )
+    best = rows.withColumn("__at", F.row_number().over(order)).where(F.col("__at") <= 5)
+    at = F.col("__at")
+    role = (
+        F.when((F.col("__end") == "low") & (at == 1), F.lit(1))
+        .when((F.col("__end") == "high") & (at <= 2), at + 1)
+        .when(F.col("__end") == "tagged", at + 4)
+        # only in a table of five rows or fewer, where every row is picked, do these come in
+        .otherwise(at + 20)
+    )
+    outer = best.select(key, role.alias("role"))
+
     levels = slim.groupBy("sparsity").agg(F.count(F.lit(1)).alias("c"))
+    whole = Window.partitionBy(F.lit(1))
     upto = levels.select(
-        "sparsity", "c", F.sum("c").over(Window.orderBy("sparsity")).alias("end"),
-        F.sum("c").over(Window.partitionBy(F.lit(1))).alias("total"),
+        "sparsity", "c", F.sum("c").over(whole.orderBy("sparsity")).alias("end"),
+        F.sum("c").over(whole).alias("total"),
     )
     mid = F.floor(F.col("total") / 2)
-    level = upto.where((F.col("end") - F.col("c") <= mid) & (mid < F.col("end"))).select(
-        "sparsity", (mid - (F.col("end") - F.col("c"))).alias("offset")
+    level = upto.where((F.col("end") - F.col("c") <= mid) & (mid < F.col("end")))
+    spot = level.select(F.struct("sparsity", (mid - (F.col("end") - F.col("c"))).alias("offset"), "total")).scalar()
+    at_mid = F.array_compact(
+        F.array(F.when(F.col("sparsity") == spot["sparsity"], F.struct(spot["offset"].alias("rank"))))
     )
-    same = slim.where(F.col("sparsity") == level.select("sparsity").scalar())
-    offset = level.select("offset").scalar()
-    middle = values_at_ranks(same, key, [], lambda _: F.array(F.struct(offset.alias("rank"))))
-    asc, desc = [F.asc("sparsity"), F.asc(key)], [F.desc("sparsity"), F.desc(key)]
-    tail = slim.orderBy(*desc).limit(2).select(
-        key, (F.row_number().over(Window.orderBy(*desc)) + 1).alias("role")
-    )
-    fixed = (
-        slim.orderBy(*asc).limit(1).select(key, F.lit(1).alias("role"))
-        .union(tail)
-        .union(middle.select(key, F.lit(4).alias("role")))
-    )
-    # five candidates are enough: at most four of them can have been picked already
-    few = levels.agg(F.sum("c")).scalar() <= n
-    with_tags = slim.where((F.trim(F.coalesce("__tagged", F.lit(""))) != "") | few).orderBy(*asc).limit(5)
-    fifth = with_tags.select(key, (F.row_number().over(Window.orderBy(*asc)) + 4).alias("role"))
-    roles = fixed.union(fifth).groupBy(key).agg(F.min("role").alias("role"))
-    kept = roles.orderBy("role").limit(n)
+    middle = values_at_ranks(slim, key, ["sparsity"], lambda _: at_mid)
+
+    roles = outer.union(middle.select(key, F.lit(4).alias("role"))).groupBy(key).agg(F.min("role").alias("role"))
+    known = roles.where((F.col("role") < 20) | (spot["total"] <= n)).orderBy("role").limit(n)
     names = F.array(*[F.lit(x) for x in ("richest", "sparsest", "second sparsest", "middle", "with tags")])
-    label = F.element_at(names, F.least(F.col("role"), F.lit(5)))
-    return ranked.join(F.broadcast(kept.withColumn("picked_as", label)), key).drop("role")
+    label = F.when(F.col("role") < 20, F.element_at(names, F.least(F.col("role"), F.lit(5)))).otherwise("other")
+    return ranked.join(F.broadcast(known.select(key, label.alias("picked_as"))), key)

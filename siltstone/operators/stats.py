@@ -29,7 +29,8 @@ def values_at_ranks(df: DataFrame, value: str, by: Sequence[str], wanted) -> Dat
     """Exact order statistics without sorting a group in one task.
 
     ``wanted(total)`` gives an array of structs whose field ``rank`` counts from 0 among the
-    non-null values of the group. Result: (*by, want, value).
+    non-null values of the group; it may look at the group's key columns too.
+    Result: (*by, want, value).
 
     1. values are counted per (group, value), so a hot group is split by its values;
     2. approximate cut points split each group's distinct values into buckets. They only spread
@@ -39,8 +40,12 @@ def values_at_ranks(df: DataFrame, value: str, by: Sequence[str], wanted) -> Dat
     4. only those buckets are ordered, each by itself.
     """
     by = list(by)
-    present = df.where(F.col(value).isNotNull())
-    counts = present.groupBy(*by, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    # the test on the count drops NULL values after the count: a test on the value itself would be
+    # pushed below it and compute the value's expression twice. Being in front of every use, it
+    # also keeps their plans equal up to the shuffle, so Spark counts once and reuses the exchange.
+    counts = (
+        df.groupBy(*by, F.col(value).alias("__v")).agg(F.count(F.col(value)).alias("__n")).where(F.col("__n") > 0)
+    )
     steps = [i / BUCKETS for i in range(1, BUCKETS)]
     approx = F.percentile_approx("__v", steps, 10 * BUCKETS)
     if by:
@@ -74,9 +79,15 @@ def values_at_ranks(df: DataFrame, value: str, by: Sequence[str], wanted) -> Dat
 
 
 def quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), approx: bool = False
+    df: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    approx: bool = False,
+    count: str | None = None,
 ) -> DataFrame:
-    """Interpolated quantiles as (*by, prob, quantile), exact unless ``approx``."""
+    """Interpolated quantiles as (*by, prob, quantile), exact unless ``approx``; ``count`` adds
+    the number of values of the group (exact form only)."""
     by = list(by)
     if approx:
         pick = F.percentile_approx(value, list(probs), 10000)
@@ -90,21 +101,23 @@ def quantiles(
             spot = F.lit(float(p)) * (total - 1)
             low, high = F.floor(spot).cast("long"), F.ceil(spot).cast("long")
             frac = spot - F.floor(spot)
-            asked += [_want(p, low, F.lit(False), frac), _want(p, high, F.lit(True), frac)]
+            asked += [_want(p, low, F.lit(False), frac, total), _want(p, high, F.lit(True), frac, total)]
         return F.array(*asked)
 
     found = values_at_ranks(df, value, by, wanted)
     low = F.max(F.when(~F.col("want.upper"), F.col(value)))
     high = F.max(F.when(F.col("want.upper"), F.col(value)))
     frac = F.max("want.frac")
+    sizes = [F.max("want.total").alias(count)] if count else []
     return found.groupBy(*by, F.col("want.prob").alias("prob")).agg(
-        (low + (high - low) * frac).cast("double").alias("quantile")
+        (low + (high - low) * frac).cast("double").alias("quantile"), *sizes
     )
 
 
-def _want(prob: float, rank: Column, upper: Column, frac: Column) -> Column:
+def _want(prob: float, rank: Column, upper: Column, frac: Column, total: Column) -> Column:
     return F.struct(
-        F.lit(float(prob)).alias("prob"), rank.alias("rank"), upper.alias("upper"), frac.alias("frac")
+        F.lit(float(prob)).alias("prob"), rank.alias("rank"), upper.alias("upper"), frac.alias("frac"),
+        total.alias("total"),
     )
 
 
@@ -181,8 +194,8 @@ def median_ratio(pairs: DataFrame, by: str = "metric", count: str = "n_rows") ->
     good = pairs.where((F.col("numerator") > 0) & (F.col("denominator") > 0)).select(
         by, (F.col("numerator") / F.col("denominator")).alias("ratio")
     )
-    sizes = good.groupBy(by).agg(F.count(F.lit(1)).alias(count))
-    return median(good, "ratio", [by], "median_ratio").join(sizes, by)
+    found = quantiles(good, "ratio", [0.5], [by], count=count)
+    return found.select(by, F.col("quantile").alias("median_ratio"), count)
 
 
 def group_summary(

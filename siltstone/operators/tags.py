@@ -11,6 +11,15 @@ from siltstone.functions.numbers import round_to, share
 from siltstone.functions.text import as_col, sentence_case
 
 
+def each_tag(df: DataFrame, keep: Sequence[str], tags: Column | str, out: str = "tag") -> DataFrame:
+    """One row per entry of the list.
+
+    The outer form with a test behind it: for a plain explode Spark adds a filter on the list's
+    size below the generator, which splits and folds every text a second time.
+    """
+    return df.select(*keep, F.explode_outer(tags).alias(out)).where(F.col(out).isNotNull())
+
+
 def split_tags(column: Column | str, sep: str = ",", fold: bool = True) -> Column:
     """The trimmed non-empty parts, repeats kept, lower-cased when folded."""
     parts = F.transform(F.split(as_col(column), F.lit(f"\\Q{sep}\\E")), lambda t: F.trim(t))
@@ -37,7 +46,7 @@ def tag_bridge(
     Repeats inside a row are removed in the row. Only a key that may span rows needs the
     distinct shuffle; with a unique key there is none.
     """
-    rows = df.select(key, F.explode(distinct_tags(column, sep, sentinels)).alias("tag"))
+    rows = each_tag(df, [key], distinct_tags(column, sep, sentinels))
     if not key_is_unique:
         rows = rows.distinct()
     return rows.withColumn("tag_display", sentence_case("tag"))
@@ -66,7 +75,7 @@ def share_of_class_by_row(dim: DataFrame, tags: Column, cls: str = "size_class")
     rows = dim.select(cls, tags.alias("tags"))
     sizes = rows.groupBy(cls).agg(F.count(F.lit(1)).alias("n_in_class"))
     tagged = (
-        rows.select(cls, F.explode("tags").alias("tag"))
+        each_tag(rows, [cls], "tags")
         .groupBy(cls, "tag")
         .agg(F.count(F.lit(1)).alias("n_entities"))
         .withColumn("tag_display", sentence_case("tag"))
@@ -107,17 +116,18 @@ def tag_statistics(df: DataFrame, column: str, sep: str = ",") -> DataFrame:
         F.coalesce(F.max(F.size("tags")), F.lit(0)).alias("max_tags"),
     )
     casings = _casings(rows).agg(
-        F.coalesce(F.sum("n_casings"), F.lit(0)).alias("n_raw"),
-        F.count(F.lit(1)).alias("n_folded"),
-        F.count_if(F.col("n_casings") > 1).alias("n_inconsistent"),
+        F.struct(
+            F.coalesce(F.sum("n_casings"), F.lit(0)).alias("n_raw"),
+            F.count(F.lit(1)).alias("n_folded"),
+            F.count_if(F.col("n_casings") > 1).alias("n_inconsistent"),
+        )
     )
-    picks = [casings.select(c).scalar().alias(c) for c in ("n_raw", "n_folded", "n_inconsistent")]
-    return sizes.select("*", *picks)
+    return sizes.withColumn("__c", casings.scalar()).select(*sizes.columns, "__c.*")
 
 
 def _casings(rows: DataFrame) -> DataFrame:
     """Per folded tag, in how many casings it occurs; raw tags are reduced to distinct first."""
-    raw = rows.select(F.explode("tags").alias("raw")).groupBy("raw").count()
+    raw = each_tag(rows, [], "tags", "raw").groupBy("raw").count()
     return raw.groupBy(F.lower("raw").alias("tag")).agg(
         F.count(F.lit(1)).alias("n_casings"), F.sum("count").alias("n_mentions")
     )
@@ -157,7 +167,7 @@ def entity_groups(rows: DataFrame, mapping: Mapping[str, Sequence[str]], keep: S
     """One row per entity and trait group it mentions (``tags`` holds the entity's tags)."""
     groups = _group_of(mapping)
     found = F.array_distinct(F.array_compact(F.transform("tags", lambda t: groups[t])))
-    return rows.select(*keep, F.explode(found).alias("grp"))
+    return each_tag(rows, keep, found, "grp")
 
 
 def pair_lift(
@@ -176,7 +186,7 @@ def pair_lift(
     )
     sizes = banded.groupBy(cls).agg(F.count(F.lit(1)).alias("n_class"))
     if min_support > 0:
-        support = banded.select(cls, F.explode("tags").alias("tag")).groupBy(cls, "tag").count()
+        support = each_tag(banded, [cls], "tags").groupBy(cls, "tag").count()
         frequent = support.join(sizes, cls).where(F.col("count") >= min_support * F.col("n_class"))
         listed = frequent.agg(F.collect_set("tag")).scalar()
         banded = banded.withColumn("tags", F.array_intersect("tags", listed))
@@ -190,7 +200,7 @@ def pair_lift(
         )
     )
     counted = (
-        banded.select(cls, F.explode(pairs).alias("pair"))
+        each_tag(banded, [cls], pairs, "pair")
         .groupBy(cls, "pair")
         .agg(F.count(F.lit(1)).alias("n_in"))
         .withColumn("n_all", F.sum("n_in").over(Window.partitionBy("pair")))
@@ -231,11 +241,11 @@ def tag_class_pivot(
     of a tag within a row count, as in a mention count.
     """
     ranked = (
-        rows.select(F.explode("tags").alias("tag")).groupBy("tag").count().orderBy(F.desc("count"), "tag").limit(n)
+        each_tag(rows, [], "tags").groupBy("tag").count().orderBy(F.desc("count"), "tag").limit(n)
     )
     listed = rows.where(F.col(cls).isin(list(classes)))
     sizes = listed.groupBy(cls).agg(F.count(F.lit(1)).alias("n_class"))
-    mentions = listed.select(cls, F.explode("tags").alias("tag")).groupBy(cls, "tag").count()
+    mentions = each_tag(listed, [cls], "tags").groupBy(cls, "tag").count()
     pct = mentions.join(sizes, cls).join(ranked.select("tag"), "tag").select(
         "tag", cls, F.bround(share("count", "n_class")).alias("pct")
     )

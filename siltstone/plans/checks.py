@@ -19,6 +19,7 @@ from siltstone.operators.bands import band_defects
 from siltstone.operators.dedupe import duplicates
 from siltstone.operators.joins import melt, orphans
 from siltstone.operators.stats import median_ratio
+from siltstone.operators.tags import each_tag
 from siltstone.plans.marts import LIFE, WEIGHT
 from siltstone.sources.landing import latest_partition
 
@@ -150,7 +151,7 @@ def _source_tag_repeated(t: Tables, _: Limits) -> DataFrame:
     """Splits the source text again, because the bridge no longer shows a repeat. Repeats are
     counted in the row they stand in, then summed per entity."""
     parts = F.split("tags_raw", ",")
-    tags = t["silver"].select("entity_id", F.explode(parts).alias("part"))
+    tags = each_tag(t["silver"], ["entity_id"], parts, "part")
     folded = tags.select("entity_id", F.lower(F.trim("part")).alias("tag")).where("tag <> ''")
     return duplicates(folded, ["entity_id", "tag"], "n_occurrences")
 

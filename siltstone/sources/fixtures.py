@@ -37,7 +37,7 @@ select k as entity_id,
  || '","temperament":"' || case when k%37=0 then 'Quick to make new friends' else 'Loyal' end || ',' || case when k%41=0 then ' loyal' else ' Calm' end
  || '","origin":"Region ' || cast(k%25 as string)
  || '","weight":{"imperial":"' || cast(2*(1+k%60) as string)
- || '","metric":"' || case when k%43=0 then '' when k%47=0 then 'N/A' when k%31=0 then 'unknown' when k%53=0 then '1,200-1,500' when k%59=0 then '3.5 kg (7.7 lb)' else cast(1+k%60 as string) || '-' || cast(3+k%60 as string) end
+ || '","metric":"' || case when k%43=0 then '' when k%47=0 then 'N/A' when k%31=0 then 'unknown' when k%67=0 then '5000-6000' when k%53=0 then '1,200-1,500' when k%59=0 then '3.5 kg (7.7 lb)' else cast(1+k%60 as string) || '-' || cast(3+k%60 as string) end
  || '"},"height":{"imperial":"' || cast(1+k%60 as string) || '","metric":"' || case when k%61=0 then 'tall' else cast(2*(1+k%60) as string) end || '"}}' as payload
 from (select o_orderkey as k from orders) t
 """
