@@ -91,9 +91,7 @@ class Layers:
 
     @property
     def coverage(self) -> DataFrame:
-        """Silver has one row per entity, so entities with a tag are its rows with a tag."""
-        s = self.silver
-        return marts.coverage(self.dim, silver.bridge(s, SPEC, key_is_unique=True), s)
+        return marts.coverage_by_row(self.dim, distinct_tags("tags_raw", ",", SPEC.tag_sentinels))
 
     @property
     def explorer(self) -> DataFrame:

@@ -490,6 +490,13 @@ def coverage(spark, sf):
     return Layers(spark, sf).coverage.withColumn("last_refreshed_at", shown_time("last_refreshed_at"))
 
 
+@query("coverage_joined", _COVERAGE)
+def coverage_joined(spark, sf):
+    """The general form: dimension, bridge and silver as three tables."""
+    x = Layers(spark, sf)
+    return marts.coverage(x.dim, x.bridge, x.silver).withColumn("last_refreshed_at", shown_time("last_refreshed_at"))
+
+
 @query("coverage_long", """
     select unnest(['total entities', 'with a weight', 'with a life span', 'with both', 'with tags', 'plotted', 'excluded']) as measure,
            unnest([n_total, n_with_weight, n_with_life_span, n_with_both, n_with_tags, n_plotted, n_excluded]) as n_entities

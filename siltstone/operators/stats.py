@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.numbers import round_to
 
-# Number of rank buckets per group. Any number gives the same result; it sets how finely the
-# distinct values of a large group are spread over tasks.
+# Number of rank buckets per group, a power of two. Any number gives the same result; it sets how
+# finely the distinct values of a large group are spread over tasks.
 BUCKETS = 128
 
 
@@ -53,9 +53,7 @@ def values_at_ranks(df: DataFrame, value: str, by: Sequence[str], wanted) -> Dat
         cut = _match(counts, cuts, by)
     else:
         cut = counts.withColumn("__cuts", counts.agg(approx).scalar())
-    bucketed = cut.select(
-        *by, "__v", "__n", F.size(F.filter("__cuts", lambda c: c < F.col("__v"))).alias("__b")
-    )
+    bucketed = _with_bucket(cut).select(*by, "__v", "__n", "__b")
     sums = bucketed.groupBy(*by, "__b").agg(F.sum("__n").alias("__bn"))
     upto = Window.partitionBy(*by).orderBy("__b")
     sums = sums.withColumn("__end", F.sum("__bn").over(upto)).withColumn(
@@ -78,6 +76,17 @@ def values_at_ranks(df: DataFrame, value: str, by: Sequence[str], wanted) -> Dat
     return placed.select(*by, F.explode(hits).alias("want"), F.col("__v").alias(value))
 
 
+def _with_bucket(df: DataFrame) -> DataFrame:
+    """``__b``: how many of the sorted cuts lie below the value, by halving."""
+    df = df.withColumn("__b", F.lit(0))
+    step = BUCKETS // 2
+    while step:
+        below = F.get("__cuts", F.col("__b") + (step - 1)) < F.col("__v")
+        df = df.withColumn("__b", F.col("__b") + F.when(below, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return df
+
+
 def quantiles(
     df: DataFrame,
     value: str,

@@ -63,7 +63,26 @@ def share_of_class(
         .groupBy(cls, "tag", "tag_display")
         .agg(F.count_distinct(key).alias("n_entities"))
     )
-    return _with_share(tagged, sizes, cls)
+    return tagged.join(sizes, cls).select(
+        cls, "tag", "tag_display", "n_entities", "n_in_class",
+        round_to(share("n_entities", "n_in_class"), 1).alias("pct_of_class"),
+    )
+
+
+def class_tag_counts(rows: DataFrame, cls: str = "size_class", tags: str = "tags", tag: str = "tag") -> DataFrame:
+    """(class, tag, n) over one row per entity, with the class size in the row whose tag is NULL.
+
+    Every list gets one NULL entry, so class sizes and tag counts come from the same scan and the
+    same partial sums, and all that follows works on this small table.
+    """
+    entries = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(tags, F.array().cast("array<string>")))
+    return rows.select(cls, F.explode(entries).alias(tag)).groupBy(cls, tag).agg(F.count(F.lit(1)).alias("n"))
+
+
+def with_class_size(counts: DataFrame, cls: str, tag: str = "tag") -> DataFrame:
+    """Move the class size from its own row to a column ``n_class``."""
+    size = F.max(F.when(F.col(tag).isNull(), F.col("n"))).over(Window.partitionBy(cls))
+    return counts.withColumn("n_class", size).where(F.col(tag).isNotNull())
 
 
 def share_of_class_by_row(dim: DataFrame, tags: Column, cls: str = "size_class") -> DataFrame:
@@ -72,21 +91,13 @@ def share_of_class_by_row(dim: DataFrame, tags: Column, cls: str = "size_class")
     No join to the dimension and no distinct count: a row is an entity, so counting rows is
     counting entities, and one partial sum per (class, tag) is all that is shuffled.
     """
-    rows = dim.select(cls, tags.alias("tags"))
-    sizes = rows.groupBy(cls).agg(F.count(F.lit(1)).alias("n_in_class"))
-    tagged = (
-        each_tag(rows, [cls], "tags")
-        .groupBy(cls, "tag")
-        .agg(F.count(F.lit(1)).alias("n_entities"))
-        .withColumn("tag_display", sentence_case("tag"))
-    )
-    return _with_share(tagged, sizes, cls)
-
-
-def _with_share(tagged: DataFrame, sizes: DataFrame, cls: str) -> DataFrame:
-    return tagged.join(sizes, cls).select(
-        cls, "tag", "tag_display", "n_entities", "n_in_class",
-        round_to(share("n_entities", "n_in_class"), 1).alias("pct_of_class"),
+    counts = class_tag_counts(dim.select(cls, tags.alias("tags")), cls)
+    # a NULL class joins no class size in the general form, and drops out here too
+    sized = with_class_size(counts.where(F.col(cls).isNotNull()), cls)
+    return sized.select(
+        cls, "tag", sentence_case("tag").alias("tag_display"),
+        F.col("n").alias("n_entities"), F.col("n_class").alias("n_in_class"),
+        round_to(share("n", "n_class"), 1).alias("pct_of_class"),
     )
 
 
@@ -163,11 +174,10 @@ def unmapped_tags(tags: DataFrame, mapping: Mapping[str, Sequence[str]], column:
     return map_groups(seen, mapping, column).where(F.col("grp").isNull()).select(column)
 
 
-def entity_groups(rows: DataFrame, mapping: Mapping[str, Sequence[str]], keep: Sequence[str]) -> DataFrame:
-    """One row per entity and trait group it mentions (``tags`` holds the entity's tags)."""
+def entity_groups(mapping: Mapping[str, Sequence[str]], tags: Column | str = "tags") -> Column:
+    """The distinct trait groups an entity's tags belong to."""
     groups = _group_of(mapping)
-    found = F.array_distinct(F.array_compact(F.transform("tags", lambda t: groups[t])))
-    return each_tag(rows, keep, found, "grp")
+    return F.array_distinct(F.array_compact(F.transform(tags, lambda t: groups[t])))
 
 
 def pair_lift(
@@ -184,10 +194,10 @@ def pair_lift(
     banded = rows.where(F.col(cls).isin(list(classes))).select(
         cls, F.array_sort(F.array_distinct("tags")).alias("tags")
     )
-    sizes = banded.groupBy(cls).agg(F.count(F.lit(1)).alias("n_class"))
+    counts = class_tag_counts(banded, cls)
+    sizes = counts.where(F.col("tag").isNull()).select(cls, F.col("n").alias("n_class"))
     if min_support > 0:
-        support = each_tag(banded, [cls], "tags").groupBy(cls, "tag").count()
-        frequent = support.join(sizes, cls).where(F.col("count") >= min_support * F.col("n_class"))
+        frequent = with_class_size(counts, cls).where(F.col("n") >= min_support * F.col("n_class"))
         listed = frequent.agg(F.collect_set("tag")).scalar()
         banded = banded.withColumn("tags", F.array_intersect("tags", listed))
     pairs = F.flatten(
@@ -240,14 +250,15 @@ def tag_class_pivot(
     The frequency ranking runs over all rows, the percentages over the listed classes; repeats
     of a tag within a row count, as in a mention count.
     """
-    ranked = (
-        each_tag(rows, [], "tags").groupBy("tag").count().orderBy(F.desc("count"), "tag").limit(n)
-    )
-    listed = rows.where(F.col(cls).isin(list(classes)))
-    sizes = listed.groupBy(cls).agg(F.count(F.lit(1)).alias("n_class"))
-    mentions = each_tag(listed, [cls], "tags").groupBy(cls, "tag").count()
-    pct = mentions.join(sizes, cls).join(ranked.select("tag"), "tag").select(
-        "tag", cls, F.bround(share("count", "n_class")).alias("pct")
-    )
-    wide = pct.groupBy("tag").pivot(cls, list(classes)).agg(F.max("pct"))
-    return wide.select("tag", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in classes])
+    counts = class_tag_counts(rows, cls)
+    ranked = counts.where(F.col("tag").isNotNull()).groupBy("tag").agg(F.sum("n").alias("n_all"))
+    top = ranked.orderBy(F.desc("n_all"), "tag").limit(n).select("tag")
+    sized = with_class_size(counts.where(F.col(cls).isin(list(classes))), cls)
+    pct = sized.join(top, "tag").select("tag", cls, F.bround(share("n", "n_class")).alias("pct"))
+    return pivot_classes(pct, "tag", cls, classes, "pct")
+
+
+def pivot_classes(df: DataFrame, row: str, cls: str, classes: Sequence[str], value: str) -> DataFrame:
+    """One column per listed class, absent cells 0."""
+    cells = [F.coalesce(F.max(F.when(F.col(cls) == c, F.col(value))), F.lit(0.0)).alias(c) for c in classes]
+    return df.groupBy(row).agg(*cells)

@@ -1,8 +1,4 @@
-"""Data checks: every check yields its violating rows, the suite counts them.
-
-A table is read once for all of its row-level checks: their predicates become conditional counts
-of a single aggregate. Checks over groups or over several tables run as queries of their own.
-"""
+"""Data checks: every check yields its violating rows, the suite counts them with few scans."""
 
 from __future__ import annotations
 
@@ -14,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.numbers import first_number, round_to, share
 from siltstone.functions.shapes import shape_known
-from siltstone.functions.text import word_count
+from siltstone.functions.text import total, word_count
 from siltstone.operators.bands import band_defects
 from siltstone.operators.dedupe import duplicates
 from siltstone.operators.joins import melt, orphans
@@ -49,15 +45,19 @@ class Limits:
 
 @dataclass(frozen=True)
 class Check:
-    """``count`` gives the violations of one row as a column (row-level checks); ``rows`` gives
-    the violating rows from the tables named in ``inputs``."""
+    """``rows`` gives the violating rows from the tables named in ``inputs``.
+
+    Two kinds of check can share a scan with others on their table: ``failures`` is an aggregate
+    that counts the violations, ``key`` is a column whose repeated values are the violations.
+    """
 
     name: str
     severity: str
     role: str
     inputs: tuple[str, ...]
     rows: Callable[[Tables, Limits], DataFrame]
-    count: Column | Callable[[], Column] | None = None
+    failures: Callable[[Limits], Column] | None = None
+    key: str | None = None
 
 
 # ---- builders -------------------------------------------------------------------------------
@@ -67,7 +67,7 @@ def _row_level(name, severity, role, table, test: Callable[[], Column], show: Se
     return Check(
         name, severity, role, (table,),
         rows=lambda t, _: t[table].where(test()).select(*show),
-        count=lambda: F.coalesce(test().cast("long"), F.lit(0)),
+        failures=lambda _: F.count_if(test()),
     )
 
 
@@ -83,7 +83,7 @@ def unique(name, table, column, role="error", severity="error") -> Check:
     def rows(t: Tables, _: Limits) -> DataFrame:
         return duplicates(t[table].where(F.col(column).isNotNull()), [column])
 
-    return Check(name, severity, role, (table,), rows)
+    return Check(name, severity, role, (table,), rows, key=column)
 
 
 def relationship(name, child, column, parent, parent_column, role, severity="error") -> Check:
@@ -108,11 +108,10 @@ def _per_metric(table: str, test: Callable[[str, str], Column]):
         long = melt(t[table], ["entity_id", "name"], items, ["metric", "raw_value", "bad"])
         return long.where("bad").drop("bad")
 
-    def count() -> Column:
-        parts = [F.coalesce(test(raw, low).cast("long"), F.lit(0)) for raw, low in METRICS.values()]
-        return parts[0] + parts[1] + parts[2]
+    def failures(_: Limits) -> Column:
+        return total(F.count_if(test(raw, low)) for raw, low in METRICS.values())
 
-    return rows, count
+    return rows, failures
 
 
 _PARSED = _per_metric("silver", lambda raw, low: F.col(raw).isNotNull() & F.col(low).isNull())
@@ -157,6 +156,8 @@ def _source_tag_repeated(t: Tables, _: Limits) -> DataFrame:
 
 
 def _share_above(bad: Callable[[], Column], limit: Callable[[Limits], float], bad_name: str, pct_name: str):
+    """One violating row when the bad rows exceed a percentage of all rows."""
+
     def rows(t: Tables, limits: Limits) -> DataFrame:
         counts = t["dim"].agg(F.count_if(bad()).alias(bad_name), F.count(F.lit(1)).alias("n_total"))
         pct = share(bad_name, "n_total")
@@ -164,7 +165,11 @@ def _share_above(bad: Callable[[], Column], limit: Callable[[Limits], float], ba
             bad_name, "n_total", round_to(pct, 2).alias(pct_name), F.lit(limit(limits)).alias("max_allowed_pct")
         )
 
-    return rows
+    def failures(limits: Limits) -> Column:
+        pct = share(F.count_if(bad()), F.count(F.lit(1)))
+        return F.when(pct > limit(limits), F.lit(1)).otherwise(F.lit(0)).cast("long")
+
+    return rows, failures
 
 
 def _unbanded(strict: bool) -> Column:
@@ -218,10 +223,10 @@ CHECKS: tuple[Check, ...] = (
     _row_level("tag_not_freetext", "warn", "warn", "silver_tags",
                lambda: word_count("tag") > MAX_TAG_WORDS, ["entity_id", "tag"]),
     Check("unknown_bucket_small", "warn", "warn", ("dim",),
-          _share_above(lambda: F.col("size_class") == "unknown", lambda x: x.max_unknown_pct,
+          *_share_above(lambda: F.col("size_class") == "unknown", lambda x: x.max_unknown_pct,
                        "n_unknown", "unknown_pct")),
     Check("lifespan_null_rate_stable", "warn", "warn", ("dim",),
-          _share_above(lambda: F.col(LIFE).isNull(), lambda x: x.max_null_pct, "n_null", "null_pct")),
+          *_share_above(lambda: F.col(LIFE).isNull(), lambda x: x.max_null_pct, "n_null", "null_pct")),
     # keys and domains
     unique("silver_id_unique", "silver", "entity_id"),
     not_null("silver_id_not_null", "silver", "entity_id"),
@@ -259,29 +264,43 @@ def _literal_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), "check string, failures long, problem string")
 
 
-def _counts(tables: Tables, limits: Limits, checks: Sequence[Check], spark: SparkSession) -> DataFrame:
-    """(check, failures, problem): row-level checks share one aggregate per table."""
-    shared: dict[str, list[Check]] = {}
+def count_violations(
+    tables: Tables, limits: Limits, checks: Sequence[Check], spark: SparkSession
+) -> DataFrame:
+    """(check, failures, problem). Per table, all counting checks share one aggregate and all key
+    checks share one shuffle; only the rest run as queries of their own."""
+    counting: dict[str, list[Check]] = {}
+    keyed: dict[str, list[Check]] = {}
     parts, missing = [], []
     for check in checks:
         absent = [i for i in check.inputs if i not in tables]
         if absent:
             missing.append((check.name, None, f"input missing: {', '.join(absent)}"))
-        elif check.count is not None:
-            shared.setdefault(check.inputs[0], []).append(check)
+        elif check.failures is not None:
+            counting.setdefault(check.inputs[0], []).append(check)
+        elif check.key is not None:
+            keyed.setdefault(check.inputs[0], []).append(check)
         else:
             rows = check.rows(tables, limits).agg(F.count(F.lit(1)).alias("failures"))
             parts.append(rows.select(F.lit(check.name).alias("check"), "failures"))
-    for table, group in shared.items():
-        sums = tables[table].agg(*[F.coalesce(F.sum(c.count()), F.lit(0)).alias(c.name) for c in group])
-        items = [F.struct(F.lit(c.name).alias("check"), F.col(c.name).alias("failures")) for c in group]
-        parts.append(sums.select(F.inline(F.array(*items))))
+    for table, group in counting.items():
+        parts.append(_as_rows(tables[table].agg(*[c.failures(limits).alias(c.name) for c in group])))
+    for table, group in keyed.items():
+        keys = melt(tables[table], [], {c.name: F.col(c.key).cast("string") for c in group}, ["check", "key"])
+        repeated = keys.groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+        hit = (F.col("n") > 1) & F.col("key").isNotNull()
+        parts.append(_as_rows(repeated.agg(*[F.count_if(hit & (F.col("check") == c.name)).alias(c.name) for c in group])))
     result = _literal_rows(spark, missing)
     for part in parts:
         result = result.unionByName(part.withColumn("problem", F.lit(None).cast("string")))
     return result
 
 
+def _as_rows(counts: DataFrame) -> DataFrame:
+    items = [F.struct(F.lit(c).alias("check"), F.col(c).alias("failures")) for c in counts.columns]
+    return counts.select(F.inline(F.array(*items)))
+
+
 def run_suite(
     tables: Tables,
     run_id: str,
@@ -299,7 +318,7 @@ def run_suite(
     always fires, to exercise the failure and warning paths.
     """
     spark = spark or next(iter(tables.values())).sparkSession
-    counted = _counts(tables, limits, checks, spark)
+    counted = count_violations(tables, limits, checks, spark)
     named = [(c.name, c.severity, c.role) for c in checks]
     if force_failure:
         counted = counted.unionByName(_literal_rows(spark, [("forced_failure", 1, None)]))

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from siltstone.functions.numbers import round_to
 from siltstone.operators.bands import bucketize
 from siltstone.operators.stats import build_index, pearson
-from siltstone.operators.tags import entity_groups, split_tags, tag_index
+from siltstone.operators.tags import (
+    class_tag_counts, entity_groups, pivot_classes, split_tags, tag_index, with_class_size,
+)
 from siltstone.plans.marts import HEIGHT, LIFE, WEIGHT
 
 # The default cuts and class labels.
@@ -72,30 +74,26 @@ def class_means(rows: DataFrame, labels: Sequence[str] = CLASSES) -> DataFrame:
     )
 
 
+def _class_group_counts(rows: DataFrame, mapping) -> DataFrame:
+    """(size_class, grp, n, n_class): entities of a class that mention the group."""
+    banded = rows.where(F.col("size_class").isNotNull()).select(
+        "size_class", entity_groups(mapping or TRAIT_GROUPS).alias("groups")
+    )
+    return with_class_size(class_tag_counts(banded, "size_class", "groups", "grp"), "size_class", "grp")
+
+
 def group_prevalence(rows: DataFrame, labels: Sequence[str] = CLASSES, mapping=None) -> DataFrame:
     """Percent of a class with at least one tag of the group, one column per class."""
-    banded = rows.where(F.col("size_class").isNotNull())
-    sizes = banded.groupBy("size_class").agg(F.count(F.lit(1)).alias("n_class"))
-    counted = (
-        entity_groups(banded, mapping or TRAIT_GROUPS, ["size_class"])
-        .groupBy("grp", "size_class")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(sizes, "size_class")
-    )
-    pct = F.max(F.col("n") / F.col("n_class") * 100)
-    wide = counted.groupBy("grp").pivot("size_class", list(labels)).agg(pct)
-    return wide.select("grp", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in labels])
+    counted = _class_group_counts(rows, mapping).withColumn("pct", F.col("n") / F.col("n_class") * 100)
+    return pivot_classes(counted, "grp", "size_class", labels, "pct")
 
 
 def mention_share(rows: DataFrame, mapping=None) -> DataFrame:
     """The mix of groups within a class: sums to 100 per class."""
-    counted = (
-        entity_groups(rows.where(F.col("size_class").isNotNull()), mapping or TRAIT_GROUPS, ["size_class"])
-        .groupBy("size_class", "grp")
-        .agg(F.count(F.lit(1)).alias("n_mentions"))
+    whole = F.sum("n").over(Window.partitionBy("size_class"))
+    return _class_group_counts(rows, mapping).select(
+        "size_class", "grp", F.col("n").alias("n_mentions"), (F.col("n") / whole * 100).alias("pct_of_mentions")
     )
-    whole = F.sum("n_mentions").over(Window.partitionBy("size_class"))
-    return counted.withColumn("pct_of_mentions", F.col("n_mentions") / whole * 100)
 
 
 def energy_by_class(rows: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.numbers import midpoint, width
@@ -71,6 +71,23 @@ def coverage(dim: DataFrame, bridge: DataFrame, silver: DataFrame) -> DataFrame:
     )
 
 
+def coverage_by_row(dim: DataFrame, tags: Column) -> DataFrame:
+    """The same row from one scan of the dimension, where each row still has its tag list: an
+    entity is in the bridge if its distinct tags are not empty."""
+    a, b = F.col(WEIGHT), F.col(LIFE)
+    both = F.count_if(a.isNotNull() & b.isNotNull())
+    return dim.agg(
+        F.count(F.lit(1)).alias("n_total"),
+        F.count(a).alias("n_with_weight"),
+        F.count(b).alias("n_with_life_span"),
+        both.alias("n_with_both"),
+        F.count_if(F.coalesce(F.size(tags) > 0, F.lit(False))).alias("n_with_tags"),
+        both.alias("n_plotted"),
+        F.count_if(a.isNull() | b.isNull()).alias("n_excluded"),
+        F.max("loaded_at").alias("last_refreshed_at"),
+    )
+
+
 # The rows of the long coverage table.
 COVERAGE_MEASURES = {
     "total entities": "n_total",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.labels import band_label, denominator, fixed, range_label, signed
@@ -88,17 +88,17 @@ def narrowest_spread(summary: DataFrame, low: str = "toy", high: str = "giant")
 
 def heatmap_grid(shares: DataFrame, summary: DataFrame, curated: DataFrame, classes: list[str]) -> DataFrame:
     """Curated tags by class, pairs that do not occur as 0, class sizes and labels re-attached."""
-    facts = shares.where(F.col("size_class").isin(classes)).select("tag", "size_class", "n_entities", "pct_of_class")
+    facts = shares.where(F.col("size_class").isin(classes)).select(
+        "tag", "size_class", "n_entities", "pct_of_class", "tag_display"
+    )
     grid = complete_grid(
         facts, curated, classes, "tag", "size_class", {"n_entities": 0, "pct_of_class": 0.0}
     )
     sizes = summary.select("size_class", F.col("n_entities").alias("n_in_class"))
-    names = (
-        shares.where(F.col("size_class").isin(classes)).groupBy("tag").agg(F.min("tag_display").alias("tag_display"))
-    )
+    label = F.max("tag_display").over(Window.partitionBy("tag"))
     return (
-        grid.join(sizes, "size_class", "left")
-        .join(names, "tag", "left")
+        grid.withColumn("tag_display", label)
+        .join(sizes, "size_class", "left")
         .join(curated, "tag")
         .select("tag", "tag_display", "sort_order", "size_class", "n_entities", "n_in_class", "pct_of_class")
     )
