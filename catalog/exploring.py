@@ -171,8 +171,7 @@ def pair_lift_sound(spark, sf):
 def pair_lift_parts(spark, sf):
     words = F.lower(F.concat_ws(" ", "p_name", "p_brand", (F.col("p_size") % 3).cast("string")))
     rows = table(spark, sf, "part").select(F.col("p_type").alias("size_class"), F.split(words, " ").alias("tags"))
-    kinds = [r[0] for r in rows.select("size_class").distinct().orderBy("size_class").limit(100).collect()]
-    return tags.pair_lift(rows, kinds, min_support=0.02, k=5)
+    return tags.pair_lift(rows, min_support=0.02, k=5)
 
 
 @query("tag_class_pivot", f"""

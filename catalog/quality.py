@@ -119,8 +119,7 @@ def _inputs(x: Layers, names):
 def _one_check(name):
     def build(spark, sf):
         check = checks.BY_NAME[name]
-        counted = checks.count_violations(_inputs(Layers(spark, sf, "defects"), check.inputs), checks.Limits(), [check], spark)
-        return counted.select("check", "failures")
+        return checks.count_check(name, _inputs(Layers(spark, sf, "defects"), check.inputs))
 
     return build
 

@@ -79,10 +79,21 @@ def class_tag_counts(rows: DataFrame, cls: str = "size_class", tags: str = "tags
     return rows.select(cls, F.explode(entries).alias(tag)).groupBy(cls, tag).agg(F.count(F.lit(1)).alias("n"))
 
 
+def class_sizes(counts: DataFrame, cls: str, tag: str = "tag") -> DataFrame:
+    """(class, n_class) out of the rows without a tag.
+
+    The test also reads the count, which keeps it above the aggregate: pushed below, it would make
+    this a second scan, where Spark otherwise reuses the shuffled counts.
+    """
+    n_class = F.when(F.col(tag).isNull(), F.col("n"))
+    return counts.select(cls, n_class.alias("n_class")).where(F.col("n_class") > 0)
+
+
 def with_class_size(counts: DataFrame, cls: str, tag: str = "tag") -> DataFrame:
-    """Move the class size from its own row to a column ``n_class``."""
-    size = F.max(F.when(F.col(tag).isNull(), F.col("n"))).over(Window.partitionBy(cls))
-    return counts.withColumn("n_class", size).where(F.col(tag).isNotNull())
+    """The tag rows with their class size joined on; classes are few, tags may be many, so the
+    sizes travel to the tags. A NULL class has no size and drops out."""
+    tagged = counts.where(F.when(F.col(tag).isNotNull(), F.col("n")) > 0)
+    return tagged.join(class_sizes(counts, cls, tag), cls)
 
 
 def share_of_class_by_row(dim: DataFrame, tags: Column, cls: str = "size_class") -> DataFrame:
@@ -92,9 +103,7 @@ def share_of_class_by_row(dim: DataFrame, tags: Column, cls: str = "size_class")
     counting entities, and one partial sum per (class, tag) is all that is shuffled.
     """
     counts = class_tag_counts(dim.select(cls, tags.alias("tags")), cls)
-    # a NULL class joins no class size in the general form, and drops out here too
-    sized = with_class_size(counts.where(F.col(cls).isNotNull()), cls)
-    return sized.select(
+    return with_class_size(counts, cls).select(
         cls, "tag", sentence_case("tag").alias("tag_display"),
         F.col("n").alias("n_entities"), F.col("n_class").alias("n_in_class"),
         round_to(share("n", "n_class"), 1).alias("pct_of_class"),
@@ -181,25 +190,31 @@ def entity_groups(mapping: Mapping[str, Sequence[str]], tags: Column | str = "ta
 
 
 def pair_lift(
-    rows: DataFrame, classes: Sequence[str], min_support: float = 0.25, k: int = 3, cls: str = "size_class"
+    rows: DataFrame, classes: Sequence[str] | None = None, min_support: float = 0.25, k: int = 3, cls: str = "size_class"
 ) -> DataFrame:
     """Most distinctive tag pairs per class: share inside over share in all other classes.
 
-    ``rows`` has one row per entity with its ``tags``. A pair can only reach ``min_support`` in a
+    ``classes`` limits the classes compared (default: all that are not NULL). ``rows`` has one row per entity with its ``tags``. A pair can only reach ``min_support`` in a
     class if both its tags do, so the tags that reach it in no class are removed from every row
     before pairs are made; this loses no result. The kept tags number at most
     (tags per entity / min_support) per class, which bounds both the list sent to the tasks and
     the pairs a long row can give. Pairs are made inside the row, without a self-join.
     """
-    banded = rows.where(F.col(cls).isin(list(classes))).select(
+    known = F.col(cls).isNotNull() if classes is None else F.col(cls).isin(list(classes))
+    banded = rows.where(known).select(
         cls, F.array_sort(F.array_distinct("tags")).alias("tags")
     )
     counts = class_tag_counts(banded, cls)
-    sizes = counts.where(F.col("tag").isNull()).select(cls, F.col("n").alias("n_class"))
+    sizes = class_sizes(counts, cls)
+    reaches = F.col("tag").isNotNull() & (F.col("n") >= min_support * F.col("n_class"))
+    facts = counts.join(sizes, cls).agg(
+        F.struct(
+            F.collect_set(F.when(reaches, F.col("tag"))).alias("frequent"),
+            F.sum(F.when(F.col("tag").isNull(), F.col("n"))).alias("n_rows"),
+        )
+    ).scalar()
     if min_support > 0:
-        frequent = with_class_size(counts, cls).where(F.col("n") >= min_support * F.col("n_class"))
-        listed = frequent.agg(F.collect_set("tag")).scalar()
-        banded = banded.withColumn("tags", F.array_intersect("tags", listed))
+        banded = banded.withColumn("tags", F.array_intersect("tags", facts["frequent"]))
     pairs = F.flatten(
         F.transform(
             "tags",
@@ -215,9 +230,8 @@ def pair_lift(
         .agg(F.count(F.lit(1)).alias("n_in"))
         .withColumn("n_all", F.sum("n_in").over(Window.partitionBy("pair")))
     )
-    everyone = sizes.agg(F.sum("n_class")).scalar()
     inside = F.col("n_in") / F.col("n_class")
-    outside = F.try_divide(F.col("n_all") - F.col("n_in"), everyone - F.col("n_class"))
+    outside = F.try_divide(F.col("n_all") - F.col("n_in"), facts["n_rows"] - F.col("n_class"))
     lifts = (
         counted.where("n_all > n_in")
         .join(sizes, cls)
@@ -251,14 +265,15 @@ def tag_class_pivot(
     of a tag within a row count, as in a mention count.
     """
     counts = class_tag_counts(rows, cls)
-    ranked = counts.where(F.col("tag").isNotNull()).groupBy("tag").agg(F.sum("n").alias("n_all"))
+    mentions = counts.where(F.when(F.col("tag").isNotNull(), F.col("n")) > 0)
+    ranked = mentions.groupBy("tag").agg(F.sum("n").alias("n_all"))
     top = ranked.orderBy(F.desc("n_all"), "tag").limit(n).select("tag")
-    sized = with_class_size(counts.where(F.col(cls).isin(list(classes))), cls)
+    sized = mentions.join(class_sizes(counts, cls), cls)
     pct = sized.join(top, "tag").select("tag", cls, F.bround(share("n", "n_class")).alias("pct"))
     return pivot_classes(pct, "tag", cls, classes, "pct")
 
 
 def pivot_classes(df: DataFrame, row: str, cls: str, classes: Sequence[str], value: str) -> DataFrame:
-    """One column per listed class, absent cells 0."""
-    cells = [F.coalesce(F.max(F.when(F.col(cls) == c, F.col(value))), F.lit(0.0)).alias(c) for c in classes]
-    return df.groupBy(row).agg(*cells)
+    """One column per listed class, absent cells 0; rows that occur in no listed class drop out."""
+    cells = df.groupBy(row).agg(*[F.max(F.when(F.col(cls) == c, F.col(value))).alias(c) for c in classes])
+    return cells.where(F.coalesce(*classes).isNotNull()).fillna(0.0, subset=list(classes))

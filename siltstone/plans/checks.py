@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,11 @@ METRICS = {
 }
 
 
+RESULT_SCHEMA = (
+    "run_id string, check string, severity string, role string, status string, failures long, message string"
+)
+
+
 @dataclass(frozen=True)
 class Limits:
     max_unknown_pct: float = MAX_UNKNOWN_PCT
@@ -260,45 +267,60 @@ def violations(name: str, tables: Tables, limits: Limits = Limits()) -> DataFram
     return BY_NAME[name].rows(tables, limits)
 
 
-def _literal_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
-    return spark.createDataFrame(list(rows), "check string, failures long, problem string")
+def count_check(name: str, tables: Tables, limits: Limits = Limits()) -> DataFrame:
+    """(check, failures) of one check."""
+    check = BY_NAME[name]
+    if check.failures is not None:
+        return _as_rows(tables[check.inputs[0]].agg(check.failures(limits).alias(name)))
+    return _as_rows(_count_rows(check, tables, limits))
 
 
-def count_violations(
-    tables: Tables, limits: Limits, checks: Sequence[Check], spark: SparkSession
-) -> DataFrame:
-    """(check, failures, problem). Per table, all counting checks share one aggregate and all key
-    checks share one shuffle; only the rest run as queries of their own."""
+def _count_rows(check: Check, tables: Tables, limits: Limits) -> DataFrame:
+    return check.rows(tables, limits).agg(F.count(F.lit(1)).alias(check.name))
+
+
+def _as_rows(counts: DataFrame) -> DataFrame:
+    items = [F.struct(F.lit(c).alias("check"), F.col(c).alias("failures")) for c in counts.columns]
+    return counts.select(F.inline(F.array(*items)))
+
+
+def _key_counts(df: DataFrame, group: Sequence[Check]) -> DataFrame:
+    """Repeated keys of several key columns from one scan and one shuffle."""
+    keys = melt(df, [], {c.name: F.col(c.key).cast("string") for c in group}, ["check", "key"])
+    repeated = keys.groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+    hit = (F.col("n") > 1) & F.col("key").isNotNull()
+    return repeated.agg(*[F.count_if(hit & (F.col("check") == c.name)).alias(c.name) for c in group])
+
+
+def _jobs(tables: Tables, limits: Limits, checks: Sequence[Check]):
+    """(checks, function that builds their one-row count): per table, all counting checks share
+    one aggregate and all key checks one shuffle; the rest are queries of their own."""
     counting: dict[str, list[Check]] = {}
     keyed: dict[str, list[Check]] = {}
-    parts, missing = [], []
+    jobs = []
     for check in checks:
-        absent = [i for i in check.inputs if i not in tables]
-        if absent:
-            missing.append((check.name, None, f"input missing: {', '.join(absent)}"))
-        elif check.failures is not None:
+        if check.failures is not None:
             counting.setdefault(check.inputs[0], []).append(check)
         elif check.key is not None:
             keyed.setdefault(check.inputs[0], []).append(check)
         else:
-            rows = check.rows(tables, limits).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(rows.select(F.lit(check.name).alias("check"), "failures"))
+            jobs.append(([check], lambda c=check: _count_rows(c, tables, limits)))
     for table, group in counting.items():
-        parts.append(_as_rows(tables[table].agg(*[c.failures(limits).alias(c.name) for c in group])))
+        jobs.append(
+            (group, lambda t=table, g=group: tables[t].agg(*[c.failures(limits).alias(c.name) for c in g]))
+        )
     for table, group in keyed.items():
-        keys = melt(tables[table], [], {c.name: F.col(c.key).cast("string") for c in group}, ["check", "key"])
-        repeated = keys.groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
-        hit = (F.col("n") > 1) & F.col("key").isNotNull()
-        parts.append(_as_rows(repeated.agg(*[F.count_if(hit & (F.col("check") == c.name)).alias(c.name) for c in group])))
-    result = _literal_rows(spark, missing)
-    for part in parts:
-        result = result.unionByName(part.withColumn("problem", F.lit(None).cast("string")))
-    return result
+        jobs.append((group, lambda t=table, g=group: _key_counts(tables[t], g)))
+    return jobs
 
 
-def _as_rows(counts: DataFrame) -> DataFrame:
-    items = [F.struct(F.lit(c).alias("check"), F.col(c).alias("failures")) for c in counts.columns]
-    return counts.select(F.inline(F.array(*items)))
+def _verdict(check: Check, failures: int, error_above: Mapping[str, int]) -> str:
+    if failures == 0:
+        return "pass"
+    limit = error_above.get(check.name)
+    if check.severity == "warn" and (limit is None or failures <= limit):
+        return "warn"
+    return "fail"
 
 
 def run_suite(
@@ -310,41 +332,49 @@ def run_suite(
     force_failure: bool = False,
     force_warning: bool = False,
     spark: SparkSession | None = None,
+    parallel: int = 4,
 ) -> DataFrame:
     """One row per check: status pass, warn, fail or error, number of violations and a message.
 
-    A check whose table is missing is an error and never left out. ``error_above`` turns a warning
-    into a failure past a second limit on its violations. The force switches add a check that
-    always fires, to exercise the failure and warning paths.
+    Runs the counts as a handful of Spark jobs, a few at a time; what comes back is one number per
+    check. A check whose table is missing or whose query fails is an error and never left out.
+    ``error_above`` turns a warning into a failure past a second limit on its violations. The
+    force switches add a check that always fires, to exercise the failure and warning paths.
     """
     spark = spark or next(iter(tables.values())).sparkSession
-    counted = count_violations(tables, limits, checks, spark)
-    named = [(c.name, c.severity, c.role) for c in checks]
+    found: dict[str, tuple[str, int | None, str | None]] = {}
+    ready = []
+    for check in checks:
+        absent = [i for i in check.inputs if i not in tables]
+        if absent:
+            found[check.name] = ("error", None, f"input missing: {', '.join(absent)}")
+        else:
+            ready.append(check)
+
+    def work(job) -> None:
+        group, build = job
+        try:
+            counts = build().first().asDict()
+        except Exception as problem:  # noqa: BLE001 - a broken check is a result of the suite
+            if len(group) > 1:
+                for check in group:
+                    work(([check], lambda c=check: _count_rows(c, tables, limits)))
+                return
+            found[group[0].name] = ("error", None, str(problem)[:500])
+            return
+        for check in group:
+            n = counts[check.name]
+            message = f"{n} violating rows" if n else None
+            found[check.name] = (_verdict(check, n, error_above or {}), n, message)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(inheritable_thread_target(spark)(work), _jobs(tables, limits, ready)))
+    rows = [(run_id, c.name, c.severity, c.role, *found[c.name]) for c in checks]
     if force_failure:
-        counted = counted.unionByName(_literal_rows(spark, [("forced_failure", 1, None)]))
-        named.append(("forced_failure", "error", "drill"))
+        rows.append((run_id, "forced_failure", "error", "drill", "fail", 1, "1 violating rows"))
     if force_warning:
-        counted = counted.unionByName(_literal_rows(spark, [("forced_warning", 1, None)]))
-        named.append(("forced_warning", "warn", "drill"))
-    meta = spark.createDataFrame(named, "check string, severity string, role string")
-    limit = F.lit(None).cast("long")
-    for name, value in (error_above or {}).items():
-        limit = F.when(F.col("check") == name, F.lit(value).cast("long")).otherwise(limit)
-    status = graduated_status(F.col("failures"), F.col("severity"), limit)
-    message = F.when(F.col("failures") > 0, F.concat(F.col("failures").cast("string"), F.lit(" violating rows")))
-    return counted.join(F.broadcast(meta), "check").select(
-        F.lit(run_id).alias("run_id"), "check", "severity", "role",
-        F.when(F.col("problem").isNotNull(), F.lit("error")).otherwise(status).alias("status"),
-        "failures", F.coalesce("problem", message).alias("message"),
-    )
-
-
-def graduated_status(failures: Column, severity: Column, error_above: Column) -> Column:
-    return (
-        F.when(failures == 0, "pass")
-        .when((severity == "warn") & ~F.coalesce(failures > error_above, F.lit(False)), "warn")
-        .otherwise("fail")
-    )
+        rows.append((run_id, "forced_warning", "warn", "drill", "warn", 1, "1 violating rows"))
+    return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
 def blocking(results: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators.tags import share_of_class
 from siltstone.plans import marts
-from siltstone.plans.checks import CHECKS, Limits, blocking, run_suite
+from siltstone.plans.checks import CHECKS, RESULT_SCHEMA, Limits, blocking, run_suite
 from siltstone.plans.contracts import enforce
 from siltstone.plans.observe import append_results
 from siltstone.plans.publish import materialize, publish
@@ -131,18 +131,13 @@ def _build(name: str, t: dict[str, DataFrame], run: Run) -> DataFrame:
     return materialize(enforce(name, made), name, "table" if gold else run.silver_as, folder)
 
 
-_RESULT_SCHEMA = (
-    "run_id string, check string, severity string, role string, status string, failures long, message string"
-)
-
-
 def _row(*values):
     return tuple(values)
 
 
 def _store(spark: SparkSession, run: Run, results: list) -> DataFrame:
     """A run's results are a few dozen rows; they are kept even when the run fails."""
-    stored = spark.createDataFrame([tuple(r) for r in results], _RESULT_SCHEMA)
+    stored = spark.createDataFrame([tuple(r) for r in results], RESULT_SCHEMA)
     append_results(stored, run.history, run.run_date)
     return stored
 
