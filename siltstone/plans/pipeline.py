@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.operators.tags import share_of_class
+from siltstone.operators.tags import distinct_tags, share_of_class_by_row
 from siltstone.plans import marts
 from siltstone.plans.checks import CHECKS, RESULT_SCHEMA, Limits, blocking, run_suite
 from siltstone.plans.contracts import enforce
@@ -17,7 +17,7 @@ from siltstone.plans.observe import append_results
 from siltstone.plans.publish import materialize, publish
 from siltstone.plans.silver import DEFAULT, SilverSpec, bridge, entities
 from siltstone.sources.files import curated_tags, size_bands
-from siltstone.sources.landing import read_bronze
+from siltstone.sources.landing import live_days, read_bronze
 from siltstone.sources.versions import VersionedDir
 
 # Each stage's tables, and the checks that become possible once they stand.
@@ -69,8 +69,10 @@ def run(spark: SparkSession, run: Run, bronze: DataFrame | None = None) -> Repor
     checks are reported as skipped. Results are stored in every case."""
     if run.target not in ("prod", "dev"):
         raise ValueError(f"unknown target: {run.target}")
-    raw = read_bronze(spark, f"{run.base.rstrip('/')}/bronze") if bronze is None else bronze
-    tables: dict[str, DataFrame] = {"raw": raw, "bands": size_bands(spark), "curated": curated_tags(spark)}
+    if bronze is None:
+        landed = f"{run.base.rstrip('/')}/bronze"
+        bronze = read_bronze(spark, landed, live_days(spark, landed)[-1:])
+    tables: dict[str, DataFrame] = {"raw": bronze, "bands": size_bands(spark), "curated": curated_tags(spark)}
     if run.target == "dev":
         VersionedDir(spark, run.gold).swap({"version": run.run_id})
     results: list = []
@@ -115,6 +117,7 @@ def run(spark: SparkSession, run: Run, bronze: DataFrame | None = None) -> Repor
 
 def _build(name: str, t: dict[str, DataFrame], run: Run) -> DataFrame:
     """The fixed call order of the layers: what each table is made of."""
+    tags = distinct_tags("tags_raw", ",", run.spec.tag_sentinels)
     made = {
         "silver": lambda: entities(t["raw"], run.spec),
         "silver_tags": lambda: bridge(t["silver"], run.spec),
@@ -123,8 +126,9 @@ def _build(name: str, t: dict[str, DataFrame], run: Run) -> DataFrame:
         "class_summary": lambda: marts.class_summary(t["dim"]),
         "scatter": lambda: marts.scatter_rows(t["dim"]),
         "correlations": lambda: marts.correlations(t["dim"]),
-        "class_tags": lambda: share_of_class(t["tags"], t["dim"]),
-        "coverage": lambda: marts.coverage(t["dim"], t["tags"], t["silver"]),
+        # the dimension still carries each row's tag text: no join back to the bridge is needed
+        "class_tags": lambda: share_of_class_by_row(t["dim"], tags),
+        "coverage": lambda: marts.coverage_by_row(t["dim"], tags),
     }[name]()
     gold = name in GOLD
     folder = f"{run.gold}/{run.run_id}" if gold else f"{run.root}/silver/{run.run_id}"

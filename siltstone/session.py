@@ -46,23 +46,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it comes in fewer splits than there are cores.
+# Inputs up to this size are spread over the cores; the shuffle this takes is never larger.
+SMALL_INPUT = 256 * 1024 * 1024
 
-    A small file with one row group is one task, however heavy the parsing behind it. On a large
-    input the scan has more splits than cores and this returns ``df`` unchanged, so no shuffle
-    is added where a shuffle would cost.
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a small scan over all cores.
+
+    A small file with one row group is one task, however heavy the parsing behind it. Spark splits
+    larger inputs by itself; they are returned unchanged. The size is the one the scan's own file
+    listing has already found.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    limit = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
-    files = df.inputFiles()
-    if len(files) >= cores:
-        return df
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    jvm = spark.sparkContext._jvm
-    total = 0
-    for name in files:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        total += path.getFileSystem(hadoop).getFileStatus(path).getLen()
-    return df if total >= cores * limit else df.repartition(cores)
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SMALL_INPUT:
+        return scan
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism)

@@ -60,7 +60,7 @@ KINDS = {"scaled": SCALED_DOCUMENTS, "defects": DEFECT_DOCUMENTS, "sound": SOUND
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
+    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet")).select("o_orderkey")
 
 
 def documents(spark: SparkSession, sf_dir: str, kind: str = "scaled") -> DataFrame:

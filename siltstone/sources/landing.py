@@ -6,6 +6,7 @@ Bronze rows are (entity_id, payload, loaded_at, run_date); the payload is kept a
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -118,13 +119,20 @@ def latest_partition(df: DataFrame, column: str = "run_date") -> DataFrame:
     return df.where(F.col(column) == newest)
 
 
-def read_bronze(spark: SparkSession, base: str) -> DataFrame:
-    """All live days. Each day is a partition folder, so a filter on run_date prunes files."""
+def live_days(spark: SparkSession, base: str) -> list[str]:
+    """The landed run dates, oldest first, from the pointer: no file is opened for it."""
+    return sorted(VersionedDir(spark, base).state().get("days", {}))
+
+
+def read_bronze(spark: SparkSession, base: str, days: Sequence[str] | None = None) -> DataFrame:
+    """The live days, or some of them. Each day is a partition folder, so a filter on run_date
+    prunes files, and days left out here are not even listed."""
     live = VersionedDir(spark, base).state().get("days", {})
-    if not live:
+    wanted = sorted(live) if days is None else [d for d in days if d in live]
+    if not wanted:
         return spark.createDataFrame([], BRONZE_SCHEMA)
     root = base.rstrip("/")
-    folders = [f"{root}/run_date={day}/version={version}" for day, version in sorted(live.items())]
+    folders = [f"{root}/run_date={day}/version={live[day]}" for day in wanted]
     schema = T.StructType([*BRONZE_SCHEMA.fields, T.StructField("version", T.StringType())])
     return spark.read.option("basePath", root).schema(schema).parquet(*folders).drop("version")
 
@@ -144,7 +152,8 @@ def land_partition(
     """
     spark = documents.sparkSession
     store = VersionedDir(spark, base)
-    wanted = reference_count(read_bronze(spark, base), run_date, baseline).first()
+    earlier = [day for day in live_days(spark, base) if day < run_date.isoformat()]
+    wanted = reference_count(read_bronze(spark, base, earlier[-1:]), run_date, baseline).first()
     report = validate_payload(documents, wanted["reference"], ratio).first()
     if report["reason"]:
         raise PayloadRejected(f"{report['reason']}: {report.asDict()} (against {wanted['source']})")

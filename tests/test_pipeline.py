@@ -110,3 +110,25 @@ def test_severities_and_roles():
     assert (len(CHECKS), len(errors)) == (39, 33)
     roles = {r: sum(c.role == r for c in CHECKS) for r in {c.role for c in CHECKS}}
     assert roles == {"error": 18, "warn": 6, "regression guard": 8, "seed integrity": 7}
+
+
+def test_run_from_landed_days(spark, sf, tmp_path):
+    from datetime import datetime
+
+    from siltstone.sources.landing import land_partition
+
+    documents = fixtures.documents(spark, sf, "sound").select("payload")
+    for day in (date(2024, 1, 1), date(2024, 1, 2)):
+        land_partition(documents, str(tmp_path / "bronze"), day, datetime(2024, 1, 2, 2), baseline=1)
+    settings = Run(str(tmp_path), spec=SPEC, run_date=date(2024, 1, 2))
+    report = run(spark, settings)
+    assert report.published
+    want = documents.select(F.get_json_object("payload", "$.name")).distinct().count()
+    assert read_published(spark, settings.gold, "coverage").first()["n_total"] == want
+
+
+def test_seed_is_typed_and_ordered(spark):
+    from siltstone.sources.files import CURATED_SCHEMA, SEED_DIR, read_seed
+
+    seed = read_seed(spark, (SEED_DIR / "curated_tags.csv").as_uri(), CURATED_SCHEMA, "sort_order")
+    assert [r["tag"] for r in seed.collect()] == ["playful", "alert", "energetic", "protective", "calm"]
