@@ -7,14 +7,14 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    BANDS_SQL, SPEC, Layers, js, nums, query, rounded, shown_time, table,
+    SPEC, Layers, js, nums, query, shown_time, table,
 )
 from siltstone.functions.jsontext import json_fields
 from siltstone.functions.numbers import envelope, first_number, numbers, sex_envelope
 from siltstone.functions.shapes import shape_known
 from siltstone.functions.text import missing_score, null_if, sentence_case, word_count
 from siltstone.operators.bands import band_defects, bucketize, classify_bands
-from siltstone.operators.joins import enrich_left, melt, orphans
+from siltstone.operators.joins import enrich_left, orphans
 from siltstone.operators.stats import corr_matrix, pairwise_corr
 from siltstone.operators.tags import share_of_class, tag_bridge, top_tags
 from siltstone.plans import marts, pipeline, silver
@@ -37,7 +37,11 @@ def json_schema(spark, sf):
     return infer_json_fields(table(spark, sf, "events"), "props")
 
 
-@query("json_schema_documents")
+@query("json_schema_documents", """
+    select k as column_name,
+           case when k in ('weight', 'height') then 'OBJECT<imperial: STRING, metric: STRING>' else 'STRING' end as column_type,
+           count(*) as n_rows
+    from (select unnest(json_keys(payload)) as k from fx) group by k""")
 def json_schema_documents(spark, sf):
     return infer_json_fields(fixtures.documents(spark, sf), "payload")
 

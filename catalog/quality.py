@@ -6,10 +6,10 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from catalog.base import NUM, SPEC, Layers, js, query, rounded, shown_time, table
+from catalog.base import NUM, SPEC, Layers, js, query, shown_time, table
 from catalog.layers import KNOWN_SQL, part_bands
 from siltstone.operators.tags import share_of_class
-from siltstone.plans import checks, marts, observe, pipeline, silver
+from siltstone.plans import checks, marts, observe, silver
 from siltstone.plans.publish import materialize
 from siltstone.session import scratch_path
 

@@ -17,7 +17,7 @@ def row_hash(columns: Sequence[str]) -> Column:
 def first_versions(snapshot: DataFrame, key: str, tracked: Sequence[str], as_of: date | str) -> DataFrame:
     """A history that starts with this snapshot."""
     return snapshot.select(
-        key, *tracked, row_hash(tracked).alias("row_hash"),
+        key, *tracked,
         F.lit(as_of).cast("date").alias("valid_from"),
         F.lit(None).cast("date").alias("valid_to"),
         F.lit(True).alias("is_current"),
@@ -34,22 +34,25 @@ def apply_snapshot(
 ) -> DataFrame:
     """History plus one snapshot: a new version only where a tracked value changed.
 
-    The source has no change time, so values are compared by digest. One full join of the open
-    versions with the snapshot; closed versions are passed through untouched.
+    The source has no change time, so the values themselves are compared, NULL equal to NULL. One
+    full join of the open versions with the snapshot; closed versions are passed through untouched.
     """
     day = F.lit(as_of).cast("date")
-    columns = [key, *tracked, "row_hash", "valid_from", "valid_to", "is_current"]
+    columns = [key, *tracked, "valid_from", "valid_to", "is_current"]
     old = history.where("is_current").select(key, F.struct(*columns).alias("old"))
     new = first_versions(snapshot, key, tracked, as_of).select(key, F.struct(*columns).alias("new"))
     closed = F.struct(
-        *[F.col(f"old.{c}").alias(c) for c in (key, *tracked, "row_hash", "valid_from")],
+        *[F.col(f"old.{c}").alias(c) for c in (key, *tracked, "valid_from")],
         day.alias("valid_to"), F.lit(False).alias("is_current"),
     )
     gone = F.array(closed) if close_missing else F.array("old")
+    same = F.lit(True)
+    for c in tracked:
+        same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
     versions = (
         F.when(F.col("old").isNull(), F.array("new"))
         .when(F.col("new").isNull(), gone)
-        .when(F.col("old.row_hash") == F.col("new.row_hash"), F.array("old"))
+        .when(same, F.array("old"))
         .otherwise(F.array(closed, F.col("new")))
     )
     open_rows = old.join(new, key, "full").select(F.inline(versions))

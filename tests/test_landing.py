@@ -4,7 +4,6 @@ import json
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from siltstone.sources import landing
 from siltstone.sources.files import describe, read_documents, read_json

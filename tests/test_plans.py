@@ -8,16 +8,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_python_in_any_plan(spark, sf):
-    for name, build in all_queries().items():
-        if name in ("land_idempotent", "published_gold", "check_suite", "check_suite_defects", "result_summary",
-                    "fired_warnings", "reconcile_metrics", "check_history", "suggest_bands"):
-            continue
-        text = plan(build(spark, sf))
-        for word in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct"):
-            assert word not in text, (name, word)
-
-
 def test_summary_shuffles(spark, sf):
     """One shuffle to deduplicate, one per (class, value), one per class, beside the spread scan."""
     text = plan(Layers(spark, sf).summary)
