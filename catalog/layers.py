@@ -408,6 +408,11 @@ def bridge(spark, sf):
     return Layers(spark, sf).bridge
 
 
+@query("tag_bridge_defects", "select entity_id, tag, tag_display from bridge", kind="defects")
+def bridge_defects(spark, sf):
+    return Layers(spark, sf, "defects").bridge
+
+
 @query("tags_part_name", """
     select p_partkey, lower(w) as tag, upper(lower(w)[1]) || lower(w)[2:] as tag_display
     from (select p_partkey, unnest(string_split(p_name, ' ')) as w from part) where w <> '' group by all""")
@@ -437,6 +442,18 @@ def shares_joined(spark, sf):
     return share_of_class(x.bridge, x.dim)
 
 
+@query("share_of_class_defects", "select * from shares where size_class is not null", kind="defects")
+def shares_defects(spark, sf):
+    """Weights above all bands have a NULL class, which no class size matches."""
+    return Layers(spark, sf, "defects").shares
+
+
+@query("share_of_class_joined_defects", "select * from shares where size_class is not null", kind="defects")
+def shares_joined_defects(spark, sf):
+    x = Layers(spark, sf, "defects")
+    return share_of_class(x.bridge, x.dim)
+
+
 @query("scatter_rows", "select * from scatter")
 def scatter(spark, sf):
     return Layers(spark, sf).scatter
@@ -494,6 +511,11 @@ def coverage(spark, sf):
     return Layers(spark, sf).coverage.withColumn("last_refreshed_at", shown_time("last_refreshed_at"))
 
 
+@query("coverage_defects", _COVERAGE, kind="defects")
+def coverage_defects(spark, sf):
+    return Layers(spark, sf, "defects").coverage.withColumn("last_refreshed_at", shown_time("last_refreshed_at"))
+
+
 @query("coverage_joined", _COVERAGE)
 def coverage_joined(spark, sf):
     """The general form: dimension, bridge and silver as three tables."""

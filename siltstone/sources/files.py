@@ -62,9 +62,18 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType, order_by: st
     return seed.orderBy(F.col(order_by).asc_nulls_last()) if order_by else seed
 
 
+def packaged_seed(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
+    """A seed that ships with the package. Its few lines are read where the program runs, because
+    the executors of a cluster do not see the package's folder; Spark parses and types them."""
+    lines = (SEED_DIR / name).read_text(encoding="utf-8").splitlines()
+    rows = spark.createDataFrame([(line,) for line in lines[1:]], "line string")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    return rows.select(F.from_csv("line", ddl, {"mode": "FAILFAST"}).alias("row")).select("row.*")
+
+
 def size_bands(spark: SparkSession) -> DataFrame:
-    return read_seed(spark, (SEED_DIR / "size_bands.csv").as_uri(), BAND_SCHEMA)
+    return packaged_seed(spark, "size_bands.csv", BAND_SCHEMA)
 
 
 def curated_tags(spark: SparkSession) -> DataFrame:
-    return read_seed(spark, (SEED_DIR / "curated_tags.csv").as_uri(), CURATED_SCHEMA)
+    return packaged_seed(spark, "curated_tags.csv", CURATED_SCHEMA)

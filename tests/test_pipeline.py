@@ -132,3 +132,12 @@ def test_seed_is_typed_and_ordered(spark):
 
     seed = read_seed(spark, (SEED_DIR / "curated_tags.csv").as_uri(), CURATED_SCHEMA, "sort_order")
     assert [r["tag"] for r in seed.collect()] == ["playful", "alert", "energetic", "protective", "calm"]
+
+
+def test_packaged_seeds(spark):
+    from siltstone.sources.files import BAND_SCHEMA, curated_tags, size_bands
+
+    bands = size_bands(spark)
+    assert [f.dataType for f in bands.schema] == [f.dataType for f in BAND_SCHEMA]
+    assert [tuple(r) for r in bands.orderBy("min_kg").collect()][-1] == ("giant", 45, 999)
+    assert curated_tags(spark).count() == 5
