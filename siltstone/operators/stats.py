@@ -13,7 +13,11 @@ from siltstone.functions.numbers import round_to
 
 # Number of rank buckets per group, a power of two. Any number gives the same result; it sets how
 # finely the distinct values of a large group are spread over tasks.
-BUCKETS = 128
+BUCKETS = 64
+
+# Copies of a group's cut points, so that a group with very many values is met by several tasks
+# where its cuts are joined to its values.
+SALTS = 8
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -33,9 +37,10 @@ def values_at_ranks(df: DataFrame, value: str, by: Sequence[str], wanted) -> Dat
     Result: (*by, want, value).
 
     1. values are counted per (group, value), so a hot group is split by its values;
-    2. approximate cut points split each group's distinct values into buckets. They only spread
-       the work: any cut points give the exact result;
-    3. bucket sizes are summed up per group (at most BUCKETS + 1 rows each), which tells the one
+    2. a sample of each group's distinct values cuts them into buckets. It only spreads the work:
+       any cuts give the exact result. The sample is a function of the values alone, so that a
+       task that is run again after a loss puts every value in the same bucket;
+    3. bucket sizes are summed up per group (at most BUCKETS rows each), which tells the one
        bucket that holds each wanted rank;
     4. only those buckets are ordered, each by itself.
     """
@@ -46,13 +51,18 @@ def values_at_ranks(df: DataFrame, value: str, by: Sequence[str], wanted) -> Dat
     counts = (
         df.groupBy(*by, F.col(value).alias("__v")).agg(F.count(F.col(value)).alias("__n")).where(F.col("__n") > 0)
     )
-    steps = [i / BUCKETS for i in range(1, BUCKETS)]
-    approx = F.percentile_approx("__v", steps, 10 * BUCKETS)
+    slot = F.pmod(F.xxhash64("__v"), F.lit(BUCKETS - 1))
+    sample = counts.groupBy(*by, slot.alias("__slot")).agg(
+        F.min_by("__v", F.xxhash64("__v", F.lit(1))).alias("__cut")
+    )
+    listed = F.array_sort(F.collect_list("__cut"))
     if by:
-        cuts = counts.groupBy(*by).agg(approx.alias("__cuts"))
-        cut = _match(counts, cuts, by)
+        cuts = sample.groupBy(*by).agg(listed.alias("__cuts"))
+        salted = cuts.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+        values = counts.withColumn("__salt", F.pmod(F.hash("__v"), F.lit(SALTS)))
+        cut = _match(values, salted, [*by, "__salt"])
     else:
-        cut = counts.withColumn("__cuts", counts.agg(approx).scalar())
+        cut = counts.withColumn("__cuts", sample.agg(listed).scalar())
     bucketed = _with_bucket(cut).select(*by, "__v", "__n", "__b")
     sums = bucketed.groupBy(*by, "__b").agg(F.sum("__n").alias("__bn"))
     upto = Window.partitionBy(*by).orderBy("__b")
