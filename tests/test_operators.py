@@ -238,3 +238,34 @@ def test_samples(spark):
 def test_mismatch_is_null_safe(spark):
     df = spark.createDataFrame([("a", "a"), (None, None), ("a", None), ("a", "b")], "x string, y string")
     assert mismatch_count(df, "x", "y").first()[0] == 2
+
+
+def test_quantiles_without_broadcasts_and_with_a_hot_group(spark):
+    """The joins by shuffle, as with very many groups: a third of the rows in one group."""
+    rng = random.Random(9)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 40}", rng.random()) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    threshold, adaptive = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "-1")
+        spark.conf.set(adaptive, "-1")
+        found = stats.quantiles(df, "v", [0.25, 0.5], ["g"])
+        got = {(r["g"], r["prob"]): r["quantile"] for r in found.collect()}
+        assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+        spark.conf.unset(adaptive)
+    for g in {g for g, _ in rows}:
+        values = [v for k, v in rows if k == g]
+        for p in (0.25, 0.5):
+            assert got[g, p] == pytest.approx(float(np.quantile(values, p)), rel=1e-12)
+
+
+def test_share_of_class_forms_agree_on_a_hot_class(spark):
+    rng = random.Random(2)
+    rows = [(i, "big" if i % 3 else rng.choice(["s", None]), ", ".join(rng.sample(["A", "b", "c", "B"], rng.randrange(4)))) for i in range(900)]
+    dim = spark.createDataFrame(rows, "entity_id int, size_class string, tags_raw string")
+    by_join = tags.share_of_class(tags.tag_bridge(dim, "entity_id", "tags_raw"), dim)
+    by_row = tags.share_of_class_by_row(dim, tags.distinct_tags("tags_raw"))
+    assert sorted(map(tuple, by_join.collect())) == sorted(map(tuple, by_row.select(by_join.columns).collect()))
