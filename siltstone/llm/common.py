@@ -52,8 +52,8 @@ def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets - offsets[0]
 
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 # Word bytes: digits, letters and every byte of a character past ASCII.
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
@@ -73,7 +73,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
+BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -112,11 +112,11 @@ class Words:
     @property
     def hash(self) -> np.ndarray:
         if self._hash is None:
-            self._hash = span_hashes(_LOWER[self.flat], self.start, self.end)
+            self._hash = span_hashes(LOWER[self.flat], self.start, self.end)
         return self._hash
 
     def text(self, index: int) -> bytes:
-        return _LOWER[self.flat[self.start[index] : self.end[index]]].tobytes()
+        return LOWER[self.flat[self.start[index] : self.end[index]]].tobytes()
 
 
 def span_hashes(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -129,7 +129,7 @@ def span_hashes(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         size = e - s
         head = np.cumsum(size) - size
         place = np.arange(size.sum()) - np.repeat(head, size)
-        value = _BYTE[flat[np.repeat(s, size) + place]] * powers(_ODD, int(size.max()))[place]
+        value = BYTE[flat[np.repeat(s, size) + place]] * powers(_ODD, int(size.max()))[place]
         out[done:stop] = mixed(np.add.reduceat(value, head) + size.astype(np.uint64) * _STEP)
         done = stop
     return out

@@ -247,3 +247,17 @@ def ngram_jaccard_join(
         component.alias("component_id"),
         (alone | F.col("id").eqNullSafe(component)).alias("kept"),
     )
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that ``ngram_jaccard_join`` keeps, all columns as they are.
+
+    Of rows that share both id and text one stays. Rows with a null id stay or go together.
+    """
+    kept = ngram_jaccard_join(docs, id_col, text_col, **options).where("kept").groupBy(F.col(id_col).alias("__id")).count()
+    kept = stored(kept, "kept")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+    once = docs.join(kept.where("count = 1"), same, "left_semi")
+    # Ids that come more than once are few; only their rows are compared as wholes.
+    more = docs.join(kept.where("count > 1"), same, "left_semi").withColumn("__text", F.xxhash64(text_col))
+    return once.union(more.dropDuplicates([id_col, "__text"]).drop("__text"))

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from .decontaminate import benchmark_overlap
 from .embeddings import embedding_near_duplicates
+from .html_extract import main_text
 from .line_dedup import MIN_SITES, line_dedup
 from .ngram_join import ngram_jaccard_join
 from .packing import best_fit_packing
+from .quality import quality_scores
 from .secrets import secret_spans
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -168,3 +171,28 @@ def op7(spark, sf_dir):
 @query("op8_token_counts")
 def op8(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), fields=("source", "lang", "text"))
+
+
+@query("op4_quality_classifier")
+def op4(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10(spark, sf_dir):
+    found = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return found.select("doc_id", "held_out", "score", predicted, F.size("sentences").cast("long").alias("n_offending"))
+
+
+@query("op9_html_extraction")
+def op9(spark, sf_dir):
+    found = main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

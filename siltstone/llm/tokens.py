@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from .common import flat_bytes, span_hashes
+from .common import LOWER, flat_bytes, span_hashes
 
 CACHED = 600_000
 
@@ -28,8 +28,6 @@ _KIND = np.full(256, _GLUE, np.uint8)
 _KIND[[10, 32]] = _SPACE
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = _ALNUM
 _KIND[[ord(c) for c in '!"#$%&()*+,-./:;=?@[]\\^_`{}~']] = _PUNCT
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 
 
 class WordCoder:
@@ -84,7 +82,7 @@ class WordCoder:
         stops = np.append(stops, len(flat))
         end = stops[np.searchsorted(stops, start, side="right")]
         wide = np.add.reduceat(flat >= 128, start) > 0 if len(start) else np.zeros(0, bool)
-        plain = _LOWER[flat]
+        plain = LOWER[flat]
         for i in np.flatnonzero(wide):
             plain[start[i] : end[i]] = flat[start[i] : end[i]]
         keys, where, part = np.unique(span_hashes(plain, start, end), return_index=True, return_inverse=True)
