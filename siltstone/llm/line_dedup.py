@@ -67,7 +67,8 @@ def line_dedup(
     same = F.col(id_col).eqNullSafe(F.col("__id")) & F.xxhash64(text_col).eqNullSafe(F.col("__digest"))
     kept = F.filter(F.split(text_col, "\n", -1), lambda x, i: ~F.array_contains("__cut", i))
     text = F.when(F.col("__cut").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    joined = docs.select(*names).join(cut, same, "left")
+    # A merge join at every size: what is cut grows with the documents and is never small at scale.
+    joined = docs.select(*names).join(cut.hint("merge"), same, "left")
     removed = F.coalesce(F.size("__cut"), F.lit(0))
     return joined.select(
         *[text.alias(c) if c == text_col else F.col(c) for c in names],
