@@ -67,29 +67,48 @@ def _item_prints(window: int, gram: int):
     return run
 
 
-def _slots(prints: np.ndarray, short: int) -> np.ndarray:
-    return mixed(prints + np.uint64(short)) >> np.uint64(64 - FILTER_BITS)
+def _slots(prints: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
+    return mixed(prints + np.asarray(salt, np.uint64)) >> np.uint64(64 - FILTER_BITS)
 
 
-def _item_slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _filter_bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        short = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)
-        slot = (mixed(prints + short) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        slot = _slots(prints, batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)).astype(np.int64)
         bit = np.left_shift(np.int64(1), slot & 63)
         yield pa.RecordBatch.from_arrays([pa.array(slot >> 6), pa.array(bit)], names=["word", "bits"])
 
 
-def _candidates(window: int, gram: int, shorts: list[int], filter_):
-    """Per text: number of words, and the fingerprints that pass the filter."""
+def fixed_filter(keys: DataFrame):
+    """A broadcast filter over (hash, salt) rows: its size is fixed, more keys only let more through."""
+    words = keys.mapInArrow(_filter_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for row in words.toLocalIterator():
+        bits[row["word"]] = row["bits"]
+    return keys.sparkSession.sparkContext.broadcast(bits.tobytes())
+
+
+def _passing(filter_, prints: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
+    bits = np.frombuffer(filter_.value, np.uint64)
+    slot = _slots(prints, salt)
+    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _maybe_hit(filter_):
+    """The rows whose digest the filter knows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(filter_.value, np.uint64)
+        for batch in batches:
+            digest = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield batch.filter(pa.array(_passing(filter_, digest, 0)))
 
-        def passing(prints: np.ndarray, short: int) -> np.ndarray:
-            slot = _slots(prints, short)
-            return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+    return run
+
+
+def _candidates(window: int, gram: int, shorts: list[int], filter_):
+    """Per text: number of words, and the fingerprints that pass the filter."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("pos", pa.int32()), ("short", pa.int32()), ("print", pa.int64())]))
         for batch in batches:
             texts = texts_of(batch.column(2))
@@ -99,7 +118,7 @@ def _candidates(window: int, gram: int, shorts: list[int], filter_):
                 found: list[list[dict]] = [[] for _ in range(n)]
 
                 def keep(places: np.ndarray, prints: np.ndarray, short: int) -> None:
-                    good = passing(prints, short)
+                    good = _passing(filter_, prints, short)
                     places, prints = places[good], signed(prints[good])
                     text = np.searchsorted(words.first, places, side="right") - 1
                     for t, p, h in zip(text.tolist(), (places - words.first[text]).tolist(), prints.tolist()):
@@ -211,11 +230,7 @@ def benchmark_overlap(
     prints = stored(
         prints.groupBy("print", "short", "before", "context").agg(F.sort_array(F.collect_set("item_id")).alias("items")), "prints"
     )
-    filter_ = prints.select("print", "short").mapInArrow(_item_slots, "word long, bits long")
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for row in filter_.groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
-        bits[row["word"]] = row["bits"]
-    shared_filter = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
+    shared_filter = fixed_filter(prints.select("print", "short"))
     shorts = sorted(r["short"] for r in prints.where("short > 0").select("short").distinct().collect())
 
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -231,9 +246,14 @@ def benchmark_overlap(
     found = found.select("id", "digest", "p.*").distinct().join(prints, ["print", "short"])
     hit = F.struct("pos", "short", F.lit(gram).alias("gram"), "before", "context", "items").alias("hit")
     hits = found.select("id", "digest", hit).groupBy("id", "digest").agg(F.collect_list("hit").alias("hits"))
-    hits = stored(hits, "hits").withColumnsRenamed({"id": "hit_id", "digest": "hit_digest"})
+    hits = stored(hits, "hits")
+    # Only texts that may have a hit move for the extension; the merge join holds at every size.
+    may_hit = source.mapInArrow(
+        _maybe_hit(fixed_filter(hits.select("digest", F.lit(0).alias("salt")))), "id long, digest long, text string"
+    )
+    hits = hits.withColumnsRenamed({"id": "hit_id", "digest": "hit_digest"})
     same = F.col("id").eqNullSafe(F.col("hit_id")) & F.col("digest").eqNullSafe(F.col("hit_digest"))
-    extended = source.join(hits, same).select("id", "digest", "text", "hits").mapInArrow(
+    extended = may_hit.join(hits.hint("merge"), same).select("id", "digest", "text", "hits").mapInArrow(
         _extend(window), "id long, digest long, n_hit long, items array<long>"
     )
     extended = extended.where("n_hit > 0").dropDuplicates(["id", "digest"])
