@@ -162,21 +162,33 @@ def _gradient(batch: pa.RecordBatch, state: np.ndarray) -> np.ndarray:
     return gradient(toxic, n, bags, state[:-1], state[-1])
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, rounds: int = ROUNDS) -> Model:
-    """A model from ``labelled`` (toxic 0 or 1, text), rows without either left out.
+def training_rows(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS
+) -> DataFrame:
+    """(toxic, text) of labelled documents outside the held-out quarter: crc32 of the id mod 4 is not 2.
 
-    Fitted on at most about ``sample_rows`` rows, chosen by a hash of their text; with fewer rows on
-    all. Features are kept for their z-score against the share of toxic documents, at most
-    ``FEATURES`` of them. Each round of the ascent is a Spark job over the stored bags; a gradient is
-    ``FEATURES`` numbers per task, whatever the input. Without both labels nothing is toxic.
+    About ``sample_rows`` labels at most, chosen by a hash of the id, and of repeated ids one. That many
+    rows are small, so they go to the texts and no text moves.
+    """
+    fold = F.pmod(F.crc32(F.col("label_id").cast("string").cast("binary")), F.lit(4))
+    known = labels.select(F.col(id_col).cast("long").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
+    known = known.where("label_id is not null and toxic in (0, 1)").where(fold != 2)
+    share = min(1.0, sample_rows / max(known.count(), 1))
+    chosen = known.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = stored(chosen.groupBy("label_id").agg(F.max("toxic").alias("toxic")), "labels")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return source.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).where("text is not null").select("toxic", "text")
+
+
+def fit(labelled: DataFrame, rounds: int = ROUNDS) -> Model:
+    """A model from the ``training_rows`` (toxic 0 or 1, text).
+
+    Features are kept for their z-score against the share of toxic documents, at most ``FEATURES`` of
+    them. Each round of the ascent is a Spark job over the stored bags; a gradient is ``FEATURES``
+    numbers per task, whatever the input. Without both labels nothing is toxic.
     """
     spark = labelled.sparkSession
-    rows = labelled.where("toxic in (0, 1) and text is not null").select(F.col("toxic").cast("int").alias("toxic"), "text")
-    total = rows.count()
-    share = min(1.0, sample_rows / max(total, 1))
-    if share < 1:
-        rows = rows.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = stored(rows, "labelled")
+    rows = stored(labelled.select("toxic", "text"), "labelled")
     n, positive = rows.agg(F.count("*"), F.sum("toxic")).first()
     if not n or not positive or positive == n:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -30.0)
@@ -233,15 +245,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return found.withColumnRenamed("id", id_col)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(toxic, text) of the labelled documents outside the held-out quarter: crc32 of the id mod 4 is not 2."""
-    fold = F.pmod(F.crc32(F.col("label_id").cast("string").cast("binary")), F.lit(4))
-    known = labels.select(F.col(id_col).cast("long").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
-    known = known.where("label_id is not null and toxic in (0, 1)").where(fold != 2).dropDuplicates(["label_id"])
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.join(known, F.col("id") == F.col("label_id")).select("toxic", "text")
-
-
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, held_out, score (0 to 1) and the offending sentences.
 
