@@ -28,16 +28,39 @@ _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".!?\n"]] = True
 
 
-def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(word, hash) of the features: each word whole, and the first bytes of longer ones."""
-    size = words.end - words.start
-    word, out = [np.arange(len(size))], [words.hash]
+def features(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The features of the distinct words: (distinct word, hash) pairs, and the distinct word of each word.
+
+    A word counts whole, and by its first bytes if it is longer.
+    """
+    known, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+    start = words.start[first]
+    size = words.end[first] - start
+    word, out = [np.arange(len(known))], [known]
     lower = LOWER[words.flat]
+    order = np.argsort(start)
     for n in PREFIXES:
-        long = np.flatnonzero(size > n)
+        long = order[size[order] > n]
         word.append(long)
-        out.append(span_hashes(lower, words.start[long], words.start[long] + n) ^ BYTE[n])
-    return np.concatenate(word), np.concatenate(out)
+        out.append(span_hashes(lower, start[long], start[long] + n) ^ BYTE[n])
+    return np.concatenate(word), np.concatenate(out), which
+
+
+def found(words: Words, keys: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (group of the word, place in ``keys``) of all features that ``keys`` holds, in order."""
+    word, out, which = features(words)
+    at = np.minimum(np.searchsorted(keys, out), len(keys) - 1)
+    hit = keys[at] == out
+    word, at = word[hit], at[hit]
+    order = np.argsort(word, kind="stable")
+    word, at = word[order], at[order]
+    first = np.searchsorted(word, np.arange(int(which.max(initial=-1)) + 2))
+    size = np.diff(first)
+    seen = np.flatnonzero(size[which] > 0) if len(which) else np.zeros(0, np.int64)
+    times = size[which[seen]]
+    place = np.repeat(first[which[seen]] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+    pairs = np.unique(np.repeat(group[seen], times) * len(keys) + at[place])
+    return pairs // max(len(keys), 1), pairs % max(len(keys), 1)
 
 
 def sentences(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -65,14 +88,11 @@ class Model:
     def sentence_logits(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Logit of each sentence, the text of each, and the sentence of each word."""
         sentence, text = sentences(words)
-        word, keys = features(words)
         logits = np.full(len(text), self.bias)
         if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            hit = self.keys[at] == keys
             # A feature counts once in a sentence.
-            pairs = np.unique(np.stack([sentence[word[hit]], at[hit]]), axis=1)
-            np.add.at(logits, pairs[0], self.weights[pairs[1]])
+            where, key = found(words, self.keys, sentence)
+            np.add.at(logits, where, self.weights[key])
         return logits, text, sentence
 
     def scores(self, words: Words) -> np.ndarray:
@@ -87,14 +107,23 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic = batch.column(0).to_numpy(zero_copy_only=False)
         for low, high in slices(texts, 4 << 20):
             words = Words(texts.slice(low, high - low))
-            word, keys = features(words)
-            text = np.repeat(np.arange(high - low), words.counts)[word]
-            pairs = np.unique(np.stack([keys, text.astype(np.uint64)]), axis=1)
-            known, place = np.unique(pairs[0], return_inverse=True)
+            word, out, which = features(words)
+            text = np.repeat(np.arange(high - low), words.counts)
+            every, distinct = np.unique(out, return_inverse=True)
+            # Documents with a distinct word first, then those with each of its features.
+            pairs = np.unique(which * (high - low) + text)
+            owner, text = pairs // (high - low), pairs % (high - low)
+            order = np.argsort(word, kind="stable")
+            first = np.searchsorted(word[order], np.arange(int(which.max(initial=-1)) + 2))
+            times = np.diff(first)[owner]
+            place = np.repeat(first[owner] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            pairs = np.unique(distinct[order][place] * (high - low) + np.repeat(text, times))
+            place, text = pairs // (high - low), pairs % (high - low)
+            known = every
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(signed(known)), pa.array(np.bincount(place, minlength=len(known)).astype(np.int64)),
-                    pa.array(np.bincount(place, toxic[low:high][pairs[1].astype(np.int64)], len(known)).astype(np.int64)),
+                    pa.array(np.bincount(place, toxic[low:high][text], len(known)).astype(np.int64)),
                 ],
                 names=["key", "docs", "toxic"],
             )
@@ -110,16 +139,14 @@ def _bags(keys_):
             for low, high in slices(texts):
                 words = Words(texts.slice(low, high - low))
                 sentence, text = sentences(words)
-                word, found = features(words)
-                at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
-                hit = keys[at] == found
-                pairs = np.unique(np.stack([sentence[word[hit]], at[hit]]), axis=1)
-                of = text[pairs[0]]
+                where, key = found(words, keys, sentence)
+                of = text[where]
                 cut = np.searchsorted(of, np.arange(high - low + 1))
-                first = np.searchsorted(text, np.arange(high - low))
-                bags = [
-                    np.stack([pairs[0, a:b] - f, pairs[1, a:b]]).astype(np.int32).tobytes() for a, b, f in zip(cut, cut[1:], first)
-                ]
+                bags = []
+                for a, b in zip(cut, cut[1:]):
+                    # Sentences without a chosen feature are all alike; the others are numbered anew.
+                    marked = np.cumsum(np.diff(where[a:b], prepend=where[a] if b > a else 0) > 0)
+                    bags.append(np.stack([marked, key[a:b]]).astype(np.int32).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, high - low).cast(pa.int32()),
@@ -140,12 +167,12 @@ def gradient(toxic: np.ndarray, n_sentences: np.ndarray, bags: list[np.ndarray],
     doc = np.repeat(np.arange(len(bags)), size)
     every = np.concatenate(bags, axis=1) if bags else np.zeros((2, 0), np.int32)
     # Sentences with chosen features, numbered over the documents; the others all have the bias.
-    key = doc * (int(n_sentences.max(initial=0)) + 1) + every[0]
-    known, place = np.unique(key, return_inverse=True)
-    owner = np.zeros(len(known), np.int64)
-    owner[place] = doc
-    logits = bias + np.bincount(place, weights[every[1]], len(known))
-    plain = n_sentences - np.bincount(owner, minlength=len(bags))
+    marked = np.array([b[0, -1] + 1 if b.shape[1] else 0 for b in bags], np.int64)
+    first = np.cumsum(marked) - marked
+    place = first[doc] + every[0]
+    owner = np.repeat(np.arange(len(bags)), marked)
+    logits = bias + np.bincount(place, weights[every[1]], len(owner))
+    plain = n_sentences - marked
     clean = np.bincount(owner, np.logaddexp(0, logits), len(bags)) + plain * np.logaddexp(0, bias)
     clean = np.maximum(clean, 1e-12)  # -log P(clean)
     pull = np.where(toxic == 1, np.exp(-clean) / -np.expm1(-clean), -1.0)
