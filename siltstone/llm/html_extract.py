@@ -16,7 +16,7 @@ from .common import Words, groups, stored, texts_of
 RUN = 8
 LEAST_PAGES = 10
 LEAST_SHARE = 0.6
-SHARD_CHARS = 4_000_000
+SHARD_CHARS = 2_000_000
 
 # The elements of HTML by what they do to text.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
