@@ -23,15 +23,15 @@ SQL: dict[str, str] = {}
 SPEC = silver.SilverSpec(tag_sentinels=(FREE_TEXT_TAG,))
 
 
-def query(name: str, sql: str | None = None, kind: str = "scaled"):
-    """Register a query; ``sql`` may use the blocks below as tables."""
+def query(name: str, sql: str | None = None, kind: str | None = "scaled"):
+    """Register a query; ``sql`` may use the blocks below as tables, unless ``kind`` is None."""
 
     def register(build: Build) -> Build:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
         QUERIES[name] = build
         if sql is not None:
-            SQL[name] = with_blocks(sql, kind)
+            SQL[name] = with_blocks(sql, kind) if kind else sql.strip()
         return build
 
     return register
@@ -150,13 +150,13 @@ BLOCKS: dict[str, str] = {
     "bands": BANDS_SQL,
     "curated": CURATED_SQL,
     "bronze": """
-        select cast(fx.entity_id as integer) as entity_id, fx.payload, days.d as run_date,
+        select cast(fx.entity_id as bigint) as entity_id, fx.payload, days.d as run_date,
                cast(days.d as timestamp) + interval 2 hour as loaded_at
         from fx, (values (date '2024-01-01'), (date '2024-01-02')) days(d)
         where days.d > date '2024-01-01' or fx.entity_id % 10 > 0""",
     "newest": "select b.* from bronze b, (select max(run_date) as top from bronze) m where b.run_date = m.top",
     "clean": f"""
-        select cast(try_cast({js('id')} as double) as integer) as entity_id,
+        select cast({js('id')} as bigint) as entity_id,
                trim({js('name')}) as name,
                case lower(trim({js('weight.metric')})) when 'unknown' then null else lower(trim({js('weight.metric')})) end as weight_raw,
                case lower(trim({js('height.metric')})) when 'unknown' then null else lower(trim({js('height.metric')})) end as height_raw,

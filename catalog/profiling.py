@@ -46,7 +46,7 @@ for _source in _PROFILED:
 def _examples_sql(source):
     parts = [
         f"""select '{c}' as column_name, cast(place as integer) as position,
-                   case when length(v) > 90 then substr(v, 1, 87) || '...' else v end as example
+                   v as example
             from (select v, row_number() over (order by sha256(v)) as place
                   from (select distinct cast({c} as varchar) as v from {source} where trim(cast({c} as varchar)) <> ''))
             where place <= 5"""

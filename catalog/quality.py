@@ -5,11 +5,13 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from catalog.base import NUM, SPEC, Layers, js, query, shown_time, table
+from catalog.base import NUM, SPEC, Layers, js, query, shown_time, table, with_blocks
 from catalog.layers import KNOWN_SQL, part_bands
 from siltstone.operators.tags import share_of_class
 from siltstone.plans import checks, marts, observe, silver
+from siltstone.plans.contracts import CONTRACTS
 from siltstone.plans.publish import materialize
 from siltstone.session import scratch_path
 
@@ -201,46 +203,40 @@ def fired_warnings(spark, sf):
 
 # ---- history --------------------------------------------------------------------------------
 
-# Monthly results of two checks over the order table stand in for a run history of any length.
-_RUNS_SQL = """
-    select strftime(o_orderdate, '%Y-%m') as run_id, c.name as "check",
-           case when max(o_totalprice) filter (o_orderpriority like c.pattern) > 499000 then 'fail' else 'pass' end as status
-    from orders, (values ('urgent_price', '1%'), ('low_price', '5%')) c(name, pattern) group by all"""
+# Three runs, each a suite over stored tables: the sound documents, those with defects, the sound ones again. Their
+# ids sort against their order in time.
+RUNS = (("r3", "scaled"), ("r2", "defects"), ("r1", "scaled"))
 
 
-def monthly_results(spark, sf):
-    orders = table(spark, sf, "orders")
-    month = F.date_format("o_orderdate", "yyyy-MM").alias("run_id")
+def _run_sql(kind):
+    return with_blocks(_suite_sql("run"), kind)
 
-    def worst(prefix):
-        return F.max(F.when(F.col("o_orderpriority").startswith(prefix), F.col("o_totalprice")))
 
-    wide = orders.groupBy(month).agg(worst("1").alias("urgent_price"), worst("5").alias("low_price"))
-    long = wide.unpivot("run_id", ["urgent_price", "low_price"], "check", "worst")
-    status = F.when(F.col("worst") > 499000, "fail").otherwise("pass")
-    return long.select("run_id", "check", status.alias("status"))
+def run_history(spark, sf):
+    """The results of the three runs, appended to the store and read back."""
+    path = scratch_path(spark, "history")
+    tables = {kind: stored_tables(spark, sf, kind) for kind in ("scaled", "defects")}
+    for day, (run_id, kind) in enumerate(RUNS, 2):
+        observe.append_results(checks.run_suite(tables[kind], run_id), path, date(2024, 1, day))
+    return spark.read.parquet(path)
 
 
 @query("check_transitions", f"""
-    select "check", run_id, status, previous_status
-    from (select *, lag(status) over (partition by "check" order by run_id) as previous_status from ({_RUNS_SQL}))
-    where status <> previous_status""")
+    with sound as ({_run_sql("scaled")}), defects as ({_run_sql("defects")}),
+    moved as (select "check", d.status as later, s.status as earlier from sound s join defects d using ("check") where s.status <> d.status)
+    select "check", 'r2' as run_id, later as status, earlier as previous_status from moved
+    union all select "check", 'r1', earlier, later from moved""", kind=None)
 def check_transitions(spark, sf):
-    return observe.transitions(monthly_results(spark, sf))
+    return observe.transitions(run_history(spark, sf)).drop("started_at")
 
 
 @query("check_history", f"""
-    select "check", status, count(*) as n, '2024-01-02' as run_date from ({_RUNS_SQL}) group by "check", status""")
+    with sound as ({_run_sql("scaled")}), defects as ({_run_sql("defects")})
+    select "check", status, day as run_date, true as timed from sound, (values ('2024-01-02'), ('2024-01-04')) d(day)
+    union all select "check", status, '2024-01-03', true from defects""", kind=None)
 def check_history(spark, sf):
-    """Results appended to the store in two parts and read back."""
-    path = scratch_path(spark, "history")
-    results = monthly_results(spark, sf)
-    observe.append_results(results.where("check = 'urgent_price'"), path, date(2024, 1, 2))
-    observe.append_results(results.where("check <> 'urgent_price'"), path, date(2024, 1, 2))
-    stored = spark.read.parquet(path)
-    return stored.groupBy("check", "status", F.col("run_date").cast("string").alias("run_date")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    timed = F.col("started_at").isNotNull() & (F.col("seconds") >= 0)
+    return run_history(spark, sf).select("check", "status", F.col("run_date").cast("string").alias("run_date"), timed.alias("timed"))
 
 
 @query("freshness", """
@@ -266,60 +262,31 @@ def freshness_events(spark, sf):
 # ---- reconciliation -------------------------------------------------------------------------
 
 
-def _cell(column, label):
-    return f"(select {column} from summary where size_class = '{label}')"
-
-
-def _pair(column, a, b):
-    return f"(select {column} from correlations where metric_a = '{a}' and metric_b = '{b}')"
-
-
-_W, _H, _L = marts.WEIGHT, marts.HEIGHT, marts.LIFE
-_METRIC_SQL = {
-    "raw rows": "(select count(*) from bronze)",
-    "silver rows": "(select count(*) from silver)",
-    "with weight": "(select count(weight_min_kg) from silver)",
-    "with life span": "(select count(life_span_min_years) from silver)",
-    "bridge rows": "(select count(*) from bridge)",
-    "distinct tags": "(select count(distinct tag) from bridge)",
-    "tagged entities": "(select count(distinct entity_id) from bridge)",
-    "dimension rows": "(select count(*) from dim)",
-    "plotted": "(select n_plotted from coverage)",
-    "excluded": "(select n_excluded from coverage)",
-    "with tags": "(select n_with_tags from coverage)",
-    **{f"class {c}": _cell("n_entities", c) for c in ("toy", "small", "medium", "large", "giant")},
-    "mean life span toy": _cell("mean_life_span_years", "toy"),
-    "mean life span giant": _cell("mean_life_span_years", "giant"),
-    "sd life span small": _cell("stddev_life_span_years", "small"),
-    "sd life span giant": _cell("stddev_life_span_years", "giant"),
-    "corr weight life span": _pair("correlation", _W, _L),
-    "corr height life span": _pair("correlation", _H, _L),
-    "corr height weight": _pair("correlation", _H, _W),
-    "n weight life span": _pair("n_entities", _W, _L),
-    "n height weight": _pair("n_entities", _H, _W),
+# What the stored tables are called in the SQL.
+_STORED = {
+    "raw": "bronze", "bands": "bands", "curated": "curated", "silver": "silver", "silver_tags": "bridge", "tags": "bridge",
+    "dim": "dim", "class_summary": "summary", "scatter": "scatter", "correlations": "correlations", "class_tags": "shares",
+    "coverage": "coverage",
 }
-# Expected figures for the order table of any size: silver and dimension agree, one class is off.
-_EXPECT_SQL = """select 'dimension rows' as metric, cast((select count(*) from silver) as double) as expected
-    union all select 'plotted', cast((select n_with_both from coverage) as double)
-    union all select 'class toy', cast(-1 + 0 * (select count(*) from silver) as double)
-    union all select 'never built', cast((select count(*) from silver) as double)"""
+
+
+def _metrics_sql(kind):
+    parts = [f"select '{name}.rows' as metric, cast(count(*) as double) as value from {block}" for name, block in _STORED.items()]
+    for name, keys in observe.FIGURES.items():
+        label = " || '.' || ".join([f"'{name}'", *keys])
+        numbers = [f.name for f in CONTRACTS[name].fields if isinstance(f.dataType, T.NumericType)]
+        parts += [f"select {label} || '.{c}', cast({c} as double) from {_STORED[name]}" for c in numbers]
+    return with_blocks(f"select * from ({' union all '.join(parts)}) where value is not null", kind)
 
 
 @query("reconcile_metrics", f"""
-    select coalesce(a.metric, e.metric) as metric, actual, expected,
-           case when expected is null then 'unexpected' when actual is null then 'missing'
-                when abs(actual - expected) <= 1e-9 then 'ok' else 'differs' end as state
-    from ({' union all '.join(f"select '{m}' as metric, cast({q} as double) as actual" for m, q in _METRIC_SQL.items())}) a
-    full join ({_EXPECT_SQL}) e on a.metric = e.metric""")
+    with now as ({_metrics_sql("scaled")}), earlier as ({_metrics_sql("earlier")})
+    select coalesce(a.metric, e.metric) as metric, a.value as actual, e.value as expected,
+           case when e.value is null then 'unexpected' when a.value is null then 'missing'
+                when abs(a.value - e.value) <= 1e-9 then 'ok' else 'differs' end as state
+    from now a full join earlier e on a.metric = e.metric""", kind=None)
 def reconcile_metrics(spark, sf):
-    t = stored_tables(spark, sf, "scaled")
-    actual = observe.watched_metrics(t)
-    rows = t["silver"].agg(F.count(F.lit(1)).cast("double").alias("n"))
-    both = t["coverage"].select(F.col("n_with_both").cast("double").alias("n"))
-    expected = (
-        rows.select(F.lit("dimension rows").alias("metric"), F.col("n").alias("value"))
-        .unionByName(both.select(F.lit("plotted").alias("metric"), F.col("n").alias("value")))
-        .unionByName(rows.select(F.lit("class toy").alias("metric"), (F.col("n") * 0 - 1).alias("value")))
-        .unionByName(rows.select(F.lit("never built").alias("metric"), F.col("n").alias("value")))
-    )
-    return observe.reconcile_metrics(actual, expected)
+    """The figures of this run against those that an earlier run, with fewer documents, has stored."""
+    path = scratch_path(spark, "figures")
+    observe.watched_metrics(stored_tables(spark, sf, "earlier")).write.parquet(path)
+    return observe.reconcile_metrics(observe.watched_metrics(stored_tables(spark, sf, "scaled")), spark.read.parquet(path))

@@ -42,6 +42,13 @@ def to_int(column: Column | str) -> Column:
     return nearest_int(as_col(column).try_cast("double"))
 
 
+def to_id(column: Column | str) -> Column:
+    """Text to a 64-bit key: whole numbers exactly, fractions to the nearest, half to even; else NULL."""
+    text = F.trim(as_col(column))
+    rounded = F.bround(text.try_cast("double")).try_cast("bigint")
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint")).otherwise(rounded)
+
+
 def sentence_case(column: Column | str) -> Column:
     """First letter upper, all others lower (unlike ``initcap``, which raises every word)."""
     low = F.lower(as_col(column))

@@ -16,10 +16,6 @@ from siltstone.operators.stats import values_at_ranks
 
 _NESTED = (T.StructType, T.MapType, T.ArrayType)
 
-# Values longer than this are counted by their SHA-256 digest, so that counting distinct long
-# texts shuffles 64 characters a value and not the texts.
-DIRECT_LENGTH = 64
-
 
 def _as_text(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
@@ -35,13 +31,14 @@ def _present(df: DataFrame, name: str) -> Column:
     return F.when(F.trim(text) != "", text)
 
 
-def _short(text: Column) -> Column:
-    return F.when(F.length(text) <= DIRECT_LENGTH, text).otherwise(F.sha2(text, 256))
+def _digest(text: Column) -> Column:
+    """Values are counted by their digest, whatever their length, so the shuffle carries no texts."""
+    return F.sha2(text, 256)
 
 
 def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value key, rows) for all columns from one scan and one shuffle."""
-    items = {c: _short(_present(df, c)) for c in columns}
+    items = {c: _digest(_present(df, c)) for c in columns}
     long = melt(df, [], items, ["column_name", "value"])
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
@@ -63,8 +60,8 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     )
 
 
-def column_examples(df: DataFrame, columns: Sequence[str] | None = None, n: int = 5, shown: int = 90) -> DataFrame:
-    """Up to ``n`` distinct example values per column, cut for display only.
+def column_examples(df: DataFrame, columns: Sequence[str] | None = None, n: int = 5) -> DataFrame:
+    """Up to ``n`` distinct example values per column, whole.
 
     The examples are the values with the smallest digests, so they are the same on every run and
     look random. Only digests are compared; the texts behind the chosen few are fetched by a
@@ -78,9 +75,7 @@ def column_examples(df: DataFrame, columns: Sequence[str] | None = None, n: int
     first = Window.partitionBy("column_name").orderBy("digest")
     chosen = distinct.withColumn("position", F.row_number().over(first)).where(F.col("position") <= n)
     found = keyed.join(F.broadcast(chosen), ["column_name", "digest"])
-    texts = found.groupBy("column_name", "position").agg(F.min("example").alias("example"))
-    cut = F.concat(F.substring("example", 1, shown - 3), F.lit("..."))
-    return texts.withColumn("example", F.when(F.length("example") > shown, cut).otherwise(F.col("example")))
+    return found.groupBy("column_name", "position").agg(F.min("example").alias("example"))
 
 
 def check_key(df: DataFrame, key: str) -> DataFrame:

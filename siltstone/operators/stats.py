@@ -108,6 +108,8 @@ def quantiles(
     """Interpolated quantiles as (*by, prob, quantile), exact unless ``approx``; ``count`` adds
     the number of values of the group (exact form only)."""
     by = list(by)
+    if approx and count:
+        raise ValueError("counts come with exact quantiles only")
     if approx:
         pick = F.percentile_approx(value, list(probs), 10000)
         rows = df.where(F.col(value).isNotNull()).groupBy(*by).agg(pick.alias("q"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +41,8 @@ METRICS = {
 
 
 RESULT_SCHEMA = (
-    "run_id string, check string, severity string, role string, status string, failures long, message string"
+    "run_id string, check string, severity string, role string, status string, failures long, message string, "
+    "started_at timestamp, seconds double"
 )
 
 
@@ -334,7 +336,8 @@ def run_suite(
     spark: SparkSession | None = None,
     parallel: int = 4,
 ) -> DataFrame:
-    """One row per check: status pass, warn, fail or error, number of violations and a message.
+    """One row per check: status pass, warn, fail or error, number of violations, a message, when the
+    count began and how long it took (checks that share a scan share these).
 
     Runs the counts as a handful of Spark jobs, a few at a time; what comes back is one number per
     check. A check whose table is missing or whose query fails is an error and never left out.
@@ -342,17 +345,20 @@ def run_suite(
     force switches add a check that always fires, to exercise the failure and warning paths.
     """
     spark = spark or next(iter(tables.values())).sparkSession
-    found: dict[str, tuple[str, int | None, str | None]] = {}
+    found: dict[str, tuple] = {}
+    begun = datetime.now(timezone.utc)
     ready = []
     for check in checks:
         absent = [i for i in check.inputs if i not in tables]
         if absent:
-            found[check.name] = ("error", None, f"input missing: {', '.join(absent)}")
+            found[check.name] = ("error", None, f"input missing: {', '.join(absent)}", begun, 0.0)
         else:
             ready.append(check)
 
     def work(job) -> None:
         group, build = job
+        start = datetime.now(timezone.utc)
+        took = lambda: (datetime.now(timezone.utc) - start).total_seconds()
         try:
             counts = build().first().asDict()
         except Exception as problem:  # noqa: BLE001 - a broken check is a result of the suite
@@ -360,20 +366,20 @@ def run_suite(
                 for check in group:
                     work(([check], lambda c=check: _count_rows(c, tables, limits)))
                 return
-            found[group[0].name] = ("error", None, str(problem)[:500])
+            found[group[0].name] = ("error", None, str(problem), start, took())
             return
         for check in group:
             n = counts[check.name]
             message = f"{n} violating rows" if n else None
-            found[check.name] = (_verdict(check, n, error_above or {}), n, message)
+            found[check.name] = (_verdict(check, n, error_above or {}), n, message, start, took())
 
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(inheritable_thread_target(spark)(work), _jobs(tables, limits, ready)))
     rows = [(run_id, c.name, c.severity, c.role, *found[c.name]) for c in checks]
     if force_failure:
-        rows.append((run_id, "forced_failure", "error", "drill", "fail", 1, "1 violating rows"))
+        rows.append((run_id, "forced_failure", "error", "drill", "fail", 1, "1 violating rows", begun, 0.0))
     if force_warning:
-        rows.append((run_id, "forced_warning", "warn", "drill", "warn", 1, "1 violating rows"))
+        rows.append((run_id, "forced_warning", "warn", "drill", "warn", 1, "1 violating rows", begun, 0.0))
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 

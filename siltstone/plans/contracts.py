@@ -17,14 +17,14 @@ _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
 # The dimension has no contract: nothing outside the build reads it.
 CONTRACTS: dict[str, T.StructType] = {
-    "tags": _struct(("entity_id", _I), ("tag", _S), ("tag_display", _S)),
+    "tags": _struct(("entity_id", _L), ("tag", _S), ("tag_display", _S)),
     "class_summary": _struct(
         ("size_class", _S), ("n_entities", _L), ("n_with_life_span", _L),
         ("mean_life_span_years", _D), ("median_life_span_years", _D), ("stddev_life_span_years", _D),
         ("min_life_span_years", _D), ("max_life_span_years", _D), ("mean_weight_kg", _D), ("mean_height_cm", _D),
     ),
     "scatter": _struct(
-        ("entity_id", _I), ("name", _S), ("size_class", _S), ("weight_mid_kg", _D),
+        ("entity_id", _L), ("name", _S), ("size_class", _S), ("weight_mid_kg", _D),
         ("life_span_min_years", _I), ("life_span_max_years", _I), ("life_span_mid_years", _D),
     ),
     "correlations": _struct(("metric_a", _S), ("metric_b", _S), ("correlation", _D), ("n_entities", _L)),

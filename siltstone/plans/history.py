@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,16 @@ def first_versions(snapshot: DataFrame, key: str, tracked: Sequence[str], as_of:
     )
 
 
+def single_keys(df: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows as they are; the query fails on a NULL key and on one that comes twice."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    problem = F.when(F.col(key).isNull(), F.lit(f"{name}: a row without {key}")).when(
+        F.col("__place") > 1, F.concat(F.lit(f"{name}: more than one row of {key} "), F.col(key).cast("string"))
+    )
+    checked = df.withColumn("__place", place)
+    return checked.where(F.when(problem.isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(True)).drop("__place")
+
+
 def apply_snapshot(
     history: DataFrame,
     snapshot: DataFrame,
@@ -36,11 +46,13 @@ def apply_snapshot(
 
     The source has no change time, so the values themselves are compared, NULL equal to NULL. One
     full join of the open versions with the snapshot; closed versions are passed through untouched.
+    A snapshot with a NULL or repeated key is refused, and so is a history with two open versions of a
+    key; a NULL ``is_current`` counts as closed.
     """
     day = F.lit(as_of).cast("date")
     columns = [key, *tracked, "valid_from", "valid_to", "is_current"]
-    old = history.where("is_current").select(key, F.struct(*columns).alias("old"))
-    new = first_versions(snapshot, key, tracked, as_of).select(key, F.struct(*columns).alias("new"))
+    old = single_keys(history.where("is_current"), key, "history").select(key, F.struct(*columns).alias("old"))
+    new = first_versions(single_keys(snapshot, key, "snapshot"), key, tracked, as_of).select(key, F.struct(*columns).alias("new"))
     closed = F.struct(
         *[F.col(f"old.{c}").alias(c) for c in (key, *tracked, "valid_from")],
         day.alias("valid_to"), F.lit(False).alias("is_current"),
@@ -56,7 +68,7 @@ def apply_snapshot(
         .otherwise(F.array(closed, F.col("new")))
     )
     open_rows = old.join(new, key, "full").select(F.inline(versions))
-    return history.where(~F.col("is_current")).select(*columns).unionByName(open_rows.select(*columns))
+    return history.where(~F.coalesce("is_current", F.lit(False))).select(*columns).unionByName(open_rows.select(*columns))
 
 
 def changed_rows(snapshot: DataFrame, seen: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
@@ -66,10 +78,19 @@ def changed_rows(snapshot: DataFrame, seen: DataFrame, key: str, tracked: Sequen
 
 
 def rebuild_changed(
-    live: DataFrame, changed: DataFrame, key: str, build: Callable[[DataFrame], DataFrame]
+    live: DataFrame,
+    changed: DataFrame,
+    key: str,
+    build: Callable[[DataFrame], DataFrame],
+    snapshot: DataFrame | None = None,
 ) -> DataFrame:
-    """The live table with the changed keys built anew and all others kept as they are."""
+    """The live table with the changed keys built anew and all others kept as they are.
+
+    With the ``snapshot`` that the changes come from, keys that it no longer has go.
+    """
     kept = live.join(changed.select(key).distinct(), key, "left_anti")
+    if snapshot is not None:
+        kept = kept.join(snapshot.select(key).distinct(), key, "left_semi")
     return kept.unionByName(build(changed).select(*live.columns))
 
 

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.operators.joins import melt
-from siltstone.plans.explore import CLASSES
-from siltstone.plans.marts import CORRELATION_PAIRS, HEIGHT, LIFE, WEIGHT
 
 FRESH_HOURS = 36
 
@@ -35,10 +34,11 @@ def test_total(results: DataFrame) -> DataFrame:
     return results.agg(F.count_if(F.col("status").isin("pass", "warn", "fail")).alias("n_tests"))
 
 
-def transitions(history: DataFrame, order: str = "run_id") -> DataFrame:
-    """Where a check's status differs from its previous run. A check's history is one row per run."""
-    previous = F.lag("status").over(Window.partitionBy("check").orderBy(order))
-    seen = history.select("check", order, "status", previous.alias("previous_status"))
+def transitions(history: DataFrame) -> DataFrame:
+    """Where a check's status differs from its previous run, by the time the runs began. A check's
+    history is one row per run."""
+    previous = F.lag("status").over(Window.partitionBy("check").orderBy("started_at", "run_id"))
+    seen = history.select("check", "run_id", "started_at", "status", previous.alias("previous_status"))
     return seen.where(F.col("previous_status").isNotNull() & (F.col("status") != F.col("previous_status")))
 
 
@@ -53,49 +53,26 @@ def freshness(bronze: DataFrame, as_of: Column | str, max_hours: float = FRESH_H
     )
 
 
-def watched_metrics(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The figures that documents quote, as (metric, value); one small aggregate per table."""
-    raw = tables["raw"].agg(F.count(F.lit(1)).alias("raw rows"))
-    silver = tables["silver"].agg(
-        F.count(F.lit(1)).alias("silver rows"),
-        F.count("weight_min_kg").alias("with weight"),
-        F.count("life_span_min_years").alias("with life span"),
-    )
-    bridge = tables["silver_tags"].agg(
-        F.count(F.lit(1)).alias("bridge rows"),
-        F.count_distinct("tag").alias("distinct tags"),
-    )
-    tagged = tables["silver_tags"].agg(F.count_distinct("entity_id").alias("tagged entities"))
-    dim = tables["dim"].agg(F.count(F.lit(1)).alias("dimension rows"))
-    cov = tables["coverage"].select(
-        F.col("n_plotted").alias("plotted"), F.col("n_excluded").alias("excluded"),
-        F.col("n_with_tags").alias("with tags"),
-    )
+# The tables of figures, with the columns that name a row; the other tables are counted only.
+FIGURES = {"class_summary": ("size_class",), "correlations": ("metric_a", "metric_b"), "class_tags": ("size_class", "tag"), "coverage": ()}
 
-    def cell(column: str, label: str) -> Column:
-        return F.max(F.when(F.col("size_class") == label, F.col(column)))
 
-    summary = tables["class_summary"].agg(
-        *[cell("n_entities", c).alias(f"class {c}") for c in CLASSES],
-        cell("mean_life_span_years", "toy").alias("mean life span toy"),
-        cell("mean_life_span_years", "giant").alias("mean life span giant"),
-        cell("stddev_life_span_years", "small").alias("sd life span small"),
-        cell("stddev_life_span_years", "giant").alias("sd life span giant"),
-    )
-
-    def pair(column: str, a: str, b: str) -> Column:
-        return F.max(F.when((F.col("metric_a") == a) & (F.col("metric_b") == b), F.col(column)))
+def watched_metrics(tables: Mapping[str, DataFrame], figures: Mapping[str, Sequence[str]] = FIGURES) -> DataFrame:
+    """(metric, value): rows of every table, and every number in the tables of figures.
 
-    short = {WEIGHT: "weight", HEIGHT: "height", LIFE: "life span"}
-    corr = tables["correlations"].agg(
-        *[pair("correlation", a, b).alias(f"corr {short[a]} {short[b]}") for a, b in CORRELATION_PAIRS],
-        *[pair("n_entities", a, b).alias(f"n {short[a]} {short[b]}") for a, b in (CORRELATION_PAIRS[0], CORRELATION_PAIRS[2])],
-    )
+    A figure is named by table, key and column, such as ``class_summary.toy.n_entities``.
+    """
     result = None
-    for part in (raw, silver, bridge, tagged, dim, cov, summary, corr):
-        rows = melt(part, [], {c: F.col(f"`{c}`").cast("double") for c in part.columns}, ["metric", "value"])
+    for name, df in tables.items():
+        rows = df.agg(F.lit(f"{name}.rows").alias("metric"), F.count(F.lit(1)).cast("double").alias("value"))
         result = rows if result is None else result.unionByName(rows)
-    return result
+        if name in figures:
+            keys = list(figures[name])
+            numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in keys]
+            long = melt(df, keys, {c: F.col(c).cast("double") for c in numbers}, ["column", "value"])
+            label = F.concat_ws(".", F.lit(name), *keys, "column")
+            result = result.unionByName(long.select(label.alias("metric"), "value"))
+    return result.where(F.col("value").isNotNull())
 
 
 def reconcile_metrics(actual: DataFrame, expected: DataFrame, tolerance: float = 1e-9) -> DataFrame:

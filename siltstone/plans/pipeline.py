@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,8 @@ class Run:
     silver_as: str = "table"
     force_failure: bool = False
     force_warning: bool = False
+    # A second limit on a warning's violations, by check; past it the warning stops the run.
+    error_above: Mapping[str, int] = field(default_factory=dict)
 
     @property
     def root(self) -> str:
@@ -87,21 +90,22 @@ def run(spark: SparkSession, run: Run, bronze: DataFrame | None = None) -> Repor
             ready = _checks_ready(set(tables), done)
             forced = stage == 0
             outcome = run_suite(
-                tables, run.run_id, run.limits, ready, spark=spark,
+                tables, run.run_id, run.limits, ready, run.error_above, spark=spark,
                 force_failure=forced and run.force_failure, force_warning=forced and run.force_warning,
             ).collect()
             done |= {c.name for c in ready}
             results += outcome
             stopped = any(r["status"] in ("fail", "error") for r in outcome)
     except Exception as problem:
-        results.append(_row(run.run_id, "build", "error", "build", "error", None, str(problem)[:500]))
+        results.append(_row(run.run_id, "build", "error", "build", "error", None, str(problem)))
         _store(spark, run, results)
         raise
-    results += [
-        _row(run.run_id, c.name, c.severity, c.role, "skipped", None, "an earlier check failed")
-        for c in CHECKS
-        if c.name not in done
-    ]
+    left = [c for c in CHECKS if c.name not in done]
+    if stopped:
+        results += [_row(run.run_id, c.name, c.severity, c.role, "skipped", None, "an earlier check failed") for c in left]
+    elif left:
+        # Nothing failed, so a check that is left has an input that no stage builds: an error, which blocks.
+        results += run_suite(tables, run.run_id, run.limits, left, run.error_above, spark=spark).collect()
     results += [
         _row(run.run_id, f"table {name}", "error", "build", "skipped", None, "an earlier check failed")
         for names in STAGES
@@ -136,7 +140,7 @@ def _build(name: str, t: dict[str, DataFrame], run: Run) -> DataFrame:
 
 
 def _row(*values):
-    return tuple(values)
+    return (*values, datetime.now(timezone.utc), 0.0)
 
 
 def _store(spark: SparkSession, run: Run, results: list) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.jsontext import json_fields
 from siltstone.functions.numbers import envelope, numbers
-from siltstone.functions.text import missing_score, null_if, to_int
+from siltstone.functions.text import missing_score, null_if, to_id
 from siltstone.operators.dedupe import dedupe
 from siltstone.operators.tags import tag_bridge
 from siltstone.sources.landing import latest_partition
@@ -60,7 +60,7 @@ def cleaned(bronze: DataFrame, spec: SilverSpec = DEFAULT) -> DataFrame:
     raw = json_fields(latest_partition(bronze), "payload", spec.paths, keep=("loaded_at",))
     text = {c: null_if(c, fold=False) for c in ("entity_group", "origin", "country_code", "description")}
     return raw.select(
-        to_int("id").alias("entity_id"),
+        to_id("id").alias("entity_id"),
         F.trim("name").alias("name"),
         null_if("weight", spec.metric_sentinels).alias("weight_raw"),
         null_if("height", spec.metric_sentinels).alias("height_raw"),

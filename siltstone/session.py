@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # The settings the results depend on (time zone, ANSI errors) or the plans rely on (AQE).
 SETTINGS = {
@@ -31,11 +31,15 @@ def build_session(master: str | None = None, app: str = "siltstone", **extra: st
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named in ``spark.checkpoint.dir``.
 
-    Only where none is named (tests, laptops) a fresh temporary folder is made and remembered
-    in the session, so that later callers of the same session see the same one.
+    Only a local session may leave it out (tests, laptops): a fresh temporary folder is made and
+    remembered in the session. On a cluster, where executors would each write to a disk of their own,
+    that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         named = tempfile.mkdtemp(prefix="siltstone-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -44,20 +48,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-
-
-# Inputs up to this size are spread over the cores; the shuffle this takes is never larger.
-SMALL_INPUT = 256 * 1024 * 1024
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a small scan over all cores.
-
-    A small file with one row group is one task, however heavy the parsing behind it. Spark splits
-    larger inputs by itself; they are returned unchanged. The size is the one the scan's own file
-    listing has already found.
-    """
-    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > SMALL_INPUT:
-        return scan
-    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism)

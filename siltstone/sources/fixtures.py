@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.session import spread
 
 FREE_TEXT_TAG = "differs from one individual to the next"
 
@@ -56,11 +55,16 @@ select k as entity_id,
 from (select o_orderkey as k from orders) t
 """
 
-KINDS = {"scaled": SCALED_DOCUMENTS, "defects": DEFECT_DOCUMENTS, "sound": SOUND_DOCUMENTS}
+# The documents of the first run date: those of an earlier run.
+EARLIER_DOCUMENTS = f"select * from ({SCALED_DOCUMENTS}) d where entity_id % 10 <> 0"
+
+KINDS = {"earlier": EARLIER_DOCUMENTS, "scaled": SCALED_DOCUMENTS, "defects": DEFECT_DOCUMENTS, "sound": SOUND_DOCUMENTS}
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/orders.parquet")).select("o_orderkey")
+    keys = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
+    # Keys are small and the documents made from them are not: dealt out, all cores make documents.
+    return keys.repartition(spark.sparkContext.defaultParallelism)
 
 
 def documents(spark: SparkSession, sf_dir: str, kind: str = "scaled") -> DataFrame:
@@ -76,7 +80,7 @@ def bronze(spark: SparkSession, sf_dir: str, kind: str = "scaled") -> DataFrame:
     )
     dated = documents(spark, sf_dir, kind).withColumn("day", F.explode(days))
     return dated.select(
-        F.col("entity_id").cast("int").alias("entity_id"),
+        F.col("entity_id").cast("long").alias("entity_id"),
         "payload",
         F.col("day").cast("date").alias("run_date"),
         (F.col("day").cast("timestamp") + F.expr("interval 2 hours")).alias("loaded_at"),

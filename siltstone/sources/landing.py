@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.functions.text import to_int
+from siltstone.functions.text import to_id
 from siltstone.sources.versions import VersionedDir
 
 # The record count of the first profiled payload, and the part of the
@@ -23,7 +23,7 @@ MIN_RATIO = 0.9
 
 BRONZE_SCHEMA = T.StructType(
     [
-        T.StructField("entity_id", T.IntegerType()),
+        T.StructField("entity_id", T.LongType()),
         T.StructField("payload", T.StringType()),
         T.StructField("loaded_at", T.TimestampType()),
         T.StructField("run_date", T.DateType()),
@@ -46,7 +46,7 @@ def to_bronze(
     stamp = run_date if isinstance(run_date, Column) else F.lit(run_date)
     clock = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at)
     return df.select(
-        to_int(F.get_json_object(column, id_path)).alias("entity_id"),
+        to_id(F.get_json_object(column, id_path)).alias("entity_id"),
         F.col(column).alias("payload"),
         clock.cast("timestamp").alias("loaded_at"),
         stamp.cast("date").alias("run_date"),
@@ -70,10 +70,13 @@ def reference_count(bronze: DataFrame, run_date: date | str, baseline: int = BAS
 def validate_payload(
     df: DataFrame, reference: int | Column, ratio: float = MIN_RATIO, id_path: str = "$.id", column: str = "payload"
 ) -> DataFrame:
-    """One row: the counts, the floor and the first reason to reject (NULL = accepted)."""
+    """One row: the counts, the floor and the first reason to reject (NULL = accepted).
+
+    Ids are judged as the keys they land as: text that is no number is no id, ``1`` and ``01`` are one.
+    """
     wanted = reference if isinstance(reference, Column) else F.lit(reference)
     seen = df.select(
-        F.json_object_keys(column).isNull().alias("odd"), F.get_json_object(column, id_path).alias("id")
+        F.json_object_keys(column).isNull().alias("odd"), to_id(F.get_json_object(column, id_path)).alias("id")
     )
     counts = seen.agg(
         F.count(F.lit(1)).alias("n_records"),
@@ -120,15 +123,22 @@ def latest_partition(df: DataFrame, column: str = "run_date") -> DataFrame:
 
 
 def live_days(spark: SparkSession, base: str) -> list[str]:
-    """The landed run dates, oldest first, from the pointer: no file is opened for it."""
-    return sorted(VersionedDir(spark, base).state().get("days", {}))
+    """The landed run dates, oldest first, by folder name; a day that never became live is left out."""
+    store = VersionedDir(spark, base)
+    days = [f.removeprefix("run_date=") for f in store.files.folders(store.base) if f.startswith("run_date=")]
+    return [day for day in days if _day(spark, base, day).state()]
+
+
+def _day(spark: SparkSession, base: str, day: str) -> VersionedDir:
+    """A day has a folder and a pointer of its own, so that days landed at once share no file."""
+    return VersionedDir(spark, f"{base.rstrip('/')}/run_date={day}")
 
 
 def read_bronze(spark: SparkSession, base: str, days: Sequence[str] | None = None) -> DataFrame:
     """The live days, or some of them. Each day is a partition folder, so a filter on run_date
     prunes files, and days left out here are not even listed."""
-    live = VersionedDir(spark, base).state().get("days", {})
-    wanted = sorted(live) if days is None else [d for d in days if d in live]
+    live = {day: _day(spark, base, day).state().get("version") for day in (live_days(spark, base) if days is None else days)}
+    wanted = sorted(day for day, version in live.items() if version)
     if not wanted:
         return spark.createDataFrame([], BRONZE_SCHEMA)
     root = base.rstrip("/")
@@ -145,27 +155,26 @@ def land_partition(
     baseline: int = BASELINE_COUNT,
     ratio: float = MIN_RATIO,
 ) -> int:
-    """Validate, write, read back, then make this day's new version live.
+    """Write, validate and count what was written, then make this day's new version live.
 
     A second run for the same day replaces the day, other days are not touched, and any failure
     before the pointer moves leaves the earlier data live. Returns the rows landed.
     """
     spark = documents.sparkSession
-    store = VersionedDir(spark, base)
+    store = _day(spark, base, run_date.isoformat())
     earlier = [day for day in live_days(spark, base) if day < run_date.isoformat()]
     wanted = reference_count(read_bronze(spark, base, earlier[-1:]), run_date, baseline).first()
-    report = validate_payload(documents, wanted["reference"], ratio).first()
-    if report["reason"]:
-        raise PayloadRejected(f"{report['reason']}: {report.asDict()} (against {wanted['source']})")
     version = uuid.uuid4().hex
-    folder = f"{store.base}/run_date={run_date.isoformat()}/version={version}"
+    folder = f"{store.base}/version={version}"
     bronze = to_bronze(documents, run_date, loaded_at)
     bronze.drop("run_date").write.mode("errorifexists").parquet(folder)
     written = spark.read.parquet(folder).withColumn("run_date", F.lit(run_date))
+    report = validate_payload(written, wanted["reference"], ratio).first()
+    if report["reason"]:
+        store.files.drop(folder)
+        raise PayloadRejected(f"{report['reason']}: {report.asDict()} (against {wanted['source']})")
     check = verify_partition(written, run_date, report["n_records"]).first()
     if not check["ok"]:
         raise RuntimeError(f"read-back of {run_date} failed: {check.asDict()}")
-    state = store.state()
-    days = {**state.get("days", {}), run_date.isoformat(): version}
-    store.swap({**state, "days": days})
+    store.swap({"version": version})
     return check["n_rows"]

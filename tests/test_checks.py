@@ -149,19 +149,23 @@ def test_unbanded_strict_sees_a_gap(spark):
 
 def test_reconciliation_states(spark, tables):
     actual = observe.watched_metrics(tables)
-    assert actual.count() == 25
-    expected = spark.createDataFrame([("dimension rows", 1.0), ("gone", 2.0)], "metric string, value double")
+    names = [r["metric"] for r in actual.collect()]
+    assert len(names) == len(set(names)) and {f"{t}.rows" for t in tables} <= set(names)
+    assert "class_summary.toy.n_entities" in names and "coverage.n_total" in names
+    expected = spark.createDataFrame([("dim.rows", -1.0), ("gone", 2.0)], "metric string, value double")
     states = {r["metric"]: r["state"] for r in observe.reconcile_metrics(actual, expected).collect()}
-    assert states["dimension rows"] == "differs" and states["gone"] == "missing" and states["raw rows"] == "unexpected"
+    assert states["dim.rows"] == "differs" and states["gone"] == "missing" and states["raw.rows"] == "unexpected"
     assert set(observe.reconcile_metrics(actual, actual).select("state").distinct().collect()[0]) == {"ok"}
 
 
 def test_result_summary_and_transitions(spark):
-    rows = [("r1", "a", "pass"), ("r2", "a", "fail"), ("r3", "a", "fail"), ("r1", "b", "warn"), ("r2", "b", "skipped")]
-    history = spark.createDataFrame(rows, "run_id string, check string, status string")
+    """Runs follow each other by time, whatever their ids."""
+    rows = [("z", 1, "a", "pass"), ("c", 2, "a", "fail"), ("m", 3, "a", "fail"), ("z", 1, "b", "warn"), ("c", 2, "b", "skipped")]
+    history = spark.createDataFrame(rows, "run_id string, started_at long, check string, status string")
+    history = history.withColumn("started_at", F.timestamp_seconds("started_at"))
     moved = observe.transitions(history).collect()
     assert {(r["check"], r["run_id"], r["previous_status"], r["status"]) for r in moved} == {
-        ("a", "r2", "pass", "fail"), ("b", "r2", "warn", "skipped")
+        ("a", "c", "pass", "fail"), ("b", "c", "warn", "skipped")
     }
     assert observe.test_total(history).first()[0] == 4
     assert {r["status"]: r["n"] for r in observe.status_counts(history).collect()} == {"pass": 1, "fail": 2, "warn": 1, "skipped": 1}

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from siltstone.plans import history
@@ -40,3 +41,20 @@ def test_suggested_bands_separate_clusters(spark):
     bands = history.suggest_bands(df, "w", k=3).orderBy("band").collect()
     assert [b["n_rows"] for b in bands] == [5, 5, 5]
     assert bands[0]["low"] is None and bands[0]["high"] == bands[1]["low"]
+
+
+@pytest.mark.parametrize("rows", [[(None, "a")], [(1, "a"), (1, "b")]])
+def test_snapshots_with_bad_keys_are_refused(spark, rows):
+    good = spark.createDataFrame([(1, "a")], "id int, v string")
+    bad = spark.createDataFrame(rows, "id int, v string")
+    hist = first_versions(good, "id", ["v"], "2024-01-01")
+    with pytest.raises(Exception, match="snapshot: (a row without|more than one row of) id"):
+        apply_snapshot(hist, bad, "id", ["v"], "2024-01-02").collect()
+
+
+def test_deleted_keys_leave_the_live_table(spark):
+    old = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "id int, v int")
+    new = spark.createDataFrame([(1, 1), (2, 5)], "id int, v int")
+    changed = changed_rows(new, old.withColumn("row_hash", row_hash(["v"])), "id", ["v"])
+    built = rebuild_changed(old, changed, "id", lambda d: d.select("id", "v"), new)
+    assert sorted(tuple(r) for r in built.collect()) == [(1, 1), (2, 5)]

@@ -1,6 +1,7 @@
 """Landing: validation, idempotence, crash safety, latest day, the stream."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 import pytest
@@ -139,3 +140,34 @@ def test_stream_lands_each_day_once(spark, tmp_path):
     arrive("2024-01-02", "b.json", range(6, 9))
     go()
     assert state(spark, base) == {"2024-01-01": 5, "2024-01-02": 9}
+
+
+def test_keys_past_32_bits_land_exactly(spark, tmp_path):
+    base = str(tmp_path / "bronze")
+    ids = [3_000_000_000, 2**53 + 1, 2**53 + 2, 7]
+    assert land_partition(docs(spark, ids), base, D1, T, baseline=1) == 4
+    assert sorted(r["entity_id"] for r in read_bronze(spark, base).collect()) == sorted(ids)
+
+
+@pytest.mark.parametrize("extra,reason", [(['{"id":"abc"}'], "without an id"), (['{"id":"01"}'], "more than once")])
+def test_ids_are_judged_as_the_keys_they_land_as(spark, tmp_path, extra, reason):
+    with pytest.raises(PayloadRejected, match=reason):
+        land_partition(docs(spark, [1, 2, 3], extra), str(tmp_path / "bronze"), D1, T, baseline=1)
+
+
+def test_days_landed_at_once_are_all_there(spark, tmp_path):
+    base = str(tmp_path / "bronze")
+    days = [date(2024, 1, d) for d in range(1, 7)]
+    with ThreadPoolExecutor(6) as pool:
+        assert list(pool.map(lambda d: land_partition(docs(spark, range(5)), base, d, T, baseline=5), days)) == [5] * 6
+    assert state(spark, base) == {d.isoformat(): 5 for d in days}
+
+
+def test_the_stream_goes_on_past_a_rejected_day(spark, tmp_path):
+    arrivals = tmp_path / "in"
+    for day, ids in (("2024-01-01", ["x"]), ("2024-01-02", [1, 2, 3])):
+        folder = arrivals / f"run_date={day}"
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text("\n".join(json.dumps({"id": str(i)}) for i in ids))
+    land_arrivals(spark, str(arrivals), str(tmp_path / "b"), str(tmp_path / "c"), T, baseline=1).awaitTermination()
+    assert state(spark, str(tmp_path / "b")) == {"2024-01-02": 3}

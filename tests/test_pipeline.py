@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.plans import pipeline
+from siltstone.plans import checks, pipeline
 from siltstone.plans.checks import CHECKS
 from siltstone.plans.contracts import CONTRACTS, ContractBroken, differences, enforce
 from siltstone.plans.pipeline import GOLD, Run, run
@@ -141,3 +141,19 @@ def test_packaged_seeds(spark):
     assert [f.dataType for f in bands.schema] == [f.dataType for f in BAND_SCHEMA]
     assert [tuple(r) for r in bands.orderBy("min_kg").collect()][-1] == ("giant", 45, 999)
     assert curated_tags(spark).count() == 5
+
+
+def test_a_check_whose_input_no_stage_builds_blocks(spark, sf, tmp_path, monkeypatch):
+    extra = checks.Check("orphan", "error", "drill", ("never_built",), lambda t, limits: t["never_built"])
+    monkeypatch.setattr(pipeline, "CHECKS", (*CHECKS, extra))
+    _, report = go(spark, sf, tmp_path, run_id="o")
+    assert not report.published and statuses(report)["orphan"] == "error"
+
+
+def test_a_second_limit_stops_a_run(spark, sf, tmp_path):
+    _, report = go(spark, sf, tmp_path, kind="scaled", run_id="l1")
+    warned = [r for r in report.results if r["status"] == "warn"]
+    assert all(r["started_at"] is not None and r["seconds"] >= 0 for r in report.results)
+    if warned:
+        _, report = go(spark, sf, tmp_path, kind="scaled", run_id="l2", error_above={warned[0]["check"]: 0})
+        assert not report.published and statuses(report)[warned[0]["check"]] == "fail"
