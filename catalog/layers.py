@@ -91,9 +91,15 @@ def reference(spark, sf):
 
 
 @query("reference_baseline", """
-    select cast(628 + 0 * count(*) as bigint) as reference, 'baseline' as source from bronze where run_date < date '2024-01-01'""")
+    select d.day, coalesce(n, 628) as reference, coalesce('partition ' || strftime(e.run_date, '%Y-%m-%d'), 'baseline') as source
+    from (values ('2024-01-01'), ('2024-01-02'), ('2024-01-03')) d(day)
+    left join (select run_date, count(*) as n from bronze group by run_date) e
+      on e.run_date = cast(d.day as date) - interval 1 day""")
 def reference_baseline(spark, sf):
-    return reference_count(Layers(spark, sf).bronze, "2024-01-01")
+    """What each of three runs is held against: the first has nothing before it, the others the day before."""
+    bronze = Layers(spark, sf).bronze
+    days = [reference_count(bronze, d).select(F.lit(d).alias("day"), "*") for d in ("2024-01-01", "2024-01-02", "2024-01-03")]
+    return days[0].union(days[1]).union(days[2])
 
 
 @query("verify_partition", """

@@ -13,6 +13,7 @@ from siltstone.operators.stats import group_summary, quantiles
 from siltstone.operators.tags import inconsistent_casing, tag_statistics
 from siltstone.plans.checks import unit_ratios
 from siltstone.sources import fixtures
+from siltstone.sources.landing import latest_partition
 
 # ---- columns, keys --------------------------------------------------------------------------
 
@@ -92,14 +93,33 @@ def mismatches(spark, sf):
     return mismatch_count(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus")
 
 
-@query("sentinel_rows", """
-    select entity_id, name, field from (
-      select entity_id, name, 'weight' as field, lower(trim(weight_raw)) as v from clean
-      union all select entity_id, name, 'life_span', lower(trim(life_span_raw)) from clean)
-    where v in ('unknown', 'n/a', 'na', 'none', '-', '?', 'varies')""", kind="defects")
+# The measures as the documents hold them; cleaning has already made sentinels NULL.
+_RAW_MEASURES = {"weight": "weight.metric", "height": "height.metric", "life_span": "life_span"}
+
+
+def _sentinels_sql():
+    parts = " union all ".join(
+        f"select {js('id')} as id, {js('name')} as name, '{field}' as field, lower(trim({js(path)})) as v from newest"
+        for field, path in _RAW_MEASURES.items()
+    )
+    return f"select id, name, field from ({parts}) where v in ('unknown', 'n/a', 'na', 'none', '-', '?', 'varies')"
+
+
+def _raw_sentinels(spark, sf, kind):
+    raw = latest_partition(Layers(spark, sf, kind).bronze)
+    paths = {"id": "id", "name": "name", **_RAW_MEASURES}
+    rows = raw.select(*[F.get_json_object("payload", f"$.{path}").alias(c) for c, path in paths.items()])
+    return profile.sentinel_rows(rows, ["id", "name"], {c: c for c in _RAW_MEASURES})
+
+
+@query("sentinel_rows", _sentinels_sql(), kind="defects")
 def sentinels(spark, sf):
-    rows = Layers(spark, sf, "defects").cleaned
-    return profile.sentinel_rows(rows, ["entity_id", "name"], {"weight": "weight_raw", "life_span": "life_span_raw"})
+    return _raw_sentinels(spark, sf, "defects")
+
+
+@query("sentinel_rows_scaled", _sentinels_sql())
+def sentinels_scaled(spark, sf):
+    return _raw_sentinels(spark, sf, "scaled")
 
 
 # ---- formats, shapes ------------------------------------------------------------------------
