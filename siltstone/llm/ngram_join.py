@@ -155,7 +155,7 @@ def _verify(threshold: float):
                 continue
             size = np.array([len(s) for s in sets], np.float32)
             both = shared_counts([sets[x] for x in a], [sets[x] for x in b])
-            # In whole numbers: threshold = 0.8 compares 5 * both >= 4 * union, without rounding.
+            # Counts are whole, so a margin far below one part in their number only undoes rounding.
             union = size[a][:, None] + size[b][None, :] - both
             linked = both.astype(np.float64) >= threshold * union.astype(np.float64) - 1e-9
             if i == j:
