@@ -158,8 +158,8 @@ BLOCKS: dict[str, str] = {
     "clean": f"""
         select cast({js('id')} as bigint) as entity_id,
                trim({js('name')}) as name,
-               case lower(trim({js('weight.metric')})) when 'unknown' then null else lower(trim({js('weight.metric')})) end as weight_raw,
-               case lower(trim({js('height.metric')})) when 'unknown' then null else lower(trim({js('height.metric')})) end as height_raw,
+               nullif(lower(trim({js('weight.metric')})), 'unknown') as weight_raw,
+               nullif(lower(trim({js('height.metric')})), 'unknown') as height_raw,
                {blank_to_null('life_span')} as life_span_raw,
                {blank_to_null('breed_group')} as entity_group,
                {blank_to_null('origin')} as origin,
@@ -196,7 +196,7 @@ BLOCKS: dict[str, str] = {
     "summary": """
         select size_class, count(*) as n_entities, count(life_span_mid_years) as n_with_life_span,
                round(avg(life_span_mid_years), 2) as mean_life_span_years,
-               round(quantile_cont(life_span_mid_years, 0.5), 2) as median_life_span_years,
+               round(median(life_span_mid_years), 2) as median_life_span_years,
                round(stddev_samp(life_span_mid_years), 2) as stddev_life_span_years,
                min(life_span_mid_years) as min_life_span_years, max(life_span_mid_years) as max_life_span_years,
                round(avg(weight_mid_kg), 2) as mean_weight_kg, round(avg(height_mid_cm), 2) as mean_height_cm
