@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .common import Words, groups, stored, texts_of
 
 RUN = 8
+SEPARATOR = "\n\n"
 LEAST_PAGES = 10
 LEAST_SHARE = 0.6
 SHARD_CHARS = 2_000_000
@@ -251,7 +252,7 @@ def _joined(run: int, least_pages: int, least_share: float):
         for group in groups(batches, ["host", "shard"]):
             pages = unique_runs(group.column("blocks").to_pylist(), run, least_pages, least_share)
             yield pa.RecordBatch.from_arrays(
-                [group.column("id").combine_chunks(), group.column("url").combine_chunks(), pa.array(["\n".join(p) for p in pages], pa.string())],
+                [group.column("id").combine_chunks(), group.column("url").combine_chunks(), pa.array([SEPARATOR.join(p) for p in pages], pa.string())],
                 names=["id", "url", "text"],
             )
 
@@ -267,7 +268,7 @@ def main_text(
     least_pages: int = LEAST_PAGES,
     least_share: float = LEAST_SHARE,
 ) -> DataFrame:
-    """Per page: id, url, text.
+    """Per page: id, url, text; an empty line stands between two blocks.
 
     Blocks come from the markup: those of the article (without one, of ``main``, then of the body)
     outside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.

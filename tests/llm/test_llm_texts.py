@@ -183,7 +183,7 @@ def test_runs_of_most_pages_go_and_shared_passages_stay(spark):
     for i in range(30):
         own, more = body(), passage if i % 5 == 0 else body()
         rows.append((i, "http://a.example/x", f"<div><p>{own}</p><p>{notice}</p><p>{more}</p></div>"))
-        expected[i] = f"{own}\n{more}"
+        expected[i] = f"{own}\n\n{more}"
     rows += [(40, "http://a.example/y", rows[0][2]), (41, None, "<p>alone</p>"), (42, "no host", None), (43, "http://b.example", "")]
     expected |= {40: expected[0], 41: "alone", 42: "", 43: ""}
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, host string").repartition(3)
@@ -198,7 +198,7 @@ def test_pages_of_the_table_give_their_articles(spark, sf):
         article = re.search(r"(?s)<article>(.*?)</article>", r.html)[1]
         blocks = [re.sub(r"</?b>", "", x).replace("<br>", " ") for x in re.split(r"</?(?:p|h1)>", article)]
         blocks = [" ".join(html.unescape(b).split()) for b in blocks]
-        assert got[r.page_id] == "\n".join(b for b in blocks if b)
+        assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
 
 
 def labelled(n=600):
