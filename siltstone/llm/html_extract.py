@@ -277,8 +277,9 @@ def main_text(
     pages share, and ``least_pages`` of them, are boilerplate too and are cut. Passages that fewer pages
     share, and pages that are copies of each other, lose nothing.
 
-    A large host is dealt by a hash of its pages into shards of about ``SHARD_CHARS`` characters, each a
-    fair sample of the host with a suffix array of its own, so no task holds a whole host. A null page
+    A large host is dealt by a hash of its rows into shards of about ``SHARD_CHARS`` characters, each a
+    fair sample of the host with a suffix array of its own, so no task holds a whole host, nor all the
+    copies of a page: those spread over the host's shards and count as one page in each. A null page
     is empty and gives an empty text; a null url is a host of its own. Every row gives a row.
     """
     source = pages.select(
@@ -288,7 +289,7 @@ def main_text(
     shards = source.groupBy("host").agg(F.ceil(F.coalesce(F.sum(F.length("html")), F.lit(0)) / SHARD_CHARS).alias("shards"))
     # Read back, its size is known, and Spark decides by it whether the pages need to move for this join.
     dealt = source.join(stored(shards, "shards"), "host").select(
-        "host", F.pmod(F.xxhash64("html"), F.greatest("shards", F.lit(1))).cast("long").alias("shard"), "id", "url", "html"
+        "host", F.pmod(F.xxhash64("id", "url", "html"), F.greatest("shards", F.lit(1))).cast("long").alias("shard"), "id", "url", "html"
     )
     parsed = dealt.mapInArrow(_parsed, "host string, shard long, id long, url string, blocks array<string>")
     together = parsed.repartition("host", "shard").sortWithinPartitions("host", "shard", "id")
