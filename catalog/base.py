@@ -141,10 +141,6 @@ def blank_to_null(path: str) -> str:
     return f"case when trim({js(path)}) <> '' then trim({js(path)}) end"
 
 
-def band_of(x: str) -> str:
-    return f"(select max(label) from bands where {x} >= min_kg and {x} < max_kg)"
-
-
 BLOCKS: dict[str, str] = {
     "fx": SCALED_DOCUMENTS,
     "bands": BANDS_SQL,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.base import Layers, query, table
@@ -70,3 +71,13 @@ def rebuild_changed(spark, sf):
 @query("suggest_bands")
 def suggest_bands(spark, sf):
     return history.suggest_bands(Layers(spark, sf).dim, "weight_mid_kg")
+
+
+@query("suggest_bands_hold", "select 5::bigint as n_bands, count(weight_mid_kg) as n_rows, true as ordered from dim")
+def suggest_bands_hold(spark, sf):
+    """Whatever the centres are: each lies inside its band, the bands meet, and every measured row is in one."""
+    bands = history.suggest_bands(Layers(spark, sf).dim, "weight_mid_kg")
+    inside = (F.coalesce("low", F.col("centre")) <= F.col("centre")) & (F.coalesce("high", F.col("centre")) >= F.col("centre"))
+    meets = F.col("low").eqNullSafe(F.lag("high").over(Window.orderBy("band")))
+    seen = bands.select("n_rows", (inside & meets).alias("holds"))
+    return seen.agg(F.count(F.lit(1)).alias("n_bands"), F.sum("n_rows").alias("n_rows"), F.bool_and("holds").alias("ordered"))

@@ -173,6 +173,14 @@ def published_gold(spark, sf):
     return read_published(spark, run.gold, "class_summary")
 
 
+@query("dev_gold", "select * from shares", kind="sound")
+def dev_gold(spark, sf):
+    """A run in dev builds straight into what its readers see."""
+    run = pipeline.Run(scratch_path(spark, "run"), target="dev", spec=SPEC, run_date=date(2024, 1, 2))
+    pipeline.run(spark, run, Layers(spark, sf, "sound").bronze)
+    return read_published(spark, run.gold, "class_tags")
+
+
 # ---- scalar functions -----------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import NUM, Layers, js, query, rounded, table
+from catalog.base import NUM, Layers, js, query, rounded, shown_time, table
 from siltstone.functions.jsontext import json_fields
 from siltstone.operators import profile
 from siltstone.operators.dedupe import dedupe, duplicate_detail, duplicates
@@ -77,7 +77,7 @@ def check_key_lineitem(spark, sf):
 
 _CONSTANT = [
     "entity_id", "name", "weight_raw", "height_raw", "life_span_raw", "entity_group", "origin",
-    "country_code", "description", "tags_raw", "image_url", "n_missing_fields",
+    "country_code", "description", "tags_raw", "image_url", "n_missing_fields", "loaded_at",
 ]
 
 
@@ -282,11 +282,12 @@ def duplicate_parts(spark, sf):
 
 # ---- samples --------------------------------------------------------------------------------
 
-_SAMPLED = ["entity_id", "name", "weight_raw", "height_raw", "life_span_raw", "origin", "tags_raw", "image_url"]
+_SAMPLED = _CONSTANT
 
 
 @query("sample_records", f"""
-    select * from (with s as (select *, cast({' + '.join(f"(coalesce(cast({c} as varchar), '') = '')::int" for c in _SAMPLED)} as integer) as sparsity from clean),
+    select * from (with shown as (select * replace (strftime(loaded_at, '%Y-%m-%d %H:%M:%S') as loaded_at) from clean),
+    s as (select *, cast({' + '.join(f"(coalesce(cast({c} as varchar), '') = '')::int" for c in _SAMPLED)} as integer) as sparsity from shown),
     r as (select *, row_number() over (order by sparsity, entity_id) as up, count(*) over () as n from s),
     c as (select entity_id, case when up = 1 then 1 when up = n then 2 when up = n - 1 then 3 when up = n // 2 + 1 then 4 end as role from r
           union all select entity_id, 4 + row_number() over (order by up) from r where trim(coalesce(tags_raw, '')) <> ''),
@@ -295,7 +296,7 @@ _SAMPLED = ["entity_id", "name", "weight_raw", "height_raw", "life_span_raw", "o
            ['richest', 'sparsest', 'second sparsest', 'middle', 'with tags'][least(p.role, 5)] as picked_as
     from p join s using (entity_id))""")
 def samples(spark, sf):
-    rows = Layers(spark, sf).cleaned.select(*_SAMPLED)
+    rows = Layers(spark, sf).cleaned.select(*_SAMPLED).withColumn("loaded_at", shown_time("loaded_at"))
     return profile.sample_records(rows, _SAMPLED, "entity_id", "tags_raw")
 
 

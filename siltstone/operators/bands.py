@@ -7,27 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Band tables up to this many rows become a CASE expression; larger ones are looked up by join.
-MAX_CASE_BANDS = 64
-
-
-def _case(x: Column, bands: list[tuple[str, float, float]]) -> Column:
-    """CASE over the bands; a value inside two of them raises, like a lookup with two hits."""
-    ordered = sorted(bands, key=lambda b: (b[1], b[2]))
-    result = None
-    for i, (_, low, high) in enumerate(ordered):
-        for _, low2, high2 in ordered[i + 1 :]:
-            both_low, both_high = max(low, low2), min(high, high2)
-            if both_low < both_high:
-                clash = F.raise_error(
-                    F.concat(F.lit("more than one band holds the value "), x.cast("string"))
-                ).cast("string")
-                hit = (x >= both_low) & (x < both_high)
-                result = F.when(hit, clash) if result is None else result.when(hit, clash)
-    for label, low, high in ordered:
-        hit = (x >= low) & (x < high)
-        result = F.when(hit, F.lit(label)) if result is None else result.when(hit, F.lit(label))
-    return F.lit(None).cast("string") if result is None else result
+# Band tables are configuration: one of more rows than this is refused.
+MAX_BANDS = 4096
+
+_SEVERAL = object()
+
+
+def _segments(bands: Sequence[tuple]) -> tuple[list, list]:
+    """The edges of all (label, low, high) in order, and what holds below the first and from each one on:
+    a label, None, or the mark for several bands."""
+    starts: dict = {}
+    ends: dict = {}
+    for i, (_, low, high) in enumerate(bands):
+        if low is not None and high is not None and low < high:
+            starts.setdefault(low, []).append(i)
+            ends.setdefault(high, []).append(i)
+    edges = sorted({*starts, *ends})
+    held: dict = {}
+    values: list = [None]
+    for edge in edges:
+        for i in ends.get(edge, ()):
+            del held[i]
+        held.update((i, bands[i][0]) for i in starts.get(edge, ()))
+        values.append(_SEVERAL if len(held) > 1 else next(iter(held.values()), None))
+    return edges, values
+
+
+def _by_halving(x: Column, edges: list, values: list) -> Column:
+    """Nested CASE that halves the edges, so a row takes as many tests as the logarithm of their number."""
+    if not edges:
+        if values[0] is _SEVERAL:
+            text = F.concat(F.lit("more than one band holds the value "), x.cast("string"))
+            return F.raise_error(text).cast("string")
+        return F.lit(values[0]).cast("string")
+    middle = len(edges) // 2
+    below = _by_halving(x, edges[:middle], values[: middle + 1])
+    return F.when(x < edges[middle], below).otherwise(_by_halving(x, edges[middle + 1 :], values[middle + 1 :]))
 
 
 def classify_bands(
@@ -42,23 +57,15 @@ def classify_bands(
 ) -> DataFrame:
     """Label each row with the one band that holds its measure.
 
-    NULL measure -> ``unknown``; no band -> NULL; two bands -> the query fails. A small band
-    table becomes a CASE in the same code-generated stage. Past ``MAX_CASE_BANDS`` rows it stays
-    a scalar lookup, which Spark plans as a single-match join and checks itself.
+    NULL measure -> ``unknown``; no band -> NULL; two bands -> the query fails. The band table is read
+    when the query is built and becomes one expression in the code-generated stage of the rows, without
+    a join; a table of more than ``MAX_BANDS`` rows is a ValueError.
     """
-    rows = bands.select(label, low, high).limit(MAX_CASE_BANDS + 1).collect()
+    rows = bands.select(label, low, high).limit(MAX_BANDS + 1).collect()
+    if len(rows) > MAX_BANDS:
+        raise ValueError(f"more than {MAX_BANDS} bands")
     x = F.col(measure)
-    if len(rows) <= MAX_CASE_BANDS:
-        usable = [(r[0], r[1], r[2]) for r in rows if r[1] is not None and r[2] is not None]
-        found = _case(x, usable)
-    else:
-        found = _lookup(measure, bands, low, high, label)
-    return df.withColumn(out, F.when(x.isNull(), F.lit(unknown)).otherwise(found))
-
-
-def _lookup(measure: str, bands: DataFrame, low: str, high: str, label: str) -> Column:
-    x = F.col(measure).outer()
-    return bands.where((x >= F.col(low)) & (x < F.col(high))).select(label).scalar()
+    return df.withColumn(out, F.when(x.isNull(), F.lit(unknown)).otherwise(_by_halving(x, *_segments(rows))))
 
 
 def bucketize(column: Column | str, cuts: Sequence[float], labels: Sequence[str], floor: float = 0.0) -> Column:

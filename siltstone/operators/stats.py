@@ -307,18 +307,20 @@ def reference_row(df: DataFrame, column: str, key: str) -> DataFrame:
 def power_curve(df: DataFrame, x: str, y: str, key: str, points: int = 60) -> DataFrame:
     """Cube law and fitted power law on an even grid, both through the reference row."""
     good = df.where((F.col(x) > 0) & (F.col(y) > 0))
-    anchor = reference_row(good, x, key)
-    ref_x, ref_y = anchor.select(x).scalar(), anchor.select(y).scalar()
-    slope = loglog_fit(good, x, y).select("exponent").scalar()
-    ends = good.agg(F.min(x).cast("double").alias("lo"), F.max(x).cast("double").alias("hi"))
-    grid = ends.select(
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"), "lo", "hi"
-    ).select("point", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / (points - 1)).alias(x))
-    ratio = F.col(x) / ref_x
+    anchor = reference_row(good, x, key).select(F.struct(F.col(x).alias("x"), F.col(y).alias("y"))).scalar()
+    facts = good.agg(
+        F.min(x).cast("double").alias("lo"), F.max(x).cast("double").alias("hi"),
+        F.regr_slope(F.ln(y), F.ln(x)).alias("slope"),
+    )
+    at = (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / (points - 1)).alias(x)
+    grid = facts.select(F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"), "lo", "hi", "slope")
+    # One reference to the anchor, which Spark would else plan once for each use.
+    grid = grid.select("point", "slope", at, anchor.alias("anchor"))
+    ratio = F.col(x) / F.col("anchor.x")
     return grid.select(
         "point", x,
-        (ref_y * F.pow(ratio, F.lit(3.0))).alias("cube_law"),
-        (ref_y * F.pow(ratio, slope)).alias("fitted"),
+        (F.col("anchor.y") * F.pow(ratio, F.lit(3.0))).alias("cube_law"),
+        (F.col("anchor.y") * F.pow(ratio, F.col("slope"))).alias("fitted"),
     )
 
 
@@ -326,12 +328,13 @@ def scaled_up(df: DataFrame, x: str, y: str, key: str, above: float) -> DataFram
     """The smallest row scaled by the cube law to the mean size of rows above a cut, beside the
     real mean there."""
     small = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).orderBy(x, key).limit(1)
-    tall = df.where((F.col(x) > above) & F.col(y).isNotNull()).agg(F.avg(x).alias("tall_x"), F.avg(y).alias("tall_y"))
-    factor = tall.select("tall_x").scalar() / F.col(x)
-    return small.select(
+    tall = df.where((F.col(x) > above) & F.col(y).isNotNull()).agg(F.struct(F.avg(x).alias("x"), F.avg(y).alias("y")))
+    both = small.select(key, x, y, tall.scalar().alias("tall"))
+    factor = F.col("tall.x") / F.col(x)
+    return both.select(
         key, x, y, factor.alias("factor"),
         (F.col(y) * F.pow(factor, F.lit(3.0))).alias("by_cube_law"),
-        tall.select("tall_y").scalar().alias("real_mean"),
+        F.col("tall.y").alias("real_mean"),
     )
 
 

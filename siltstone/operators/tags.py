@@ -198,7 +198,7 @@ def pair_lift(
     class if both its tags do, so the tags that reach it in no class are removed from every row
     before pairs are made; this loses no result. The kept tags number at most
     (tags per entity / min_support) per class, which bounds both the list sent to the tasks and
-    the pairs a long row can give. Pairs are made inside the row, without a self-join.
+    the pairs a long row can give. Without a support nothing is gathered. Pairs are made inside the row, without a self-join.
     """
     known = F.col(cls).isNotNull() if classes is None else F.col(cls).isin(list(classes))
     banded = rows.where(known).select(
@@ -207,12 +207,10 @@ def pair_lift(
     counts = class_tag_counts(banded, cls)
     sizes = class_sizes(counts, cls)
     reaches = F.col("tag").isNotNull() & (F.col("n") >= min_support * F.col("n_class"))
-    facts = counts.join(sizes, cls).agg(
-        F.struct(
-            F.collect_set(F.when(reaches, F.col("tag"))).alias("frequent"),
-            F.sum(F.when(F.col("tag").isNull(), F.col("n"))).alias("n_rows"),
-        )
-    ).scalar()
+    gathered = [F.sum(F.when(F.col("tag").isNull(), F.col("n"))).alias("n_rows")]
+    if min_support > 0:
+        gathered.append(F.collect_set(F.when(reaches, F.col("tag"))).alias("frequent"))
+    facts = counts.join(sizes, cls).agg(F.struct(*gathered)).scalar()
     if min_support > 0:
         banded = banded.withColumn("tags", F.array_intersect("tags", facts["frequent"]))
     pairs = F.flatten(

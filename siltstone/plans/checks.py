@@ -156,8 +156,8 @@ def _entity_lost(t: Tables, _: Limits) -> DataFrame:
 
 
 def _source_tag_repeated(t: Tables, _: Limits) -> DataFrame:
-    """Splits the source text again, because the bridge no longer shows a repeat. Repeats are
-    counted in the row they stand in, then summed per entity."""
+    """Splits the source text again, because the bridge no longer shows a repeat. A key that is itself
+    repeated may hold a tag in several rows, so tags are counted per key and not in their row."""
     parts = F.split("tags_raw", ",")
     tags = each_tag(t["silver"], ["entity_id"], parts, "part")
     folded = tags.select("entity_id", F.lower(F.trim("part")).alias("tag")).where("tag <> ''")

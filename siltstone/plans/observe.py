@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.operators.joins import melt
+from siltstone.operators.joins import melt, union_all
 
 FRESH_HOURS = 36
 
@@ -62,17 +62,16 @@ def watched_metrics(tables: Mapping[str, DataFrame], figures: Mapping[str, Seque
 
     A figure is named by table, key and column, such as ``class_summary.toy.n_entities``.
     """
-    result = None
+    parts = []
     for name, df in tables.items():
-        rows = df.agg(F.lit(f"{name}.rows").alias("metric"), F.count(F.lit(1)).cast("double").alias("value"))
-        result = rows if result is None else result.unionByName(rows)
+        parts.append(df.agg(F.lit(f"{name}.rows").alias("metric"), F.count(F.lit(1)).cast("double").alias("value")))
         if name in figures:
             keys = list(figures[name])
             numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in keys]
             long = melt(df, keys, {c: F.col(c).cast("double") for c in numbers}, ["column", "value"])
             label = F.concat_ws(".", F.lit(name), *keys, "column")
-            result = result.unionByName(long.select(label.alias("metric"), "value"))
-    return result.where(F.col("value").isNotNull())
+            parts.append(long.select(label.alias("metric"), "value"))
+    return union_all(*parts).where(F.col("value").isNotNull())
 
 
 def reconcile_metrics(actual: DataFrame, expected: DataFrame, tolerance: float = 1e-9) -> DataFrame:

@@ -69,7 +69,8 @@ def _checks_ready(have: set[str], done: set[str]):
 
 def run(spark: SparkSession, run: Run, bronze: DataFrame | None = None) -> Report:
     """Build and check in stages; a failing check stops the stages after it, whose tables and
-    checks are reported as skipped. Results are stored in every case."""
+    checks are reported as skipped. Results are stored in every case. A run that another one has overtaken
+    raises instead of publishing over it."""
     if run.target not in ("prod", "dev"):
         raise ValueError(f"unknown target: {run.target}")
     if bronze is None:
@@ -78,6 +79,7 @@ def run(spark: SparkSession, run: Run, bronze: DataFrame | None = None) -> Repor
     tables: dict[str, DataFrame] = {"raw": bronze, "bands": size_bands(spark), "curated": curated_tags(spark)}
     if run.target == "dev":
         VersionedDir(spark, run.gold).swap({"version": run.run_id})
+    before = VersionedDir(spark, run.gold).state()
     results: list = []
     done: set[str] = set()
     stopped = False
@@ -115,7 +117,7 @@ def run(spark: SparkSession, run: Run, bronze: DataFrame | None = None) -> Repor
     stored = _store(spark, run, results)
     if run.target == "dev" or blocking(stored).limit(1).count():
         return Report(run.target == "dev" and not stopped, stored.collect(), [])
-    live = publish(spark, run.gold, run.run_id, GOLD, drop_old=False)
+    live = publish(spark, run.gold, run.run_id, GOLD, seen=before)
     return Report(True, stored.collect(), live)
 
 

@@ -27,12 +27,18 @@ def materialize(df: DataFrame, name: str, how: str, folder: str) -> DataFrame:
 
 
 def publish(
-    spark: SparkSession, base: str, version: str, tables: Sequence[str] | None = None, drop_old: bool = False
+    spark: SparkSession,
+    base: str,
+    version: str,
+    tables: Sequence[str] | None = None,
+    drop_old: bool = False,
+    seen: dict | None = None,
 ) -> list[str]:
     """Make a shadow version live, all tables at once, by one pointer swap.
 
     The table list is found in the shadow. A shadow without tables, or without one that was asked
-    for, is an error and leaves the live version as it is.
+    for, is an error and leaves the live version as it is, as is a live state other than ``seen``, the
+    one the shadow was built after.
     """
     store = VersionedDir(spark, base)
     found = store.tables(version)
@@ -42,7 +48,7 @@ def publish(
     if lacking:
         raise NothingToPublish(f"not built: {', '.join(lacking)}")
     state = store.state()
-    store.swap({**state, "version": version, "tables": found})
+    store.swap({**state, "version": version, "tables": found}, state if seen is None else seen)
     if drop_old and state.get("version") not in (None, version):
         store.files.drop(f"{store.base}/{state['version']}")
     return found

@@ -62,6 +62,10 @@ class _Files:
         self._fs.delete(self.path(name), True)
 
 
+class Superseded(RuntimeError):
+    """Another writer has moved the pointer since it was read."""
+
+
 class VersionedDir:
     """A folder with ``CURRENT`` (JSON) naming what is live below it."""
 
@@ -74,7 +78,11 @@ class VersionedDir:
         pointer = f"{self.base}/{POINTER}"
         return json.loads(self.files.read(pointer)) if self.files.exists(pointer) else {}
 
-    def swap(self, state: dict) -> None:
+    def swap(self, state: dict, seen: dict | None = None) -> None:
+        """Make ``state`` live; with ``seen`` only while that is what is live. The look and the rename are two
+        steps: of writers that swap in the same instant the later one wins."""
+        if seen is not None and self.state() != seen:
+            raise Superseded(f"{self.base} has changed since it was read")
         self.files.replace(f"{self.base}/{POINTER}", json.dumps(state, sort_keys=True))
 
     def tables(self, version: str) -> list[str]:

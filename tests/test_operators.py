@@ -21,27 +21,37 @@ EDGES = [
 ]
 
 
-@pytest.mark.parametrize("limit", [64, 2])
-def test_band_edges_by_case_and_by_lookup(spark, monkeypatch, limit):
-    monkeypatch.setattr("siltstone.operators.bands.MAX_CASE_BANDS", limit)
+def test_band_edges(spark):
     df = spark.createDataFrame([(x,) for x, _ in EDGES], "w double")
     found = classify_bands(df, "w", size_bands(spark))
-    got = {r["w"]: r["size_class"] for r in found.collect()}
-    assert got == dict(EDGES)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert ("LeftSingle" in plan) == (limit == 2)
+    assert {r["w"]: r["size_class"] for r in found.collect()} == dict(EDGES)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("limit", [64, 2])
-def test_overlapping_bands_fail_and_never_double_rows(spark, monkeypatch, limit):
-    monkeypatch.setattr("siltstone.operators.bands.MAX_CASE_BANDS", limit)
+def test_overlapping_bands_fail_and_never_double_rows(spark):
     bands = spark.createDataFrame([("a", 0, 12), ("b", 5, 20), ("c", 20, 30)], "label string, min_kg int, max_kg int")
-    ok = spark.createDataFrame([(1.0,), (25.0,)], "w double")
-    assert sorted(r["size_class"] for r in classify_bands(ok, "w", bands).collect()) == ["a", "c"]
+    ok = spark.createDataFrame([(1.0,), (25.0,), (15.0,)], "w double")
+    assert sorted(r["size_class"] for r in classify_bands(ok, "w", bands).collect()) == ["a", "b", "c"]
     with pytest.raises(PySparkException):
         classify_bands(spark.createDataFrame([(6.0,)], "w double"), "w", bands).collect()
 
 
+def test_many_bands_with_gaps_are_one_expression(spark):
+    rows = [(f"b{i}", float(3 * i), float(3 * i + 2)) for i in range(300)]
+    bands = spark.createDataFrame([*rows, ("inverted", 9.0, 4.0), ("open", 5.0, None)], "label string, min_kg double, max_kg double")
+    df = spark.range(-10, 1900).selectExpr("id / 2 as w").union(spark.sql("select double('nan')"))
+    found = classify_bands(df, "w", bands)
+    for r in found.collect():
+        assert r["size_class"] == next((b for b, low, high in rows if low <= r["w"] < high), None)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_band_table_that_is_no_configuration_is_refused(spark, monkeypatch):
+    monkeypatch.setattr("siltstone.operators.bands.MAX_BANDS", 4)
+    with pytest.raises(ValueError):
+        classify_bands(spark.range(1).selectExpr("double(id) as w"), "w", size_bands(spark))
+
+
 def test_gap_is_null(spark):
     bands = spark.createDataFrame([("a", 0, 5), ("b", 6, 9)], "label string, min_kg int, max_kg int")
     df = spark.createDataFrame([(5.5,)], "w double")

@@ -12,7 +12,7 @@ from siltstone.plans.pipeline import GOLD, Run, run
 from siltstone.plans.publish import NothingToPublish, materialize, publish, read_published
 from siltstone.plans.silver import SilverSpec
 from siltstone.sources import fixtures
-from siltstone.sources.versions import VersionedDir
+from siltstone.sources.versions import Superseded, VersionedDir
 
 SPEC = SilverSpec(tag_sentinels=(fixtures.FREE_TEXT_TAG,))
 
@@ -91,6 +91,21 @@ def test_publish_needs_finished_tables(spark, tmp_path):
     assert VersionedDir(spark, base).tables("v1") == []
 
 
+def test_publish_refuses_to_undo_another_writer(spark, tmp_path):
+    base = str(tmp_path / "gold")
+    store = VersionedDir(spark, base)
+    before = store.state()
+    for version in ("v1", "v2"):
+        materialize(spark.range(3), "a", "table", f"{base}/{version}")
+    publish(spark, base, "v1", seen=before)
+    live = store.state()
+    with pytest.raises(Superseded):
+        publish(spark, base, "v2", seen=before)
+    assert store.state() == live and live["version"] == "v1"
+    publish(spark, base, "v2", seen=live)
+    assert store.state()["version"] == "v2"
+
+
 def test_contract_differences():
     contract = CONTRACTS["correlations"]
     assert "correlation" in contract.fieldNames()
