@@ -226,16 +226,15 @@ def group_summary(
     others: Sequence[str] = (),
     places: int = 2,
     names: dict[str, str] | None = None,
-    continuous: bool = False,
+    continuous: bool = True,
 ) -> DataFrame:
     """Per group: rows, non-null values, mean, exact median, sample deviation, min, max of
     ``value`` and the means of ``others``.
 
-    A measure on a grid (years, counts) takes one scan: rows are summed per (group, value), so a
-    group with a third of all rows is spread by its values and each task sends one partial row per
-    value; median and deviation then come from the value counts, through a window that can spill.
-    A ``continuous`` measure has too many distinct values for that and takes its median from
-    ``quantiles``, in a scan of its own that reads two columns.
+    The median comes from ``quantiles``, in a scan of its own that reads two columns, so that no group's
+    values meet in one task. A caller who knows the measure to be on a grid of few values (years, counts)
+    may say so with ``continuous=False`` and gets by with one scan: rows are summed per (group, value),
+    each task sends one partial row per value, and median and deviation follow from the value counts.
     """
     names = names or {}
 

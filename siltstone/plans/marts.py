@@ -37,6 +37,7 @@ def class_summary(dim: DataFrame) -> DataFrame:
             "stddev": "stddev_life_span_years", "min": "min_life_span_years", "max": "max_life_span_years",
             f"mean_{WEIGHT}": "mean_weight_kg", f"mean_{HEIGHT}": "mean_height_cm",
         },
+        continuous=False,  # years, in halves
     )
 
 
