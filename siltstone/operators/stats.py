@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.numbers import round_to
 
-# Number of rank buckets per group, a power of two. Any number gives the same result; it sets how
-# finely the distinct values of a large group are spread over tasks.
-BUCKETS = 64
+# Sample slots of each group; any number gives the same result. They cut a group of any size into some
+# buckets, so that its distinct values are spread over tasks.
+SLOTS = 63
+
+# Beyond the slots one distinct value in so many is a cut, which holds buckets near this size in groups
+# of any number of values.
+CUT_EVERY = 1 << 20
+
+# Tests by which a value finds its bucket: enough for 2 ** STEPS - 1 cuts.
+STEPS = 20
 
 # Copies of a group's cut points, so that a group with very many values is met by several tasks
 # where its cuts are joined to its values.
@@ -37,11 +44,11 @@ def values_at_ranks(df: DataFrame, value: str, by: Sequence[str], wanted) -> Dat
     Result: (*by, want, value).
 
     1. values are counted per (group, value), so a hot group is split by its values;
-    2. a sample of each group's distinct values cuts them into buckets. It only spreads the work:
-       any cuts give the exact result. The sample is a function of the values alone, so that a
+    2. a sample of each group's distinct values, which grows with them, cuts them into buckets of
+       bounded size. It only spreads the work: any cuts give the exact result. The sample is a function of the values alone, so that a
        task that is run again after a loss puts every value in the same bucket;
-    3. bucket sizes are summed up per group (at most BUCKETS rows each), which tells the one
-       bucket that holds each wanted rank;
+    3. bucket sizes are summed up per group, which tells the one bucket that holds each wanted
+       rank;
     4. only those buckets are ordered, each by itself.
     """
     by = list(by)
@@ -51,19 +58,7 @@ def values_at_ranks(df: DataFrame, value: str, by: Sequence[str], wanted) -> Dat
     counts = (
         df.groupBy(*by, F.col(value).alias("__v")).agg(F.count(F.col(value)).alias("__n")).where(F.col("__n") > 0)
     )
-    slot = F.pmod(F.xxhash64("__v"), F.lit(BUCKETS - 1))
-    sample = counts.groupBy(*by, slot.alias("__slot")).agg(
-        F.min_by("__v", F.xxhash64("__v", F.lit(1))).alias("__cut")
-    )
-    listed = F.array_sort(F.collect_list("__cut"))
-    if by:
-        cuts = sample.groupBy(*by).agg(listed.alias("__cuts"))
-        salted = cuts.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-        values = counts.withColumn("__salt", F.pmod(F.hash("__v"), F.lit(SALTS)))
-        cut = _match(values, salted, [*by, "__salt"])
-    else:
-        cut = counts.withColumn("__cuts", sample.agg(listed).scalar())
-    bucketed = _with_bucket(cut).select(*by, "__v", "__n", "__b")
+    bucketed = _bucketed(counts, by)
     sums = bucketed.groupBy(*by, "__b").agg(F.sum("__n").alias("__bn"))
     upto = Window.partitionBy(*by).orderBy("__b")
     sums = sums.withColumn("__end", F.sum("__bn").over(upto)).withColumn(
@@ -86,15 +81,26 @@ def values_at_ranks(df: DataFrame, value: str, by: Sequence[str], wanted) -> Dat
     return placed.select(*by, F.explode(hits).alias("want"), F.col("__v").alias(value))
 
 
-def _with_bucket(df: DataFrame) -> DataFrame:
-    """``__b``: how many of the sorted cuts lie below the value, by halving."""
-    df = df.withColumn("__b", F.lit(0))
-    step = BUCKETS // 2
-    while step:
-        below = F.get("__cuts", F.col("__b") + (step - 1)) < F.col("__v")
-        df = df.withColumn("__b", F.col("__b") + F.when(below, F.lit(step)).otherwise(F.lit(0)))
-        step //= 2
-    return df
+def _bucketed(counts: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, __v, __n, __b): ``__b`` is the number of the group's cuts that lie below the value."""
+    drawn = F.xxhash64("__v", F.lit(2))
+    slot = F.when(F.pmod(drawn, F.lit(CUT_EVERY)) == 0, drawn).otherwise(F.pmod(F.xxhash64("__v"), F.lit(SLOTS)))
+    sample = counts.groupBy(*by, slot.alias("__slot")).agg(
+        F.min_by("__v", F.xxhash64("__v", F.lit(1))).alias("__cut")
+    )
+    listed = F.array_sort(F.collect_list("__cut"))
+    if by:
+        cuts = sample.groupBy(*by).agg(listed.alias("__cuts"))
+        salted = cuts.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+        values = counts.withColumn("__salt", F.pmod(F.hash("__v"), F.lit(SALTS)))
+        cut = _match(values, salted, [*by, "__salt"])
+    else:
+        cut = counts.withColumn("__cuts", sample.agg(listed).scalar())
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(STEPS))])
+    below = F.aggregate(
+        steps, F.lit(0), lambda b, step: F.when(F.get("__cuts", b + step - 1) < F.col("__v"), b + step).otherwise(b)
+    )
+    return cut.select(*by, "__v", "__n", below.alias("__b"))
 
 
 def quantiles(

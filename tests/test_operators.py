@@ -112,6 +112,18 @@ def test_quantiles_by_group_with_null_keys(spark):
     assert got == {"a": 499.5, "b": 3.0, None: 5.5}
 
 
+def test_buckets_stay_small_in_groups_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr("siltstone.operators.stats.CUT_EVERY", 32)
+    df = spark.range(40000).select(F.when(F.col("id") < 100, "small").otherwise("fine").alias("g"), F.sqrt("id").alias("v"))
+    buckets = stats._bucketed(df.select("g", F.col("v").alias("__v"), F.lit(1).alias("__n")), ["g"]).groupBy("g", "__b").count()
+    largest = {r["g"]: (r["n"], r["size"]) for r in buckets.groupBy("g").agg(F.count("*").alias("n"), F.max("count").alias("size")).collect()}
+    assert largest["fine"][0] > 1000 and largest["fine"][1] < 32 * 15
+    got = {(r["g"], r["prob"]): r["quantile"] for r in stats.quantiles(df, "v", [0.3, 1], ["g"]).collect()}
+    for g, low, high in (("small", 0, 100), ("fine", 100, 40000)):
+        for p in (0.3, 1):
+            assert got[g, p] == pytest.approx(float(np.quantile(np.sqrt(np.arange(low, high)), p)), rel=1e-12)
+
+
 def test_quantiles_count_once(spark):
     df = spark.range(10000).select((F.col("id") % 977).cast("double").alias("v"))
     result = stats.quantiles(df, "v", [0.5])
