@@ -88,17 +88,17 @@ def _bucketed(counts: DataFrame, by: list[str]) -> DataFrame:
     sample = counts.groupBy(*by, slot.alias("__slot")).agg(
         F.min_by("__v", F.xxhash64("__v", F.lit(1))).alias("__cut")
     )
-    listed = F.array_sort(F.collect_list("__cut"))
+    cuts = sample.groupBy(*by).agg(F.array_sort(F.collect_list("__cut")).alias("__cuts"))
+    every = F.array(*[F.lit(1 << i) for i in reversed(range(STEPS))])
+    cuts = cuts.withColumn("__steps", F.filter(every, lambda step: step <= F.size("__cuts")))
     if by:
-        cuts = sample.groupBy(*by).agg(listed.alias("__cuts"))
         salted = cuts.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
         values = counts.withColumn("__salt", F.pmod(F.hash("__v"), F.lit(SALTS)))
         cut = _match(values, salted, [*by, "__salt"])
     else:
-        cut = counts.withColumn("__cuts", sample.agg(listed).scalar())
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(STEPS))])
+        cut = counts.withColumn("__c", cuts.select(F.struct("__cuts", "__steps")).scalar()).select("__v", "__n", "__c.*")
     below = F.aggregate(
-        steps, F.lit(0), lambda b, step: F.when(F.get("__cuts", b + step - 1) < F.col("__v"), b + step).otherwise(b)
+        "__steps", F.lit(0), lambda b, step: F.when(F.get("__cuts", b + step - 1) < F.col("__v"), b + step).otherwise(b)
     )
     return cut.select(*by, "__v", "__n", below.alias("__b"))
 
