@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, groups, stored, texts_of
+from .common import Words, gram_hashes, groups, signed, stored, texts_of
 
 RUN = 8
 SEPARATOR = "\n\n"
-LEAST_PAGES = 10
+LEAST_PAGES = 3
 LEAST_SHARE = 0.6
 SHARD_CHARS = 2_000_000
 
@@ -170,61 +172,104 @@ def suffix_ranks(tokens: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
+def run_places(tokens: np.ndarray, page: np.ndarray, run: int) -> np.ndarray:
+    """Where a run of ``run`` tokens begins that lies inside one page."""
+    whole = max(len(tokens) - run + 1, 0)
+    return np.flatnonzero(page[run - 1 :][:whole] == page[:whole])
+
+
+def page_counts(rank: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ranks, and on how many distinct pages each stands."""
+    pages = int(page.max(initial=0)) + 1
+    return np.unique(np.unique(rank * pages + page) // pages, return_counts=True)
+
+
+def spanned(n: int, places: np.ndarray, run: int) -> np.ndarray:
+    """Which of ``n`` tokens lie in a run of ``run`` tokens that begins at one of the places."""
+    step = np.zeros(n + 1, np.int64)
+    np.add.at(step, places, 1)
+    np.add.at(step, places + run, -1)
+    return np.cumsum(step[:-1]) > 0
+
+
 def covered(tokens: np.ndarray, page: np.ndarray, run: int, least_pages: int, least_share: float) -> np.ndarray:
     """Which tokens lie in a run of ``run`` tokens or more that enough distinct pages share."""
-    out = np.zeros(len(tokens), bool)
-    pages = int(page[-1]) + 1 if len(page) else 0
+    pages = len(np.unique(page))
     least = max(least_pages, int(np.ceil(least_share * pages)))
     if pages < least:
-        return out
-    rank = suffix_ranks(tokens, run)
-    inside = np.zeros(len(tokens), bool)
-    whole = len(tokens) - run + 1
-    inside[: max(whole, 0)] = page[run - 1 :] == page[: max(whole, 0)]
-    places = np.flatnonzero(inside)
-    spread = np.unique(rank[places] * pages + page[places]) // pages
-    known, count = np.unique(spread, return_counts=True)
-    shared = places[np.isin(rank[places], known[count >= least])]
-    step = np.zeros(len(tokens) + 1, np.int64)
-    np.add.at(step, shared, 1)
-    np.add.at(step, shared + run, -1)
-    return np.cumsum(step[:-1]) > 0
+        return np.zeros(len(tokens), bool)
+    places = run_places(tokens, page, run)
+    rank = suffix_ranks(tokens, run)[places]
+    known, count = page_counts(rank, page[places])
+    return spanned(len(tokens), places[np.isin(rank, known[count >= least])], run)
+
+
+class Stream:
+    """The distinct pages of some rows as one stream of words, with a mark before each block.
+
+    ``distinct``: the first row of each page; ``page``: the number of each token's page among them.
+    The marks make short blocks a run together with their borders.
+    """
+
+    def __init__(self, pages: list[list[str]]):
+        self.pages = pages
+        self.flat = [b for blocks in pages for b in blocks]
+        owner = np.repeat(np.arange(len(pages)), [len(blocks) for blocks in pages])
+        self.distinct: dict[tuple[str, ...], int] = {}
+        self.leads = np.array([self.distinct.setdefault(tuple(blocks), i) == i for i, blocks in enumerate(pages)], bool)
+        self.words = Words(texts_of(pa.array(self.flat, pa.string())))
+        lead = self.leads[owner]
+        self.chosen = np.flatnonzero(lead)
+        self.size = self.words.counts[self.chosen] + 1
+        self.head = np.cumsum(self.size) - self.size
+        self.tokens = np.zeros(int(self.size.sum()), np.uint64)
+        rest = np.ones(len(self.tokens), bool)
+        rest[self.head] = False
+        self.tokens[rest] = self.words.hash[np.repeat(lead, self.words.counts)]
+        self.owner = owner[self.chosen]
+        self.page = np.repeat((np.cumsum(self.leads) - 1)[self.owner], self.size)
+
+    def without(self, gone: np.ndarray) -> list[list[str]]:
+        """The blocks of each row without the tokens that are gone."""
+        if not gone.any():
+            return self.pages
+        kept: dict[int, list[str]] = {i: [] for i in np.flatnonzero(self.leads).tolist()}
+        for b, o, a, k in zip(self.chosen.tolist(), self.owner.tolist(), self.head.tolist(), self.size.tolist()):
+            cut = gone[a + 1 : a + k]
+            if not cut.any():
+                kept[o].append(self.flat[b])
+            elif not cut.all():
+                kept[o].append(_without(self.flat[b], self.words, b, cut))
+        return [kept[self.distinct[tuple(blocks)]] for blocks in self.pages]
 
 
 def unique_runs(pages: list[list[str]], run: int, least_pages: int, least_share: float) -> list[list[str]]:
     """The blocks of each page without boilerplate; equal pages count as one."""
-    flat = [b for blocks in pages for b in blocks]
-    if not flat:
-        return pages
-    owner = np.repeat(np.arange(len(pages)), [len(blocks) for blocks in pages])
-    distinct: dict[tuple[str, ...], int] = {}
-    leads = np.array([distinct.setdefault(tuple(blocks), i) == i for i, blocks in enumerate(pages)])
-    if len(distinct) < least_pages:
+    stream = Stream(pages)
+    return stream.without(covered(stream.tokens, stream.page, run, least_pages, least_share))
+
+
+def shard_counts(pages: list[list[str]], counted: list[bool], run: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a shard's distinct runs, and how many of its distinct pages hold each; only the counted."""
+    stream = Stream(pages)
+    places = run_places(stream.tokens, stream.page, run)
+    rank, page = suffix_ranks(stream.tokens, run)[places], stream.page[places]
+    known, first = np.unique(rank, return_index=True)
+    here = np.array(counted, bool)[np.flatnonzero(stream.leads)][page]
+    count = np.zeros(len(known), np.int64)
+    some, n = page_counts(rank[here], page[here])
+    count[np.searchsorted(known, some)] = n
+    return gram_hashes(stream.tokens, run)[places[first]], count
+
+
+def without_runs(pages: list[list[str]], runs: np.ndarray, run: int) -> list[list[str]]:
+    """The blocks of each page without the runs of these hashes."""
+    if not len(runs):
         return pages
-    words = Words(texts_of(pa.array(flat)))
-    # A mark before each block, so that short blocks make a run together with their borders.
-    counts = words.counts
-    lead = leads[owner]
-    chosen = np.flatnonzero(lead)
-    size = counts[chosen] + 1
-    head = np.cumsum(size) - size
-    tokens = np.zeros(int(size.sum()), np.uint64)
-    rest = np.ones(len(tokens), bool)
-    rest[head] = False
-    tokens[rest] = words.hash[np.repeat(lead, counts)]
-    number = np.cumsum(leads) - 1
-    page = np.repeat(number[owner[chosen]], size)
-    gone = covered(tokens, page, run, least_pages, least_share)
-    if not gone.any():
-        return pages
-    kept: dict[int, list[str]] = {i: [] for i in np.flatnonzero(leads).tolist()}
-    for b, a, k in zip(chosen.tolist(), head.tolist(), size.tolist()):
-        cut = gone[a + 1 : a + k]
-        if not cut.any():
-            kept[int(owner[b])].append(flat[b])
-        elif not cut.all():
-            kept[int(owner[b])].append(_without(flat[b], words, b, cut))
-    return [kept[distinct[tuple(blocks)]] for blocks in pages]
+    stream = Stream(pages)
+    places = run_places(stream.tokens, stream.page, run)
+    places = places[np.isin(gram_hashes(stream.tokens, run)[places], runs)]
+    return stream.without(spanned(len(stream.tokens), places, run))
 
 
 def _without(block: str, words: Words, b: int, cut: np.ndarray) -> str:
@@ -243,14 +288,49 @@ def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low in range(0, batch.num_rows, 256):
             part = batch.slice(low, 256)
-            blocks = [page_blocks(h) if h else [] for h in part.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(blocks, pa.list_(pa.string()))], names=["host", "shard", "id", "url", "blocks"])
+            blocks = [page_blocks(h) if h else [] for h in part.column(3).to_pylist()]
+            # No block holds a line feed, so equal digests mean equal blocks.
+            page = [blake2b("\n".join(b).encode("utf-8", "replace"), digest_size=16).digest() if b else None for b in blocks]
+            size = [len(h or "") for h in part.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:3], pa.array(size, pa.int64()), pa.array(page, pa.binary()), pa.array(blocks, pa.list_(pa.string()))],
+                names=["host", "id", "url", "size", "page", "blocks"],
+            )
+
+
+def _counted(run: int):
+    """Per shard: its runs, each with the number of pages that count in this shard and hold it."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, ["host", "shard"]):
+            counted = {p for held in group.column("held").to_pylist() if held is not None for p in held}
+            group = group.filter(pc.is_valid(group.column("page")))
+            if not len(group):
+                continue
+            pages = group.column("page").to_pylist()
+            runs, count = shard_counts(group.column("blocks").to_pylist(), [p in counted for p in pages], run)
+            host, shard, least = (group.column(c)[0].as_py() for c in ("host", "shard", "least"))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([host] * len(runs), pa.string()), pa.array(np.full(len(runs), shard)), pa.array(np.full(len(runs), least)),
+                    pa.array(signed(runs)), pa.array(count),
+                ],
+                names=["host", "shard", "least", "run", "pages"],
+            )
+
+    return work
 
 
 def _joined(run: int, least_pages: int, least_share: float):
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["host", "shard"]):
-            pages = unique_runs(group.column("blocks").to_pylist(), run, least_pages, least_share)
+            given = [r for r in group.column("runs").to_pylist() if r is not None]
+            group = group.filter(pc.is_valid(group.column("blocks")))
+            pages = group.column("blocks").to_pylist()
+            if group.column("shards")[0].as_py() == 1:
+                pages = unique_runs(pages, run, least_pages, least_share)
+            else:
+                pages = without_runs(pages, np.array([r for part in given for r in part], np.int64).view(np.uint64), run)
             yield pa.RecordBatch.from_arrays(
                 [group.column("id").combine_chunks(), group.column("url").combine_chunks(), pa.array([SEPARATOR.join(p) for p in pages], pa.string())],
                 names=["id", "url", "text"],
@@ -259,6 +339,12 @@ def _joined(run: int, least_pages: int, least_share: float):
     return work
 
 
+def _together(rows: DataFrame, of_shards: DataFrame) -> DataFrame:
+    """Rows and what belongs to their shards, each shard's next to each other."""
+    both = rows.unionByName(of_shards, allowMissingColumns=True)
+    return both.repartition("host", "shard").sortWithinPartitions("host", "shard", "id")
+
+
 def main_text(
     pages: DataFrame,
     id_col: str = "page_id",
@@ -267,31 +353,47 @@ def main_text(
     run: int = RUN,
     least_pages: int = LEAST_PAGES,
     least_share: float = LEAST_SHARE,
+    shard_chars: int = SHARD_CHARS,
 ) -> DataFrame:
     """Per page: id, url, text; an empty line stands between two blocks.
 
     Blocks come from the markup: those of the article (without one, of ``main``, then of the body)
     outside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.
-    Then all blocks of a host's pages form one stream of words; in its suffix array, runs of ``run``
+    Then all blocks of a host's pages form a stream of words; in its suffix array, runs of ``run``
     words or more (borders of blocks count as one) that at least ``least_share`` of the host's distinct
     pages share, and ``least_pages`` of them, are boilerplate too and are cut. Passages that fewer pages
     share, and pages that are copies of each other, lose nothing.
 
-    A large host is dealt by a hash of its rows into shards of about ``SHARD_CHARS`` characters, each a
-    fair sample of the host with a suffix array of its own, so no task holds a whole host, nor all the
-    copies of a page: those spread over the host's shards and count as one page in each. A null page
-    is empty and gives an empty text; a null url is a host of its own. Every row gives a row.
+    A large host is dealt by a hash of its rows into shards of about ``shard_chars`` characters, each
+    with a suffix array of its own, so no task holds a whole host, nor all the copies of a page. Such a
+    host's runs are counted over all its shards, every distinct page in one of them only, and what the
+    whole host decides is cut in each. A null page is empty, gives an empty text and counts as no page;
+    a null url is a host of its own. Every row gives a row.
     """
     source = pages.select(
         F.coalesce(F.regexp_extract(F.lower(F.col(url_col).cast("string")), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1), F.lit("")).alias("host"),
         F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"),
     )
-    shards = source.groupBy("host").agg(F.ceil(F.coalesce(F.sum(F.length("html")), F.lit(0)) / SHARD_CHARS).alias("shards"))
+    parsed = stored(source.mapInArrow(_parsed, "host string, id long, url string, size long, page binary, blocks array<string>"), "blocks")
+    distinct = parsed.groupBy("host", "page").agg(F.sum("size").alias("size"))
+    least = F.greatest(F.lit(least_pages), F.ceil(F.lit(float(least_share)) * F.count("page"))).cast("long")
+    hosts = distinct.groupBy("host").agg(
+        F.greatest(F.ceil(F.sum("size") / shard_chars), F.lit(1)).cast("long").alias("shards"), least.alias("least")
+    )
     # Read back, its size is known, and Spark decides by it whether the pages need to move for this join.
-    dealt = source.join(stored(shards, "shards"), "host").select(
-        "host", F.pmod(F.xxhash64("id", "url", "html"), F.greatest("shards", F.lit(1))).cast("long").alias("shard"), "id", "url", "html"
+    dealt = parsed.join(stored(hosts, "hosts"), "host").select(
+        "host", F.pmod(F.xxhash64("id", "url", "page"), "shards").cast("long").alias("shard"), "shards", "least", "id", "url", "page", "blocks"
+    )
+    large = dealt.where("shards > 1 and page is not null")
+    held = large.groupBy("host", "page").agg(F.min("shard").alias("shard")).groupBy("host", "shard").agg(F.collect_list("page").alias("held"))
+    counted = _together(large.select("host", "shard", "least", "id", "page", "blocks"), held).mapInArrow(
+        _counted(run), "host string, shard long, least long, run long, pages long"
+    )
+    # Each shard gives one row for each of its runs, so a host's commonest run has as many rows as the host has shards.
+    total = F.sum("pages").over(Window.partitionBy("host", "run"))
+    decided = counted.withColumn("total", total).where("total >= least").groupBy("host", "shard").agg(F.collect_list("run").alias("runs"))
+    decided = stored(decided, "runs")
+    found = _together(dealt.select("host", "shard", "shards", "id", "url", "blocks"), decided).mapInArrow(
+        _joined(run, least_pages, least_share), "id long, url string, text string"
     )
-    parsed = dealt.mapInArrow(_parsed, "host string, shard long, id long, url string, blocks array<string>")
-    together = parsed.repartition("host", "shard").sortWithinPartitions("host", "shard", "id")
-    found = together.mapInArrow(_joined(run, least_pages, least_share), "id long, url string, text string")
     return found.withColumnsRenamed({"id": id_col, "url": url_col})

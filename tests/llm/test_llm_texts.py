@@ -191,6 +191,27 @@ def test_runs_of_most_pages_go_and_shared_passages_stay(spark):
     assert main_text(pages.limit(0)).count() == 0
 
 
+def test_runs_are_counted_over_all_shards_of_a_host(spark):
+    rng = random.Random(8)
+    body = lambda: " ".join(f"w{rng.randint(0, 999)}" for _ in range(60))
+    notice, passage = "please read our terms before you go on reading this", body()
+    rows, expected = [], {}
+    for i in range(40):
+        own = [body(), *([passage] if i % 4 == 0 else [])]
+        rows.append((i, "http://a.example/x", "".join(f"<p>{p}</p>" for p in [own[0], *([notice] if i % 3 else []), *own[1:]])))
+        expected[i] = "\n\n".join(own)
+    # Copies of one page stand in most shards and count once; a small host cuts too, two pages don't tell.
+    rows += [(100 + i, f"http://a.example/{i}", rows[0][2]) for i in range(60)]
+    expected |= {100 + i: expected[0] for i in range(60)}
+    for i, host in enumerate("bbbbbcc"):
+        own = body()
+        rows.append((200 + i, f"http://{host}.example", f"<p>{own}</p><p>{notice}</p>"))
+        expected[200 + i] = own if host == "b" else f"{own}\n\n{notice}"
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for chars in (2_000_000, 2_000, 300):
+        assert {r.page_id: r.text for r in main_text(pages, shard_chars=chars).collect()} == expected
+
+
 def test_pages_of_the_table_give_their_articles(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     got = {r.page_id: r.text for r in main_text(pages).collect()}
