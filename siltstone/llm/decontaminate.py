@@ -222,6 +222,14 @@ def benchmark_overlap(
     Null and empty texts have no words and no hits; items without words or with a null id are left out.
     Every row gives a row, repeated ones too, with null ids as well.
     """
+    found = _overlap(docs, benchmark, id_col, text_col, item_col, item_text_col, window, gram)
+    return found.select(F.col("id").alias(id_col), "n_words", "n_hit", "items")
+
+
+def _overlap(
+    docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int, gram: int
+) -> DataFrame:
+    """``benchmark_overlap`` with the digest of each row's text."""
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text"))
     prints = items.where("id is not null").mapInArrow(
         _item_prints(window, gram), "item_id long, print long, short int, before int, context array<string>"
@@ -259,7 +267,8 @@ def benchmark_overlap(
     extended = extended.where("n_hit > 0").dropDuplicates(["id", "digest"])
     extended = stored(extended, "extended").withColumnsRenamed({"id": "hit_id", "digest": "hit_digest"})
     return base.join(extended, same, "left").select(
-        F.col("id").alias(id_col),
+        "id",
+        "digest",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<long>")).alias("items"),
@@ -267,7 +276,8 @@ def benchmark_overlap(
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without a hit, all columns kept."""
-    clean = benchmark_overlap(docs, benchmark, id_col, text_col)
-    hit = clean.where("n_hit > 0").select(F.col(id_col).alias("hit_id")).distinct()
-    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("hit_id")), "left_anti")
+    """The rows of ``docs`` without a hit, all columns kept. Rows of one id, or of none, are told apart by their texts."""
+    found = _overlap(docs, benchmark, id_col, text_col, "item_id", "text", WINDOW, GRAM)
+    hit = found.where("n_hit > 0").select(F.col("id").alias("__id"), F.col("digest").alias("__digest")).distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col("__digest"))
+    return docs.join(hit, same, "left_anti")

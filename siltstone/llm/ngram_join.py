@@ -250,14 +250,26 @@ def ngram_jaccard_join(
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that ``ngram_jaccard_join`` keeps, all columns as they are.
+    """The rows of ``docs`` without near and exact copies, all columns as they are.
 
-    Of rows that share both id and text one stays. Rows with a null id stay or go together.
+    Texts are linked as ``ngram_jaccard_join`` links them, under digests of their own instead of their
+    ids, so null and repeated ids are no matter. Of each group the row with the smallest id stays, a null
+    only where no row has an id. Wordless texts stay; of rows that share both id and text one stays.
     """
-    kept = ngram_jaccard_join(docs, id_col, text_col, **options).where("kept").groupBy(F.col(id_col).alias("__id")).count()
+    text = F.col(text_col).cast("string")
+    wordy = F.coalesce(text.rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"), F.lit(False))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("digest"), wordy.alias("wordy"), text.alias("text"))
+    linked = ngram_jaccard_join(rows.where("wordy").select("digest", "text"), "digest", "text", **options)
+    group = linked.groupBy("digest").agg(F.min("component_id").alias("group"))
+    counts = stored(rows.groupBy("id", "digest", "wordy").count(), "counts")
+    # One row of each text before the join, so that copies of a text don't meet in it.
+    first = counts.where("wordy").groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "count")).alias("row"))
+    least = F.min(F.struct("row.none", "row.id", "digest", "row.count")).alias("row")
+    kept = first.join(group, "digest").groupBy("group").agg(least).select("row.id", "row.digest", "row.count")
+    kept = kept.union(counts.where("not wordy").select("id", "digest", "count")).toDF("__id", "__digest", "__count")
     kept = stored(kept, "kept")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-    once = docs.join(kept.where("count = 1"), same, "left_semi")
-    # Ids that come more than once are few; only their rows are compared as wholes.
-    more = docs.join(kept.where("count > 1"), same, "left_semi").withColumn("__text", F.xxhash64(text_col))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & F.xxhash64(text).eqNullSafe(F.col("__digest"))
+    once = docs.join(kept.where("__count = 1"), same, "left_semi")
+    # Rows that come more than once are few; only those are compared as wholes.
+    more = docs.join(kept.where("__count > 1"), same, "left_semi").withColumn("__text", F.xxhash64(text))
     return once.union(more.dropDuplicates([id_col, "__text"]).drop("__text"))

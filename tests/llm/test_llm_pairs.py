@@ -90,6 +90,17 @@ def test_one_document_of_each_group_stays_with_its_columns(spark):
     assert ngram_jaccard_join(docs.limit(0)).count() == 0 and one_of_each_group(docs.limit(0)).count() == 0
 
 
+def test_null_and_repeated_ids_keep_one_document_of_each_group(spark):
+    rng = np.random.default_rng(11)
+    a, b, c, d, e = ("".join(f"{w} " for w in sentence(rng, 80)) for _ in range(5))
+    near = lambda text: text + "changed"
+    kept = [(5, a), (5, c), (7, b), (7, d), (8, "one two"), (None, None), (None, ""), (9, "?!"), (10, "?!")]
+    gone = [(None, a), (None, near(a)), (6, near(c)), (None, b), (8, near(b)), (None, "ONE two"), (5, a)]
+    got = one_of_each_group(table(spark, [*kept, *gone, (None, e), (None, near(e)), (None, e)])).collect()
+    rows = [(r.doc_id, r.text) for r in got]
+    assert sorted(map(str, rows)) in [sorted(map(str, [*kept, (None, x)])) for x in (e, near(e))]
+
+
 def test_blocks_bring_every_pair_of_a_bucket_together(spark):
     rows = [(0, "a", i, 1) for i in range(40)] + [(1, "b", i, 1) for i in range(40)] + [(1, "c", 99, 1)]
     members = spark.createDataFrame(rows, "band int, key string, id long, size long")
@@ -185,6 +196,15 @@ def test_decontamination_against_brute_force(spark):
         assert empty.where("n_hit > 0").count() == 0
 
 
+def test_decontamination_tells_rows_of_one_id_apart(spark):
+    rng = np.random.default_rng(12)
+    hit, clean, other = (" ".join(sentence(rng, 40)) for _ in range(3))
+    docs = table(spark, [(None, clean), (None, f"x {hit}"), (None, None), (2, hit), (2, other), (2, ""), (3, hit), (4, clean), (4, clean)])
+    bench = spark.createDataFrame([(1, hit)], "item_id long, text string")
+    expected = [(None, clean), (None, None), (2, other), (2, ""), (4, clean), (4, clean)]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in decontaminated(docs, bench).collect()))) == sorted(map(str, expected))
+
+
 def test_lines_against_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [(None, None, "s1"), (1, "", "s1"), (2, " \t\r\n\n", None)]
