@@ -116,7 +116,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def guess_spans(text: str, base: list[tuple[int, int, int]], guesses: float = GUESSES) -> list[tuple[int, int, int]]:
-    """Values in a credential context outside the base spans that take ``10 ** guesses`` tries or more."""
+    """Values in a credential context that take ``10 ** guesses`` tries or more and that no base span holds whole."""
     folded = text.lower()
     if not any(name in folded for name in _CONTEXT_NAMES):
         return []
@@ -124,7 +124,7 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], guesses: float = GU
     for m in _CONTEXT.finditer(text):
         start, value = m.start(1), m.group(1).rstrip(".:!?)]}*#%$&|")
         end = start + len(value)
-        if len(value) >= 6 and not any(s < end and start < e for s, _, e in base) and guess_cost(value) >= guesses:
+        if len(value) >= 6 and not any(s <= start and end <= e for s, _, e in base) and guess_cost(value) >= guesses:
             found.append((start, 3, end))
     return found
 
@@ -151,7 +151,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Places are code points, ends exclusive. ``assign``, ``access`` and ``hex`` are the fixed patterns;
     ``guess`` is a value after a credential's name whose guess cost is ``10 ** guesses`` or more and that
-    no fixed pattern holds. Null and empty texts have no spans; every row gives a row.
+    no fixed pattern holds whole; it may overlap their spans. Null and empty texts have no spans; every row gives a row.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = source.mapInArrow(_scan(guesses), "id long, spans array<struct<kind:string,start:long,end:long>>")

@@ -130,6 +130,15 @@ def test_a_value_in_context_is_found_and_masked(spark):
     assert masked[1] == "the login: [secret]! ok" and masked[4] == "[secret]' end" and masked[5] is None
 
 
+def test_a_value_that_a_pattern_holds_in_part_is_found_whole(spark):
+    texts = ["password: gT5-kWq2Lm#x9!Zq7 ok", "secret=Zk39fQ$w8Lp2xV", "api_key = aB3dE6!kQ9zX1 end", "token=abcdef1234567890"]
+    rows = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_spans(table(spark, texts, [1, 2, 3, 4])).collect()}
+    assert rows[1] == [("assign", 0, 20), ("guess", 10, 27)] and rows[2] == [("assign", 0, 13), ("guess", 7, 21)]
+    assert rows[3] == [("assign", 0, 16), ("guess", 10, 23)] and rows[4] == [("assign", 0, 22)]
+    masked = {r.doc_id: r.text for r in redacted(table(spark, texts, [1, 2, 3, 4])).collect()}
+    assert masked == {1: "[secret] ok", 2: "[secret]", 3: "[secret] end", 4: "[secret]"}
+
+
 def test_tokens_are_attributed_once(spark, texts):
     coder = byte_coder(tokenizer_path("byte_bpe_50k.tiktoken"))
     rows = token_counts(table(spark, texts, list(range(len(texts)))), fields=("id", "text")).collect()
