@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 from html import unescape
@@ -10,10 +11,12 @@ from html import unescape
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, gram_hashes, groups, signed, stored, texts_of
+from .common import Words, gram_hashes, groups, mixed, signed, stored, texts_of
+from .decontaminate import _passing as passing
+from .decontaminate import fixed_filter
 
 RUN = 8
 SEPARATOR = "\n\n"
@@ -243,23 +246,13 @@ class Stream:
         return [kept[self.distinct[tuple(blocks)]] for blocks in self.pages]
 
 
-def unique_runs(pages: list[list[str]], run: int, least_pages: int, least_share: float) -> list[list[str]]:
-    """The blocks of each page without boilerplate; equal pages count as one."""
-    stream = Stream(pages)
-    return stream.without(covered(stream.tokens, stream.page, run, least_pages, least_share))
-
-
-def shard_counts(pages: list[list[str]], counted: list[bool], run: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of a shard's distinct runs, and how many of its distinct pages hold each; only the counted."""
+def run_counts(pages: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the runs of some pages, and how many distinct ones of these hold each."""
     stream = Stream(pages)
     places = run_places(stream.tokens, stream.page, run)
-    rank, page = suffix_ranks(stream.tokens, run)[places], stream.page[places]
-    known, first = np.unique(rank, return_index=True)
-    here = np.array(counted, bool)[np.flatnonzero(stream.leads)][page]
-    count = np.zeros(len(known), np.int64)
-    some, n = page_counts(rank[here], page[here])
-    count[np.searchsorted(known, some)] = n
-    return gram_hashes(stream.tokens, run)[places[first]], count
+    rank = suffix_ranks(stream.tokens, run)[places]
+    _, first = np.unique(rank, return_index=True)
+    return gram_hashes(stream.tokens, run)[places[first]], page_counts(rank, stream.page[places])[1]
 
 
 def without_runs(pages: list[list[str]], runs: np.ndarray, run: int) -> list[list[str]]:
@@ -288,63 +281,73 @@ def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low in range(0, batch.num_rows, 256):
             part = batch.slice(low, 256)
-            blocks = [page_blocks(h) if h else [] for h in part.column(3).to_pylist()]
+            html = part.column(3).to_pylist()
             # No block holds a line feed, so equal digests mean equal blocks.
-            page = [blake2b("\n".join(b).encode("utf-8", "replace"), digest_size=16).digest() if b else None for b in blocks]
-            size = [len(h or "") for h in part.column(3).to_pylist()]
+            blocks = ["\n".join(page_blocks(h)).encode("utf-8", "replace") if h else b"" for h in html]
+            page = [blake2b(b, digest_size=16).digest() if b else None for b in blocks]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array(size, pa.int64()), pa.array(page, pa.binary()), pa.array(blocks, pa.list_(pa.string()))],
+                [
+                    *part.columns[:3], pa.array([len(h or "") for h in html], pa.int64()), pa.array(page, pa.binary()),
+                    pa.array([zlib.compress(b, 1) for b in blocks], pa.binary()),
+                ],
                 names=["host", "id", "url", "size", "page", "blocks"],
             )
 
 
-def _counted(run: int):
-    """Per shard: its runs, each with the number of pages that count in this shard and hold it."""
+def _blocks(packed: bytes) -> list[str]:
+    text = zlib.decompress(packed).decode()
+    return text.split("\n") if text else []
+
+
+def _marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each shard; one row of each page that counts here is marked."""
+    for group in groups(batches, ["host", "shard"]):
+        held = {p for part in group.column("held").to_pylist() if part is not None for p in part}
+        group = group.filter(pc.is_valid(group.column("blocks"))).drop_columns(["held"])
+        marks = []
+        for page in group.column("page").to_pylist():
+            marks.append(page in held)
+            held.discard(page)
+        yield from group.drop_columns(["page"]).append_column("counted", pa.array(marks, pa.bool_())).combine_chunks().to_batches()
+
+
+def _counted(run: int, filter_=None):
+    """Runs and their numbers of counted pages: without a filter those that may be boilerplate, else those it knows."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["host", "shard"]):
-            counted = {p for held in group.column("held").to_pylist() if held is not None for p in held}
-            group = group.filter(pc.is_valid(group.column("page")))
-            if not len(group):
-                continue
-            pages = group.column("page").to_pylist()
-            runs, count = shard_counts(group.column("blocks").to_pylist(), [p in counted for p in pages], run)
-            host, shard, least = (group.column(c)[0].as_py() for c in ("host", "shard", "least"))
+            packed = group.column("blocks").to_pylist()
+            least, pages, salt = (group.column(c)[0].as_py() for c in ("least", "pages", "salt"))
+            runs, count = run_counts([_blocks(b) for b in packed], run)
+            keys = mixed(runs ^ np.array([salt], np.int64).view(np.uint64))
+            # A run on ``least`` of all pages is on as large a share of them in one part at least.
+            good = count * pages >= least * len(packed) if filter_ is None else passing(filter_, keys, 0)
+            keys, runs, count = keys[good], runs[good], count[good]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([host] * len(runs), pa.string()), pa.array(np.full(len(runs), shard)), pa.array(np.full(len(runs), least)),
-                    pa.array(signed(runs)), pa.array(count),
+                    pa.array([group.column("host")[0].as_py()] * len(runs), pa.string()), pa.array(np.full(len(runs), least)),
+                    pa.array(signed(keys)), pa.array(signed(runs)), pa.array(count.astype(np.int64)),
                 ],
-                names=["host", "shard", "least", "run", "pages"],
+                names=["host", "least", "key", "run", "count"],
             )
 
     return work
 
 
-def _joined(run: int, least_pages: int, least_share: float):
+def _joined(run: int):
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, ["host", "shard"]):
-            given = [r for r in group.column("runs").to_pylist() if r is not None]
-            group = group.filter(pc.is_valid(group.column("blocks")))
-            pages = group.column("blocks").to_pylist()
-            if group.column("shards")[0].as_py() == 1:
-                pages = unique_runs(pages, run, least_pages, least_share)
-            else:
-                pages = without_runs(pages, np.array([r for part in given for r in part], np.int64).view(np.uint64), run)
-            yield pa.RecordBatch.from_arrays(
-                [group.column("id").combine_chunks(), group.column("url").combine_chunks(), pa.array([SEPARATOR.join(p) for p in pages], pa.string())],
-                names=["id", "url", "text"],
-            )
+        for batch in batches:
+            texts = []
+            for packed, runs in zip(batch.column(2).to_pylist(), batch.column(3)):
+                pages = [_blocks(packed)]
+                if runs.is_valid:
+                    pages = without_runs(pages, runs.values.to_numpy().view(np.uint64), run)
+                texts.append(SEPARATOR.join(pages[0]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
 
     return work
 
 
-def _together(rows: DataFrame, of_shards: DataFrame) -> DataFrame:
-    """Rows and what belongs to their shards, each shard's next to each other."""
-    both = rows.unionByName(of_shards, allowMissingColumns=True)
-    return both.repartition("host", "shard").sortWithinPartitions("host", "shard", "id")
-
-
 def main_text(
     pages: DataFrame,
     id_col: str = "page_id",
@@ -365,35 +368,41 @@ def main_text(
     share, and pages that are copies of each other, lose nothing.
 
     A large host is dealt by a hash of its rows into shards of about ``shard_chars`` characters, each
-    with a suffix array of its own, so no task holds a whole host, nor all the copies of a page. Such a
-    host's runs are counted over all its shards, every distinct page in one of them only, and what the
-    whole host decides is cut in each. A null page is empty, gives an empty text and counts as no page;
-    a null url is a host of its own. Every row gives a row.
+    with a suffix array of its own, so no task holds a whole host, nor all the copies of a page. One row of
+    each distinct page counts, whatever shard it is in. A run on enough pages of the host has that share in
+    one shard at least; runs that have are counted over all shards, and what the whole host decides is cut
+    in each. A null page is empty, gives an empty text and counts as no page; a null url is a host of its
+    own. Every row gives a row.
     """
     source = pages.select(
         F.coalesce(F.regexp_extract(F.lower(F.col(url_col).cast("string")), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1), F.lit("")).alias("host"),
         F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"),
     )
-    parsed = stored(source.mapInArrow(_parsed, "host string, id long, url string, size long, page binary, blocks array<string>"), "blocks")
-    distinct = parsed.groupBy("host", "page").agg(F.sum("size").alias("size"))
-    least = F.greatest(F.lit(least_pages), F.ceil(F.lit(float(least_share)) * F.count("page"))).cast("long")
-    hosts = distinct.groupBy("host").agg(
-        F.greatest(F.ceil(F.sum("size") / shard_chars), F.lit(1)).cast("long").alias("shards"), least.alias("least")
+    # Read twice, since the articles themselves are larger than what reading them again costs.
+    parsed = source.mapInArrow(_parsed, "host string, id long, url string, size long, page binary, blocks binary")
+    place = F.xxhash64("id", "url", "page")
+    rows = stored(parsed.select("host", "page", "size", place.alias("place")), "rows")
+    hosts = rows.groupBy("host", "page").agg(F.sum("size").alias("size")).groupBy("host").agg(
+        F.greatest(F.ceil(F.sum("size") / shard_chars), F.lit(1)).cast("long").alias("shards"), F.count("page").alias("pages")
     )
+    least = F.greatest(F.lit(least_pages), F.ceil(F.lit(float(least_share)) * F.col("pages"))).cast("long")
     # Read back, its size is known, and Spark decides by it whether the pages need to move for this join.
-    dealt = parsed.join(stored(hosts, "hosts"), "host").select(
-        "host", F.pmod(F.xxhash64("id", "url", "page"), "shards").cast("long").alias("shard"), "shards", "least", "id", "url", "page", "blocks"
-    )
-    large = dealt.where("shards > 1 and page is not null")
-    held = large.groupBy("host", "page").agg(F.min("shard").alias("shard")).groupBy("host", "shard").agg(F.collect_list("page").alias("held"))
-    counted = _together(large.select("host", "shard", "least", "id", "page", "blocks"), held).mapInArrow(
-        _counted(run), "host string, shard long, least long, run long, pages long"
+    hosts = stored(hosts.withColumn("least", least), "hosts")
+    shard = lambda place: F.pmod(place, F.col("shards")).cast("long").alias("shard")
+    homes = rows.where("page is not null").join(hosts, "host").groupBy("host", "page").agg(F.min(shard(F.col("place"))).alias("shard"))
+    held = homes.groupBy("host", "shard").agg(F.collect_list("page").alias("held"))
+    dealt = parsed.join(hosts, "host").select("host", shard(place), "least", "pages", "id", "url", "page", "blocks")
+    both = dealt.unionByName(held, allowMissingColumns=True).repartition("host", "shard").sortWithinPartitions("host", "shard", "id")
+    sharded = stored(
+        both.mapInArrow(_marked, "host string, shard long, least long, pages long, id long, url string, blocks binary, counted boolean"), "shards"
     )
-    # Each shard gives one row for each of its runs, so a host's commonest run has as many rows as the host has shards.
-    total = F.sum("pages").over(Window.partitionBy("host", "run"))
-    decided = counted.withColumn("total", total).where("total >= least").groupBy("host", "shard").agg(F.collect_list("run").alias("runs"))
-    decided = stored(decided, "runs")
-    found = _together(dealt.select("host", "shard", "shards", "id", "url", "blocks"), decided).mapInArrow(
-        _joined(run, least_pages, least_share), "id long, url string, text string"
+    once = sharded.where("counted").select("host", "shard", "least", "pages", F.xxhash64("host").alias("salt"), "blocks")
+    kind = "host string, least long, key long, run long, count long"
+    maybe = fixed_filter(once.mapInArrow(_counted(run), kind).select("key", F.lit(0).alias("salt")))
+    total = once.mapInArrow(_counted(run, maybe), kind).groupBy("host", "run", "least").agg(F.sum("count").alias("count"))
+    decided = stored(total.where("count >= least").groupBy("host").agg(F.collect_list("run").alias("runs")), "runs")
+    # A host's decided runs are fewer than two for each word of its average page.
+    found = sharded.join(decided, "host", "left").select("id", "url", "blocks", "runs").mapInArrow(
+        _joined(run), "id long, url string, text string"
     )
     return found.withColumnsRenamed({"id": id_col, "url": url_col})
