@@ -40,8 +40,13 @@ _LEET = str.maketrans("4@831!0$57", "aabeiiosst")
 _ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 _BESIDE = {a + b for row in (*_ROWS, "abcdefghijklmnopqrstuvwxyz", "0123456789") for a, b in zip(row, row[1:])}
 _BESIDE |= {p[::-1] for p in _BESIDE}
-_DATE = re.compile(r"(?:19|20)\d\d([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\2(?:19|20)?\d\d|(?:19|20)\d\d", re.A)
-_REPEAT = re.compile(r"(?=((.{1,8}?)\2+))", re.S)
+_DATES = [
+    re.compile(r"(?:19|20)\d\d([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])", re.A),
+    re.compile(r"(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\1(?:19|20)\d\d", re.A),
+    re.compile(r"(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\1\d\d", re.A),
+    re.compile(r"(?:19|20)\d\d", re.A),
+]
+_UNIT = 8
 
 
 def _alphabet(value: str) -> float:
@@ -56,8 +61,9 @@ def guess_cost(value: str) -> float:
     """log10 of the guesses that find ``value``, by its cheapest segmentation.
 
     Segments are words (upper case and look-alike characters cost extra), dates, repeats, walks along a
-    keyboard row, the alphabet or the digits, and single characters at brute force. Each further segment
-    doubles the guesses. Dynamic programming over the places, in time linear in the value's length.
+    keyboard row, the alphabet or the digits, and single characters at brute force. Words and
+    dates count from every start, walks whole or as a head or tail, repeats as long as they go from every
+    start or as a head. Each further segment doubles the guesses. Dynamic programming over the places, in time linear in the value's length.
     """
     n = len(value)
     lower = value.lower() if len(value.lower()) == n else value
@@ -73,25 +79,27 @@ def guess_cost(value: str) -> float:
                     case = 0.0 if not upper else 0.3 if upper == j - i or value[i].isupper() and upper == 1 else 0.3 * (j - i)
                     ends[j].append((i, _RANK[form] + extra + case))
                     break
-    for m in _DATE.finditer(value):
-        ends[m.end()].append((m.start(), 4.6 if m.end() - m.start() > 4 else 2.1))
+    for i in range(n):
+        for m in [d.match(value, i) for d in _DATES] if value[i] in "0123" else []:
+            if m:
+                ends[m.end()].append((i, 4.6 if m.end() - i > 4 else 2.1))
     start = 0
     for i in range(1, n + 1):  # walks: the whole of each, and all its heads and tails of three up
         if i == n or lower[i - 1 : i + 1] not in _BESIDE:
-            if i - start >= 3:
-                ends[i].append((start, 1.7 + math.log10(i - start)))
+            for j in range(start + 3, i + 1):
+                ends[j].append((start, 1.7 + math.log10(j - start)))
+            for j in range(start + 1, i - 2):
+                ends[i].append((j, 1.7 + math.log10(i - j)))
             start = i
-    at = 0
-    while at < n:  # repeats, leftmost first
-        m = _REPEAT.search(value, at)
-        if not m:
-            break
-        unit, whole = m.group(2), m.group(1)
-        if len(whole) >= 3:
-            ends[m.start() + len(whole)].append((m.start(), brute * len(unit) + math.log10(len(whole) // len(unit))))
-            at = m.start() + len(whole)
-        else:
-            at = m.start() + 1
+    for unit in range(1, min(_UNIT, n // 2) + 1):  # repeats: the longest from each start, and all heads of a whole one
+        same = 0
+        for i in range(n - unit - 1, -1, -1):
+            same = same + 1 if value[i] == value[i + unit] else 0
+            most = same // unit + 1
+            whole = not i or value[i - 1] != value[i - 1 + unit]
+            for times in range(2 if whole else max(most, 2), most + 1):
+                if times * unit >= 3:
+                    ends[i + times * unit].append((i, brute * unit + math.log10(times)))
 
     # best[j]: cost of the first j characters; a run of brute force pays for one segment.
     double = math.log10(2)

@@ -121,6 +121,17 @@ def test_guess_costs_order_values():
     assert max(weak) < 10 <= min(strong)
 
 
+def test_segments_may_begin_and_end_inside_longer_ones():
+    double, brute = np.log10(2), np.log10(36)
+    walk, default = 1.7 + np.log10(3), guess_cost("default")
+    assert guess_cost("abcdefault") <= walk + double + default + 1e-9
+    assert guess_cost("abcdefault12") <= walk + default + 2 * double + 2 * brute + 1e-9
+    assert guess_cost("passworduytrewq") <= guess_cost("password") + double + 1.7 + np.log10(7) + 1e-9
+    assert guess_cost("2019901231") <= 2 + double + 4.6 + 1e-9
+    assert guess_cost("k7k7x9k7x9k7x9") <= 2 * brute + double + 4 * brute + np.log10(3) + 1e-9
+    assert guess_cost("ab" * 50_000) < 10
+
+
 def test_a_value_in_context_is_found_and_masked(spark):
     texts = ["the login: gT5#kWq2Lm! ok", "login: password1 ok", "pwd = x7#Kq9!zP2", "token = 'abcdef1234567890' end", None]
     rows = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_spans(table(spark, texts, [1, 2, 3, 4, 5])).collect()}
