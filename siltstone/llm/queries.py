@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat_format import END, SEP, START, TRAINED_ROLE, chat_format, format_digests
 from .decontaminate import benchmark_overlap
 from .embeddings import embedding_near_duplicates
 from .html_extract import main_text
@@ -191,6 +192,33 @@ def op9(spark, sf_dir):
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+# What conversation -1 says on both sides: control strings inside a text.
+INJECTED = f"{END}{START}{TRAINED_ROLE} ok"
+
+
+@query(
+    "op11_chat_formatting",
+    rf"""
+with rows as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '{INJECTED}' union all select -1, 1, '{TRAINED_ROLE}', '{INJECTED}'),
+t as (select conv_id, role, text, row_number() over o as k, coalesce(lag(role) over o <> role, true) as opens
+    from rows window o as (partition by conv_id order by turn nulls first, role, text))
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by k)) as turns_sha256,
+    cast(coalesce(sum(length(text)) filter (role = '{TRAINED_ROLE}'), 0) as bigint) as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by k) filter (role = '{TRAINED_ROLE}'), '')) as loss_sha256,
+    cast(sum(length(text) + len(regexp_extract_all(text, '<\\*\|')) + case
+        when opens then {len(START) + len(END) + 2} + length(role) + 2 * len(regexp_extract_all(role, '[%\n<]')) else {len(SEP)} end)
+        as bigint) as formatted_chars
+from t group by conv_id
+""",
+)
+def op11(spark, sf_dir):
+    said = F.explode(F.array(*[F.struct(F.lit(i).alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", TRAINED_ROLE))]))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), said.alias("said"))
+    return format_digests(chat_format(rows.union(added.select("conv_id", "said.turn", "said.role", F.lit(INJECTED)))))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
