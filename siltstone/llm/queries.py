@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import token_alignment
 from .chat_format import END, SEP, START, TRAINED_ROLE, chat_format, format_digests
 from .decontaminate import benchmark_overlap
 from .embeddings import embedding_near_duplicates
@@ -14,6 +15,7 @@ from .html_extract import main_text
 from .line_dedup import MIN_SITES, line_dedup
 from .ngram_join import ngram_jaccard_join
 from .packing import best_fit_packing
+from .prefix_trie import DIGEST, borrowed_heads, prefix_trie, turn_paths
 from .quality import quality_scores
 from .secrets import secret_spans
 from .token_counts import token_counts
@@ -219,6 +221,50 @@ def op11(spark, sf_dir):
     return format_digests(chat_format(rows.union(added.select("conv_id", "said.turn", "said.role", F.lit(INJECTED)))))
 
 
+# crc32 of a short ASCII text, bit by bit.
+CRC32_SQL = (
+    "xor(4294967295, list_reduce(list_transform(string_split({0}, ''), lambda c: cast(ord(c) as bigint)), lambda a, b: "
+    "list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384), xor(a, b)), 4294967295))"
+)
+
+
+@query(
+    "op12_conversation_prefix_trie",
+    f"""
+with own as (select conv_id, {CRC32_SQL.format("cast(conv_id as varchar)")} % 4 as h, conv_id - conv_id % 20 as leader
+    from (select distinct conv_id from conversations where conv_id is not null) t),
+said as (select conv_id, turn, left(sha256(length(role) || ':' || role || text), {2 * DIGEST}) as digest,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words
+    from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null) t),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, digest) - 1 as r from said),
+rebuilt as (select o.conv_id, p.r, p.digest, p.words from own o join placed p on p.conv_id = o.conv_id and p.r >= o.h
+    union all select o.conv_id, p.r, p.digest, p.words from own o join placed p on p.conv_id = o.leader and p.r < o.h),
+paths as (select conv_id, row_number() over w as depth, string_agg(digest, '') over w as path, words
+    from rebuilt window w as (partition by conv_id order by r)),
+members as (select conv_id, depth, path, words from paths union all select conv_id, 0, '', 0 from own),
+nodes as (select path, depth, left(path, greatest(length(path) - {2 * DIGEST}, 0)) as above, min(conv_id) as conv_id, count(*) as n_convs,
+    max(words) as words from members group by path, depth),
+children as (select above as path, count(*) as n_children from nodes where depth > 0 group by above),
+sums as (select a.path, count(*) filter (n_children is null) as n_leaves, sum((n_convs - 1) * words) as saved_tokens
+    from (select left(n.path, {2 * DIGEST} * unnest(range(0, n.depth + 1))) as path, c.n_children, n.n_convs, n.words
+        from nodes n left join children c using (path)) a group by a.path),
+ends as (select path, string_agg(conv_id, ',' order by conv_id) as ids
+    from (select conv_id, max_by(path, depth) as path from members group by conv_id) t group by path)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n_children, 0) as n_children, s.n_leaves,
+    cast(s.saved_tokens as bigint) as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from nodes n join sums s using (path) left join children c using (path) left join ends e using (path)
+    left join nodes p on n.depth > 0 and p.path = n.above
+""",
+)
+def op12(spark, sf_dir):
+    return prefix_trie(borrowed_heads(turn_paths(table(spark, sf_dir, "conversations"))))
+
+
+@query("op13_cross_tokenizer_alignment")
+def op13(spark, sf_dir):
+    return token_alignment(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
