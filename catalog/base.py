@@ -9,11 +9,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalog import fixtures
+from catalog.fixtures import FREE_TEXT_TAG, KINDS, SCALED_DOCUMENTS
+from siltstone.operators.tags import distinct_tags, share_of_class_by_row
 from siltstone.plans import marts, silver
 from siltstone.plans.explore import explorer_rows
-from siltstone.operators.tags import share_of_class_by_row, distinct_tags
-from siltstone.sources import files, fixtures
-from siltstone.sources.fixtures import FREE_TEXT_TAG, KINDS, SCALED_DOCUMENTS
+from siltstone.sources import files
 
 Build = Callable[[SparkSession, str], DataFrame]
 

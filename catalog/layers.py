@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from catalog import fixtures
 from catalog.base import (
     SPEC, Layers, js, nums, query, shown_time, table,
 )
@@ -20,12 +21,12 @@ from siltstone.operators.tags import share_of_class, tag_bridge, top_tags
 from siltstone.plans import marts, pipeline, silver
 from siltstone.plans.publish import read_published
 from siltstone.session import scratch_path
-from siltstone.sources import fixtures
 from siltstone.sources.files import infer_json_fields
 from siltstone.sources.landing import (
-    land_partition, latest_partition, partition_history, read_bronze, reference_count,
+    bronze_table, land_partition, latest_partition, partition_history, read_bronze, read_latest, reference_count,
     to_bronze, validate_payload, verify_partition,
 )
+from siltstone.sources.tables import quoted
 
 # ---- landing --------------------------------------------------------------------------------
 
@@ -144,6 +145,17 @@ def land_idempotent(spark, sf):
 @query("latest_partition", """
     select entity_id, strftime(run_date, '%Y-%m-%d') as run_date from newest""")
 def latest(spark, sf):
+    """Both days stand in the landed table; the newest is known from its partitions, so only its files are read."""
+    base = scratch_path(spark, "bronze")
+    days = Layers(spark, sf).bronze.select("entity_id", "payload", "loaded_at", "run_date")
+    days.write.insertInto(quoted(bronze_table(spark, base)), overwrite=True)
+    return read_latest(spark, base).select("entity_id", F.col("run_date").cast("string").alias("run_date"))
+
+
+@query("latest_partition_computed", """
+    select entity_id, strftime(run_date, '%Y-%m-%d') as run_date from newest""")
+def latest_computed(spark, sf):
+    """The general form, over rows that lie in no table."""
     return latest_partition(Layers(spark, sf).bronze).select(
         "entity_id", F.col("run_date").cast("string").alias("run_date")
     )
@@ -165,7 +177,7 @@ def seed_bands(spark, sf):
 
 @query("published_gold", "select * from summary", kind="sound")
 def published_gold(spark, sf):
-    """A whole run in a shadow, checked and published, then read through the pointer."""
+    """A whole run under its own name, checked and published, then read through the views."""
     run = pipeline.Run(scratch_path(spark, "run"), spec=SPEC, run_date=date(2024, 1, 2))
     report = pipeline.run(spark, run, Layers(spark, sf, "sound").bronze)
     if not report.published:

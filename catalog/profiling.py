@@ -12,7 +12,7 @@ from siltstone.operators.joins import mismatch_count
 from siltstone.operators.stats import group_summary, quantiles
 from siltstone.operators.tags import inconsistent_casing, tag_statistics
 from siltstone.plans.checks import unit_ratios
-from siltstone.sources import fixtures
+from catalog import fixtures
 from siltstone.sources.landing import latest_partition
 
 # ---- columns, keys --------------------------------------------------------------------------

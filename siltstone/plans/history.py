@@ -1,17 +1,15 @@
-"""Change history: versions of rows, change detection, incremental rebuild, band suggestion."""
+"""Change history: versions of rows, and band suggestion."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def row_hash(columns: Sequence[str]) -> Column:
-    """A digest of the columns that tells NULL from the empty string."""
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+from siltstone.sources.tables import partitioned_table, quoted
 
 
 def first_versions(snapshot: DataFrame, key: str, tracked: Sequence[str], as_of: date | str) -> DataFrame:
@@ -71,29 +69,6 @@ def apply_snapshot(
     return history.where(~F.coalesce("is_current", F.lit(False))).select(*columns).unionByName(open_rows.select(*columns))
 
 
-def changed_rows(snapshot: DataFrame, seen: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
-    """Rows that are new or differ from what was already processed; ``seen`` has (key, row_hash)."""
-    hashed = snapshot.withColumn("row_hash", row_hash(tracked))
-    return hashed.join(seen.select(key, "row_hash"), [key, "row_hash"], "left_anti")
-
-
-def rebuild_changed(
-    live: DataFrame,
-    changed: DataFrame,
-    key: str,
-    build: Callable[[DataFrame], DataFrame],
-    snapshot: DataFrame | None = None,
-) -> DataFrame:
-    """The live table with the changed keys built anew and all others kept as they are.
-
-    With the ``snapshot`` that the changes come from, keys that it no longer has go.
-    """
-    kept = live.join(changed.select(key).distinct(), key, "left_anti")
-    if snapshot is not None:
-        kept = kept.join(snapshot.select(key).distinct(), key, "left_semi")
-    return kept.unionByName(build(changed).select(*live.columns))
-
-
 def suggest_bands(df: DataFrame, measure: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Half-open bands from one-dimensional k-means: (band, low, high), edges half way between
     neighbouring centres. A proposal to be frozen by hand, not part of the build."""
@@ -114,3 +89,54 @@ def suggest_bands(df: DataFrame, measure: str, k: int = 5, seed: int = 42) -> Da
         label = F.when(x < edges[i - 1], F.lit(i)).otherwise(label)
     sizes = points.groupBy(label.alias("band")).agg(F.count(F.lit(1)).alias("n_rows"))
     return bands.join(sizes, "band", "left").fillna({"n_rows": 0})
+
+
+# ---- A history that is kept ------------------------------------------------------------------
+
+
+def history_table(snapshot: DataFrame, database: str, name: str, folder: str, key: str, tracked: Sequence[str]) -> str:
+    """The kept history as a table, partitioned by open and closed, closed versions by the day they ended."""
+    kinds = {f.name: f.dataType.simpleString() for f in snapshot.schema.fields}
+    columns = ", ".join(f"{quoted(c)} {kinds[c]}" for c in (key, *tracked))
+    spark = snapshot.sparkSession
+    return partitioned_table(
+        spark, f"{database}.{name}", f"{columns}, valid_from DATE, is_current BOOLEAN, valid_to DATE", ["is_current", "valid_to"], folder
+    )
+
+
+def store_snapshot(
+    snapshot: DataFrame, table: str, key: str, tracked: Sequence[str], as_of: date, close_missing: bool = False
+) -> None:
+    """Bring a kept history (``history_table``) up to a snapshot; versions closed on earlier days are not touched.
+
+    Reads the open versions, writes them anew and the versions that this day closes, as two partition
+    overwrites, the closed ones first: a run that dies in between is made good by running it again,
+    which finds the same versions to close. The result is that of ``apply_snapshot`` but for a second
+    snapshot of one day, which corrects the first: a version that began that day is replaced and leaves
+    no version that ends where it begins. A day before a version's begin is refused, and so is an empty
+    snapshot that would close everything.
+    """
+    spark = snapshot.sparkSession
+    if close_missing and snapshot.isEmpty():
+        raise ValueError(f"an empty snapshot would close all versions of {table}")
+    kept = spark.table(quoted(table))
+    columns = [key, *tracked, "valid_from", "is_current", "valid_to"]
+    day = F.lit(as_of).cast("date")
+    open_now = kept.where("is_current")
+    latest = open_now.agg(F.max("valid_from")).first()[0]
+    if latest is not None and latest > as_of:
+        raise ValueError(f"{table} already has versions from {latest}, after {as_of}")
+
+    database, name = table.split(".")
+    staging = quoted(f"{database}.{name}_staging_{uuid.uuid4().hex}")
+    moved = apply_snapshot(open_now, snapshot, key, tracked, as_of, close_missing).where("is_current or valid_from < valid_to")
+    moved.select(*columns).write.format("parquet").saveAsTable(staging)
+    try:
+        staged = spark.table(staging)
+        closing = staged.where("not is_current")
+        if not closing.isEmpty():
+            before = kept.where(~F.col("is_current") & (F.col("valid_to") == day)).join(closing, [key, "valid_from"], "left_anti")
+            closing.unionByName(before).select(*columns).write.insertInto(quoted(table), overwrite=True)
+        staged.where("is_current").write.insertInto(quoted(table), overwrite=True)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")

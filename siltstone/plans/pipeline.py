@@ -15,11 +15,11 @@ from siltstone.plans import marts
 from siltstone.plans.checks import CHECKS, RESULT_SCHEMA, Limits, blocking, run_suite
 from siltstone.plans.contracts import enforce
 from siltstone.plans.observe import append_results
-from siltstone.plans.publish import materialize, publish
+from siltstone.plans.publish import live_runs, materialize, publish
 from siltstone.plans.silver import DEFAULT, SilverSpec, bridge, entities
 from siltstone.sources.files import curated_tags, size_bands
-from siltstone.sources.landing import live_days, read_bronze
-from siltstone.sources.versions import VersionedDir
+from siltstone.sources.landing import read_latest
+from siltstone.sources.tables import database_for, ensure_database, show_run
 
 # Each stage's tables, and the checks that become possible once they stand.
 STAGES = (("silver", "silver_tags"), ("dim", "tags"), ("class_summary", "scatter", "correlations", "class_tags", "coverage"))
@@ -29,7 +29,8 @@ GOLD = STAGES[1] + STAGES[2]
 @dataclass(frozen=True)
 class Run:
     """Where and how to run. ``prod`` publishes after the checks, ``dev`` builds straight into
-    what its readers see."""
+    what its readers see. Tables lie below ``base``; in the catalog their databases carry ``database``, a name
+    after the base folder unless given, with the target behind it."""
 
     base: str
     target: str = "prod"
@@ -42,6 +43,7 @@ class Run:
     force_warning: bool = False
     # A second limit on a warning's violations, by check; past it the warning stops the run.
     error_above: Mapping[str, int] = field(default_factory=dict)
+    database: str = ""
 
     @property
     def root(self) -> str:
@@ -49,7 +51,12 @@ class Run:
 
     @property
     def gold(self) -> str:
-        return f"{self.root}/gold"
+        """The database of the published views and of the runs' tables behind them."""
+        return f"{self.database or database_for(self.base, 'gold')}_{self.target}"
+
+    @property
+    def silver(self) -> str:
+        return f"{self.gold}_silver"
 
     @property
     def history(self) -> str:
@@ -74,12 +81,11 @@ def run(spark: SparkSession, run: Run, bronze: DataFrame | None = None) -> Repor
     if run.target not in ("prod", "dev"):
         raise ValueError(f"unknown target: {run.target}")
     if bronze is None:
-        landed = f"{run.base.rstrip('/')}/bronze"
-        bronze = read_bronze(spark, landed, live_days(spark, landed)[-1:])
+        bronze = read_latest(spark, f"{run.base.rstrip('/')}/bronze")
     tables: dict[str, DataFrame] = {"raw": bronze, "bands": size_bands(spark), "curated": curated_tags(spark)}
-    if run.target == "dev":
-        VersionedDir(spark, run.gold).swap({"version": run.run_id})
-    before = VersionedDir(spark, run.gold).state()
+    ensure_database(spark, run.gold, f"{run.root}/gold")
+    ensure_database(spark, run.silver, f"{run.root}/silver")
+    before = live_runs(spark, run.gold, GOLD)
     results: list = []
     done: set[str] = set()
     stopped = False
@@ -137,8 +143,11 @@ def _build(name: str, t: dict[str, DataFrame], run: Run) -> DataFrame:
         "coverage": lambda: marts.coverage_by_row(t["dim"], tags),
     }[name]()
     gold = name in GOLD
-    folder = f"{run.gold}/{run.run_id}" if gold else f"{run.root}/silver/{run.run_id}"
-    return materialize(enforce(name, made), name, "table" if gold else run.silver_as, folder)
+    database = run.gold if gold else run.silver
+    stored = materialize(enforce(name, made), name, "table" if gold else run.silver_as, database, run.run_id)
+    if gold and run.target == "dev":
+        show_run(made.sparkSession, database, [name], run.run_id)
+    return stored
 
 
 def _row(*values):

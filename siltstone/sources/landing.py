@@ -11,24 +11,16 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from siltstone.functions.text import to_id
-from siltstone.sources.versions import VersionedDir
+from siltstone.sources.tables import database_for, ensure_database, partition_values, partitioned_table, quoted
 
 # The record count of the first profiled payload, and the part of the
 # reference count a payload must reach.
 BASELINE_COUNT = 628
 MIN_RATIO = 0.9
 
-BRONZE_SCHEMA = T.StructType(
-    [
-        T.StructField("entity_id", T.LongType()),
-        T.StructField("payload", T.StringType()),
-        T.StructField("loaded_at", T.TimestampType()),
-        T.StructField("run_date", T.DateType()),
-    ]
-)
+BRONZE_COLUMNS = "entity_id BIGINT, payload STRING, loaded_at TIMESTAMP, run_date DATE"
 
 
 class PayloadRejected(ValueError):
@@ -116,35 +108,34 @@ def partition_history(bronze: DataFrame) -> DataFrame:
 
 
 def latest_partition(df: DataFrame, column: str = "run_date") -> DataFrame:
-    """The rows of the newest partition. On a partitioned table the scalar subquery becomes a
-    partition filter, so only that day's files are read."""
+    """The rows of any DataFrame's newest value of the column, at the price of a second pass over it. Landed days
+    are better read by ``read_latest``, which takes the newest day from the catalog."""
     newest = df.agg(F.max(column)).scalar()
     return df.where(F.col(column) == newest)
 
 
-def live_days(spark: SparkSession, base: str) -> list[str]:
-    """The landed run dates, oldest first, by folder name; a day that never became live is left out."""
-    store = VersionedDir(spark, base)
-    days = [f.removeprefix("run_date=") for f in store.files.folders(store.base) if f.startswith("run_date=")]
-    return [day for day in days if _day(spark, base, day).state()]
+def bronze_table(spark: SparkSession, base: str) -> str:
+    """The table over the landed days below ``base``, partitioned by run date. What is landed is staged beside it."""
+    folder = base.rstrip("/")
+    database = database_for(folder, "landing")
+    ensure_database(spark, database, f"{folder}_staging")
+    return partitioned_table(spark, f"{database}.bronze", BRONZE_COLUMNS, ["run_date"], folder)
 
 
-def _day(spark: SparkSession, base: str, day: str) -> VersionedDir:
-    """A day has a folder and a pointer of its own, so that days landed at once share no file."""
-    return VersionedDir(spark, f"{base.rstrip('/')}/run_date={day}")
+def live_days(spark: SparkSession, base: str) -> list[str]:
+    """The landed run dates, oldest first, as the catalog lists them."""
+    return sorted(p["run_date"] for p in partition_values(spark, bronze_table(spark, base)))
 
 
 def read_bronze(spark: SparkSession, base: str, days: Sequence[str] | None = None) -> DataFrame:
-    """The live days, or some of them. Each day is a partition folder, so a filter on run_date
-    prunes files, and days left out here are not even listed."""
-    live = {day: _day(spark, base, day).state().get("version") for day in (live_days(spark, base) if days is None else days)}
-    wanted = sorted(day for day, version in live.items() if version)
-    if not wanted:
-        return spark.createDataFrame([], BRONZE_SCHEMA)
-    root = base.rstrip("/")
-    folders = [f"{root}/run_date={day}/version={live[day]}" for day in wanted]
-    schema = T.StructType([*BRONZE_SCHEMA.fields, T.StructField("version", T.StringType())])
-    return spark.read.option("basePath", root).schema(schema).parquet(*folders).drop("version")
+    """The live days, or some of them: days left out are not listed."""
+    landed = spark.table(quoted(bronze_table(spark, base)))
+    return landed if days is None else landed.where(F.col("run_date").isin([date.fromisoformat(d) for d in days]))
+
+
+def read_latest(spark: SparkSession, base: str) -> DataFrame:
+    """The newest landed day: one scan of its files, as the day is known from the catalog."""
+    return read_bronze(spark, base, live_days(spark, base)[-1:])
 
 
 def land_partition(
@@ -155,26 +146,35 @@ def land_partition(
     baseline: int = BASELINE_COUNT,
     ratio: float = MIN_RATIO,
 ) -> int:
-    """Write, validate and count what was written, then make this day's new version live.
+    """Stage the day, validate and count what was staged, then replace the day's partition with it.
 
-    A second run for the same day replaces the day, other days are not touched, and any failure
-    before the pointer moves leaves the earlier data live. Returns the rows landed.
+    A second run for the same day replaces the day, other days are not touched, and any failure before
+    the replacement leaves the earlier data live. The replacement is Spark's partition overwrite, with
+    what ``partitioned_table`` says of its commit. Returns the rows landed; a payload without records
+    is rejected.
     """
     spark = documents.sparkSession
-    store = _day(spark, base, run_date.isoformat())
-    earlier = [day for day in live_days(spark, base) if day < run_date.isoformat()]
+    table = bronze_table(spark, base)
+    day = run_date.isoformat()
+    earlier = [d for d in live_days(spark, base) if d < day]
     wanted = reference_count(read_bronze(spark, base, earlier[-1:]), run_date, baseline).first()
-    version = uuid.uuid4().hex
-    folder = f"{store.base}/version={version}"
-    bronze = to_bronze(documents, run_date, loaded_at)
-    bronze.drop("run_date").write.mode("errorifexists").parquet(folder)
-    written = spark.read.parquet(folder).withColumn("run_date", F.lit(run_date))
-    report = validate_payload(written, wanted["reference"], ratio).first()
-    if report["reason"]:
-        store.files.drop(folder)
-        raise PayloadRejected(f"{report['reason']}: {report.asDict()} (against {wanted['source']})")
-    check = verify_partition(written, run_date, report["n_records"]).first()
+    staging = quoted(f"{table.split('.')[0]}.staging_{uuid.uuid4().hex}")
+    to_bronze(documents, run_date, loaded_at).write.format("parquet").saveAsTable(staging)
+    try:
+        staged = spark.table(staging)
+        report = validate_payload(staged, wanted["reference"], ratio).first()
+        reason = report["reason"] or (None if report["n_records"] else "no records")
+        if reason:
+            raise PayloadRejected(f"{reason}: {report.asDict()} (against {wanted['source']})")
+        _verified(staged, run_date, report["n_records"], "staged rows")
+        staged.write.insertInto(quoted(table), overwrite=True)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    return _verified(read_bronze(spark, base, [day]), run_date, report["n_records"], "read-back")
+
+
+def _verified(bronze: DataFrame, run_date: date, expected: int, what: str) -> int:
+    check = verify_partition(bronze, run_date, expected).first()
     if not check["ok"]:
-        raise RuntimeError(f"read-back of {run_date} failed: {check.asDict()}")
-    store.swap({"version": version})
+        raise RuntimeError(f"{what} of {run_date} failed: {check.asDict()}")
     return check["n_rows"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from catalog.base import SPEC
 from siltstone.plans import checks, marts, observe, silver
 from siltstone.operators.tags import share_of_class
-from siltstone.sources import fixtures
+from catalog import fixtures
 from siltstone.sources.files import curated_tags, size_bands
 
 

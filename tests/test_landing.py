@@ -9,10 +9,10 @@ import pytest
 from siltstone.sources import landing
 from siltstone.sources.files import describe, read_documents, read_json
 from siltstone.sources.landing import (
-    PayloadRejected, land_partition, latest_partition, partition_history, read_bronze, reference_count,
-    validate_payload, verify_partition,
+    PayloadRejected, bronze_table, land_partition, latest_partition, live_days, partition_history, read_bronze, read_latest,
+    reference_count, validate_payload, verify_partition,
 )
-from siltstone.sources.versions import VersionedDir
+from siltstone.sources.tables import quoted
 from siltstone.streaming.landing import land_arrivals
 
 D1, D2 = date(2024, 1, 1), date(2024, 1, 2)
@@ -62,24 +62,24 @@ def test_rejected_payload_leaves_the_day(spark, tmp_path):
     assert state(spark, base) == {"2024-01-01": 100, "2024-01-02": 100}
 
 
-@pytest.mark.parametrize("where", ["verify_partition", "swap"])
-def test_crash_before_the_pointer_moves_leaves_the_day(spark, tmp_path, monkeypatch, where):
+@pytest.mark.parametrize("where", ["verify_partition", "insertInto"])
+def test_crash_before_the_replacement_leaves_the_day(spark, tmp_path, monkeypatch, where):
+    from pyspark.sql.readwriter import DataFrameWriter
+
     base = str(tmp_path / "bronze")
     land_partition(docs(spark, range(10)), base, D1, T, baseline=10)
 
     def crash(*_args, **_kwargs):
         raise RuntimeError("lost")
 
-    if where == "swap":
-        monkeypatch.setattr(VersionedDir, "swap", crash)
-    else:
-        monkeypatch.setattr(landing, "verify_partition", crash)
+    monkeypatch.setattr(*((DataFrameWriter, where) if where == "insertInto" else (landing, where)), crash)
     with pytest.raises(RuntimeError, match="lost"):
         land_partition(docs(spark, range(20)), base, D1, T, baseline=10)
     monkeypatch.undo()
     assert state(spark, base) == {"2024-01-01": 10}
     land_partition(docs(spark, range(20)), base, D1, T, baseline=10)
     assert state(spark, base) == {"2024-01-01": 20}
+    assert [t.name for t in spark.catalog.listTables(bronze_table(spark, base).split(".")[0])] == ["bronze"]
 
 
 def test_reference_is_the_newest_earlier_day(spark, tmp_path):
@@ -110,6 +110,35 @@ def test_latest_day_reads_only_its_files(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(run_date" in plan and "Subquery" in plan
 
 
+def test_the_newest_day_is_known_without_reading_rows(spark, tmp_path):
+    base = str(tmp_path / "bronze")
+    assert read_latest(spark, base).count() == 0
+    land_partition(docs(spark, range(10)), base, D1, T, baseline=10)
+    land_partition(docs(spark, range(20)), base, D2, T)
+    day = read_latest(spark, base)
+    assert day.count() == 20
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [" in plan and "Subquery" not in plan
+    assert {f.split("run_date=")[1][:10] for f in day.inputFiles()} == {"2024-01-02"} or "2024-01-02" in plan
+
+
+def test_landed_days_are_found_by_a_catalog_that_did_not_see_them_land(spark, tmp_path):
+    base = str(tmp_path / "bronze")
+    land_partition(docs(spark, range(10)), base, D1, T, baseline=10)
+    land_partition(docs(spark, range(10)), base, D2, T)
+    spark.sql(f"DROP TABLE {quoted(bronze_table(spark, base))}")
+    assert live_days(spark, base) == ["2024-01-01", "2024-01-02"]
+    assert state(spark, base) == {"2024-01-01": 10, "2024-01-02": 10}
+
+
+def test_a_payload_without_records_is_rejected(spark, tmp_path):
+    base = str(tmp_path / "bronze")
+    land_partition(docs(spark, range(10)), base, D1, T, baseline=0)
+    with pytest.raises(PayloadRejected, match="no records"):
+        land_partition(docs(spark, []), base, D1, T, baseline=0)
+    assert state(spark, base) == {"2024-01-01": 10}
+
+
 def test_array_files_keep_documents_as_they_came(spark, tmp_path):
     record = {"id": "7", "b": {"z": 1, "a": [1, 2]}, "a": "x,y"}
     path = tmp_path / "payload.json"

@@ -9,10 +9,10 @@ from siltstone.plans import checks, pipeline
 from siltstone.plans.checks import CHECKS
 from siltstone.plans.contracts import CONTRACTS, ContractBroken, differences, enforce
 from siltstone.plans.pipeline import GOLD, Run, run
-from siltstone.plans.publish import NothingToPublish, materialize, publish, read_published
+from siltstone.plans.publish import NothingToPublish, Superseded, live_runs, materialize, publish, read_published
 from siltstone.plans.silver import SilverSpec
-from siltstone.sources import fixtures
-from siltstone.sources.versions import Superseded, VersionedDir
+from catalog import fixtures
+from siltstone.sources.tables import ensure_database, shown_run, tables_of
 
 SPEC = SilverSpec(tag_sentinels=(fixtures.FREE_TEXT_TAG,))
 
@@ -41,7 +41,7 @@ def test_prod_run_publishes_then_a_failing_run_changes_nothing(spark, sf, tmp_pa
     assert found["metric_parsed"] == "fail" and found["dim_id_unique"] == "skipped"
     assert found["table coverage"] == "skipped"
     assert read_published(spark, settings.gold, "coverage").collect() == before
-    assert VersionedDir(spark, settings.gold).state()["version"] == "r1"
+    assert set(live_runs(spark, settings.gold, GOLD).values()) == {"r1"}
 
     history = pipeline.check_history(spark, settings)
     runs = {r["run_id"] for r in history.select("run_id").distinct().collect()}
@@ -60,7 +60,9 @@ def test_dev_builds_straight_into_what_is_read(spark, sf, tmp_path):
     assert report.published
     assert read_published(spark, settings.gold, "dim").count() > 0
     settings, report = go(spark, sf, tmp_path, kind="defects", run_id="d2", target="dev")
-    assert VersionedDir(spark, settings.gold).state()["version"] == "d2"
+    assert not report.published and shown_run(spark, settings.gold, "dim") == "d1"
+    settings, report = go(spark, sf, tmp_path, kind="sound", run_id="d3", target="dev")
+    assert set(live_runs(spark, settings.gold, GOLD).values()) == {"d3"}
 
 
 def test_build_error_is_recorded_and_nothing_is_published(spark, sf, tmp_path, monkeypatch):
@@ -73,37 +75,66 @@ def test_build_error_is_recorded_and_nothing_is_published(spark, sf, tmp_path, m
     settings = Run(str(tmp_path), run_id="x")
     rows = pipeline.check_history(spark, settings).where("check = 'build'").collect()
     assert rows[0]["status"] == "error"
-    assert VersionedDir(spark, settings.gold).state() == {}
+    assert set(live_runs(spark, settings.gold, GOLD).values()) == {None}
 
 
 def test_publish_needs_finished_tables(spark, tmp_path):
-    base = str(tmp_path / "gold")
+    ensure_database(spark, "gold_a", str(tmp_path / "gold"))
     with pytest.raises(NothingToPublish):
-        publish(spark, base, "v1")
-    materialize(spark.range(3), "a", "table", f"{base}/v1")
+        publish(spark, "gold_a", "v1")
+    materialize(spark.range(3), "a", "table", "gold_a", "v1")
+    with pytest.raises(NothingToPublish):
+        read_published(spark, "gold_a", "a")
     with pytest.raises(NothingToPublish, match="b"):
-        publish(spark, base, "v1", ["a", "b"])
-    assert publish(spark, base, "v1", ["a"]) == ["a"]
-    materialize(spark.range(5), "a", "table", f"{base}/v2")
-    assert read_published(spark, base, "a").count() == 3
-    publish(spark, base, "v2", drop_old=True)
-    assert read_published(spark, base, "a").count() == 5
-    assert VersionedDir(spark, base).tables("v1") == []
+        publish(spark, "gold_a", "v1", ["a", "b"])
+    assert publish(spark, "gold_a", "v1", ["a"]) == ["a"]
+    materialize(spark.range(5), "a", "table", "gold_a", "v2")
+    assert read_published(spark, "gold_a", "a").count() == 3
+    publish(spark, "gold_a", "v2", drop_old=True)
+    assert read_published(spark, "gold_a", "a").count() == 5
+    assert tables_of(spark, "gold_a", "v1") == [] and not (tmp_path / "gold" / "a__v1").exists()
 
 
 def test_publish_refuses_to_undo_another_writer(spark, tmp_path):
-    base = str(tmp_path / "gold")
-    store = VersionedDir(spark, base)
-    before = store.state()
-    for version in ("v1", "v2"):
-        materialize(spark.range(3), "a", "table", f"{base}/{version}")
-    publish(spark, base, "v1", seen=before)
-    live = store.state()
+    ensure_database(spark, "gold_b", str(tmp_path / "gold"))
+    before = live_runs(spark, "gold_b", ["a"])
+    for run_id in ("v1", "v2"):
+        materialize(spark.range(3), "a", "table", "gold_b", run_id)
+    publish(spark, "gold_b", "v1", seen=before)
+    live = live_runs(spark, "gold_b", ["a"])
     with pytest.raises(Superseded):
-        publish(spark, base, "v2", seen=before)
-    assert store.state() == live and live["version"] == "v1"
-    publish(spark, base, "v2", seen=live)
-    assert store.state()["version"] == "v2"
+        publish(spark, "gold_b", "v2", seen=before)
+    assert live_runs(spark, "gold_b", ["a"]) == live == {"a": "v1"}
+    publish(spark, "gold_b", "v2", seen=live)
+    assert live_runs(spark, "gold_b", ["a"]) == {"a": "v2"}
+
+
+def test_a_publish_that_died_between_two_views_is_completed(spark, tmp_path, monkeypatch):
+    from siltstone.plans import publish as module
+
+    ensure_database(spark, "gold_c", str(tmp_path / "gold"))
+    for run_id in ("v1", "v2"):
+        for name in ("a", "b"):
+            materialize(spark.range(3), name, "table", "gold_c", run_id)
+    publish(spark, "gold_c", "v1")
+    seen, whole = live_runs(spark, "gold_c", ["a", "b"]), module.show_run
+
+    def dies(spark, database, names, run_id):
+        whole(spark, database, names[:1], run_id)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(module, "show_run", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        publish(spark, "gold_c", "v2", seen=seen)
+    monkeypatch.undo()
+    assert live_runs(spark, "gold_c", ["a", "b"]) == {"a": "v2", "b": "v1"}
+    publish(spark, "gold_c", "v2", seen=seen)
+    assert live_runs(spark, "gold_c", ["a", "b"]) == {"a": "v2", "b": "v2"}
+
+
+def test_run_ids_are_lower_case_words(spark):
+    with pytest.raises(ValueError, match="run id"):
+        materialize(spark.range(1), "a", "table", "gold_d", "R-1")
 
 
 def test_contract_differences():
