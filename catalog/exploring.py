@@ -174,6 +174,43 @@ def pair_lift_parts(spark, sf):
     return tags.pair_lift(rows, min_support=0.02, k=5)
 
 
+# Lists with NULL entries: words of a part's name, of which those of five letters are NULL, beside its brand.
+_HOLED = """select p_partkey as id, p_type as cls,
+    list_concat([case when length(w) <> 5 then w end for w in string_split(p_name, ' ')], [p_brand]) as tags from part"""
+_HOLED_MENTIONS = f"select id, cls, unnest(tags) as tag from ({_HOLED})"
+
+
+def _holed(spark, sf):
+    words = F.transform(F.split("p_name", " "), lambda w: F.when(F.length(w) != 5, w))
+    return table(spark, sf, "part").select("p_partkey", F.col("p_type").alias("size_class"), F.concat(words, F.array("p_brand")).alias("tags"))
+
+
+@query("share_of_class_null_entries", f"""
+    with n as (select p_type as cls, count(*) as n_class from part group by p_type),
+    m as (select cls, tag, count(distinct id) as n from ({_HOLED_MENTIONS}) where tag is not null group by all)
+    select cls as size_class, tag, upper(tag[1]) || lower(tag[2:]) as tag_display, n as n_entities, n_class as n_in_class,
+           round(100.0::double * n / n_class, 1) as pct_of_class
+    from m join n using (cls)""", kind=None)
+def share_of_class_null_entries(spark, sf):
+    return tags.share_of_class_by_row(_holed(spark, sf), F.array_distinct("tags"))
+
+
+@query("pair_lift_null_entries", _lift_sql(f"select id, cls, [t for t in tags if t is not null] as tags from ({_HOLED})", 0.001, 5), kind=None)
+def pair_lift_null_entries(spark, sf):
+    return tags.pair_lift(_holed(spark, sf), min_support=0.001, k=5)
+
+
+@query("tag_class_pivot_null_entries", f"""
+    with m as ({_HOLED_MENTIONS}), n as (select p_type as cls, count(*) as n_class from part group by p_type),
+    top as (select tag from m where tag is not null group by tag order by count(*) desc, tag limit 18),
+    pct as (select m.tag, m.cls, round_even(100.0::double * count(*) / max(n_class), 0) as pct
+            from m join n using (cls) join top using (tag) group by all)
+    select tag, coalesce(max(pct) filter (cls = 'ECONOMY'), 0) as "ECONOMY", coalesce(max(pct) filter (cls = 'SMALL'), 0) as "SMALL"
+    from pct group by tag having count(*) filter (cls in ('ECONOMY', 'SMALL')) > 0""", kind=None)
+def tag_class_pivot_null_entries(spark, sf):
+    return tags.tag_class_pivot(_holed(spark, sf), ["ECONOMY", "SMALL"])
+
+
 @query("tag_class_pivot", f"""
     with top as (select tag from mentions group by tag order by count(*) desc, tag limit 18)
     select tag, {_PIVOT} from (

@@ -623,3 +623,19 @@ for _name, _table, _measure in (
     query(_name, _banded_sql(_measure, _table))(
         lambda spark, sf, t=_table, m=_measure: _banded_counts(table(spark, sf, t), m, Layers(spark, sf).bands)
     )
+
+
+# A hundred thousand bands of four currency units with a gap of one behind each: far past one expression.
+_FINE = "select 'p' || k as label, 5.0 * k as min_kg, 5.0 * k + 4 as max_kg from (select unnest(range(100000)) as k) t"
+
+
+@query("band_classify_fine", f"""
+    with fine as ({_FINE})
+    select l_orderkey, l_linenumber, l_extendedprice, f.label as price_band
+    from lineitem left join fine f on l_extendedprice >= f.min_kg and l_extendedprice < f.max_kg""")
+def band_classify_fine(spark, sf):
+    fine = spark.range(100_000).select(
+        F.concat(F.lit("p"), "id").alias("label"), (F.col("id") * 5.0).alias("min_kg"), (F.col("id") * 5.0 + 4).alias("max_kg")
+    )
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return classify_bands(lines, "l_extendedprice", fine, out="price_band")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.numbers import round_to, share
 from siltstone.functions.text import as_col, sentence_case
+from siltstone.session import write_scratch
 
 
 def each_tag(df: DataFrame, keep: Sequence[str], tags: Column | str, out: str = "tag") -> DataFrame:
@@ -72,10 +73,11 @@ def share_of_class(
 def class_tag_counts(rows: DataFrame, cls: str = "size_class", tags: str = "tags", tag: str = "tag") -> DataFrame:
     """(class, tag, n) over one row per entity, with the class size in the row whose tag is NULL.
 
-    Every list gets one NULL entry, so class sizes and tag counts come from the same scan and the
-    same partial sums, and all that follows works on this small table.
+    Every list loses its own NULL entries, which are no tags, and gets one, so class sizes and tag counts
+    come from the same scan and the same partial sums, and all that follows works on this small table.
     """
-    entries = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(tags, F.array().cast("array<string>")))
+    own = F.array_compact(F.coalesce(tags, F.array().cast("array<string>")))
+    entries = F.concat(F.array(F.lit(None).cast("string")), own)
     return rows.select(cls, F.explode(entries).alias(tag)).groupBy(cls, tag).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -194,25 +196,27 @@ def pair_lift(
 ) -> DataFrame:
     """Most distinctive tag pairs per class: share inside over share in all other classes.
 
-    ``classes`` limits the classes compared (default: all that are not NULL). ``rows`` has one row per entity with its ``tags``. A pair can only reach ``min_support`` in a
-    class if both its tags do, so the tags that reach it in no class are removed from every row
-    before pairs are made; this loses no result. The kept tags number at most
-    (tags per entity / min_support) per class, which bounds both the list sent to the tasks and
-    the pairs a long row can give. Without a support nothing is gathered. Pairs are made inside the row, without a self-join.
+    ``classes`` limits the classes compared (default: all that are not NULL). ``rows`` has one row per
+    entity with its ``tags``; NULL entries are no tags. A pair can only reach ``min_support`` in a class
+    if both its tags do, so tags that reach it in no class leave every row before pairs are made; this
+    loses no result. The counts this takes are written once, when the query is built. The tags that stay
+    are a table, met by a semi join; a row comes out of it with at most (tags per entity / min_support)
+    of them for each class, which bounds the pairs a long row can give. Pairs are made inside the row,
+    without a self-join.
     """
     known = F.col(cls).isNotNull() if classes is None else F.col(cls).isin(list(classes))
     banded = rows.where(known).select(
-        cls, F.array_sort(F.array_distinct("tags")).alias("tags")
+        cls, F.array_sort(F.array_distinct(F.array_compact("tags"))).alias("tags")
     )
-    counts = class_tag_counts(banded, cls)
+    counts = write_scratch(class_tag_counts(banded, cls), "tag-counts")
     sizes = class_sizes(counts, cls)
-    reaches = F.col("tag").isNotNull() & (F.col("n") >= min_support * F.col("n_class"))
-    gathered = [F.sum(F.when(F.col("tag").isNull(), F.col("n"))).alias("n_rows")]
+    n_rows = sizes.agg(F.sum("n_class")).scalar()
     if min_support > 0:
-        gathered.append(F.collect_set(F.when(reaches, F.col("tag"))).alias("frequent"))
-    facts = counts.join(sizes, cls).agg(F.struct(*gathered)).scalar()
-    if min_support > 0:
-        banded = banded.withColumn("tags", F.array_intersect("tags", facts["frequent"]))
+        reaching = with_class_size(counts, cls).where(F.col("n") / F.col("n_class") >= min_support).select("tag").distinct()
+        entries = each_tag(banded.withColumn("__row", F.monotonically_increasing_id()), ["__row", cls], "tags")
+        banded = (
+            entries.join(reaching, "tag", "left_semi").groupBy("__row", cls).agg(F.array_sort(F.collect_list("tag")).alias("tags"))
+        )
     pairs = F.flatten(
         F.transform(
             "tags",
@@ -229,7 +233,7 @@ def pair_lift(
         .withColumn("n_all", F.sum("n_in").over(Window.partitionBy("pair")))
     )
     inside = F.col("n_in") / F.col("n_class")
-    outside = F.try_divide(F.col("n_all") - F.col("n_in"), facts["n_rows"] - F.col("n_class"))
+    outside = F.try_divide(F.col("n_all") - F.col("n_in"), n_rows - F.col("n_class"))
     lifts = (
         counted.where("n_all > n_in")
         .join(sizes, cls)

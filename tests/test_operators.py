@@ -46,10 +46,50 @@ def test_many_bands_with_gaps_are_one_expression(spark):
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_band_table_that_is_no_configuration_is_refused(spark, monkeypatch):
-    monkeypatch.setattr("siltstone.operators.bands.MAX_BANDS", 4)
-    with pytest.raises(ValueError):
-        classify_bands(spark.range(1).selectExpr("double(id) as w"), "w", size_bands(spark))
+def wide_bands(spark, n, label="label"):
+    return spark.range(n).selectExpr(f"concat('b', id) as {label}", "double(id * 3) as min_kg", "double(id * 3 + 2) as max_kg")
+
+
+def test_a_hundred_thousand_bands_are_joined_by_ranges(spark):
+    bands = wide_bands(spark, 100_000)
+    odd = spark.createDataFrame([("inverted", 9.0, 4.0), ("open", 5.0, None), (None, 400_000.0, 400_001.0)], "label string, min_kg double, max_kg double")
+    df = spark.range(-10, 700_000, 7).selectExpr("id / 2 as w", "'x' as label", "1 as low").union(spark.sql("select double('nan'), 'y', 2 union all select null, 'z', 3"))
+    found = classify_bands(df, "w", bands.union(odd), out="b")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "LocalTableScan" not in plan.split("BroadcastExchange")[0] and found.columns == ["w", "label", "low", "b"]
+    rows = found.collect()
+    assert len(rows) == df.count()
+    for r in rows:
+        w = r["w"]
+        if w is None:
+            assert r["b"] == "unknown"
+        else:
+            inside = w == w and 0 <= w < 300_000 and w % 3 < 2
+            assert r["b"] == (f"b{int(w // 3)}" if inside else None)
+
+
+def test_joined_bands_agree_with_the_expression_also_where_they_overlap(spark, monkeypatch):
+    rows = [("a", 0, 100), ("b", 100, 101), ("c", 500, 900), ("d", 600, 700), ("e", 950, 950), ("f", 960, 2000), ("g", 1000, 1001)]
+    bands = spark.createDataFrame(rows, "label string, min_kg int, max_kg int")
+    free = spark.range(-5, 2100).where("not (id >= 600 and id < 700) and id <> 1000").selectExpr("double(id) as w")
+    one = {r["w"]: r["size_class"] for r in classify_bands(free, "w", bands).collect()}
+    monkeypatch.setattr("siltstone.operators.bands.MAX_BANDS", 2)
+    monkeypatch.setattr("siltstone.operators.bands.RANGES", 4)
+    assert {r["w"]: r["size_class"] for r in classify_bands(free, "w", bands).collect()} == one
+    for value in (600.0, 1000.0):
+        with pytest.raises(PySparkException, match="more than one band"):
+            classify_bands(spark.createDataFrame([(value,)], "w double"), "w", bands).collect()
+
+
+def test_joined_bands_of_dates_and_of_none(spark, monkeypatch):
+    monkeypatch.setattr("siltstone.operators.bands.MAX_BANDS", 2)
+    days = spark.sql("select explode(sequence(date '2024-01-01', date '2024-03-31')) as d")
+    weeks = spark.range(13).selectExpr("concat('w', id) as label", "date_add(date '2024-01-01', int(id * 7)) as min_kg", "date_add(date '2024-01-01', int(id * 7 + 7)) as max_kg")
+    got = {r["d"].toordinal(): r["size_class"] for r in classify_bands(days, "d", weeks).collect()}
+    first = min(got)
+    assert got == {d: f"w{(d - first) // 7}" for d in got}
+    empty = spark.createDataFrame([("a", 5.0, 1.0), ("b", None, 2.0), ("c", 1.0, None)], "label string, min_kg double, max_kg double")
+    assert [r["size_class"] for r in classify_bands(spark.createDataFrame([(1.0,), (None,)], "w double"), "w", empty).collect()] == [None, "unknown"]
 
 
 def test_gap_is_null(spark):
@@ -191,6 +231,35 @@ def test_pair_lift_equals_brute_force(spark, support):
     assert got == _lift_by_hand(rows, ["a", "b", "c"], support, 4)
 
 
+def test_null_entries_of_a_list_are_no_tags_and_no_rows(spark):
+    rows = [("a", ["x", None]), ("a", [None, None]), ("a", None), ("b", ["x", "y", None, "x"]), (None, ["x", None])]
+    df = spark.createDataFrame(rows, "size_class string, tags array<string>")
+    sizes = tags.class_sizes(tags.class_tag_counts(df), "size_class")
+    assert sorted(tuple(r) for r in sizes.where("size_class is not null").collect()) == [("a", 3), ("b", 1)]
+    shares = {(r["size_class"], r["tag"]): (r["n_entities"], r["n_in_class"], r["pct_of_class"]) for r in tags.share_of_class_by_row(df, F.array_distinct("tags")).collect()}
+    assert shares == {("a", "x"): (1, 3, 33.3), ("b", "x"): (1, 1, 100.0), ("b", "y"): (1, 1, 100.0)}
+    pivot = {r["tag"]: (r["a"], r["b"]) for r in tags.tag_class_pivot(df, ["a", "b"]).collect()}
+    assert pivot == {"x": (33.0, 200.0), "y": (0.0, 100.0)}
+    pairs = spark.createDataFrame([("a", ["x", None, "y"]), ("b", ["x", "y"]), ("b", [None, "x"])], "size_class string, tags array<string>")
+    got = {r["band"]: (r["pair"], r["in_band_pct"], r["other_bands_pct"]) for r in tags.pair_lift(pairs, k=3).collect()}
+    assert got == {"a": ("x + y", 100, 50), "b": ("x + y", 50, 100)}
+
+
+def test_pair_lift_gathers_no_set_and_takes_a_wide_vocabulary(spark):
+    """60,000 rare tags beside three frequent ones: only the three reach the pairs."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("size_class"),
+        F.concat(
+            F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.concat(F.lit("rare"), (F.col("id") * 10 + i).cast("string"))),
+            F.array(F.lit("f1"), F.lit("f2")), F.when(F.col("id") % 4 == 0, F.array(F.lit("f3"))).otherwise(F.array()),
+        ).alias("tags"),
+    )
+    found = tags.pair_lift(rows)
+    assert {(r["band"], r["pair"], r["lift"]) for r in found.collect()} == {("a", "f1 + f2", 1.0), ("b", "f1 + f2", 1.0)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" not in plan and "LeftSemi" in plan
+
+
 def test_bridge_folds_repeats_and_drops_sentinels(spark):
     df = spark.createDataFrame(
         [(1, "Loyal, loyal,"), (2, "Varies a lot"), (3, None), (4, " , "), (1, "LOYAL, quick to learn")], "id int, t string"
