@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from catalog.fixtures import FREE_TEXT_TAG, KINDS, SCALED_DOCUMENTS
 from siltstone.operators.tags import distinct_tags, share_of_class_by_row
 from siltstone.plans import marts, silver
 from siltstone.plans.explore import explorer_rows
+from siltstone.session import write_scratch
 from siltstone.sources import files
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,11 @@ class Layers:
     spark: SparkSession
     sf_dir: str
     kind: str = "scaled"
+    stored_dim: DataFrame | None = None
+
+    def stored(self) -> Layers:
+        """The same layers over a dimension that is written once and read by all that follows."""
+        return replace(self, stored_dim=write_scratch(self.dim, "dim"))
 
     @property
     def bronze(self) -> DataFrame:
@@ -72,7 +78,7 @@ class Layers:
 
     @property
     def dim(self) -> DataFrame:
-        return marts.dimension(self.silver, self.bands)
+        return self.stored_dim if self.stored_dim is not None else marts.dimension(self.silver, self.bands)
 
     @property
     def summary(self) -> DataFrame:

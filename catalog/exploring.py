@@ -51,7 +51,7 @@ def reference_row(spark, sf):
          (select min(x) as lo, max(x) as hi, regr_slope(ln(y), ln(x)) as k from ({_FITTED}) e) w,
          (select x as rx, y as ry from ({_FITTED}) f, (select median(x) as mid from ({_FITTED}) d) m order by abs(x - mid), entity_id limit 1) a""")
 def power_curve(spark, sf):
-    rows = Layers(spark, sf).dim
+    rows = Layers(spark, sf).stored().dim
     return rounded(stats.power_curve(rows, HEIGHT, WEIGHT, "entity_id"), HEIGHT, "cube_law", "fitted")
 
 

@@ -15,18 +15,19 @@ from siltstone.functions.numbers import envelope, first_number, numbers, sex_env
 from siltstone.functions.shapes import shape_known
 from siltstone.functions.text import missing_score, null_if, sentence_case, word_count
 from siltstone.operators.bands import band_defects, bucketize, classify_bands
-from siltstone.operators.joins import enrich_left, orphans
+from siltstone.operators.joins import enrich_left, orphans, union_all
 from siltstone.operators.stats import corr_matrix, pairwise_corr
 from siltstone.operators.tags import share_of_class, tag_bridge, top_tags
 from siltstone.plans import marts, pipeline, silver
+from siltstone.plans.enrichment import EnrichmentRejected, enrichment_checks, land_enrichment
 from siltstone.plans.publish import read_published
 from siltstone.session import scratch_path
-from siltstone.sources.files import infer_json_fields
+from siltstone.sources.files import infer_json_fields, read_variants, variant_fields
 from siltstone.sources.landing import (
     bronze_table, land_partition, latest_partition, partition_history, read_bronze, read_latest, reference_count,
     to_bronze, validate_payload, verify_partition,
 )
-from siltstone.sources.tables import quoted
+from siltstone.sources.tables import database_for, ensure_database, quoted
 
 # ---- landing --------------------------------------------------------------------------------
 
@@ -38,6 +39,18 @@ def json_schema(spark, sf):
     return infer_json_fields(table(spark, sf, "events"), "props")
 
 
+@query("json_schema_lines", """
+    select k as column_name,
+           case when k in ('weight', 'height') then 'OBJECT<imperial: STRING, metric: STRING>' else 'STRING' end as column_type,
+           count(*) as n_rows
+    from (select unnest(json_keys(payload)) as k from fx) group by k""")
+def json_schema_lines(spark, sf):
+    """The documents as files of JSON lines, read as variants: no schema is inferred before, nor a text parsed twice."""
+    path = scratch_path(spark, "lines")
+    fixtures.documents(spark, sf).select("payload").write.text(path)
+    return variant_fields(read_variants(spark, path))
+
+
 @query("json_schema_documents", """
     select k as column_name,
            case when k in ('weight', 'height') then 'OBJECT<imperial: STRING, metric: STRING>' else 'STRING' end as column_type,
@@ -583,6 +596,64 @@ def enriched(spark, sf):
     return enrich_left(table(spark, sf, "documents").select("doc_id", "lang", "source"), table(spark, sf, "labels"), "doc_id")
 
 
+# The labels as an enrichment of the documents, with every kind of defect spread over them.
+_LABELS_OFF = """
+    select doc_id, quality, toxic from labels
+    union all select doc_id, quality, toxic from labels where doc_id % 7 = 0
+    union all select null, quality, toxic from labels where doc_id % 5 = 0
+    union all select doc_id + 1000000000, 7, toxic from labels where doc_id % 3 = 0
+    union all select -1 - doc_id, quality, null from labels where doc_id % 11 = 0"""
+
+
+def _labels_off(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", "quality", "toxic")
+    at = F.col("doc_id")
+    parts = [
+        labels.where(at % 7 == 0), labels.where(at % 5 == 0).withColumn("doc_id", F.lit(None).cast("long")),
+        labels.where(at % 3 == 0).select((at + 1_000_000_000).alias("doc_id"), F.lit(7).alias("quality"), "toxic"),
+        labels.where(at % 11 == 0).select((-1 - at).alias("doc_id"), "quality", F.lit(None).cast("int").alias("toxic")),
+    ]
+    return union_all(labels, *parts)
+
+
+_ENUMS = {"quality": (0, 1), "toxic": (0, 1)}
+
+
+def _enrichment_sql(source):
+    return f"""
+    with e as ({source})
+    select 'doc_id_not_null' as "check", count(*) filter (doc_id is null) as failures from e
+    union all select 'doc_id_unique', count(*) from (select doc_id from e where doc_id is not null group by doc_id having count(*) > 1)
+    union all select 'doc_id_in_dimension', count(*) from e where doc_id is not null and doc_id not in (select doc_id from documents)
+    union all select 'quality_accepted', count(*) from e where quality not in (0, 1)
+    union all select 'toxic_accepted', count(*) from e where toxic not in (0, 1)"""
+
+
+@query("enrichment_checks", _enrichment_sql("select * from labels"), kind=None)
+def enrichment_sound(spark, sf):
+    return enrichment_checks(table(spark, sf, "labels"), table(spark, sf, "documents"), "doc_id", _ENUMS)
+
+
+@query("enrichment_checks_defects", _enrichment_sql(_LABELS_OFF), kind=None)
+def enrichment_defects(spark, sf):
+    return enrichment_checks(_labels_off(spark, sf), table(spark, sf, "documents"), "doc_id", _ENUMS)
+
+
+@query("enrichment_kept", "select d.doc_id, d.lang, l.quality, l.toxic from documents d left join labels l using (doc_id)")
+def enrichment_kept(spark, sf):
+    """A sound enrichment is landed and shown; the next one is refused and leaves it in place."""
+    documents = table(spark, sf, "documents").select("doc_id", "lang")
+    folder = scratch_path(spark, "enrichment")
+    database = database_for(folder, "enrichment")
+    ensure_database(spark, database, folder)
+    land_enrichment(table(spark, sf, "labels"), documents, database, "labels", "r1", "doc_id", _ENUMS)
+    try:
+        land_enrichment(_labels_off(spark, sf), documents, database, "labels", "r2", "doc_id", _ENUMS)
+    except EnrichmentRejected:
+        return enrich_left(documents, spark.table(quoted(f"{database}.labels")), "doc_id")
+    raise RuntimeError("a defective enrichment was landed")
+
+
 @query("top_tags", "select tag, count(*) as n_entities from bridge group by tag")
 def tag_ranking(spark, sf):
     return top_tags(Layers(spark, sf).bridge)

@@ -96,5 +96,5 @@ def narrowest_spread(spark, sf):
     left join summary z on z.size_class = b.label
     left join (select tag, min(tag_display) as tag_display from shares where size_class <> 'unknown' group by tag) n on n.tag = c.tag""")
 def heatmap_grid(spark, sf):
-    x = Layers(spark, sf)
+    x = Layers(spark, sf).stored()
     return panels.heatmap_grid(x.shares, x.summary, x.curated, CLASSES)

@@ -9,11 +9,11 @@ from pyspark.sql import types as T
 
 from catalog.base import NUM, SPEC, Layers, js, query, shown_time, table, with_blocks
 from catalog.layers import KNOWN_SQL, part_bands
+from siltstone.operators.joins import union_all
 from siltstone.operators.tags import share_of_class
 from siltstone.plans import checks, marts, observe, silver
-from siltstone.plans.contracts import CONTRACTS, enforce
-from siltstone.plans.publish import materialize
-from siltstone.session import scratch_path
+from siltstone.plans.contracts import CONTRACTS, ContractBroken, conformed, enforce
+from siltstone.session import scratch_path, write_scratch
 
 # ---- one query per check, over documents with every kind of defect ---------------------------
 
@@ -159,12 +159,11 @@ def _suite_sql(run_id):
 def stored_tables(spark, sf, kind):
     """Every table written once, as a run does, so that the checks read stored tables."""
     x = Layers(spark, sf, kind)
-    folder = scratch_path(spark, f"tables-{kind}")
     t = {"raw": x.bronze, "bands": x.bands, "curated": x.curated}
-    t["silver"] = materialize(x.silver, "silver", "table", folder)
-    t["silver_tags"] = materialize(silver.bridge(t["silver"], SPEC), "silver_tags", "table", folder)
+    t["silver"] = write_scratch(x.silver, f"silver-{kind}")
+    t["silver_tags"] = write_scratch(silver.bridge(t["silver"], SPEC), f"silver-tags-{kind}")
     t["tags"] = t["silver_tags"]
-    t["dim"] = materialize(marts.dimension(t["silver"], t["bands"]), "dim", "table", folder)
+    t["dim"] = write_scratch(marts.dimension(t["silver"], t["bands"]), f"dim-{kind}")
     t["class_summary"] = marts.class_summary(t["dim"])
     t["scatter"] = marts.scatter_rows(t["dim"])
     t["correlations"] = marts.correlations(t["dim"])
@@ -193,6 +192,17 @@ def result_summary(spark, sf):
     return observe.status_counts(_suite(spark, sf, "scaled", "r1"))
 
 
+@query("severity_accounting", f"""
+    select severity, count(*) as n_checks, count(*) filter (status = 'pass') as n_passed, sum(failures) as n_violations
+    from ({_suite_sql('r1')}) group by severity""")
+def severity_accounting(spark, sf):
+    """How many checks of each severity a run holds: 33 that stop it and 6 that warn."""
+    results = checks.run_suite(stored_tables(spark, sf, "scaled"), "r1")
+    return results.groupBy("severity").agg(
+        F.count(F.lit(1)).alias("n_checks"), F.count_if(F.col("status") == "pass").alias("n_passed"), F.sum("failures").alias("n_violations")
+    )
+
+
 @query("fired_warnings", f"""
     select "check", failures, failures || ' violating rows' as message from ({_suite_sql('r2')}) where status = 'warn'""",
     kind="defects")
@@ -231,6 +241,77 @@ def contract_class_tags(spark, sf):
     return enforce("class_tags", Layers(spark, sf).shares)
 
 
+def _declared(spark, sf, name, df):
+    """A table with its columns in another order, written under its contract and read back."""
+    path = scratch_path(spark, f"contract-{name}")
+    conformed(name, df.select(*reversed(df.columns))).write.parquet(path)
+    read = spark.read.parquet(path)
+    if read.columns != CONTRACTS[name].fieldNames():
+        raise ContractBroken(f"{name}: written as {read.columns}")
+    return read
+
+
+@query("contract_tags", "select entity_id, tag, tag_display from bridge")
+def contract_tags(spark, sf):
+    return _declared(spark, sf, "tags", Layers(spark, sf).bridge)
+
+
+@query("contract_class_summary", "select * from summary")
+def contract_class_summary(spark, sf):
+    return _declared(spark, sf, "class_summary", Layers(spark, sf).summary)
+
+
+@query("contract_scatter", "select * from scatter")
+def contract_scatter(spark, sf):
+    return _declared(spark, sf, "scatter", Layers(spark, sf).scatter)
+
+
+@query("contract_correlations", "select * from correlations")
+def contract_correlations(spark, sf):
+    return _declared(spark, sf, "correlations", Layers(spark, sf).correlations)
+
+
+@query("contract_class_tags_written", "select * from shares")
+def contract_class_tags_written(spark, sf):
+    return _declared(spark, sf, "class_tags", Layers(spark, sf).shares)
+
+
+@query("contract_coverage", """
+    select * exclude (last_refreshed_at), strftime(last_refreshed_at, '%Y-%m-%d %H:%M:%S') as last_refreshed_at from coverage""")
+def contract_coverage(spark, sf):
+    written = _declared(spark, sf, "coverage", Layers(spark, sf).coverage)
+    return written.withColumn("last_refreshed_at", shown_time("last_refreshed_at"))
+
+
+# By table: where its rows stand in the SQL, its first column, and its last one with its type.
+_LAST = (
+    ("tags", "bridge", "entity_id", "tag_display", "string"), ("class_summary", "summary", "size_class", "mean_height_cm", "double"),
+    ("scatter", "scatter", "entity_id", "life_span_mid_years", "double"), ("correlations", "correlations", "metric_a", "n_entities", "bigint"),
+    ("class_tags", "shares", "size_class", "pct_of_class", "double"), ("coverage", "coverage", "n_total", "last_refreshed_at", "timestamp"),
+)
+
+
+@query("contract_refusals", " union all ".join(f"""
+    select '{name}' as table_name, unnest(['{first} is missing', 'surplus is not declared', '{last} is binary, declared {kind}']) as problem,
+           (select count(*) from {source}) as n_rows""" for name, source, first, last, kind in _LAST))
+def contract_refusals(spark, sf):
+    """Every table without its first column, with a surplus one and with its last one as bytes: what the write says
+    when it refuses them, beside the rows that were not written."""
+    x = Layers(spark, sf)
+    made = {"tags": x.bridge, "class_summary": x.summary, "scatter": x.scatter, "correlations": x.correlations, "class_tags": x.shares, "coverage": x.coverage}
+    refused = []
+    for name, df in made.items():
+        first, last = CONTRACTS[name].fieldNames()[0], CONTRACTS[name].fieldNames()[-1]
+        broken = df.drop(first).withColumn(last, F.col(last).cast("string").cast("binary")).withColumn("surplus", F.lit(1))
+        try:
+            conformed(name, broken).write.parquet(scratch_path(spark, f"contract-{name}"))
+        except ContractBroken as refusal:
+            problems = F.split(F.lit(str(refusal).removeprefix(f"{name}: ")), "; ")
+            counted = df.agg(F.count(F.lit(1)).alias("n_rows"))
+            refused.append(counted.select(F.lit(name).alias("table_name"), F.explode(problems).alias("problem"), "n_rows"))
+    return union_all(*refused)
+
+
 # ---- history --------------------------------------------------------------------------------
 
 # Three runs, each a suite over stored tables: the sound documents, those with defects, the sound ones again. Their
@@ -279,14 +360,28 @@ def freshness(spark, sf):
     return found.withColumn("loaded_at", shown_time("loaded_at"))
 
 
-@query("freshness_events", """
-    select strftime(max(ts), '%Y-%m-%d %H:%M:%S') as loaded_at,
-           date_diff('second', max(ts), timestamp '2024-01-31 00:00:00') / 3600.0::double as age_hours, 'pass' as status
-    from events""")
-def freshness_events(spark, sf):
+def _event_freshness_sql(as_of):
+    age = f"date_diff('second', date_trunc('second', max(ts)), timestamp '{as_of}')"
+    return f"""
+    select strftime(max(ts), '%Y-%m-%d %H:%M:%S') as loaded_at, {age} / 3600.0::double as age_hours,
+           case when {age} <= 36 * 3600 then 'pass' else 'warn' end as status
+    from events"""
+
+
+def _event_freshness(spark, sf, as_of):
     events = table(spark, sf, "events").select(F.date_trunc("second", "ts").cast("timestamp").alias("loaded_at"))
-    found = observe.freshness(events, "2024-01-31 00:00:00")
-    return found.withColumn("loaded_at", shown_time("loaded_at"))
+    return observe.freshness(events, as_of).withColumn("loaded_at", shown_time("loaded_at"))
+
+
+@query("freshness_events", _event_freshness_sql("2024-01-31 00:00:00"))
+def freshness_events(spark, sf):
+    return _event_freshness(spark, sf, "2024-01-31 00:00:00")
+
+
+@query("freshness_events_stale", _event_freshness_sql("2024-02-15 00:00:00"))
+def freshness_events_stale(spark, sf):
+    """The same load two weeks later: a warning."""
+    return _event_freshness(spark, sf, "2024-02-15 00:00:00")
 
 
 # ---- reconciliation -------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from siltstone.functions.shapes import SENTINELS, classify_format
 from siltstone.functions.text import strip_space, total
 from siltstone.operators.joins import melt
 from siltstone.operators.stats import values_at_ranks
+from siltstone.session import write_scratch
 
 _NESTED = (T.StructType, T.MapType, T.ArrayType)
 
@@ -169,13 +170,14 @@ def sparsity(df: DataFrame, fields: Sequence[str]) -> Column:
 def sample_records(df: DataFrame, fields: Sequence[str], key: str, tagged: str, n: int = 5) -> DataFrame:
     """Up to five telling records: richest, the two sparsest, the middle one, first with tags.
 
-    Order is (sparsity, key). Both ends and the first tagged rows come from one ranked pass, of
-    which each task keeps five rows per end. The middle record is found by counting per sparsity
-    level and then by its rank inside one level, so the table is never sorted as a whole.
+    Order is (sparsity, key). Rows are read and judged once: key, sparsity and whether there are tags
+    are written when the query is built, and all ranking reads those few bytes a row. Both ends and the
+    first tagged rows come from one ranked pass, of which each task keeps five rows per end. The middle
+    record is found by counting per sparsity level and then by its rank inside one level, so the table
+    is never sorted as a whole. The records themselves are fetched by the keys picked, in one scan.
     """
-    ranked = df.withColumn("sparsity", sparsity(df, fields))
     has_tags = F.trim(F.coalesce(F.col(tagged), F.lit(""))) != ""
-    slim = ranked.select(key, "sparsity", has_tags.alias("__tagged"))
+    slim = write_scratch(df.select(key, sparsity(df, fields).alias("sparsity"), has_tags.alias("__tagged")), "sparsity")
 
     ends = F.array_compact(F.array(F.lit("low"), F.lit("high"), F.when(F.col("__tagged"), F.lit("tagged"))))
     rows = slim.select(key, "sparsity", F.explode(ends).alias("__end"))
@@ -194,7 +196,7 @@ def sample_records(df: DataFrame, fields: Sequence[str], key: str, tagged: str,
         # only in a table of five rows or fewer, where every row is picked, do these come in
         .otherwise(at + 20)
     )
-    outer = best.select(key, role.alias("role"))
+    outer = best.select(key, "sparsity", role.alias("role"))
 
     levels = slim.groupBy("sparsity").agg(F.count(F.lit(1)).alias("c"))
     whole = Window.partitionBy(F.lit(1))
@@ -210,8 +212,9 @@ def sample_records(df: DataFrame, fields: Sequence[str], key: str, tagged: str,
     )
     middle = values_at_ranks(slim, key, ["sparsity"], lambda _: at_mid)
 
-    roles = outer.union(middle.select(key, F.lit(4).alias("role"))).groupBy(key).agg(F.min("role").alias("role"))
+    middle = middle.select(key, spot["sparsity"].alias("sparsity"), F.lit(4).alias("role"))
+    roles = outer.union(middle).groupBy(key).agg(F.min("role").alias("role"), F.min("sparsity").alias("sparsity"))
     known = roles.where((F.col("role") < 20) | (spot["total"] <= n)).orderBy("role").limit(n)
     names = F.array(*[F.lit(x) for x in ("richest", "sparsest", "second sparsest", "middle", "with tags")])
     label = F.when(F.col("role") < 20, F.element_at(names, F.least(F.col("role"), F.lit(5)))).otherwise("other")
-    return ranked.join(F.broadcast(known.select(key, label.alias("picked_as"))), key)
+    return df.join(F.broadcast(known.select(key, "sparsity", label.alias("picked_as"))), key)

@@ -9,6 +9,7 @@ _COVERAGE_COUNTS = (
     "n_total", "n_with_weight", "n_with_life_span", "n_with_both", "n_with_tags", "n_plotted", "n_excluded",
 )
 
+
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields])
 
@@ -61,3 +62,10 @@ def enforce(name: str, df: DataFrame, contracts: dict[str, T.StructType] = CONTR
         if problems:
             raise ContractBroken(f"{name}: " + "; ".join(problems))
     return df
+
+
+def conformed(name: str, df: DataFrame, contracts: dict[str, T.StructType] = CONTRACTS) -> DataFrame:
+    """The table as it is written: refused where it differs from its contract, else in the contract's
+    column order and nullability. A table without a contract is written as it is."""
+    enforce(name, df, contracts)
+    return df.to(contracts[name]) if name in contracts else df

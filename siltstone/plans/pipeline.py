@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from siltstone.operators.tags import distinct_tags, share_of_class_by_row
 from siltstone.plans import marts
 from siltstone.plans.checks import CHECKS, RESULT_SCHEMA, Limits, blocking, run_suite
-from siltstone.plans.contracts import enforce
+from siltstone.plans.contracts import conformed
 from siltstone.plans.observe import append_results
 from siltstone.plans.publish import live_runs, materialize, publish
 from siltstone.plans.silver import DEFAULT, SilverSpec, bridge, entities
@@ -144,7 +144,7 @@ def _build(name: str, t: dict[str, DataFrame], run: Run) -> DataFrame:
     }[name]()
     gold = name in GOLD
     database = run.gold if gold else run.silver
-    stored = materialize(enforce(name, made), name, "table" if gold else run.silver_as, database, run.run_id)
+    stored = materialize(conformed(name, made), name, "table" if gold else run.silver_as, database, run.run_id)
     if gold and run.target == "dev":
         show_run(made.sparkSession, database, [name], run.run_id)
     return stored

@@ -23,15 +23,24 @@ CURATED_SCHEMA = T.StructType(
 
 
 def read_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """JSON with an inferred schema. ``multiline`` is for array files, one task per file."""
+    """JSON with an inferred schema, which takes a pass over all files before the first row. ``multiline``
+    is for array files, one task per file."""
     return spark.read.json(path, multiLine=multiline)
 
 
+def read_variants(spark: SparkSession, path: str, column: str = "doc") -> DataFrame:
+    """JSON lines as one variant column: files split at any size, and no schema is inferred or asked for.
+    Types are those of each value (``variant_fields`` sums them up); a line that is no JSON is an error."""
+    return spark.read.option("singleVariantColumn", column).option("mode", "FAILFAST").json(path)
+
+
 def read_documents(spark: SparkSession, path: str, array_files: bool = False) -> DataFrame:
     """One row per record with the record's own text in ``payload``.
 
-    JSON lines split at any size. An array file has to be read by one task; its elements keep
-    their key order, re-written without spaces.
+    Records come as JSON lines, which split at any size. ``array_files`` is for payloads that arrive as
+    many small files, each one JSON array: a file is one cell of one task, so it has to be far below
+    2 GB and only their number spreads the work. Its elements keep their key order, re-written without
+    spaces.
     """
     if not array_files:
         lines = spark.read.text(path).withColumnRenamed("value", "payload")
@@ -48,7 +57,12 @@ def describe(df: DataFrame) -> DataFrame:
 
 def infer_json_fields(df: DataFrame, column: str) -> DataFrame:
     """The top-level fields of a JSON text column with the type that holds all their values."""
-    doc = F.try_parse_json(F.col(column))
+    return variant_fields(df.select(F.try_parse_json(F.col(column)).alias(column)), column)
+
+
+def variant_fields(df: DataFrame, column: str = "doc") -> DataFrame:
+    """The top-level fields of the objects in a variant column with the type that holds all their values."""
+    doc = F.col(column)
     view = df.select(F.when(F.schema_of_variant(doc).startswith("OBJECT"), doc).alias("doc"))
     fields = view.lateralJoin(view.sparkSession.tvf.variant_explode(F.col("doc").outer()))
     return fields.groupBy(F.col("key").alias("column_name")).agg(

@@ -13,7 +13,9 @@ from siltstone.operators import profile, stats, tags
 from siltstone.operators.bands import band_defects, bucketize, classify_bands
 from siltstone.operators.dedupe import dedupe, duplicate_detail
 from siltstone.operators.joins import complete_grid, enrich_left, mismatch_count, orphans
-from siltstone.sources.files import size_bands
+from siltstone.plans.enrichment import EnrichmentRejected, enrichment_checks, land_enrichment
+from siltstone.sources.files import read_variants, size_bands, variant_fields
+from siltstone.sources.tables import ensure_database, shown_run, tables_of
 
 EDGES = [
     (5.0, "small"), (12.0, "medium"), (25.0, "large"), (45.0, "giant"), (4.999, "toy"),
@@ -365,3 +367,41 @@ def test_share_of_class_forms_agree_on_a_hot_class(spark):
 def test_a_text_and_its_digest_are_two_values(spark):
     df = spark.createDataFrame([("x" * 100,)], "t string").select(F.explode(F.array("t", F.sha2("t", 256))).alias("t"))
     assert profile.profile_columns(df).first()["n_distinct"] == 2
+
+
+def test_enrichment_checks_count_every_kind_of_defect(spark):
+    dim = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    rows = [(1, "a", 5), (2, "b", None), (2, "a", 5), (None, "a", 9), (None, None, 5), (7, "x", 5), (7, "x", 5)]
+    found = enrichment_checks(spark.createDataFrame(rows, "id int, kind string, n int"), dim, "id", {"kind": ["a", "b"], "n": [5]})
+    assert {r["check"]: r["failures"] for r in found.collect()} == {
+        "id_not_null": 2, "id_unique": 2, "id_in_dimension": 2, "kind_accepted": 2, "n_accepted": 1
+    }
+    empty = enrichment_checks(spark.createDataFrame([], "id int, kind string"), dim, "id", {"kind": ["a"]})
+    assert {r["failures"] for r in empty.collect()} == {0}
+
+
+def test_a_refused_enrichment_leaves_the_earlier_one(spark, tmp_path):
+    ensure_database(spark, "enriching", str(tmp_path / "e"))
+    dim = spark.createDataFrame([(1,), (2,)], "id int")
+    make = lambda rows: spark.createDataFrame(rows, "id int, kind string")
+    with pytest.raises(EnrichmentRejected, match="kind_accepted 1"):
+        land_enrichment(make([(1, "z")]), dim, "enriching", "kinds", "r0", "id", {"kind": ["a"]})
+    assert shown_run(spark, "enriching", "kinds") is None
+    land_enrichment(make([(1, "a")]), dim, "enriching", "kinds", "r1", "id", {"kind": ["a"]})
+    with pytest.raises(EnrichmentRejected, match="id_unique 1"):
+        land_enrichment(make([(1, "a"), (1, "a")]), dim, "enriching", "kinds", "r2", "id", {"kind": ["a"]})
+    joined = enrich_left(dim, spark.table("enriching.kinds"), "id")
+    assert sorted(tuple(r) for r in joined.collect()) == [(1, "a"), (2, None)]
+    assert shown_run(spark, "enriching", "kinds") == "r1" and tables_of(spark, "enriching", "r2") == []
+
+
+def test_variants_are_read_line_by_line(spark, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text('{"id":1,"b":{"x":1.5}}\n{"id":"2","c":[1]}\n\n[3]\n')
+    docs = read_variants(spark, str(path))
+    assert {(r["column_name"], r["column_type"], r["n_rows"]) for r in variant_fields(docs).collect()} == {
+        ("id", "VARIANT", 2), ("b", "OBJECT<x: DECIMAL(2,1)>", 1), ("c", "ARRAY<BIGINT>", 1)
+    }
+    path.write_text('{"id":1}\n{"id":')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_variants(spark, str(path)).collect()

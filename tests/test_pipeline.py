@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.plans import checks, pipeline
 from siltstone.plans.checks import CHECKS
-from siltstone.plans.contracts import CONTRACTS, ContractBroken, differences, enforce
+from siltstone.plans.contracts import CONTRACTS, ContractBroken, conformed, differences, enforce
 from siltstone.plans.pipeline import GOLD, Run, run
 from siltstone.plans.publish import NothingToPublish, Superseded, live_runs, materialize, publish, read_published
 from siltstone.plans.silver import SilverSpec
@@ -151,6 +151,16 @@ def test_contract_enforcement(spark):
         enforce("correlations", good.withColumnRenamed("metric_a", "x"))
 
 
+def test_what_is_written_has_the_contract_in_order(spark):
+    turned = spark.createDataFrame([(1, 0.5, "b", "a")], "n_entities bigint, correlation double, metric_b string, metric_a string")
+    assert conformed("correlations", turned).columns == CONTRACTS["correlations"].fieldNames()
+    assert tuple(conformed("correlations", turned).first()) == ("a", "b", 0.5, 1)
+    for broken in (turned.drop("metric_a"), turned.withColumn("x", F.lit(1)), turned.withColumn("n_entities", F.lit(1))):
+        with pytest.raises(ContractBroken):
+            conformed("correlations", broken)
+    assert conformed("dim", turned) is turned
+
+
 def test_severities_and_roles():
     errors = [c for c in CHECKS if c.severity == "error"]
     assert (len(CHECKS), len(errors)) == (39, 33)
