@@ -21,6 +21,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_limit(share: float) -> int:
+    """The 64-bit hash up to which ``share`` of all keys lie, however small the share is."""
+    return min(-(2**63) + int(share * 2**64), 2**63 - 1)
+
+
 # ---- Texts of an Arrow batch ----------------------------------------------------------------
 
 

@@ -9,12 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, gram_hashes, mixed, signed, slices, stored, texts_of
+from .common import Words, gram_hashes, signed, slices, stored, texts_of
+from .filters import fixed_filter, passing
 
 WINDOW = 10
 GRAM = 5
-# The filter that travels to the tasks: 2 ** FILTER_BITS bits, 512 KiB, whatever the benchmark's size.
-FILTER_BITS = 22
 
 
 def winnow(grams: np.ndarray, span: int) -> np.ndarray:
@@ -67,40 +66,13 @@ def _item_prints(window: int, gram: int):
     return run
 
 
-def _slots(prints: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
-    return mixed(prints + np.asarray(salt, np.uint64)) >> np.uint64(64 - FILTER_BITS)
-
-
-def _filter_bits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        prints = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        slot = _slots(prints, batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)).astype(np.int64)
-        bit = np.left_shift(np.int64(1), slot & 63)
-        yield pa.RecordBatch.from_arrays([pa.array(slot >> 6), pa.array(bit)], names=["word", "bits"])
-
-
-def fixed_filter(keys: DataFrame):
-    """A broadcast filter over (hash, salt) rows: its size is fixed, more keys only let more through."""
-    words = keys.mapInArrow(_filter_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for row in words.toLocalIterator():
-        bits[row["word"]] = row["bits"]
-    return keys.sparkSession.sparkContext.broadcast(bits.tobytes())
-
-
-def _passing(filter_, prints: np.ndarray, salt: np.ndarray | int) -> np.ndarray:
-    bits = np.frombuffer(filter_.value, np.uint64)
-    slot = _slots(prints, salt)
-    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _maybe_hit(filter_):
     """The rows whose digest the filter knows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digest = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            yield batch.filter(pa.array(_passing(filter_, digest, 0)))
+            yield batch.filter(pa.array(passing(filter_, digest, 0)))
 
     return run
 
@@ -118,7 +90,7 @@ def _candidates(window: int, gram: int, shorts: list[int], filter_):
                 found: list[list[dict]] = [[] for _ in range(n)]
 
                 def keep(places: np.ndarray, prints: np.ndarray, short: int) -> None:
-                    good = _passing(filter_, prints, short)
+                    good = passing(filter_, prints, short)
                     places, prints = places[good], signed(prints[good])
                     text = np.searchsorted(words.first, places, side="right") - 1
                     for t, p, h in zip(text.tolist(), (places - words.first[text]).tolist(), prints.tolist()):
@@ -219,8 +191,9 @@ def benchmark_overlap(
     a hit is extended word by word and counts from a whole window on. Short items are looked up by one
     hash of all their words, since winnowing promises nothing for them.
 
-    Null and empty texts have no words and no hits; items without words or with a null id are left out.
-    Every row gives a row, repeated ones too, with null ids as well.
+    Null and empty texts have no words and no hits; items without words are left out. Items with a null id
+    count like others, all of them as one item, which is null among ``items``. Every row gives a row,
+    repeated ones too, with null ids as well.
     """
     found = _overlap(docs, benchmark, id_col, text_col, item_col, item_text_col, window, gram)
     return found.select(F.col("id").alias(id_col), "n_words", "n_hit", "items")
@@ -231,13 +204,12 @@ def _overlap(
 ) -> DataFrame:
     """``benchmark_overlap`` with the digest of each row's text."""
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).cast("string").alias("text"))
-    prints = items.where("id is not null").mapInArrow(
+    prints = items.mapInArrow(
         _item_prints(window, gram), "item_id long, print long, short int, before int, context array<string>"
     )
     # Items that share a passage share its fingerprints: one row for equal words.
-    prints = stored(
-        prints.groupBy("print", "short", "before", "context").agg(F.sort_array(F.collect_set("item_id")).alias("items")), "prints"
-    )
+    ids = F.transform(F.sort_array(F.collect_set(F.struct("item_id"))), lambda s: s["item_id"])
+    prints = stored(prints.groupBy("print", "short", "before", "context").agg(ids.alias("items")), "prints")
     shared_filter = fixed_filter(prints.select("print", "short"))
     shorts = sorted(r["short"] for r in prints.where("short > 0").select("short").distinct().collect())
 

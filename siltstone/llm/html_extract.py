@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, gram_hashes, groups, mixed, signed, stored, texts_of
-from .decontaminate import _passing as passing
-from .decontaminate import fixed_filter
+from .filters import fixed_filter, passing
 
 RUN = 8
 SEPARATOR = "\n\n"
@@ -26,16 +25,13 @@ SHARD_CHARS = 2_000_000
 
 # The elements of HTML by what they do to text.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title iframe noembed noframes xmp noscript template svg math".split())
+_RAW = frozenset("script style textarea title iframe noembed noframes noscript template".split())
 _BLOCK = frozenset(
     """address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
     form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead
-    tr ul caption optgroup option""".split()
-)
-_DROPPED = frozenset(
-    """head nav footer aside form button select option optgroup datalist menu dialog object audio video canvas
-    map label input""".split()
+    tr ul caption optgroup option xmp""".split()
 )
+_DROPPED = frozenset("head nav footer aside form button select option optgroup datalist menu dialog audio video canvas input svg".split())
 # An opening tag of the key ends an open element of the value, unless a container lies between.
 _ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -43,6 +39,12 @@ _ENDS = {
 }
 _SCOPE = frozenset("table ul ol dl article section div main body html td th blockquote aside nav footer form".split())
 _ENDS_P = _BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "summary"}
+# Opening tags that end one element only, however many stand open.
+_ENDS_ONE = frozenset("td th li dt dd option p".split())
+# Elements that a name can mark as something else than the article. Headings, paragraphs, lists' items and
+# tables are text whatever they are called.
+_NAMED_OUTSIDE = frozenset("div section ul ol dl p span a article aside table header details figure center ins".split())
+_NAMED_INSIDE = frozenset("div ul ol dl article aside details ins".split())
 # Class and id names of what is not the article.
 _NAMED = re.compile(
     r"""(?:site|page|main|top|bottom|left|right|global|reader|user|post)?[-_]?
@@ -50,44 +52,122 @@ _NAMED = re.compile(
     |notifications?|alerts?|cookies?|consent|gdpr|pop-?ups?|overlay|modal|newsletters?|subscribe|subscriptions?|comments?
     |discussion|replies|respond|menus?|nav|navbar|navigation|bread-?crumbs?|footer|header|masthead|shar(?:e|ing)|social|related
     |recommended|widgets?|pagination|pager|copyright|login|signup|search)
-    (?:[-_]?(?:box|bar|list|section|block|area|wrap|wrapper|container|links?|item|slot|unit|banner|message|form|thread|text|\d+))*""",
+    (?:[-_]?(?:box|bar|list|section|block|area|wrap|wrapper|container|links?|item|slot|unit|banner|message|form|thread|text|\d++))*+""",
     re.X | re.I,
 )
+# Inside an article these may name a part of it.
+_PART = re.compile(r"(?:discussion|search|header|footer|text)\b", re.I)
+# A section inside an article is one of its own, but for these.
+_READERS = re.compile(r"(?:reader|user|post)?[-_]?(?:comments?|replies|respond)(?:[-_]?(?:list|section|area|thread|form))*+", re.I)
+_LONGEST_NAME = 80
 _ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert alertdialog form toolbar".split())
-_KEEPS_NAME = frozenset(("html", "body", "main"))
 
-_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S
-)
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_OPENING = re.compile(r"""(/?)([a-zA-Z][^\s/><]*+)((?:[^"'<>]++|"[^"]*+"|'[^']*+')*+)""")
+_COMMENT = re.compile(r"!--.*?(?:-->|\Z)|[!?][^<>]*+>", re.S)
+_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|itemprop)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""", re.I)
 
 
 def _not_article(name: str, attributes: str, in_article: bool) -> bool:
+    """Whether an element is a part of the page beside the article: by what it is, what it does, or its names.
+
+    Names mark containers only; inside an article, only those that no part of a text is called, and of
+    sections those of readers' comments.
+    """
     if name in _DROPPED:
         return True
     if name == "header" and not in_article:
         return True
-    if not attributes or name in _KEEPS_NAME:
+    if not attributes:
         return False
+    named = name in (_NAMED_INSIDE if in_article else _NAMED_OUTSIDE)
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), unescape(value.strip("\"'")).lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
             return True
         if key == "role" and value in _ROLES:
             return True
-        if key in ("class", "id") and any(_NAMED.fullmatch(v) for v in value.split()):
+        if key not in ("class", "id"):
+            continue
+        names = [v for v in value.split() if len(v) <= _LONGEST_NAME]
+        if in_article and name == "section" and any(_READERS.fullmatch(v) for v in names):
+            return True
+        if named and any(_NAMED.fullmatch(v) and not (in_article and _PART.match(v)) for v in names):
             # An article may be headed or followed by elements of such names, but is none itself.
             if not (name == "article" and not re.search(r"comment|repl|\bad|sponsor|promo|related|widget", value)):
                 return True
     return False
 
 
+def _tag(html: str, at: int) -> tuple[int, bool, str, str] | None:
+    """(end, closing, name, attributes) of the tag whose ``<`` stands at a place; None if that is text.
+
+    A tag ends at its ``>``. One without is markup if it has a value, or is a bare name at the page's end;
+    else its ``<`` is a character like others.
+    """
+    m = _OPENING.match(html, at + 1)
+    if not m:
+        return None
+    stop, attributes = m.end(), m[3]
+    if html[stop : stop + 1] == ">":
+        return stop + 1, bool(m[1]), m[2].lower(), attributes
+    if html[stop : stop + 1] in ("'", '"'):  # a quote without a partner
+        close = html.find(">", stop)
+        stop = close + 1 if close >= 0 else len(html)
+        attributes = html[m.start(3) : close if close >= 0 else stop]
+        if close >= 0:
+            return stop, bool(m[1]), m[2].lower(), attributes
+    if "=" in attributes or stop == len(html) and not attributes.strip():
+        return stop, bool(m[1]), m[2].lower(), attributes
+    return None
+
+
+class _Open:
+    """The open elements. Each name knows where it stands open, so a tag costs the elements it closes."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, int]] = []  # (name, dropped, place)
+        self.at: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.parts: list[int] = []  # of articles, main and body
+
+    def top(self) -> tuple[str, bool, int]:
+        return self.stack[-1] if self.stack else ("", False, 0)
+
+    def push(self, name: str, dropped: bool, place: int) -> None:
+        here = len(self.stack)
+        self.stack.append((name, dropped, place))
+        self.at.setdefault(name, []).append(here)
+        if name in _SCOPE:
+            self.scopes.append(here)
+        if name in ("article", "main", "body"):
+            self.parts.append(here)
+
+    def last(self, name: str) -> int:
+        places = self.at.get(name)
+        return places[-1] if places else -1
+
+    def close(self, here: int) -> None:
+        while len(self.stack) > here:
+            name, _, _ = self.stack.pop()
+            self.at[name].pop()
+            if name in _SCOPE:
+                self.scopes.pop()
+            if name in ("article", "main", "body"):
+                self.parts.pop()
+
+
 def page_blocks(html: str) -> list[str]:
-    """The blocks of a page's article in page order; of its ``main``, then of the whole body, without one."""
+    """The blocks of a page's article in page order: of its ``article`` elements, of ``main`` if more text stands
+    there beside them than in them, of the whole body if there is more than three times as much.
+
+    Takes time in proportion to the page, however it is nested or broken.
+    """
     blocks: list[tuple[int, str]] = []  # (0 elsewhere, 1 in main, 2 in an article)
     parts: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # (name, dropped, place)
+    opened = _Open()
+    endless: set[str] = set()
     dropped, place = False, 0
+    svg_until = html.lower().rfind("</svg") if "<svg" in html or "<SVG" in html else -1
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
@@ -95,69 +175,75 @@ def page_blocks(html: str) -> list[str]:
             blocks.append((place, text))
         parts.clear()
 
-    def close(at: int) -> None:
-        nonlocal dropped, place
-        del stack[at:]
-        _, dropped, place = stack[-1] if stack else ("", False, 0)
-
-    at, n = 0, len(html)
-    while at < n:
-        m = _TAG.search(html, at)
-        stop = m.start() if m else n
-        if stop > at and not dropped:
-            parts.append(unescape(html[at:stop]))
-        if not m:
+    at, seen, n = 0, 0, len(html)  # ``at``: where text that is not yet taken begins
+    while seen < n:
+        low = html.find("<", seen)
+        if low < 0:
             break
-        at = m.end()
-        name = (m.group(2) or m.group(5) or "").lower()
-        if not name:
+        comment = _COMMENT.match(html, low + 1)
+        tag = None if comment else _tag(html, low)
+        if not comment and not tag:
+            seen = low + 1
+            continue
+        if low > at and not dropped:
+            parts.append(unescape(html[at:low]))
+        if comment:
+            at = seen = comment.end()
             continue
-        attributes = m.group(3) or m.group(6) or ""
+        at, closing, name, attributes = tag
+        seen = at
         if name in _BLOCK and not dropped:
             flush()
-        if m.group(1) or m.group(4):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    close(i)
-                    break
-                # A stray end tag inside a part of the page doesn't end what holds that part.
-                if stack[i][0] in ("article", "main", "body") and name not in ("html", "body", "main", "article"):
-                    break
+        if closing:
+            here = opened.last(name)
+            # A stray end tag inside a part of the page doesn't end what holds that part.
+            inside = name not in ("html", "body", "main", "article") and opened.parts and here < opened.parts[-1]
+            if here >= 0 and not inside:
+                opened.close(here)
+                _, dropped, place = opened.top()
             continue
         if name == "br" and not dropped:
             parts.append("\n")
         if name in _RAW:
-            end = re.compile(f"</{name}(?=[\\s/>]|\\Z)", re.I).search(html, at)
-            if not attributes.endswith("/"):
-                after = html.find(">", end.end()) if end else -1
-                at = after + 1 if after >= 0 else n
+            if not attributes.endswith("/") and name not in endless:
+                end = re.compile(f"</{name}(?=[\\s/>]|\\Z)", re.I).search(html, at)
+                if end:
+                    after = html.find(">", end.end())
+                    at = seen = after + 1 if after >= 0 else n
+                elif name in ("script", "style"):
+                    at = seen = n
+                else:
+                    endless.add(name)
             continue
-        if name in _VOID:
+        if name in _VOID or name == "svg" and svg_until < at:
             continue
-        if name == "body":
-            for i, item in enumerate(stack):
-                if item[0] == "head":
-                    close(i)
-                    break
+        if name == "body" and opened.last("head") >= 0:
+            opened.close(opened.last("head"))
         ends = _ENDS.get(name, ())
         if name in _ENDS_P:
             ends = (*ends, "p")
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in ends:
-                close(i)
-                if name in ("td", "th", "li", "dt", "dd", "option", "p") or stack and stack[-1][0] not in ends:
-                    break
-            elif stack[i][0] in _SCOPE:
+        while ends:
+            here = max(opened.last(e) for e in ends)
+            if here < 0 or opened.scopes and here < opened.scopes[-1]:
+                break
+            opened.close(here)
+            if name in _ENDS_ONE or opened.stack and opened.stack[-1][0] not in ends:
                 break
+        _, dropped, place = opened.top()
         if attributes.endswith("/") and name not in _BLOCK:
             continue
         gone = dropped or _not_article(name, attributes, place == 2)
         where = place if gone else 2 if name == "article" else max(place, 1) if name == "main" else place
-        stack.append((name, gone, where))
+        opened.push(name, gone, where)
         dropped, place = gone, where
+    if at < n and not dropped:
+        parts.append(unescape(html[at:]))
     flush()
-    best = max((p for p, _ in blocks), default=0)
-    return [text for p, text in blocks if p == best]
+    mass = [sum(len(text) for p, text in blocks if p == k) for k in range(3)]
+    least = 2 if mass[2] and mass[2] >= mass[1] else 1
+    if 3 * sum(mass[least:]) < mass[0] or not sum(mass[least:]):
+        least = 0
+    return [text for p, text in blocks if p >= least]
 
 
 def suffix_ranks(tokens: np.ndarray, length: int) -> np.ndarray:
@@ -246,13 +332,38 @@ class Stream:
         return [kept[self.distinct[tuple(blocks)]] for blocks in self.pages]
 
 
-def run_counts(pages: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of the runs of some pages, and how many distinct ones of these hold each."""
+def run_counts(pages: list[list[str]], run: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the runs that ``least`` distinct pages of some share, and how many of these hold each.
+
+    A word that is rarer than that is in no such run: the suffixes are those of the stream without the
+    words that lie in no run of frequent ones.
+    """
+    stream = Stream(pages)
+    _, word, often = np.unique(stream.tokens, return_inverse=True, return_counts=True)
+    rare = np.concatenate([[0], np.cumsum(often[word] < least)])
+    places = run_places(stream.tokens, stream.page, run)
+    places = places[rare[places + run] == rare[places]]
+    inside = spanned(len(stream.tokens), places, run)
+    at = np.cumsum(inside)[places] - 1
+    rank = suffix_ranks(stream.tokens[inside], run)[at]
+    known, first = np.unique(rank, return_index=True)
+    count = page_counts(rank, stream.page[places])[1]
+    good = count >= least
+    return run_hashes(stream.tokens, places[first[good]], run), count[good]
+
+
+def run_hashes(tokens: np.ndarray, places: np.ndarray, run: int) -> np.ndarray:
+    return gram_hashes(tokens, run)[places]
+
+
+def known_run_counts(pages: list[list[str]], run: int, known) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the runs that a test lets through, and how many distinct pages hold each."""
     stream = Stream(pages)
     places = run_places(stream.tokens, stream.page, run)
-    rank = suffix_ranks(stream.tokens, run)[places]
-    _, first = np.unique(rank, return_index=True)
-    return gram_hashes(stream.tokens, run)[places[first]], page_counts(rank, stream.page[places])[1]
+    hashes = run_hashes(stream.tokens, places, run)
+    good = known(hashes)
+    runs, of = np.unique(hashes[good], return_inverse=True)
+    return runs, page_counts(of, stream.page[places[good]])[1]
 
 
 def without_runs(pages: list[list[str]], runs: np.ndarray, run: int) -> list[list[str]]:
@@ -316,13 +427,15 @@ def _counted(run: int, filter_=None):
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["host", "shard"]):
-            packed = group.column("blocks").to_pylist()
+            packed = [_blocks(b) for b in group.column("blocks").to_pylist()]
             least, pages, salt = (group.column(c)[0].as_py() for c in ("least", "pages", "salt"))
-            runs, count = run_counts([_blocks(b) for b in packed], run)
-            keys = mixed(runs ^ np.array([salt], np.int64).view(np.uint64))
-            # A run on ``least`` of all pages is on as large a share of them in one part at least.
-            good = count * pages >= least * len(packed) if filter_ is None else passing(filter_, keys, 0)
-            keys, runs, count = keys[good], runs[good], count[good]
+            key = lambda runs: mixed(runs ^ np.array([salt], np.int64).view(np.uint64))
+            if filter_ is None:
+                # A run on ``least`` of all pages is on as large a share of them in one part at least.
+                runs, count = run_counts(packed, run, -(-least * len(packed) // pages))
+            else:
+                runs, count = known_run_counts(packed, run, lambda runs: passing(filter_, key(runs), 0))
+            keys = key(runs)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([group.column("host")[0].as_py()] * len(runs), pa.string()), pa.array(np.full(len(runs), least)),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ascent import ascend
-from .common import BYTE, Words, flat_bytes, slices, span_hashes, stored, texts_of
+from .common import BYTE, Words, flat_bytes, hash_limit, slices, span_hashes, stored, texts_of
 
 SAMPLE_ROWS = 20_000
 DIMENSIONS = 1 << 16
@@ -216,8 +216,9 @@ def quality_scores(
     No given label is used. Votes of all rows are counted by pattern (at most 3 ** labellers come to
     the driver); expectation-maximisation finds each labeller's accuracy, and its posteriors are the
     soft labels of a logistic regression on hashed words and word shapes. That is fitted on about
-    ``sample_rows`` rows at most, chosen by a hash of their text, and scores all rows. Null, empty and
-    wordless texts have posteriors and scores like any other; equal texts have equal ones.
+    ``sample_rows`` rows at most, chosen by a hash of id and text of which repeated rows are one, so a
+    group of copies has its share of them and no more; it scores all rows. Null, empty and wordless
+    texts have posteriors and scores like any other; equal texts have equal ones.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -237,11 +238,10 @@ def quality_scores(
     labelled = stored(labelled.dropDuplicates(["id", "digest"]), "posteriors")
     chosen = labelled.withColumnsRenamed({"id": "p_id", "digest": "p_digest"})
     same = F.col("id").eqNullSafe(F.col("p_id")) & (F.col("digest") == F.col("p_digest"))
-    total = counts.sum()
-    share = min(1.0, sample_rows / max(total, 1))
-    picked = F.pmod("digest", F.lit(1_000_000)) < int(share * 1_000_000)
+    share = min(1.0, sample_rows / max(labelled.count(), 1))
+    picked = F.xxhash64("id", "digest", F.lit(7)) <= F.lit(hash_limit(share))
     texts = source.withColumn("digest", digest)
-    sample = texts.where(picked).join(chosen, same).select("posterior", "text")
+    sample = texts.where(picked).dropDuplicates(["id", "digest"]).join(chosen, same).select("posterior", "text")
     bags = stored(sample.mapInArrow(_bags(dimensions), "good double, slots binary, values binary"), "bags")
     n = bags.count()
     state = np.zeros(dimensions + 1)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ascent import ascend
-from .common import Words, BYTE, LOWER, signed, slices, span_hashes, stored, texts_of
+from .common import BYTE, LOWER, Words, hash_limit, signed, slices, span_hashes, stored, texts_of
 
 PREFIXES = (4, 6, 8)
 SAMPLE_ROWS = 60_000
@@ -195,16 +195,19 @@ def training_rows(
     """(toxic, text) of labelled documents outside the held-out quarter: crc32 of the id mod 4 is not 2.
 
     About ``sample_rows`` labels at most, chosen by a hash of the id, and of repeated ids one. That many
-    rows are small, so they go to the texts and no text moves.
+    rows are small, so they go to the texts. Of the documents of one id one is learned from, that of the
+    smallest hash, so an id on any number of rows counts once.
     """
     fold = F.pmod(F.crc32(F.col("label_id").cast("string").cast("binary")), F.lit(4))
     known = labels.select(F.col(id_col).cast("long").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where("label_id is not null and toxic in (0, 1)").where(fold != 2)
     share = min(1.0, sample_rows / max(known.count(), 1))
-    chosen = known.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = known.where(F.xxhash64("label_id") <= F.lit(hash_limit(share)))
     chosen = stored(chosen.groupBy("label_id").agg(F.max("toxic").alias("toxic")), "labels")
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).where("text is not null").select("toxic", "text")
+    met = source.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).where("text is not null")
+    one = met.groupBy("label_id").agg(F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.select("toxic", "text")
 
 
 def fit(labelled: DataFrame, rounds: int = ROUNDS) -> Model:

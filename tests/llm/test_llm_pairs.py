@@ -163,7 +163,7 @@ def overlap(text, items):
     hit, found = set(), set()
     for item, item_text in items:
         v = words(item_text)
-        if not v or item is None:
+        if not v:
             continue
         n = min(10, len(v))
         windows = {tuple(v[i : i + n]) for i in range(len(v) - n + 1)}

@@ -11,14 +11,14 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import texts_of
-from siltstone.llm.html_extract import covered, main_text, page_blocks, suffix_ranks
+from siltstone.llm.common import hash_limit, texts_of
+from siltstone.llm.html_extract import covered, known_run_counts, main_text, page_blocks, run_counts, suffix_ranks
 from siltstone.llm.packing import best_fit_packing, best_fit_plan
-from siltstone.llm.quality import label_model, quality_scores
+from siltstone.llm.quality import FAMILIES, label_model, quality_scores
 from siltstone.llm.secrets import base_spans, guess_cost, redacted, secret_spans
 from siltstone.llm.token_counts import attributed, token_counts
 from siltstone.llm.tokens import byte_coder, tokenizer_path, word_coder
-from siltstone.llm.toxicity import fit, score, toxicity, training_rows, without_toxic
+from siltstone.llm.toxicity import fit, gradient, score, toxicity, training_rows, without_toxic
 
 DOCS = "doc_id long, text string, id string, length int"
 ODD = [None, "", " \n\n ", "a", "x" * 30_000, "İstanbul Σας ﬀ 日本 😀 é", "it's WE'RE <|endoftext|>,", "1,234.5\t-\r\nend"]
@@ -183,6 +183,62 @@ def test_article_without_what_surrounds_it():
     assert page_blocks("") == [] and page_blocks("3 < 4 &eacute") == ["3 < 4 é"] and page_blocks("<article>cut <scr") == ["cut"]
 
 
+@pytest.mark.parametrize(
+    "page,blocks",
+    [
+        ('<article>A<section id="discussion">We found it.</section><h2 id="search">S</h2><h2 id="related">R</h2><p class="alert">P</p></article>',
+         ["A", "We found it.", "S", "R", "P"]),
+        ("<main><p>The main long text.</p><article>teaser</article></main>", ["The main long text.", "teaser"]),
+        ("<main><p>lead</p><article>The longer article.</article></main>", ["The longer article."]),
+        ("<body><div>" + "All of the text. " * 5 + "</div><article>teaser</article></body>", [("All of the text. " * 5).strip(), "teaser"]),
+        ("<article><math>a+b</math> <label>L</label> <map>M</map> <object>O</object><xmp>x y</xmp></article>", ["a+b L M O", "x y"]),
+        ("<article>a <b and more text", ["a <b and more text"]),
+        ("<article>a <b and more</article>", ["a <b and more"]),
+        ("<article>if x<y and y<z then <i>q</i> <! so", ["if x<y and y<z then q <! so"]),
+        ("<article>one <svg><path> two</article>", ["one two"]),
+        ("<article>one <svg><text>no</text></svg> two</article>", ["one two"]),
+        ("<article>one <textarea> two</article>", ["one two"]),
+        ('<article>x<div class="ad">z</div><section id="comments">c</section><div class="header">H</div></article>', ["x", "H"]),
+        ('<article><p title="a > b">one</p><p class="x"<p>two</p></article>', ["one", "two"]),
+    ],
+)
+def test_all_text_of_an_article_is_kept(page, blocks):
+    assert page_blocks(page) == blocks
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<i>" * 60_000 + "</b>" * 60_000, "<a '>" * 100_000, '<a "' * 100_000, "<b " * 200_000, "<i>" * 40_000 + "<p>" * 100_000,
+        "<textarea>" * 60_000, "<!--" * 100_000, "<!" * 200_000, "<svg>" * 60_000, "<div>" * 100_000 + "x", "&" * 500_000,
+        "<ul><li>" * 60_000, "<table><tr><td>" * 40_000, '<div class="ads' + "1" * 500_000 + 'x">y', "<div class" + " " * 500_000 + ">x",
+        "<div " + "class " * 100_000 + ">x", "<p>" * 200_000, "</p>" * 200_000, "<" * 500_000,
+    ],
+    ids=lambda page: page[:12],
+)
+def test_hostile_pages_take_time_in_proportion(page):
+    import time
+
+    start = time.process_time()
+    page_blocks(page)
+    assert time.process_time() - start < 2
+
+
+def test_counts_of_frequent_runs_are_those_of_all_runs():
+    rng = random.Random(6)
+    common = [" ".join(f"c{rng.randrange(9)}" for _ in range(12)) for _ in range(3)]
+    pages = []
+    for i in range(40):
+        blocks = [" ".join(f"w{rng.randrange(3000)}" for _ in range(30)) for _ in range(4)]
+        pages.append([common[0], *blocks[:2], *(common[1:2] if i % 3 else []), *blocks[2:], *(common[2:] if i % 9 == 0 else [])])
+    plain = dict(zip(*(x.tolist() for x in run_counts(pages, 8))))
+    for least in (2, 5, 20, 40):
+        want = {r: n for r, n in plain.items() if n >= least}
+        assert dict(zip(*(x.tolist() for x in run_counts(pages, 8, least)))) == want
+        known = np.array(sorted(want), np.uint64)
+        assert dict(zip(*(x.tolist() for x in known_run_counts(pages, 8, lambda runs: np.isin(runs, known))))) == want
+
+
 def test_suffix_ranks_tell_equal_runs():
     tokens = np.random.default_rng(0).integers(0, 3, 400)
     rank = suffix_ranks(tokens, 4)
@@ -312,3 +368,81 @@ def test_quality_of_odd_texts(spark):
     rows = quality_scores(table(spark, ODD + ODD[:2], [*range(len(ODD)), 0, 1])).collect()
     assert len(rows) == len(ODD) + 2 and all(0 <= r.score <= 1 and 0 <= r.posterior <= 1 for r in rows)
     assert quality_scores(table(spark, ODD).limit(0)).count() == 0
+
+
+def test_a_share_of_hashes_never_comes_to_nothing():
+    assert hash_limit(1.0) == 2**63 - 1 and hash_limit(0.0) == -(2**63)
+    assert hash_limit(1e-9) + 2**63 == pytest.approx(2**64 * 1e-9, rel=1e-6)
+    assert abs(hash_limit(0.5)) < 2
+
+
+def test_an_id_on_a_third_of_the_rows_is_learnt_once(spark):
+    rows = [(1, f"text {i} of the hot id") for i in range(200)] + [(i, f"text {i}") for i in range(2, 300)] + [(2, None), (None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 300)] + [(1, 1), (None, 1)], "doc_id long, toxic int")
+    got = training_rows(docs, labels).collect()
+    held = {i for i in range(1, 300) if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert len(got) == 299 - len(held) and sum("hot id" in r["text"] for r in got) == (1 not in held)
+    assert {r["text"] for r in got} == {r["text"] for r in training_rows(docs.repartition(2), labels).collect()}
+    few = training_rows(docs, labels, sample_rows=60).collect()
+    assert 20 < len(few) < 100
+
+
+def test_copies_do_not_fill_the_quality_sample(spark):
+    rng = random.Random(2)
+    texts = ["the same text in every row, over and over"] * 300 + [" ".join(f"w{rng.randrange(500)}" for _ in range(40)) for _ in range(300)]
+    docs = spark.createDataFrame([(7 if i < 300 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = quality_scores(docs, sample_rows=50).collect()
+    assert len(rows) == 600 and len({r["score"] for r in rows if r["doc_id"] == 7}) == 1
+    # The fit rests on about fifty texts, of which the copies are one at most.
+    assert len({round(r["score"], 12) for r in rows}) > 200
+
+
+def test_gradient_is_the_slope_of_the_likelihood():
+    rng = np.random.default_rng(9)
+    bags, sentences = [], []
+    for _ in range(30):
+        k = int(rng.integers(0, 8))
+        marks = np.sort(rng.integers(0, 4, k))
+        marks = np.unique(marks, return_inverse=True)[1]
+        bags.append(np.array([marks, rng.integers(0, 6, k)], np.int32).reshape(2, -1))
+        sentences.append((int(marks[-1]) + 1 if k else 0) + int(rng.integers(0 if k else 1, 3)))
+    toxic, n = rng.integers(0, 2, 30), np.array(sentences)
+
+    def likelihood(state):
+        total = 0.0
+        for t, s, b in zip(toxic, n, bags):
+            logits = np.full(s, state[-1])
+            for sentence, feature in b.T:
+                logits[sentence] += state[feature]
+            clean = np.prod(1 / (1 + np.exp(logits)))
+            total += np.log(1 - clean) if t else np.log(clean)
+        return total
+
+    state = rng.normal(0, 0.7, 7)
+    numeric = [(likelihood(state + h) - likelihood(state - h)) / 2e-6 for h in np.eye(7) * 1e-6]
+    assert gradient(toxic, n, bags, state[:-1], state[-1]) == pytest.approx(numeric, rel=1e-4, abs=1e-5)
+
+
+def test_expectation_maximisation_equals_a_plain_loop():
+    """The same steps, written out vote by vote."""
+    names = [f for family in FAMILIES for f in family]
+    rng = np.random.default_rng(1)
+    patterns = np.unique(rng.integers(-1, 2, (40, len(names))), axis=0)
+    counts = rng.integers(1, 50, len(patterns)).astype(float)
+    k = 1 + len(FAMILIES)
+    one = label_model(patterns, counts, names, rounds=0)
+    shares, chances = one.shares.tolist(), one.chances.tolist()
+    for _ in range(7):
+        weights = []
+        for p, n in zip(patterns, counts):
+            odds = [shares[c] * np.prod([chances[i][c][v] for i, v in enumerate(p) if v >= 0]) for c in range(k)]
+            weights.append([n * o / sum(odds) for o in odds])
+        for i in range(len(names)):
+            for c in range(k):
+                votes = [1 + sum(w[c] for w, p in zip(weights, patterns) if p[i] == v) for v in (0, 1)]
+                chances[i][c] = [v / sum(votes) for v in votes]
+        mass = [1 + sum(w[c] for w in weights) for c in range(k)]
+        shares = [m / sum(mass) for m in mass]
+    model = label_model(patterns, counts, names, rounds=7)
+    assert model.shares == pytest.approx(shares) and model.chances.ravel() == pytest.approx(np.array(chances).ravel())
