@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+TASKS = 16
+
 
 def ascend(
     rows: DataFrame,
@@ -20,10 +22,12 @@ def ascend(
 ) -> np.ndarray:
     """The state after ``rounds`` steps up the sum of ``part(batch, state)`` over all rows (Adam steps).
 
-    ``rows`` should be stored. Each round is one job; a task sends one gradient, as long as the state.
-    Sums are made in a fixed order, so a lost executor or another order of tasks changes nothing.
+    ``rows`` should be stored. Each round is one job of ``TASKS`` tasks at most; a task sends one gradient,
+    as long as the state, so what reaches the driver in a round is bounded. Sums are made in a fixed
+    order, so a lost executor or another order of tasks changes nothing.
     """
     spark = rows.sparkSession
+    rows = rows.coalesce(TASKS)
     first, second = 0.0, 0.0
     for i in range(1, rounds + 1):
         held = spark.sparkContext.broadcast(state.tobytes())
@@ -35,7 +39,7 @@ def ascend(
                 total += part(batch, now)
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
 
-        parts = [np.frombuffer(r["part"], np.float64) for r in rows.mapInArrow(run, "part binary").toLocalIterator()]
+        parts = [np.frombuffer(r["part"], np.float64) for r in rows.mapInArrow(run, "part binary").collect()]
         held.unpersist()
         slope = np.sum(sorted(parts, key=lambda x: x.tobytes()), axis=0) / scale - penalty * state
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
