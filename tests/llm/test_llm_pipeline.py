@@ -32,5 +32,5 @@ def test_stages_stand_odd_rows(spark, sf):
 
 def test_each_operator_has_one_query():
     names = [n for n in QUERIES if n != "pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES) and corpus_pipeline.ORACLE_SQL is None
