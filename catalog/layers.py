@@ -702,8 +702,8 @@ _FINE = "select 'p' || k as label, 5.0 * k as min_kg, 5.0 * k + 4 as max_kg from
 
 @query("band_classify_fine", f"""
     with fine as ({_FINE})
-    select l_orderkey, l_linenumber, l_extendedprice, f.label as price_band
-    from lineitem left join fine f on l_extendedprice >= f.min_kg and l_extendedprice < f.max_kg""")
+    select l_orderkey, l_linenumber, l_extendedprice, case when l_extendedprice < f.max_kg then f.label end as price_band
+    from lineitem asof left join fine f on l_extendedprice >= f.min_kg""")
 def band_classify_fine(spark, sf):
     fine = spark.range(100_000).select(
         F.concat(F.lit("p"), "id").alias("label"), (F.col("id") * 5.0).alias("min_kg"), (F.col("id") * 5.0 + 4).alias("max_kg")
