@@ -92,11 +92,12 @@ def _signatures(shingle: int, bands: int, rows: int):
                 keys = band_keys(grams, first, bands, rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(low, high - low), pa.array(signed(one)), pa.array(signed(two)),
+                        batch.column(0).slice(low, high - low), batch.column(2).slice(low, high - low),
+                        pa.array(signed(one)), pa.array(signed(two)),
                         pa.array(words.counts.astype(np.int64)), pa.array(np.diff(first).astype(np.int64)),
                         pa.array([k.tobytes() for k in keys], pa.binary()),
                     ],
-                    names=["id", "d1", "d2", "words", "size", "keys"],
+                    names=["id", "print", "d1", "d2", "words", "size", "keys"],
                 )
 
     return run
@@ -148,7 +149,7 @@ def _verify(threshold: float):
             sets = [np.frombuffer(x, np.uint64) for x in group.column("grams").to_pylist()]
             keys = np.stack([np.frombuffer(x, np.uint64) for x in group.column("keys").to_pylist()])
             band, i, j = int(get("band")[0]), int(get("i")[0]), int(get("j")[0])
-            block, copies, ids = get("block"), get("copies"), get("class_id")
+            block, copies, nodes = get("block"), get("copies"), group.column("node").combine_chunks()
             a = np.arange(len(sets)) if i == j else np.flatnonzero(block == i)
             b = a if i == j else np.flatnonzero(block == j)
             if not len(a) or not len(b):
@@ -173,8 +174,8 @@ def _verify(threshold: float):
             pairs = np.array(forest(len(sets), x, y)).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([ids[some], ids[pairs[:, 0]]])),
-                    pa.array(np.concatenate([ids[some], ids[pairs[:, 1]]])),
+                    nodes.take(pa.array(np.concatenate([some, pairs[:, 0]]))),
+                    nodes.take(pa.array(np.concatenate([some, pairs[:, 1]]))),
                     pa.array(np.concatenate([found[some], np.zeros(len(pairs))]).astype(np.int64)),
                 ],
                 names=["a", "b", "n_links"],
@@ -183,84 +184,109 @@ def _verify(threshold: float):
     return run
 
 
-def ngram_jaccard_join(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = SHINGLE,
-    threshold: float = THRESHOLD,
-    recall: float = RECALL,
-) -> DataFrame:
-    """Per row: id, class_id, n_links, component_id, kept.
+def _linked(source: DataFrame, shingle: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Of rows (id, text) the signatures (id, d1, d2, words, ...) and the classes of equal words among them.
 
-    Two texts are linked when the Jaccard similarity of their sets of ``shingle``-word shingles is at
-    least ``threshold``. Rows of the same words are one class, named by its smallest id; only one of
-    them is compared. ``n_links`` counts the other rows linked with this one, copies included,
-    ``component_id`` is the smallest id reachable by links, and ``kept`` is true where it is the row's
-    own. A text of 1 to 4 words is one shingle; null, empty and wordless texts link with nothing, are
-    their own class and are kept. A row with a null id counts as a copy in the class of its words; a
-    class without any id is not compared with others, and all its rows are kept. An id names one text:
-    rows of different texts under one id share its links.
+    A class goes by the 128 bits of its words, ids are only carried along: (d1, d2, node, copies, linked,
+    component). A node begins with the class's smallest id, nulls last, so the smallest node of a
+    component names its smallest id. ``linked`` and ``component`` are null where nothing links.
     """
     bands, rows = bands_for(threshold, recall)
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    source = source.withColumn("print", F.xxhash64("text"))
+    id_type = source.schema["id"].dataType.simpleString()
     signatures = stored(
-        source.mapInArrow(
-            _signatures(shingle, bands, rows), "id long, d1 long, d2 long, words long, size long, keys binary"
+        source.select("id", "text", "print").mapInArrow(
+            _signatures(shingle, bands, rows),
+            f"id {id_type}, print long, d1 long, d2 long, words long, size long, keys binary",
         ),
         "signatures",
     )
-    wordy = signatures.where("words > 0")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "print")).alias("first")
     classes = stored(
-        wordy.groupBy("d1", "d2").agg(
-            F.min("id").alias("class_id"), F.count("*").alias("copies"), F.min("size").alias("size"),
-            F.min("keys").alias("keys"),
-        ),
+        signatures.where("words > 0").groupBy("d1", "d2").agg(
+            first, F.count("*").alias("copies"), F.min("size").alias("size"), F.min("keys").alias("keys")
+        ).select("d1", "d2", F.struct("first.none", "first.id", "d1", "d2").alias("node"), "first.print", "copies", "size", "keys"),
         "classes",
     )
-    members = classes.where("class_id is not null").selectExpr(
+    members = classes.selectExpr(
         "d1", "d2", "size", f"posexplode(transform(sequence(0, {bands - 1}), t -> substring(keys, 8 * t + 1, 8))) as (band, key)"
     )
     pairs = stored(buckets.dealt(members, ["d1", "d2"], BLOCK_ROWS, BLOCK_SHINGLES), "buckets")
     wanted = pairs.select("d1", "d2").distinct().join(classes, ["d1", "d2"])
-    named = wanted.select(F.col("class_id").alias("wanted_id")).distinct()
-    texts = source.join(named, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
-    sets = texts.mapInArrow(_sets(shingle), "d1 long, d2 long, grams binary")
-    sets = stored(sets.join(wanted, ["d1", "d2"]).dropDuplicates(["d1", "d2"]).select(
-        "d1", "d2", "grams", "keys", "copies", "class_id"
-    ), "sets")
-    dealt = pairs.join(sets, ["d1", "d2"]).select("band", "key", "i", "j", "block", "class_id", "copies", "keys", "grams")
-    dealt = dealt.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "class_id")
-    found = stored(dealt.mapInArrow(_verify(threshold), "a long, b long, n_links long"), "found")
-    links = found.where("a = b").groupBy(F.col("a").alias("class_id")).agg(F.sum("n_links").alias("linked"))
-    components = connected_components(found.where("a != b")).select(F.col("id").alias("class_id"), "component")
-    state = classes.join(links, "class_id", "left").join(components, "class_id", "left").select(
-        "d1", "d2", "class_id", "copies", "linked", F.coalesce("component", "class_id").alias("component_id")
+    # One row of each class gives its text: found by its id and a hash of the text, which may find more, never less.
+    named = wanted.select(F.col("node.id").alias("wanted_id"), F.col("print").alias("wanted_print")).distinct()
+    same = F.col("id").eqNullSafe(F.col("wanted_id")) & F.col("print").eqNullSafe(F.col("wanted_print"))
+    sets = source.join(named, same, "left_semi").select("text").mapInArrow(_sets(shingle), "d1 long, d2 long, grams binary")
+    sets = stored(
+        sets.join(wanted, ["d1", "d2"]).dropDuplicates(["d1", "d2"]).select("d1", "d2", "grams", "keys", "copies", "node"), "sets"
     )
+    dealt = pairs.join(sets, ["d1", "d2"]).select("band", "key", "i", "j", "block", "node", "copies", "keys", "grams")
+    dealt = dealt.repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "node")
+    node = classes.schema["node"].dataType.simpleString()
+    found = stored(dealt.mapInArrow(_verify(threshold), f"a {node}, b {node}, n_links long"), "found")
+    links = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("n_links").alias("linked"))
+    components = connected_components(found.where("a != b")).select(F.col("id").alias("node"), "component")
+    state = classes.select("d1", "d2", "node", "copies").join(links, "node", "left").join(components, "node", "left")
+    return signatures, state
+
+
+def ngram_jaccard_join(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    threshold: float = THRESHOLD,
+    recall: float = RECALL,
+) -> DataFrame:
+    """Per row: id, class_id, n_links, component_id, kept.
+
+    Two texts are linked when the Jaccard similarity of their sets of ``shingle``-word shingles is at
+    least ``threshold``. Rows of the same words are one class, named by its smallest id; only one of
+    them is compared. ``n_links`` counts the other rows linked with this one, copies included,
+    ``component_id`` is the smallest id reachable by links, and ``kept`` is true for the rows that have
+    that id and the words of one class of the component, so a group keeps one text. A text of 1 to 4
+    words is one shingle; null, empty and wordless texts link with nothing, are their own class and are
+    kept. Links are between texts, so rows of different texts under one id each have their own, and rows
+    without an id link as others do: a null is larger than any id, and a group without any id has the
+    component null. Rows that repeat the kept row's id and words are kept with it.
+    """
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    signatures, state = _linked(source, shingle, threshold, recall)
     out = signatures.select("id", "d1", "d2", "words").join(state, ["d1", "d2"], "left")
     alone = F.col("words") == 0
-    component = F.when(alone, F.col("id")).otherwise(F.col("component_id"))
+    top = F.coalesce("component", "node")
+    component = F.when(alone, F.col("id")).otherwise(top["id"])
     return out.select(
         F.col("id").alias(id_col),
-        F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("id")).otherwise(F.col("node.id")).alias("class_id"),
         F.when(alone, F.lit(0)).otherwise(F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).cast("long").alias("n_links"),
         component.alias("component_id"),
-        (alone | F.col("id").eqNullSafe(component)).alias("kept"),
+        (alone | (F.col("id").eqNullSafe(component) & (top == F.col("node")))).alias("kept"),
     )
 
 
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def one_of_each_group(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    threshold: float = THRESHOLD,
+    recall: float = RECALL,
+) -> DataFrame:
     """The rows of ``docs`` without near and exact copies, all columns as they are.
 
-    Texts are linked as ``ngram_jaccard_join`` links them, under digests of their own instead of their
-    ids, so null and repeated ids are no matter. Of each group the row with the smallest id stays, a null
-    only where no row has an id. Wordless texts stay; of rows that share both id and text one stays.
+    Texts are linked as ``ngram_jaccard_join`` links them, under 128-bit digests of their own instead of
+    their ids, so null and repeated ids are no matter. Of each group the row with the smallest id stays, a
+    null only where no row has an id. Wordless texts stay; of rows that share both id and text one stays.
     """
     text = F.col(text_col).cast("string")
+    digest = F.unhex(F.md5(text))
     wordy = F.coalesce(text.rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"), F.lit(False))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("digest"), wordy.alias("wordy"), text.alias("text"))
-    linked = ngram_jaccard_join(rows.where("wordy").select("digest", "text"), "digest", "text", **options)
-    group = linked.groupBy("digest").agg(F.min("component_id").alias("group"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), digest.alias("digest"), wordy.alias("wordy"), text.alias("text"))
+    signatures, state = _linked(rows.where("wordy").select(F.col("digest").alias("id"), "text"), shingle, threshold, recall)
+    # Equal texts have equal words, so a digest has one class and one group.
+    group = signatures.groupBy("id").agg(F.first("d1").alias("d1"), F.first("d2").alias("d2")).join(state, ["d1", "d2"])
+    group = group.select(F.col("id").alias("digest"), F.coalesce("component", "node").alias("group"))
     counts = stored(rows.groupBy("id", "digest", "wordy").count(), "counts")
     # One row of each text before the join, so that copies of a text don't meet in it.
     first = counts.where("wordy").groupBy("digest").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "count")).alias("row"))
@@ -268,8 +294,8 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kept = first.join(group, "digest").groupBy("group").agg(least).select("row.id", "row.digest", "row.count")
     kept = kept.union(counts.where("not wordy").select("id", "digest", "count")).toDF("__id", "__digest", "__count")
     kept = stored(kept, "kept")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & F.xxhash64(text).eqNullSafe(F.col("__digest"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & digest.eqNullSafe(F.col("__digest"))
     once = docs.join(kept.where("__count = 1"), same, "left_semi")
     # Rows that come more than once are few; only those are compared as wholes.
-    more = docs.join(kept.where("__count > 1"), same, "left_semi").withColumn("__text", F.xxhash64(text))
+    more = docs.join(kept.where("__count > 1"), same, "left_semi").withColumn("__text", digest)
     return once.union(more.dropDuplicates([id_col, "__text"]).drop("__text"))

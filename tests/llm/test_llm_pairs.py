@@ -101,6 +101,25 @@ def test_null_and_repeated_ids_keep_one_document_of_each_group(spark):
     assert sorted(map(str, rows)) in [sorted(map(str, [*kept, (None, x)])) for x in (e, near(e))]
 
 
+def test_ngram_join_links_texts_whatever_their_ids(spark):
+    rng = np.random.default_rng(17)
+    a, b, c, d = ("".join(f"{w} " for w in sentence(rng, 80)) for _ in range(4))
+    near = lambda text: text + "changed"
+    rows = [(5, a), (5, b), (6, near(a)), (7, near(b)), (None, c), (None, near(c)), (None, c), (None, d), (9, near(d)), (4, "one"), (4, "one")]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for w in (words(t) for _, t in rows)]
+    linked = [[5 * len(x & y) >= 4 * len(x | y) for y in sets] for x in sets]
+    root = reachable([(x, y) for x in range(len(rows)) for y in range(x) if linked[x][y]], range(len(rows)))
+    expected = []
+    for k, (i, _) in enumerate(rows):
+        ids = [rows[m][0] for m in root if root[m] == root[k] and rows[m][0] is not None]
+        expected.append((str(i), sum(linked[k]) - 1, str(min(ids, default=None))))
+    got = ngram_jaccard_join(table(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.n_links, str(r.component_id)) for r in got) == sorted(expected)
+    kept = sorted((str(r.doc_id), r.n_links) for r in got if r.kept)
+    # The group without ids keeps one of its two texts, with its copies.
+    assert kept in [sorted([("5", 1), ("5", 1), ("9", 1), ("4", 1), ("4", 1), *idless]) for idless in ([("None", 2)] * 2, [("None", 2)])]
+
+
 def test_blocks_bring_every_pair_of_a_bucket_together(spark):
     rows = [(0, "a", i, 1) for i in range(40)] + [(1, "b", i, 1) for i in range(40)] + [(1, "c", 99, 1)]
     members = spark.createDataFrame(rows, "band int, key string, id long, size long")
