@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,18 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # A value in a credential context: a name, a sign between, and the value up to a space or quote.
 _CONTEXT = re.compile(
     r"""(?ai:(?<![a-z0-9])(?:password|passwd|passphrase|pass|pwd|secret|token|api[_-]?key|credentials?|bearer|login|auth))"""
-    r"""["']?(?:\x20*(?::=|=>|[:=])\x20*|\x20+(?ai:is|was)\x20+|(?ai:(?<=bearer))\x20+)["']?([^\s"'<>,;]{6,})"""
+    r"""["']?(?:\x20*(?::=|=>|[:=])\x20*|\x20+(?ai:(is|was))\x20+|(?ai:(?<=bearer))\x20+)["']?([^\s"'<>,;]{6,})"""
 )
+# The same contexts for Spark's own expressions: their values are no words of the corpus.
+_NO_WORDS = (
+    r"""(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|credentials?|bearer|login|auth)["']?"""
+    r"""(?:\x20*[:=]+>?\x20*|\x20+(?:is|was)\x20+|(?<=bearer)\x20+)["']?[^\s"'<>,;]+"""
+)
+# A word of the corpus: letters that stand by themselves, so that pieces of codes are none.
+_WORD = r"""(?<![^\s("'])(\p{L}{3,24}+)(?=[\s.,;:!?)"']|$)"""
+VOCABULARY = 1 << 15
+LEAST_DOCUMENTS = 2
+_ADDRESS = re.compile(r"(?:[A-Za-z][A-Za-z0-9+.-]*://|[~.]{0,2}/)")
 _CONTEXT_NAMES = ("pass", "pwd", "secret", "token", "key", "credential", "bearer", "login", "auth")
 
 # Words that people put into passwords, commonest first; a word's rank is its guess cost.
@@ -34,7 +45,7 @@ shadow sunshine princess football baseball superman batman access flower summer
 changeme example public private server system service database token key api access client account email home work
 the and you not for are this that with none null true false your name value string required unknown hidden""".split()
 _RANK = {w: math.log10(i + 2) for i, w in reversed(list(enumerate(_WORDS)))}
-_LONGEST = max(map(len, _RANK))
+_LONGEST = 24
 _LEET = str.maketrans("4@831!0$57", "aabeiiosst")
 # Rows of a keyboard.
 _ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
@@ -57,10 +68,10 @@ def _alphabet(value: str) -> float:
     return math.log10(max(size, 10))
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, ranks: dict[str, float] = _RANK) -> float:
     """log10 of the guesses that find ``value``, by its cheapest segmentation.
 
-    Segments are words (upper case and look-alike characters cost extra), dates, repeats, walks along a
+    Segments are words of ``ranks`` (upper case and look-alike characters cost extra), dates, repeats, walks along a
     keyboard row, the alphabet or the digits, and single characters at brute force. Words and
     dates count from every start, walks whole or as a head or tail, repeats as long as they go from every
     start or as a head. Each further segment doubles the guesses. Dynamic programming over the places, in time linear in the value's length.
@@ -74,10 +85,10 @@ def guess_cost(value: str) -> float:
     for i in range(n):
         for j in range(i + 3, min(n, i + _LONGEST) + 1):
             for form, extra in ((lower[i:j], 0.0), (plain[i:j], 0.6)):
-                if form in _RANK:
+                if form in ranks:
                     upper = sum(c.isupper() for c in value[i:j])
                     case = 0.0 if not upper else 0.3 if upper == j - i or value[i].isupper() and upper == 1 else 0.3 * (j - i)
-                    ends[j].append((i, _RANK[form] + extra + case))
+                    ends[j].append((i, ranks[form] + extra + case))
                     break
     for i in range(n):
         for m in [d.match(value, i) for d in _DATES] if value[i] in "0123" else []:
@@ -123,21 +134,61 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def guess_spans(text: str, base: list[tuple[int, int, int]], guesses: float = GUESSES) -> list[tuple[int, int, int]]:
-    """Values in a credential context that take ``10 ** guesses`` tries or more and that no base span holds whole."""
+def word_ranks(docs: DataFrame, text_col: str = "text", words: int = VOCABULARY) -> dict[str, float]:
+    """log10 of each word's rank: the fixed words, and the corpus's own by the documents that hold them.
+
+    All documents are counted; the ``words`` commonest that ``LEAST_DOCUMENTS`` hold at least are gathered,
+    under 1 MB whatever the corpus. Values in a credential context don't count, so a secret that many
+    copies repeat does not become a word by that.
+    """
+    text = F.regexp_replace(F.col(text_col).cast("string"), _NO_WORDS, " ")
+    found = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(1)))).alias("word"))
+    counted = found.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_DOCUMENTS)
+    ranked = counted.orderBy(F.desc("n"), "word").limit(words).collect()
+    own = {r["word"]: math.log10(i + 2) for i, r in enumerate(ranked)}
+    return own | {w: min(cost, own.get(w, cost)) for w, cost in _RANK.items()}
+
+
+def value_cost(value: str, ranks: dict[str, float] = _RANK) -> float:
+    """The guess cost of a value; of an address or path that of its hardest part, host and plain letters aside."""
+    address = _ADDRESS.match(value)
+    if not address:
+        return guess_cost(value, ranks)
+    rest = value[address.end() :]
+    if "://" in address.group():
+        host, _, path = rest.partition("/")
+        user, at, _ = host.rpartition("@")
+        rest = f"{user}/{path}" if at else path
+    return max((guess_cost(part, ranks) for part in re.split(r"[/?&=#:@]", rest) if _several_classes(part)), default=0.0)
+
+
+def _several_classes(value: str) -> bool:
+    """Whether a value is more than a word: a digit, a sign, or a capital past its first letter."""
+    return any(not c.isalpha() for c in value) or value[1:] not in (value[1:].lower(), value[1:].upper())
+
+
+def guess_spans(
+    text: str, base: list[tuple[int, int, int]], guesses: float = GUESSES, ranks: dict[str, float] = _RANK
+) -> list[tuple[int, int, int]]:
+    """Values in a credential context that take ``10 ** guesses`` tries or more and that no base span holds whole.
+
+    After "is" or "was", which plain sentences have too, a value of letters in one case is not scored.
+    """
     folded = text.lower()
     if not any(name in folded for name in _CONTEXT_NAMES):
         return []
     found = []
     for m in _CONTEXT.finditer(text):
-        start, value = m.start(1), m.group(1).rstrip(".:!?)]}*#%$&|")
+        start, value = m.start(2), m.group(2).rstrip(".:!?)]}*#%$&|")
         end = start + len(value)
-        if len(value) >= 6 and not any(s <= start and end <= e for s, _, e in base) and guess_cost(value) >= guesses:
+        if len(value) < 6 or any(s <= start and end <= e for s, _, e in base) or m.group(1) and not _several_classes(value):
+            continue
+        if value_cost(value, ranks) >= guesses:
             found.append((start, 3, end))
     return found
 
 
-def _scan(guesses: float):
+def _scan(guesses: float, ranks: Broadcast):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +198,7 @@ def _scan(guesses: float):
                 out = []
                 for text in texts.slice(low, high - low).to_pylist():
                     base = base_spans(text)
-                    spans = sorted(base + guess_spans(text, base, guesses))
+                    spans = sorted(base + guess_spans(text, base, guesses, ranks.value))
                     out.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(out, kind)], names=["id", "spans"])
 
@@ -159,15 +210,18 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Places are code points, ends exclusive. ``assign``, ``access`` and ``hex`` are the fixed patterns;
     ``guess`` is a value after a credential's name whose guess cost is ``10 ** guesses`` or more and that
-    no fixed pattern holds whole; it may overlap their spans. Null and empty texts have no spans; every row gives a row.
+    no fixed pattern holds whole; it may overlap their spans. Its words are the fixed ones and those that
+    ``word_ranks`` counts in ``docs``. Null and empty texts have no spans; every row gives a row.
     """
+    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text_col))
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = source.mapInArrow(_scan(guesses), "id long, spans array<struct<kind:string,start:long,end:long>>")
+    found = source.mapInArrow(_scan(guesses, ranks), "id long, spans array<struct<kind:string,start:long,end:long>>")
     return found.withColumnRenamed("id", id_col)
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[secret]") -> DataFrame:
     """``docs`` with every span replaced by ``mask``; overlapping spans count as one. All columns stay."""
+    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text_col))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,7 +230,7 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
             for text in batch.column(at).to_pylist():
                 if text is not None:
                     base, parts, done = base_spans(text), [], 0
-                    for start, _, end in sorted(base + guess_spans(text, base)):
+                    for start, _, end in sorted(base + guess_spans(text, base, GUESSES, ranks.value)):
                         if start >= done:
                             parts += [text[done:start], mask]
                         done = max(done, end)

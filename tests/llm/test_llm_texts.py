@@ -15,7 +15,8 @@ from siltstone.llm.common import hash_limit, texts_of
 from siltstone.llm.html_extract import covered, known_run_counts, main_text, page_blocks, run_counts, suffix_ranks
 from siltstone.llm.packing import best_fit_packing, best_fit_plan
 from siltstone.llm.quality import FAMILIES, label_model, quality_scores
-from siltstone.llm.secrets import base_spans, guess_cost, redacted, secret_spans
+from siltstone.llm import secrets
+from siltstone.llm.secrets import base_spans, guess_cost, redacted, secret_spans, value_cost, word_ranks
 from siltstone.llm.token_counts import attributed, token_counts
 from siltstone.llm.tokens import byte_coder, tokenizer_path, word_coder
 from siltstone.llm.toxicity import fit, gradient, score, toxicity, training_rows, without_toxic
@@ -132,6 +133,81 @@ def test_segments_may_begin_and_end_inside_longer_ones():
     assert guess_cost("ab" * 50_000) < 10
 
 
+def cheapest_segmentation(value, ranks):
+    """Every way to cut the value, each segment at its cheapest reading."""
+    brute, lower = secrets._alphabet(value), value.lower()
+    leet = lower.translate(secrets._LEET)
+
+    def cost(i, j):
+        part, n = value[i:j], j - i
+        found = [brute * n]
+        for form, extra in ((lower[i:j], 0.0), (leet[i:j], 0.6)):
+            if n >= 3 and form in ranks:
+                upper = sum(c.isupper() for c in part)
+                found.append(ranks[form] + extra + (0 if not upper else 0.3 if upper == n or part[0].isupper() and upper == 1 else 0.3 * n))
+                break
+        found += [4.6 if n > 4 else 2.1 for d in secrets._DATES if d.fullmatch(part)]
+        if n >= 3:
+            if all(lower[k : k + 2] in secrets._BESIDE for k in range(i, j - 1)):
+                found.append(1.7 + np.log10(n))
+            found += [brute * u + np.log10(n // u) for u in range(1, n // 2 + 1) if n % u == 0 and part == part[:u] * (n // u)]
+        return min(found)
+
+    best = np.inf
+    for mask in range(1 << (len(value) - 1)):
+        cuts = [0, *[k + 1 for k in range(len(value) - 1) if mask >> k & 1], len(value)]
+        best = min(best, sum(cost(a, b) for a, b in zip(cuts, cuts[1:])) + np.log10(2) * (len(cuts) - 2))
+    return best
+
+
+def test_guess_cost_is_the_least_of_all_segmentations():
+    rng = random.Random(1)
+    pieces = ["pass", "root", "abc", "qwe", "12", "1999", "aa", "x", "K", "7#", "Test", "p@ss", "654", "poi", "abab", "the", "otter"]
+    ranks = {**secrets._RANK, "otter": 3.2, "tert": 4.0}
+    for _ in range(400):
+        value = "".join(rng.choices(pieces, k=4))[:9]
+        assert abs(guess_cost(value, ranks) - cheapest_segmentation(value, ranks)) < 1e-9, value
+
+
+PROSE = ["the administrator read all documentation before christopher left", "documentation is kept by an administrator, says Christopher."]
+
+
+def test_plain_words_are_no_secrets(spark):
+    plain = [
+        "the secret was forgotten", "My password is documentation", "pass was intercepted", "credential: administrator",
+        "auth: Christopher", "login: https://example.com/account/settings", "login: /home/admin/documentation",
+    ]
+    strong = ["login: https://admin:x7Kq9zP2wL@example.com/", "the password is x7#Kq9!zP2", "auth: wQzjxkvbnqpt"]
+    # A secret that many copies repeat does not become a word.
+    docs = table(spark, [*PROSE, *plain, *strong, *strong, *strong])
+    ranks = word_ranks(docs)
+    assert "administrator" in ranks and "forgotten" not in ranks and "wqzjxkvbnqpt" not in ranks
+    spans = {r.doc_id: [s.kind for s in r.spans] for r in secret_spans(docs).collect()}
+    texts = [r.text for r in docs.collect()]
+    assert len(texts) == len(PROSE) + len(plain) + 3 * len(strong)
+    kinds = sorted(map(str, spans.values()))
+    assert kinds == sorted([str([])] * (len(PROSE) + len(plain)) + [str(["guess"])] * (3 * len(strong)))
+    assert word_ranks(docs.limit(0)) == secrets._RANK
+    assert value_cost("/home/admin", {}) < value_cost("x7Kq9zP2wL", {})
+
+
+def test_planted_values_are_found_and_plain_ones_left(spark):
+    rng = random.Random(4)
+    names = ["login: ", "pwd = ", "auth: ", "credential: ", "the passphrase is ", "pass := "]
+    words = ["".join(rng.choices("aeioulnrst", k=rng.randint(5, 11))) for _ in range(300)]
+    signs = "abcdefghjkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789#!%+"
+    strong = ["".join(rng.choices(signs, k=rng.randint(9, 20))) for _ in range(300)]
+    weak = [rng.choice(words) + rng.choice(["", "1", "99", "2019"]) for _ in range(300)]
+    prose = [" ".join(rng.sample(words, 60)) for _ in range(100)]
+    texts = prose + [f"{rng.choice(prose)[:40]} {rng.choice(names)}{v} end" for v in strong + weak]
+    rows = secret_spans(table(spark, texts)).collect()
+    found = {r.doc_id: {s.kind for s in r.spans} for r in rows}
+    ids = {r.text: r.doc_id for r in table(spark, texts).collect()}
+    hit = [bool(found[ids[t]]) for t in texts]
+    caught, false = sum(hit[100:400]), sum(hit[:100]) + sum(hit[400:])
+    assert caught >= 294 and false <= 3, (caught, false)
+
+
 def test_a_value_in_context_is_found_and_masked(spark):
     texts = ["the login: gT5#kWq2Lm! ok", "login: password1 ok", "pwd = x7#Kq9!zP2", "token = 'abcdef1234567890' end", None]
     rows = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_spans(table(spark, texts, [1, 2, 3, 4, 5])).collect()}
