@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts_of
+from .common import slices, stored, texts_of
 
 KINDS = ("assign", "access", "hex", "guess")
 GUESSES = 10.0
@@ -137,14 +137,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def word_ranks(docs: DataFrame, text_col: str = "text", words: int = VOCABULARY) -> dict[str, float]:
     """log10 of each word's rank: the fixed words, and the corpus's own by the documents that hold them.
 
-    All documents are counted; the ``words`` commonest that ``LEAST_DOCUMENTS`` hold at least are gathered,
-    under 1 MB whatever the corpus. Values in a credential context don't count, so a secret that many
+    All documents are counted. Of the words that ``LEAST_DOCUMENTS`` hold at least the commonest are gathered,
+    by whole steps of their counts (eight to a doubling) and ``words`` at most, under 1 MB whatever the
+    corpus; a step that would go past that is left out whole, with all below it. Values in a credential context don't count, so a secret that many
     copies repeat does not become a word by that.
     """
     text = F.regexp_replace(F.col(text_col).cast("string"), _NO_WORDS, " ")
     found = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(1)))).alias("word"))
     counted = found.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_DOCUMENTS)
-    ranked = counted.orderBy(F.desc("n"), "word").limit(words).collect()
+    counted = stored(counted.withColumn("step", F.floor(8 * F.log2("n"))), "words")
+    steps = counted.groupBy("step").count().collect()
+    lowest, held = None, 0
+    for r in sorted(steps, reverse=True):
+        held += r["count"]
+        if held > words:
+            break
+        lowest = r["step"]
+    ranked = [] if lowest is None else sorted(counted.where(F.col("step") >= lowest).collect(), key=lambda r: (-r["n"], r["word"]))
     own = {r["word"]: math.log10(i + 2) for i, r in enumerate(ranked)}
     return own | {w: min(cost, own.get(w, cost)) for w, cost in _RANK.items()}
 

@@ -187,7 +187,10 @@ def test_plain_words_are_no_secrets(spark):
     assert len(texts) == len(PROSE) + len(plain) + 3 * len(strong)
     kinds = sorted(map(str, spans.values()))
     assert kinds == sorted([str([])] * (len(PROSE) + len(plain)) + [str(["guess"])] * (3 * len(strong)))
-    assert word_ranks(docs.limit(0)) == secrets._RANK
+    assert word_ranks(docs.limit(0)) == secrets._RANK == word_ranks(docs, words=0)
+    common = table(spark, ["alder birch", "alder birch", "alder birch cedar", "alder cedar larch"])  # 4, 3, 2 and 1 documents
+    held = lambda n: set(word_ranks(common, words=n)) - set(secrets._RANK)
+    assert [held(n) for n in (1, 2, 9)] == [{"alder"}, {"alder", "birch"}, {"alder", "birch", "cedar"}]
     assert value_cost("/home/admin", {}) < value_cost("x7Kq9zP2wL", {})
 
 
