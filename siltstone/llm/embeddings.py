@@ -20,6 +20,8 @@ ROWS_PER_BUCKET = 32
 BLOCK_ROWS = 2048
 MIN_BITS = 4
 MAX_BITS = 48
+SKETCH_BITS = 128
+SKETCH_LOSS = 1e-5
 
 
 def tables_for(rows: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
@@ -33,6 +35,17 @@ def tables_for(rows: int, cosine: float = COSINE, recall: float = RECALL) -> tup
     return math.ceil(math.log(1 - recall) / math.log(1 - agree)), bits
 
 
+def most_different(cosine: float = COSINE, bits: int = SKETCH_BITS, loss: float = SKETCH_LOSS) -> int:
+    """In how many of ``bits`` signs two vectors at the threshold differ at most, but for a share of ``loss``."""
+    p = math.acos(cosine) / math.pi
+    above = 1.0
+    for differ in range(bits + 1):
+        above -= math.comb(bits, differ) * p**differ * (1 - p) ** (bits - differ)
+        if above <= loss:
+            return differ
+    return bits
+
+
 def _planes(size: int, n: int, seed: int = 11) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((size, n))
 
@@ -65,21 +78,70 @@ def _hashed(tables: int, bits: int):
             units = _vectors(batch.column(1))
             sizes = np.array([len(u) for u in units], np.int64)
             keys = np.zeros((len(units), tables), np.uint64)
+            sketches = np.zeros((len(units), SKETCH_BITS // 8), np.uint8)
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
                 if int(size) not in planes:
-                    planes[int(size)] = _planes(int(size), tables * bits)
+                    planes[int(size)] = _planes(int(size), tables * bits + SKETCH_BITS)
                 sides = (np.stack([units[x] for x in at]) @ planes[int(size)]) >= 0
+                sketches[at] = np.packbits(sides[:, tables * bits :], axis=1)
+                sides = sides[:, : tables * bits]
                 code = (sides.reshape(len(at), tables, bits) * weight).sum(axis=2, dtype=np.uint64)
                 keys[at] = mixed(code + (np.array([size], np.uint64) << np.uint64(50)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array([k.tobytes() for k in keys], pa.binary())],
-                names=["class_id", "unit", "copies", "keys"],
+                [
+                    batch.column(0), batch.column(1), batch.column(2), pa.array([k.tobytes() for k in keys], pa.binary()),
+                    pa.array([k.tobytes() for k in sketches], pa.binary()),
+                ],
+                names=["class_id", "unit", "copies", "keys", "sketch"],
             )
 
     return run
 
 
+def _promising(differ: int):
+    """Of each block pair the rows whose sketch differs from some other row's in ``differ`` bits at most."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, ["band", "key", "i", "j"]):
+            signs = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(group.num_rows, -1)
+            signs = np.unpackbits(signs, axis=1).astype(np.float32) * 2 - 1
+            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+            block = group.column("block").to_numpy()
+            a = np.arange(len(signs)) if i == j else np.flatnonzero(block == i)
+            b = a if i == j else np.flatnonzero(block == j)
+            near = np.zeros(len(signs), bool)
+            for low in range(0, len(a), 512):
+                part = a[low : low + 512]
+                alike = signs[part] @ signs[b].T >= SKETCH_BITS - 2 * differ
+                if i == j:
+                    alike[np.arange(len(part)), part] = False
+                near[part] |= alike.any(axis=1)
+                near[b] |= alike.any(axis=0)
+            if near.any():
+                held = group.drop_columns(["sketch"]).filter(pa.array(near)).combine_chunks()
+                yield from held.to_batches()
+
+    return run
+
+
+def candidates(hashed: DataFrame, tables: int, cosine: float) -> DataFrame:
+    """Rows (band, key, i, j, block, class_id) whose vectors are worth to be fetched for an exact comparison.
+
+    Buckets are met with sketches of 16 bytes in place of vectors, so what is shuffled once per table does not
+    grow with a vector's length. A pair at the threshold passes but for a share of ``SKETCH_LOSS``.
+    """
+    members = hashed.selectExpr(
+        "class_id", "sketch", "1L as size",
+        f"posexplode(transform(sequence(0, {tables - 1}), t -> substring(keys, 8 * t + 1, 8))) as (band, key)",
+    )
+    pairs = buckets.dealt(members, ["class_id", "sketch"], BLOCK_ROWS, BLOCK_ROWS).repartition("band", "key", "i", "j")
+    pairs = pairs.sortWithinPartitions("band", "key", "i", "j")
+    return pairs.mapInArrow(
+        _promising(most_different(cosine)), "band int, key binary, i int, j int, block int, class_id long"
+    )
+
+
 def _verify(cosine: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["band", "key", "i", "j"]):
@@ -136,7 +198,8 @@ def embedding_near_duplicates(
     whether that is the row's own. Null, empty and zero vectors, and those with a null or non-finite
     component, link with nothing and are kept, as are rows with a null id. Vectors of different
     lengths are never linked. Of a pair at the threshold ``recall`` is the chance that a table has both
-    in one bucket; every pair of a bucket is compared, in blocks.
+    in one bucket. Every pair of a bucket is compared by sketches, in blocks, and vectors are fetched for
+    the rows only that have a partner there within ``most_different`` bits; cosines decide.
     """
     source = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     units = stored(source.mapInArrow(_checked, "id long, unit binary"), "units")
@@ -144,15 +207,11 @@ def embedding_near_duplicates(
     classes = stored(comparable.groupBy("unit").agg(F.min("id").alias("class_id"), F.count("*").alias("copies")), "classes")
     tables, bits = tables_for(classes.count(), cosine, recall)
     hashed = classes.select("class_id", "unit", "copies").mapInArrow(
-        _hashed(tables, bits), "class_id long, unit binary, copies long, keys binary"
+        _hashed(tables, bits), "class_id long, unit binary, copies long, keys binary, sketch binary"
     )
     hashed = stored(hashed, "hashed")
-    members = hashed.selectExpr(
-        "class_id", "1L as size",
-        f"posexplode(transform(sequence(0, {tables - 1}), t -> substring(keys, 8 * t + 1, 8))) as (band, key)",
-    )
-    pairs = buckets.dealt(members, ["class_id"], BLOCK_ROWS, BLOCK_ROWS)
-    dealt = pairs.join(hashed, "class_id").repartition("band", "key", "i", "j")
+    pairs = stored(candidates(hashed, tables, cosine), "candidates")
+    dealt = pairs.join(hashed.drop("sketch"), "class_id").repartition("band", "key", "i", "j")
     dealt = dealt.sortWithinPartitions("band", "key", "i", "j", "class_id")
     found = stored(dealt.mapInArrow(_verify(cosine), "a long, b long, n_links long"), "found")
     links = found.where("a = b").groupBy(F.col("a").alias("class_id")).agg(F.sum("n_links").alias("linked"))

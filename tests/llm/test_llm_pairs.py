@@ -9,7 +9,7 @@ import pytest
 from siltstone.llm.buckets import dealt
 from siltstone.llm.components import connected_components
 from siltstone.llm.decontaminate import benchmark_overlap, decontaminated
-from siltstone.llm.embeddings import embedding_near_duplicates, tables_for
+from siltstone.llm.embeddings import SKETCH_BITS, _hashed, candidates, embedding_near_duplicates, most_different, tables_for
 from siltstone.llm.line_dedup import line_dedup
 from siltstone.llm.ngram_join import bands_for, ngram_jaccard_join, one_of_each_group
 
@@ -170,6 +170,24 @@ def test_embeddings_against_brute_force(spark):
     assert embedding_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_sketches_keep_pairs_at_the_threshold_and_drop_strangers(spark):
+    rng = np.random.default_rng(8)
+    bound, chance = most_different(), math.acos(0.95) / math.pi
+    assert (rng.binomial(SKETCH_BITS, chance, 200_000) > bound).mean() <= 1e-4 and bound < SKETCH_BITS / 4
+    rows, one = [], lambda x: x / np.linalg.norm(x)
+    for k in range(1500):
+        x = one(rng.standard_normal(48))
+        rows.append((2 * k, x))
+        if k < 150:  # a partner at a cosine of 0.951
+            y = rng.standard_normal(48)
+            rows.append((2 * k + 1, 0.951 * x + math.sqrt(1 - 0.951**2) * one(y - (y @ x) * x)))
+    tables, bits = tables_for(len(rows))
+    units = spark.createDataFrame([(i, v.tobytes(), 1) for i, v in rows], "class_id long, unit binary, copies long")
+    hashed = units.mapInArrow(_hashed(tables, bits), "class_id long, unit binary, copies long, keys binary, sketch binary")
+    ids = {r.class_id for r in candidates(hashed, tables, 0.95).select("class_id").distinct().collect()}
+    assert ids >= set(range(300)) and len(ids) < 320
+
+
 def test_tables_reach_the_recall():
     for rows in (1, 10_000, 10**9):
         tables, bits = tables_for(rows)
