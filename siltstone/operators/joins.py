@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose key is absent from the parent; NULL keys are not orphans."""
+    """Child rows whose key is absent from the parent; NULL keys are not orphans.
+
+    Both sides may hold a key for each entity. A merge join is asked for, since a compressed key column looks
+    small enough to be gathered on the driver and sent to all.
+    """
     known = parent.select(F.col(parent_key or key).alias(key)).distinct()
-    return child.where(F.col(key).isNotNull()).join(known, key, "left_anti")
+    return child.where(F.col(key).isNotNull()).join(known.hint("merge"), key, "left_anti")
 
 
 def enrich_left(dim: DataFrame, enrichment: DataFrame, key: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from catalog import all_queries
 from catalog.base import Layers
+from siltstone.operators.joins import orphans
 
 
 def plan(df):
@@ -28,3 +29,8 @@ def test_band_case_needs_no_join(spark, sf):
 def test_columns_reach_the_scan(spark, sf):
     text = plan(all_queries()["dedupe_documents"](spark, sf))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+
+
+def test_orphans_gather_no_keys_on_the_driver(spark):
+    text = plan(orphans(spark.range(3).toDF("k"), spark.range(2).toDF("p"), "k", "p"))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
