@@ -56,11 +56,15 @@ def tag_bridge(
 def share_of_class(
     bridge: DataFrame, dim: DataFrame, key: str = "entity_id", cls: str = "size_class"
 ) -> DataFrame:
-    """Per (class, tag): entities with the tag, class size and percent; every pair is kept."""
+    """Per (class, tag): entities with the tag, class size and percent; every pair is kept.
+
+    Bridge and dimension both grow with the entities, whatever Spark makes of their size before it has read
+    them; a merge join is asked for, so neither is gathered on the driver and sent to all.
+    """
     sizes = dim.groupBy(cls).agg(F.count(F.lit(1)).alias("n_in_class"))
     tagged = (
         bridge.select(key, "tag", "tag_display")
-        .join(dim.select(key, cls), key)
+        .join(dim.select(key, cls).hint("merge"), key)
         .groupBy(cls, "tag", "tag_display")
         .agg(F.count_distinct(key).alias("n_entities"))
     )

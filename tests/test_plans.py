@@ -1,8 +1,11 @@
 """What the plans must look like."""
 
+import re
+
 from catalog import all_queries
 from catalog.base import Layers
 from siltstone.operators.joins import orphans
+from siltstone.operators.tags import share_of_class
 
 
 def plan(df):
@@ -34,3 +37,10 @@ def test_columns_reach_the_scan(spark, sf):
 def test_orphans_gather_no_keys_on_the_driver(spark):
     text = plan(orphans(spark.range(3).toDF("k"), spark.range(2).toDF("p"), "k", "p"))
     assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
+def test_joined_shares_gather_no_entities_on_the_driver(spark):
+    dim = spark.range(4).selectExpr("id as entity_id", "cast(id % 2 as string) as size_class")
+    bridge = spark.range(4).selectExpr("id as entity_id", "'calm' as tag", "'Calm' as tag_display")
+    text = plan(share_of_class(bridge, dim))
+    assert re.search(r"SortMergeJoin \[entity_id", text) and not re.search(r"BroadcastHashJoin \[entity_id", text)
