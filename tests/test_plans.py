@@ -44,3 +44,8 @@ def test_joined_shares_gather_no_entities_on_the_driver(spark):
     bridge = spark.range(4).selectExpr("id as entity_id", "'calm' as tag", "'Calm' as tag_display")
     text = plan(share_of_class(bridge, dim))
     assert re.search(r"SortMergeJoin \[entity_id", text) and not re.search(r"BroadcastHashJoin \[entity_id", text)
+
+
+def test_joined_shares_of_defects_gather_no_entities_on_the_driver(spark, sf):
+    text = plan(all_queries()["share_of_class_joined_defects"](spark, sf))
+    assert re.search(r"SortMergeJoin \[entity_id", text) and not re.search(r"BroadcastHashJoin \[entity_id", text)
