@@ -61,10 +61,16 @@ EARLIER_DOCUMENTS = f"select * from ({SCALED_DOCUMENTS}) d where entity_id % 10
 KINDS = {"earlier": EARLIER_DOCUMENTS, "scaled": SCALED_DOCUMENTS, "defects": DEFECT_DOCUMENTS, "sound": SOUND_DOCUMENTS}
 
 
+# About as many documents as one task makes, some 100 MB of text.
+DOCUMENTS_A_TASK = 1 << 18
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey")
-    # Keys are small and the documents made from them are not: dealt out, all cores make documents.
-    return keys.repartition(spark.sparkContext.defaultParallelism)
+    # Keys are small and the documents made from them are not: dealt out, all cores make documents. The count
+    # comes from the files' footers; no task makes more documents as the table grows.
+    tasks = -(-keys.count() // DOCUMENTS_A_TASK)
+    return keys.repartition(max(spark.sparkContext.defaultParallelism, tasks))
 
 
 def documents(spark: SparkSession, sf_dir: str, kind: str = "scaled") -> DataFrame:

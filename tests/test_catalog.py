@@ -2,7 +2,7 @@
 
 import pytest
 
-from catalog import all_queries, all_sql
+from catalog import all_queries, all_sql, fixtures
 from tools.compare import connect, difference, rows_of
 
 QUERIES, SQL = all_queries(), all_sql()
@@ -39,3 +39,9 @@ def test_entry(spark):
 
     rows = {r["size_class"]: r["n_entities"] for r in entry.entry(spark).collect()}
     assert rows == {"toy": 57, "small": 156, "medium": 322, "large": 491, "giant": 454, "unknown": 5}
+
+
+def test_no_task_makes_more_documents_as_the_orders_grow(spark, sf, monkeypatch):
+    monkeypatch.setattr(fixtures, "DOCUMENTS_A_TASK", 100)
+    docs = fixtures.documents(spark, sf)
+    assert docs.rdd.getNumPartitions() == -(-docs.count() // 100)
